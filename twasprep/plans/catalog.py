@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twasprep.operators import genotype as G
+from twasprep.operators import rsid as R
 from twasprep.plans import driver_views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,30 @@ def q_chromosome_filter(spark, sf_dir):
     return G.filter_chromosomes(_maf_annotation(spark, sf_dir), CHROMOSOME_SELECTION)
 
 
+def q_rsid_resolve(spark, sf_dir):
+    return R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
+
+
+def q_rsid_resolve_normalized(spark, sf_dir):
+    return R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir),
+                           naming="normalized")
+
+
+def q_rsid_stats(spark, sf_dir):
+    resolved = R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir),
+                               with_flag=True)
+    return R.rsid_stats(resolved)
+
+
+def q_rsid_legacy_fill(spark, sf_dir):
+    return R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir),
+                           legacy_fill=True)
+
+
+def q_rsid_naming_report(spark, sf_dir):
+    return R.rsid_naming_report(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "maf_annotation": q_maf_annotation,
     "dosage": q_dosage,
@@ -75,4 +100,9 @@ QUERIES: dict[str, Query] = {
     "allele_counts": q_allele_counts,
     "chromosome_order": q_chromosome_order,
     "chromosome_filter": q_chromosome_filter,
+    "rsid_resolve": q_rsid_resolve,
+    "rsid_resolve_normalized": q_rsid_resolve_normalized,
+    "rsid_stats": q_rsid_stats,
+    "rsid_legacy_fill": q_rsid_legacy_fill,
+    "rsid_naming_report": q_rsid_naming_report,
 }

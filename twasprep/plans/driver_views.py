@@ -56,3 +56,65 @@ def variant_annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = part.select(*variant_cols("p_partkey"))
     return v.select(variant_id("chrom", "pos", "ref", "alt").alias("varid"),
                     "chrom", "pos", "ref", "alt")
+
+
+def snp_annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNP annotation to resolve, one row per part.
+
+    Every 13th variant is multi-allelic (``alt,ref`` list), every 10th already
+    has an rsid, every 97th a NULL rsid, every 89th no position; every 7th
+    carries a legacy ``rsid_dbSNP150``.
+    """
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    v = part.select("p_partkey", *variant_cols("p_partkey"))
+    alt = F.when(k % 13 == 0, F.concat_ws(",", "alt", "ref")).otherwise(F.col("alt"))
+    return v.select(
+        F.replace(F.col("chrom"), F.lit("chr"), F.lit("")).alias("chromosome"),
+        F.when(k % 89 == 0, F.lit(None)).otherwise(F.col("pos")).cast("long").alias("pos"),
+        variant_id("chrom", "pos", "ref", alt).alias("varID"),
+        F.col("ref").alias("ref_vcf"),
+        alt.alias("alt_vcf"),
+        F.lit(1.0).alias("R2"),
+        F.lit(None).cast("double").alias("MAF"),
+        F.when(k % 97 == 0, F.lit(None).cast("string"))
+        .when(k % 10 == 0, F.concat(F.lit("rsKNOWN"), k.cast("string")))
+        .otherwise(F.lit(".")).alias("rsid"),
+        F.when(k % 7 == 0, F.concat(F.lit("rsOLD"), k.cast("string")))
+        .otherwise(F.lit(".")).alias("rsid_dbSNP150"),
+    )
+
+
+def dbsnp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dbSNP-like records derived from part, in a fixed file order ``ord``.
+
+    Per part: a first record whose chromosome is ``chr``-named when
+    ``p_size % 3 = 0`` and whose ALT is exact / inside a comma list / a raw
+    list / not matching by ``p_size % 4``; a second, always ``chr``-named,
+    exact record when ``p_size % 5 = 0``; and a bare-named 3-base deletion
+    starting two bases earlier (overlapping the position) when
+    ``p_size % 7 = 0``.
+    """
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    s = F.col("p_size")
+    v = part.select("p_partkey", "p_size", *variant_cols("p_partkey"))
+    bare = (k % 22 + 1).cast("string")
+    first_alt = (F.when(s % 4 == 0, F.col("alt"))
+                 .when(s % 4 == 1, F.concat(F.lit("N,"), F.col("alt")))
+                 .when(s % 4 == 2, F.concat(F.col("alt"), F.lit(",N")))
+                 .otherwise(F.lit("N")))
+    first = v.select(
+        F.when(s % 3 == 0, F.concat(F.lit("chr"), bare)).otherwise(bare).alias("chrom"),
+        F.col("pos"),
+        F.concat(F.lit("rs"), (k * 3 + 1).cast("string")).alias("rsid"),
+        F.col("ref"), first_alt.alias("alt"), (k * 3 + 1).cast("long").alias("ord"))
+    second = v.where(s % 5 == 0).select(
+        F.concat(F.lit("chr"), bare).alias("chrom"), F.col("pos"),
+        F.concat(F.lit("rs"), (k * 3 + 2).cast("string")).alias("rsid"),
+        F.col("ref"), F.col("alt"), (k * 3 + 2).cast("long").alias("ord"))
+    deletion = v.where(s % 7 == 0).select(
+        bare.alias("chrom"), (F.col("pos") - 2).alias("pos"),
+        F.concat(F.lit("rs"), (k * 3).cast("string")).alias("rsid"),
+        F.lit("ACG").alias("ref"), F.lit("A").alias("alt"), (k * 3).cast("long").alias("ord"))
+    return first.unionByName(second).unionByName(deletion)

@@ -98,3 +98,115 @@ FROM (SELECT DISTINCT chromosome FROM snp) d""",
     "chromosome_filter": _with(_GT, _ANN, _COUNTS)
     + f"SELECT * FROM snp WHERE chromosome IN ({_chrom_list})",
 }
+
+# --- rsid resolution -------------------------------------------------------
+_PV = """
+pv AS (
+  SELECT p_partkey AS pk, p_size AS ps, CAST(p_partkey % 22 + 1 AS VARCHAR) AS bare,
+         CAST(p_partkey * 10 AS BIGINT) AS vpos,
+         substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1) AS ref,
+         substr('CGTA', CAST(p_partkey % 4 + 1 AS INT), 1) AS alt
+  FROM part
+),
+snp_in AS (
+  SELECT bare AS chromosome,
+         CASE WHEN pk % 89 = 0 THEN NULL ELSE vpos END AS pos,
+         'chr' || bare || '_' || vpos || '_' || ref || '_'
+           || (CASE WHEN pk % 13 = 0 THEN alt || ',' || ref ELSE alt END) AS varID,
+         ref AS ref_vcf,
+         CASE WHEN pk % 13 = 0 THEN alt || ',' || ref ELSE alt END AS alt_vcf,
+         CAST(1.0 AS DOUBLE) AS R2, CAST(NULL AS DOUBLE) AS MAF,
+         CASE WHEN pk % 97 = 0 THEN NULL WHEN pk % 10 = 0 THEN 'rsKNOWN' || pk ELSE '.' END
+           AS rsid,
+         CASE WHEN pk % 7 = 0 THEN 'rsOLD' || pk ELSE '.' END AS rsid_dbSNP150
+  FROM pv
+),
+db AS (
+  SELECT CASE WHEN ps % 3 = 0 THEN 'chr' || bare ELSE bare END AS chrom, vpos AS pos,
+         'rs' || (pk * 3 + 1) AS rsid, ref,
+         CASE ps % 4 WHEN 0 THEN alt WHEN 1 THEN 'N,' || alt WHEN 2 THEN alt || ',N'
+              ELSE 'N' END AS alt,
+         pk * 3 + 1 AS ord
+  FROM pv
+  UNION ALL
+  SELECT 'chr' || bare, vpos, 'rs' || (pk * 3 + 2), ref, alt, pk * 3 + 2 FROM pv WHERE ps % 5 = 0
+  UNION ALL
+  SELECT bare, vpos - 2, 'rs' || (pk * 3), 'ACG', 'A', pk * 3 FROM pv WHERE ps % 7 = 0
+),
+dbn AS (
+  SELECT CASE WHEN starts_with(chrom, 'chr') THEN substr(chrom, 4) ELSE chrom END AS chrom_key,
+         CASE WHEN starts_with(chrom, 'chr') THEN 1 ELSE 0 END AS naming,
+         pos, rsid, ref, alt AS alt_raw, ord
+  FROM db
+),
+cand AS (
+  SELECT chrom_key, naming, pos, ref, rsid, ord,
+         unnest(list_distinct(list_append(string_split(alt_raw, ','), alt_raw))) AS match_alt
+  FROM dbn
+),
+best AS (
+  SELECT chrom_key, pos, ref, match_alt,
+         arg_min(rsid, ord) FILTER (WHERE naming = 0) AS rsid_bare,
+         arg_min(rsid, ord) FILTER (WHERE naming = 1) AS rsid_chr
+  FROM cand GROUP BY chrom_key, pos, ref, match_alt
+),
+cov AS (
+  SELECT chrom_key, naming, rsid, ord, pos + g AS q
+  FROM (SELECT *, unnest(range(0, greatest(length(ref), 1))) AS g FROM dbn) x
+),
+bare_hit AS (SELECT DISTINCT chrom_key, q FROM cov WHERE naming = 0),
+res AS (
+  SELECT s.*, b.rsid_bare, b.rsid_chr, h.q IS NOT NULL AS bare_seen
+  FROM snp_in s
+  LEFT JOIN best b ON s.rsid = '.' AND replace(s.chromosome, 'chr', '') = b.chrom_key
+       AND s.pos = b.pos AND s.ref_vcf = b.ref AND s.alt_vcf = b.match_alt
+  LEFT JOIN bare_hit h ON s.rsid = '.' AND replace(s.chromosome, 'chr', '') = h.chrom_key
+       AND s.pos = h.q
+)"""
+
+_STRICT = "CASE WHEN bare_seen THEN rsid_bare ELSE rsid_chr END"
+_NORMAL = "coalesce(rsid_bare, rsid_chr)"
+
+
+def _resolved_select(resolved: str) -> str:
+    return f"""
+SELECT chromosome, pos, varID, ref_vcf, alt_vcf, R2, MAF,
+       CASE WHEN rsid = '.' AND ({resolved}) IS NOT NULL THEN ({resolved}) ELSE rsid END AS rsid,
+       CASE WHEN rsid = '.' AND ({resolved}) IS NOT NULL THEN ({resolved}) ELSE rsid_dbSNP150 END
+         AS rsid_dbSNP150
+FROM res"""
+
+
+_LEGACY = f"coalesce(nullif(rsid_dbSNP150, '.'), {_STRICT})"
+
+ORACLE_SQL.update({
+    "rsid_resolve": _with(_PV) + _resolved_select(_STRICT),
+    "rsid_resolve_normalized": _with(_PV) + _resolved_select(_NORMAL),
+    "rsid_legacy_fill": _with(_PV) + f"""
+SELECT chromosome, pos, varID, ref_vcf, alt_vcf, R2, MAF,
+       CASE WHEN rsid = '.' AND {_LEGACY} IS NOT NULL THEN {_LEGACY} ELSE rsid END AS rsid,
+       rsid_dbSNP150
+FROM res""",
+    "rsid_stats": _with(_PV) + f"""
+SELECT chromosome, CAST(count(*) AS BIGINT) AS total,
+       CAST(count_if(rsid = '.' AND ({_STRICT}) IS NOT NULL) AS BIGINT) AS found,
+       round(CAST(count_if(rsid = '.' AND ({_STRICT}) IS NOT NULL) AS DOUBLE) * 100.0
+             / CAST(count(*) AS DOUBLE), 6) AS pct
+FROM res GROUP BY chromosome""",
+    "rsid_naming_report": _with(_PV) + """,
+v AS (SELECT varID, replace(chromosome, 'chr', '') AS ck, pos FROM snp_in WHERE pos IS NOT NULL),
+hits AS (SELECT v.varID, c.naming, c.rsid, c.ord FROM v JOIN cov c ON v.ck = c.chrom_key AND v.pos = c.q),
+counts AS (SELECT varID, CAST(count_if(naming = 0) AS BIGINT) AS bare_hits,
+                  CAST(count_if(naming = 1) AS BIGINT) AS chr_hits FROM hits GROUP BY varID),
+ranked AS (SELECT varID, naming, rsid,
+                  row_number() OVER (PARTITION BY varID, naming ORDER BY ord) AS rn FROM hits),
+used AS (SELECT varID, CASE WHEN bare_hits > 0 THEN 0 WHEN chr_hits > 0 THEN 1 END AS naming
+         FROM counts),
+shown AS (SELECT r.varID, CASE WHEN r.naming = 0 THEN 'bare' ELSE 'chr' END AS used_naming,
+                 string_agg(r.rsid, ',' ORDER BY r.rn) AS first_hits
+          FROM ranked r JOIN used u ON r.varID = u.varID AND r.naming = u.naming
+          WHERE r.rn <= 3 GROUP BY r.varID, r.naming)
+SELECT v.varID, CAST(coalesce(bare_hits, 0) AS BIGINT) AS bare_hits,
+       CAST(coalesce(chr_hits, 0) AS BIGINT) AS chr_hits, used_naming, first_hits
+FROM v LEFT JOIN counts USING (varID) LEFT JOIN shown USING (varID)""",
+})
