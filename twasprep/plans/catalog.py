@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twasprep.operators import genotype as G
+from twasprep.operators import features as FT
 from twasprep.operators import rsid as R
 from twasprep.plans import driver_views as V
 
@@ -92,6 +93,40 @@ def q_rsid_naming_report(spark, sf_dir):
     return R.rsid_naming_report(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
 
 
+# Rows per chunk in the legacy chunked mean (small, so genes straddle chunks).
+CHUNK_ROWS = 25
+# Digits kept on vector elements in the exploded (comparable) outputs.
+VALUE_DIGITS = 6
+
+
+def explode_vector(df: DataFrame, keys: list[str], col: str = "features") -> DataFrame:
+    """Array column -> ``(keys..., idx, value)`` rows, value rounded."""
+    return df.select(*keys, F.posexplode(col).alias("idx", "_v")) \
+        .select(*keys, "idx", F.round("_v", VALUE_DIGITS).alias("value"))
+
+
+def q_bin_means(spark, sf_dir):
+    means = FT.region_bin_means(V.region_tensors(spark, sf_dir))
+    return explode_vector(means, ["sample_id", "region", "chromo"])
+
+
+def q_gene_region_means(spark, sf_dir):
+    m = FT.gene_region_means(V.gene_windows(spark, sf_dir), V.region_features(spark, sf_dir))
+    return explode_vector(m, ["sample_id", "gene_name"])
+
+
+def q_gene_region_means_chunked(spark, sf_dir):
+    m = FT.gene_region_means(V.gene_windows(spark, sf_dir), V.region_features(spark, sf_dir),
+                             chunk_rows=CHUNK_ROWS)
+    return explode_vector(m, ["sample_id", "chunk", "gene_name"])
+
+
+def q_first_chunk_means(spark, sf_dir):
+    m = FT.first_chunk_means(V.gene_windows(spark, sf_dir), V.region_features(spark, sf_dir),
+                             CHUNK_ROWS)
+    return explode_vector(m, ["sample_id", "gene_name"])
+
+
 QUERIES: dict[str, Query] = {
     "maf_annotation": q_maf_annotation,
     "dosage": q_dosage,
@@ -105,4 +140,8 @@ QUERIES: dict[str, Query] = {
     "rsid_stats": q_rsid_stats,
     "rsid_legacy_fill": q_rsid_legacy_fill,
     "rsid_naming_report": q_rsid_naming_report,
+    "bin_means": q_bin_means,
+    "gene_region_means": q_gene_region_means,
+    "gene_region_means_chunked": q_gene_region_means_chunked,
+    "first_chunk_means": q_first_chunk_means,
 }

@@ -118,3 +118,55 @@ def dbsnp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("rs"), (k * 3).cast("string")).alias("rsid"),
         F.lit("ACG").alias("ref"), F.lit("A").alias("alt"), (k * 3).cast("long").alias("ord"))
     return first.unionByName(second).unionByName(deletion)
+
+
+def _region_of(r):
+    return F.concat(F.lit("chr"), (r % 22 + 1).cast("string"), F.lit("_"), r.cast("string"))
+
+
+def region_tensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region tensors: four consecutive embeddings form the bins of one region."""
+    e = table(spark, sf_dir, "embeddings")
+    r = (F.col("vec_id") / 4).cast("long")
+    grouped = (e.groupBy(r.alias("r"))
+               .agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("_b")))
+    return grouped.select(
+        F.concat(F.lit("S"), (F.col("r") % 3).cast("string")).alias("sample_id"),
+        _region_of(F.col("r")).alias("region"),
+        F.transform("_b", lambda s: s["embedding"]).alias("bins"),
+    )
+
+
+def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region feature rows: sample = vec_id mod 4, region = vec_id div 4, and
+    the row position in the sample's file (``ord``) = region number."""
+    e = table(spark, sf_dir, "embeddings")
+    r = F.floor(F.col("vec_id") / 4).cast("long")
+    return e.select(
+        F.concat(F.lit("S"), (F.col("vec_id") % 4).cast("string")).alias("sample_id"),
+        _region_of(r).alias("region"),
+        F.concat(F.lit("chr"), (r % 22 + 1).cast("string")).alias("chromo"),
+        r.alias("ord"),
+        F.col("embedding").cast("array<double>").alias("features"),
+    )
+
+
+def gene_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gene windows over the regions: ``G<b>`` = regions b*5..b*5+4, ``H<b>``
+    the same blocks shifted by two (windows overlap); each list repeats its
+    first region. Plus a NULL, an empty and an unmatched window."""
+    e = table(spark, sf_dir, "embeddings")
+    r = F.floor(F.col("vec_id") / 4).cast("long")
+    regions = e.select(r.alias("r")).distinct().select("r", _region_of(F.col("r")).alias("region"))
+
+    def block(prefix: str, shift: int) -> DataFrame:
+        g = regions.groupBy(F.concat(F.lit(prefix), F.floor((F.col("r") + shift) / 5).cast("string"))
+                            .alias("gene_name")) \
+            .agg(F.array_sort(F.collect_list("region")).alias("_l"))
+        return g.select("gene_name", F.array_join(F.array_append("_l", F.element_at("_l", 1)), "|")
+                        .alias("region_names"))
+
+    extra = spark.createDataFrame(
+        [("GNULL", None), ("GEMPTY", ""), ("GNONE", "chr0_none|chr0_gone")],
+        "gene_name string, region_names string")
+    return block("G", 0).unionByName(block("H", 2)).unionByName(extra)

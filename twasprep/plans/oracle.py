@@ -210,3 +210,65 @@ SELECT v.varID, CAST(coalesce(bare_hits, 0) AS BIGINT) AS bare_hits,
        CAST(coalesce(chr_hits, 0) AS BIGINT) AS chr_hits, used_naming, first_hits
 FROM v LEFT JOIN counts USING (varID) LEFT JOIN shown USING (varID)""",
 })
+
+# --- features --------------------------------------------------------------
+from twasprep.plans.catalog import CHUNK_ROWS, VALUE_DIGITS  # noqa: E402
+
+_FEAT = f"""
+f AS (
+  SELECT 'S' || (vec_id % 4) AS sample_id, vec_id // 4 AS r,
+         'chr' || (vec_id // 4 % 22 + 1) || '_' || (vec_id // 4) AS region, embedding
+  FROM embeddings
+),
+regions AS (SELECT DISTINCT r, region FROM f),
+win AS (
+  SELECT 'G' || (r // 5) AS gene_name,
+         string_agg(region, '|' ORDER BY region) || '|' || min(region) AS region_names
+  FROM regions GROUP BY 1
+  UNION ALL
+  SELECT 'H' || ((r + 2) // 5), string_agg(region, '|' ORDER BY region) || '|' || min(region)
+  FROM regions GROUP BY 1
+  UNION ALL SELECT 'GNULL', NULL
+  UNION ALL SELECT 'GEMPTY', ''
+  UNION ALL SELECT 'GNONE', 'chr0_none|chr0_gone'
+),
+pairs AS (
+  SELECT DISTINCT gene_name, unnest(string_split(region_names, '|')) AS region
+  FROM win WHERE region_names IS NOT NULL AND region_names <> ''
+),
+fx AS (
+  SELECT sample_id, r, r // {CHUNK_ROWS} AS chunk, region, unnest(embedding) AS x,
+         unnest(range(len(embedding))) AS i
+  FROM f
+),
+gx AS (
+  SELECT fx.sample_id, fx.chunk, p.gene_name, fx.i, avg(CAST(fx.x AS DOUBLE)) AS m
+  FROM fx JOIN pairs p ON fx.region = p.region
+  GROUP BY fx.sample_id, fx.chunk, p.gene_name, fx.i
+)"""
+
+ORACLE_SQL.update({
+    "bin_means": f"""
+WITH e AS (
+  SELECT vec_id // 4 AS r, unnest(embedding) AS x, unnest(range(len(embedding))) AS i
+  FROM embeddings
+)
+SELECT 'S' || (r % 3) AS sample_id, 'chr' || (r % 22 + 1) || '_' || r AS region,
+       'chr' || (r % 22 + 1) AS chromo, CAST(i AS INTEGER) AS idx,
+       round(avg(CAST(x AS DOUBLE)), {VALUE_DIGITS}) AS value
+FROM e GROUP BY r, i""",
+    "gene_region_means": _with(_FEAT) + f"""
+SELECT fx.sample_id, p.gene_name, CAST(fx.i AS INTEGER) AS idx,
+       round(avg(CAST(fx.x AS DOUBLE)), {VALUE_DIGITS}) AS value
+FROM fx JOIN pairs p ON fx.region = p.region
+GROUP BY fx.sample_id, p.gene_name, fx.i""",
+    "gene_region_means_chunked": _with(_FEAT) + f"""
+SELECT sample_id, CAST(chunk AS BIGINT) AS chunk, gene_name, CAST(i AS INTEGER) AS idx,
+       round(m, {VALUE_DIGITS}) AS value
+FROM gx""",
+    "first_chunk_means": _with(_FEAT) + f"""
+SELECT g.sample_id, g.gene_name, CAST(g.i AS INTEGER) AS idx, round(g.m, {VALUE_DIGITS}) AS value
+FROM gx g
+JOIN (SELECT sample_id, gene_name, min(chunk) AS c FROM gx GROUP BY 1, 2) fc
+  ON g.sample_id = fc.sample_id AND g.gene_name = fc.gene_name AND g.chunk = fc.c""",
+})
