@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from twasprep.operators import genotype as G
 from twasprep.operators import features as FT
+from twasprep.operators import expression as X
+from twasprep.operators import manifest as MF
+from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
+from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +131,76 @@ def q_first_chunk_means(spark, sf_dir):
     return explode_vector(m, ["sample_id", "gene_name"])
 
 
+def q_keep_first(spark, sf_dir):
+    return P.keep_first_gene(V.event_rows(spark, sf_dir))
+
+
+def q_duplicate_report(spark, sf_dir):
+    return P.duplicate_report(V.event_rows(spark, sf_dir))
+
+
+def q_feature_zscore(spark, sf_dir):
+    z = P.zscore_features(V.gene_features(spark, sf_dir))
+    return explode_vector(z, ["sample_id", "gene_name"])
+
+
+def q_predict_expression(spark, sf_dir):
+    z = P.zscore_features(V.gene_features(spark, sf_dir))
+    pred = P.predict_expression(z, P.RuleLinearScorer())
+    return pred.withColumn("prediction", F.round("prediction", VALUE_DIGITS))
+
+
+def q_predictions_long(spark, sf_dir):
+    return X.predictions_long(V.event_predictions_wide(spark, sf_dir), V.EVENT_CELL_TYPES)
+
+
+def _event_matrix(spark, sf_dir):
+    long = X.predictions_long(V.event_predictions_wide(spark, sf_dir), V.EVENT_CELL_TYPES)
+    return X.cell_type_matrix(long, V.EVENT_SAMPLES)
+
+
+def q_cell_type_matrix(spark, sf_dir):
+    return _event_matrix(spark, sf_dir)
+
+
+def q_combine_predictions(spark, sf_dir):
+    ev = V.event_rows(spark, sf_dir)
+    tables = []
+    for ct in [c for c in V.EVENT_CELL_TYPES if c != "refund"]:
+        t = (ev.where(F.col("sample_id") == ct)
+             .groupBy(F.col("gene_name"))
+             .agg(F.max_by("value", "ord").alias(f"{ct}_mean_expression_predicted_expression")))
+        tables.append(t)
+    return P.combine_predictions(tables, ["gene_name"])
+
+
+def q_rename_columns(spark, sf_dir):
+    return X.rename_predictions(V.legacy_named_wide(spark, sf_dir))
+
+
+def q_gene_id_map(spark, sf_dir):
+    return X.to_predictdb_expression(V.expression_matrix(spark, sf_dir),
+                                     V.gene_annotation_rows(spark, sf_dir))
+
+
+def q_unmapped_genes(spark, sf_dir):
+    return X.unmapped_genes(V.expression_matrix(spark, sf_dir),
+                            V.gene_annotation_rows(spark, sf_dir))
+
+
+def q_matrix_checks(spark, sf_dir):
+    return VA.validate_matrix(_event_matrix(spark, sf_dir), group_by=["cell_type"])
+
+
+def q_pending_outputs(spark, sf_dir):
+    return MF.pending(V.manifest_inputs(spark, sf_dir), V.manifest_rows(spark, sf_dir), "predict")
+
+
+def q_job_summary(spark, sf_dir):
+    return MF.job_summary(V.manifest_inputs(spark, sf_dir), V.manifest_rows(spark, sf_dir),
+                          "predict")
+
+
 QUERIES: dict[str, Query] = {
     "maf_annotation": q_maf_annotation,
     "dosage": q_dosage,
@@ -144,4 +218,17 @@ QUERIES: dict[str, Query] = {
     "gene_region_means": q_gene_region_means,
     "gene_region_means_chunked": q_gene_region_means_chunked,
     "first_chunk_means": q_first_chunk_means,
+    "keep_first": q_keep_first,
+    "duplicate_report": q_duplicate_report,
+    "feature_zscore": q_feature_zscore,
+    "predict_expression": q_predict_expression,
+    "predictions_long": q_predictions_long,
+    "cell_type_matrix": q_cell_type_matrix,
+    "combine_predictions": q_combine_predictions,
+    "rename_columns": q_rename_columns,
+    "gene_id_map": q_gene_id_map,
+    "unmapped_genes": q_unmapped_genes,
+    "matrix_checks": q_matrix_checks,
+    "pending_outputs": q_pending_outputs,
+    "job_summary": q_job_summary,
 }

@@ -170,3 +170,105 @@ def gene_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         [("GNULL", None), ("GEMPTY", ""), ("GNONE", "chr0_none|chr0_gone")],
         "gene_name string, region_names string")
     return block("G", 0).unionByName(block("H", 2)).unionByName(extra)
+
+
+def gene_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gene feature rows per sample: sample = label, gene = vec_id div 3 (so a
+    gene can repeat within a sample), ``ord`` = vec_id (file order)."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.concat(F.lit("L"), F.col("label").cast("string")).alias("sample_id"),
+        F.concat(F.lit("g"), F.floor(F.col("vec_id") / 3).cast("string")).alias("gene_name"),
+        F.col("vec_id").cast("long").alias("ord"),
+        F.col("embedding").cast("array<double>").alias("features"),
+    )
+
+
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as prediction rows: sample = event type, gene = user, ord = event id."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_type").alias("sample_id"),
+        F.concat(F.lit("g"), F.col("user_id").cast("string")).alias("gene_name"),
+        F.col("event_id").alias("ord"),
+        F.col("value"),
+    )
+
+
+# Cell types of the event-derived predictions: the event types, plus one
+# that never occurs (its column is absent and must be skipped).
+EVENT_CELL_TYPES = ("click", "error", "purchase", "signup", "view", "refund")
+# Samples discovered for the event-derived predictions (S6 has no file rows).
+EVENT_SAMPLES = ("S0", "S1", "S2", "S3", "S4", "S5", "S6")
+
+
+def event_predictions_wide(spark: SparkSession, sf_dir: str, suffix: str = "_predicted"
+                           ) -> DataFrame:
+    """Wide per-sample predictions: sample = event id mod 6, gene = user, one
+    column per occurring event type = its latest value for that pair."""
+    ev = table(spark, sf_dir, "events")
+    occurring = [c for c in EVENT_CELL_TYPES if c != "refund"]
+    cols = [F.max_by(F.when(F.col("event_type") == ct, F.col("value")),
+                     F.when(F.col("event_type") == ct, F.col("event_id"))).alias(f"{ct}{suffix}")
+            for ct in occurring]
+    return ev.groupBy(
+        F.concat(F.lit("S"), (F.col("event_id") % 6).cast("string")).alias("sample_id"),
+        F.concat(F.lit("g"), F.col("user_id").cast("string")).alias("gene_name"),
+    ).agg(*cols)
+
+
+def legacy_named_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer rows under legacy model-output column names (two cell types),
+    plus an unrelated column that renaming must leave alone."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_name").alias("gene_name"),
+        F.col("c_acctbal").alias("pericytes_mean_expression_mean_expression_predicted_expression"),
+        F.col("c_custkey").cast("double")
+        .alias("neurons_mean_expression_mean_expression_predicted_expression"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+
+
+def expression_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expression matrix keyed by gene name (several rows per gene)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.concat(F.lit("GENE"), F.col("c_nationkey").cast("string")).alias("gene_name"),
+        F.col("c_custkey").alias("S_key"),
+        F.col("c_acctbal").alias("S_acct"),
+    )
+
+
+def gene_annotation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gene annotation for nations outside region 4; region-0 genes are
+    defined twice, the later definition (higher ``ord``) wins."""
+    n = table(spark, sf_dir, "nation")
+    base = n.where(F.col("n_regionkey") != 4)
+    first = base.select(
+        F.concat(F.lit("GENE"), F.col("n_nationkey").cast("string")).alias("gene_name"),
+        F.concat(F.lit("ENSG"), F.lpad(F.col("n_nationkey").cast("string"), 11, "0")).alias("ensembl_id"),
+        F.col("n_nationkey").cast("long").alias("ord"))
+    again = base.where(F.col("n_regionkey") == 0).select(
+        F.concat(F.lit("GENE"), F.col("n_nationkey").cast("string")).alias("gene_name"),
+        F.concat(F.lit("ENSGALT"), F.col("n_nationkey").cast("string")).alias("ensembl_id"),
+        (F.col("n_nationkey") + 100).cast("long").alias("ord"))
+    return first.unionByName(again)
+
+
+def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempt log: one entry per line item for its order (success when the
+    return flag is N), rows = line number."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.lit("predict").alias("stage"),
+        F.col("l_orderkey").cast("string").alias("key"),
+        F.when(F.col("l_returnflag") == "N", F.lit("success")).otherwise(F.lit("failed"))
+        .alias("status"),
+        F.col("l_linenumber").cast("long").alias("rows"),
+    )
+
+
+def manifest_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("key"))

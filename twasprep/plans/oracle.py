@@ -272,3 +272,119 @@ FROM gx g
 JOIN (SELECT sample_id, gene_name, min(chunk) AS c FROM gx GROUP BY 1, 2) fc
   ON g.sample_id = fc.sample_id AND g.gene_name = fc.gene_name AND g.chunk = fc.c""",
 })
+
+# --- prediction ------------------------------------------------------------
+from twasprep.plans.driver_views import EVENT_CELL_TYPES, EVENT_SAMPLES  # noqa: E402
+from twasprep.schemas import CELL_TYPES  # noqa: E402
+
+_Z = f"""
+x AS (
+  SELECT 'L' || label AS sample_id, 'g' || (vec_id // 3) AS gene_name, vec_id AS ord, embedding
+  FROM embeddings
+),
+fr AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, gene_name ORDER BY ord)
+                   AS rn FROM x) t WHERE rn = 1
+),
+ux AS (
+  SELECT sample_id, gene_name, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM fr
+),
+st AS (
+  SELECT sample_id, i, avg(CAST(v AS DOUBLE)) AS mu,
+         CASE WHEN count(*) > 1 THEN stddev_samp(CAST(v AS DOUBLE)) ELSE 'NaN'::DOUBLE END AS sd
+  FROM ux GROUP BY sample_id, i
+),
+z AS (
+  SELECT ux.sample_id, ux.gene_name, ux.i, (CAST(ux.v AS DOUBLE) - st.mu) / (st.sd + 1e-8) AS z
+  FROM ux JOIN st ON ux.sample_id = st.sample_id AND ux.i = st.i
+)"""
+
+_CT_VALUES = ", ".join(f"({k}, '{ct}')" for k, ct in enumerate(CELL_TYPES))
+_OCCURRING = [c for c in EVENT_CELL_TYPES if c != "refund"]
+_WIDE = "w AS (\n  SELECT 'S' || (event_id % 6) AS sample_id, 'g' || user_id AS gene_name,\n  " + \
+    ",\n  ".join(f"arg_max(value, event_id) FILTER (WHERE event_type = '{ct}') AS {ct}_predicted"
+                 for ct in _OCCURRING) + "\n  FROM events GROUP BY 1, 2\n)"
+_LONG = "lg AS (\n" + "\n  UNION ALL\n".join(
+    f"  SELECT sample_id, gene_name, '{ct}' AS cell_type, {ct}_predicted AS prediction FROM w"
+    for ct in _OCCURRING) + "\n)"
+_MAT = "mat AS (\n  SELECT cell_type, gene_name,\n  " + _pivot_cols(EVENT_SAMPLES, "prediction") \
+    + "\n  FROM lg GROUP BY cell_type, gene_name\n)"
+_NULL_ANY = " OR ".join(f'"{s}" IS NULL' for s in EVENT_SAMPLES)
+
+_PER_TYPE = [
+    f"(SELECT 'g' || user_id AS gene_name, arg_max(value, event_id) AS "
+    f"{ct}_mean_expression_predicted_expression FROM events WHERE event_type = '{ct}' GROUP BY 1) "
+    f"t{k}" for k, ct in enumerate(_OCCURRING)]
+
+_GENE_ANN = """
+ann AS (
+  SELECT 'GENE' || n_nationkey AS gene_name,
+         'ENSG' || lpad(CAST(n_nationkey AS VARCHAR), 11, '0') AS ensembl_id,
+         CAST(n_nationkey AS BIGINT) AS ord
+  FROM nation WHERE n_regionkey <> 4
+  UNION ALL
+  SELECT 'GENE' || n_nationkey, 'ENSGALT' || n_nationkey, CAST(n_nationkey + 100 AS BIGINT)
+  FROM nation WHERE n_regionkey = 0
+),
+m AS (SELECT gene_name, arg_max(ensembl_id, ord) AS ensembl_id FROM ann GROUP BY gene_name),
+e AS (SELECT 'GENE' || c_nationkey AS gene_name, c_custkey AS S_key, c_acctbal AS S_acct
+      FROM customer)"""
+
+ORACLE_SQL.update({
+    "keep_first": """
+SELECT sample_id, gene_name, ord, value FROM (
+  SELECT event_type AS sample_id, 'g' || user_id AS gene_name, event_id AS ord, value,
+         row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) AS rn
+  FROM events) t
+WHERE rn = 1""",
+    "duplicate_report": """
+SELECT event_type AS sample_id, 'g' || user_id AS gene_name, count(*) AS n_rows
+FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
+    "feature_zscore": _with(_Z) + f"""
+SELECT sample_id, gene_name, CAST(i AS INTEGER) AS idx, round(z, {VALUE_DIGITS}) AS value FROM z""",
+    "predict_expression": _with(_Z) + f""",
+ct AS (SELECT * FROM (VALUES {_CT_VALUES}) t(k, cell_type))
+SELECT z.sample_id, z.gene_name, ct.cell_type,
+       round(sum(z.z * (CAST(((7 * z.i + 3 * ct.k) % 11) - 5 AS DOUBLE) / 10.0::DOUBLE))
+             + CAST(ct.k - 5 AS DOUBLE) / 10.0::DOUBLE, {VALUE_DIGITS}) AS prediction
+FROM z CROSS JOIN ct
+GROUP BY z.sample_id, z.gene_name, ct.cell_type, ct.k""",
+    "predictions_long": _with(_WIDE, _LONG) + "SELECT * FROM lg",
+    "cell_type_matrix": _with(_WIDE, _LONG, _MAT) + "SELECT * FROM mat",
+    "matrix_checks": _with(_WIDE, _LONG, _MAT) + f"""
+SELECT cell_type, CAST({len(EVENT_SAMPLES)} AS BIGINT) AS n_samples,
+       CAST(count(*) AS BIGINT) AS n_genes, true AS has_gene_name,
+       count_if({_NULL_ANY}) = 0 AS all_numeric, true AS no_duplicate_columns,
+       count_if(gene_name IS NULL) = 0 AS no_missing_genes,
+       count(DISTINCT gene_name) = count(gene_name) AS no_duplicate_genes
+FROM mat GROUP BY cell_type""",
+    "combine_predictions": "SELECT * FROM " + _PER_TYPE[0] + "".join(
+        f"\nJOIN {t} USING (gene_name)" for t in _PER_TYPE[1:]),
+    "rename_columns": """
+SELECT c_name AS gene_name, c_acctbal AS pericytes_predicted,
+       CAST(c_custkey AS DOUBLE) AS neurons_predicted, c_mktsegment AS segment
+FROM customer""",
+    "gene_id_map": _with(_GENE_ANN) + """
+SELECT coalesce(m.ensembl_id, e.gene_name) AS NAME, e.S_key, e.S_acct
+FROM e LEFT JOIN m ON e.gene_name = m.gene_name""",
+    "unmapped_genes": _with(_GENE_ANN) + """
+SELECT DISTINCT e.gene_name FROM e
+WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.gene_name = e.gene_name)""",
+    "pending_outputs": """
+SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l
+                  WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'N')""",
+    "job_summary": """
+WITH per AS (
+  SELECT l_orderkey, bool_or(l_returnflag = 'N') AS ok,
+         sum(CASE WHEN l_returnflag = 'N' THEN l_linenumber END) AS r
+  FROM lineitem GROUP BY l_orderkey
+),
+j AS (
+  SELECT CASE WHEN per.ok THEN 'success' WHEN per.ok IS NOT NULL THEN 'failed'
+              ELSE 'pending' END AS status, per.r
+  FROM orders o LEFT JOIN per ON o.o_orderkey = per.l_orderkey
+)
+SELECT status, CAST(count(*) AS BIGINT) AS inputs, CAST(coalesce(sum(r), 0) AS BIGINT) AS "rows"
+FROM j GROUP BY status""",
+})
