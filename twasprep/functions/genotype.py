@@ -58,19 +58,39 @@ def allele_counts_of(dosages) -> tuple[Column, Column]:
 
 
 def folded_maf(alt_count, total_alleles, digits: int | None = MAF_DIGITS) -> Column:
-    """Minor allele frequency: alt/total folded at 0.5, rounded half-even.
-
-    Computed on exact decimals so that rounding decides on the true ratio,
-    which is what rounding the binary ratio does for any realistic sample
-    count. NULL when there are no called alleles.
+    """Minor allele frequency: alt/total folded at 0.5 and rounded half-even
+    exactly as rounding the binary double ``alt/total`` does.
+
+    The ratio is rounded on exact decimals; only when that ratio is exactly
+    half-way does the binary value decide, through the sign of the double's
+    residual ``alt - q * total``. The residual is computed exactly with a
+    Veltkamp split of ``q`` (both partial products are exact for any
+    realistic allele count). NULL when there are no called alleles.
     """
-    alt = _c(alt_count).cast("decimal(20,0)")
-    total = _c(total_alleles).cast("decimal(20,0)")
-    ratio = alt / total
-    folded = F.when(ratio > F.lit(0.5), F.lit(1) - ratio).otherwise(ratio)
-    if digits is not None:
-        folded = F.bround(folded, digits)
-    return F.when(_c(total_alleles) > 0, folded.cast("double"))
+    k = _c(alt_count)
+    d = _c(total_alleles)
+    kd, dd = k.cast("double"), d.cast("double")
+    q = kd / dd
+    c = q * F.lit(134217729.0)  # 2**27 + 1
+    q_hi = c - (c - q)
+    q_lo = q - q_hi
+    residual = (kd - q_hi * dd) - q_lo * dd  # exact: sign of (alt/total - q)
+    ratio = k.cast("decimal(20,0)") / d.cast("decimal(20,0)")
+    fold = ratio > F.lit(0.5)
+    folded = F.when(fold, F.lit(1) - ratio).otherwise(ratio)
+    if digits is None:
+        return F.when(d > 0, F.when(fold, F.lit(1.0) - q).otherwise(q))
+    scale = F.lit(10 ** digits).cast("decimal(20,0)")
+    scaled = folded * scale
+    low = F.floor(scaled)
+    tie = (scaled - low) == F.lit(0.5)
+    # binary value above the exact ratio <=> q > alt/total, mirrored by the fold
+    above = F.when(fold, residual > 0).otherwise(residual < 0)
+    below = F.when(fold, residual < 0).otherwise(residual > 0)
+    rounded = (F.when(tie & above, low + 1)
+               .when(tie & below, low)
+               .otherwise(F.bround(scaled, 0)))
+    return F.when(d > 0, (rounded / scale).cast("double"))
 
 
 def render_maf(maf) -> Column:

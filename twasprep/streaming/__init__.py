@@ -1,0 +1,7 @@
+"""Incremental variants of the batch jobs (Structured Streaming, availableNow)."""
+
+from twasprep.streaming.landing import (  # noqa: F401
+    run_file_batches,
+    stream_bin_means,
+    stream_row_local,
+)
