@@ -60,8 +60,8 @@ def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
     """SNP annotation TSV with header; MAF printed like a Python float,
     ``NA`` (or ``missing_maf``) when undefined; R2 printed ``1.0``.
 
-    ``partition_by='chromosome'`` writes one directory per chromosome (the
-    column is then carried by the directory name, as Spark partitions do).
+    ``partition_by='chromosome'`` writes one directory per chromosome
+    (``chromosome_part=<name>``); the files keep the chromosome column.
     """
     maf = render_maf("MAF")
     if missing_maf != "NA":
@@ -70,12 +70,15 @@ def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
         "MAF": maf,
         "R2": F.coalesce(F.format_string("%.1f", F.col("R2")), F.lit(CONSTANT_R2)),
     }
-    out = snps.select(*[rendered.get(c, F.col(c).cast("string")).alias(c)
-                        for c in SNP_ANNOTATION_COLUMNS])
+    cols = [rendered.get(c, F.col(c).cast("string")).alias(c) for c in SNP_ANNOTATION_COLUMNS]
+    if partition_by:
+        # a copy drives the directories so the files keep every column
+        cols.append(F.col(partition_by).cast("string").alias(f"{partition_by}_part"))
+    out = snps.select(*cols)
     w = (out.write.mode(mode).option("sep", "\t").option("header", "true")
          .option("nullValue", "").option("emptyValue", ""))
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(f"{partition_by}_part")
     w.csv(path)
 
 
