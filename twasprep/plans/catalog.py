@@ -16,6 +16,8 @@ from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
+from twasprep.sources import tables as S
+from twasprep.sources.vcf import parse_vcf
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +75,18 @@ def q_chromosome_filter(spark, sf_dir):
     return G.filter_chromosomes(_maf_annotation(spark, sf_dir), CHROMOSOME_SELECTION)
 
 
+def q_vcf_dosages(spark, sf_dir):
+    vcf = parse_vcf(V.vcf_lines(spark, sf_dir))
+    arrays = G.extract_dosages(vcf, _samples(spark))
+    return G.dosages_long(arrays, _samples(spark)).select("varid", "sample_id", "dosage")
+
+
+def q_matrix_maf_annotation(spark, sf_dir):
+    matrix = S.parse_dosage_matrix(V.matrix_lines_rendered(spark, sf_dir, GT_SAMPLE_ORDER))
+    ann = S.parse_variant_annotation(V.annotation_lines_rendered(spark, sf_dir))
+    return G.annotate_maf(ann, G.maf_table(G.matrix_allele_counts(matrix)))
+
+
 def q_rsid_resolve(spark, sf_dir):
     return R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
 
@@ -209,6 +223,8 @@ QUERIES: dict[str, Query] = {
     "allele_counts": q_allele_counts,
     "chromosome_order": q_chromosome_order,
     "chromosome_filter": q_chromosome_filter,
+    "vcf_dosages": q_vcf_dosages,
+    "matrix_maf_annotation": q_matrix_maf_annotation,
     "rsid_resolve": q_rsid_resolve,
     "rsid_resolve_normalized": q_rsid_resolve_normalized,
     "rsid_stats": q_rsid_stats,

@@ -36,15 +36,21 @@ def gt_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     the line items of that pair (line number 7 = no call).
     """
     li = table(spark, sf_dir, "lineitem")
-    gt = (F.when(F.col("l_linenumber") == 7, F.lit("./."))
-          .when(F.col("l_returnflag") == "N", F.lit("0|0"))
-          .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit("0|1"))
-          .when(F.col("l_returnflag") == "A", F.lit("1|0"))
-          .otherwise(F.lit("1|1")))
+    # The smallest GT string per pair, aggregated as a code whose order is the
+    # string order ("./." < "0|0" < "0|1" < "1|0" < "1|1"): min() over an int
+    # is a hash aggregate, min() over strings would be a sort aggregate.
+    codes = ["./.", "0|0", "0|1", "1|0", "1|1"]
+    code = (F.when(F.col("l_linenumber") == 7, F.lit(0))
+            .when(F.col("l_returnflag") == "N", F.lit(1))
+            .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit(2))
+            .when(F.col("l_returnflag") == "A", F.lit(3))
+            .otherwise(F.lit(4)))
     cells = (li.groupBy(F.col("l_partkey").alias("vkey"),
                         F.concat(F.lit("S"), F.lpad((F.col("l_suppkey") % 8).cast("string"), 2, "0"))
                         .alias("sample_id"))
-             .agg(F.min(gt).alias("gt")))
+             .agg(F.min(code).alias("_code"))
+             .withColumn("gt", F.element_at(F.array(*[F.lit(c) for c in codes]),
+                                            F.col("_code") + 1)))
     v = cells.select("vkey", *variant_cols("vkey"), "sample_id", "gt")
     return v.select(variant_id("chrom", "pos", "ref", "alt").alias("varid"),
                     "chrom", "pos", "ref", "alt", "sample_id", "gt")
@@ -272,3 +278,89 @@ def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").cast("string").alias("key"))
+
+
+# Sample names of the rendered VCF header (file order, alphabetical).
+VCF_HEADER_SAMPLES = ("S00", "S01", "S02", "S03", "S04", "S05", "S06", "S07")
+
+
+def _per_variant_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per variant with its calls as a sample -> GT map (at most one
+    entry per sample, so the gathered group is bounded by the sample count)."""
+    cells = gt_cells(spark, sf_dir)
+    return cells.groupBy("varid", "chrom", "pos", "ref", "alt").agg(
+        F.map_from_entries(F.collect_list(F.struct("sample_id", "gt"))).alias("calls"))
+
+
+def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genotype calls rendered as VCF text, one "file" per chromosome:
+    ``(file_path, line_no, value)``. A meta line and the ``#CHROM`` header
+    open every file; every third variant carries ``GT:DP`` cells; a pair
+    without a call is written ``./.``."""
+    v = _per_variant_cells(spark, sf_dir)
+    k = (F.col("pos") / 10).cast("long")
+    with_dp = k % 3 == 0
+    cells = F.transform(
+        F.array(*[F.lit(s) for s in VCF_HEADER_SAMPLES]),
+        lambda s: F.when(with_dp, F.concat(F.coalesce(F.element_at("calls", s), F.lit("./.")),
+                                           F.lit(":7")))
+        .otherwise(F.coalesce(F.element_at("calls", s), F.lit("./."))))
+    fmt = F.when(with_dp, F.lit("GT:DP")).otherwise(F.lit("GT"))
+    file_path = F.concat(F.lit("vcf/"), F.col("chrom"), F.lit(".vcf"))
+    records = v.select(
+        file_path.alias("file_path"), (F.col("pos") + 2).alias("line_no"),
+        F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt",
+                    F.lit("."), F.lit("PASS"), F.lit("."), fmt, F.array_join(cells, "\t"))
+        .alias("value"))
+    files = v.select(file_path.alias("file_path")).distinct()
+    header = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT",
+                        *VCF_HEADER_SAMPLES])
+    meta = files.select("file_path", F.lit(0).cast("long").alias("line_no"),
+                        F.lit("##fileformat=VCFv4.2").alias("value"))
+    head = files.select("file_path", F.lit(1).cast("long").alias("line_no"),
+                        F.lit(header).alias("value"))
+    return meta.unionByName(head).unionByName(records)
+
+
+def matrix_lines_rendered(spark: SparkSession, sf_dir: str, samples) -> DataFrame:
+    """Dosage-matrix text per chromosome: header ``varID <samples>`` then one
+    row per variant; odd variants use spaces, even ones tabs; every 50th
+    variant is preceded by a stale all-zero row that the later row replaces."""
+    v = _per_variant_cells(spark, sf_dir)
+    k = (F.col("pos") / 10).cast("long")
+    dose = {"0|0": "0", "0|1": "1", "1|0": "1", "1|1": "2"}
+    dmap = F.create_map(*[F.lit(x) for kv in dose.items() for x in kv])
+    toks = F.transform(F.array(*[F.lit(s) for s in samples]),
+                       lambda s: F.coalesce(F.element_at(dmap, F.element_at("calls", s)),
+                                            F.lit(".")))
+    sep = F.when(k % 2 == 1, F.lit(" ")).otherwise(F.lit("\t"))
+    file_path = F.concat(F.lit("geno/"), F.col("chrom"), F.lit("_genotypes.txt"))
+    rows = v.select(file_path.alias("file_path"), (k * 2 + 2).alias("line_no"),
+                    F.concat(F.col("varid"), sep, F.array_join(toks, " ")).alias("value"))
+    stale = v.where(k % 50 == 0).select(
+        file_path.alias("file_path"), (k * 2 + 1).alias("line_no"),
+        F.concat_ws("\t", F.col("varid"), *[F.lit("0") for _ in samples]).alias("value"))
+    files = v.select(file_path.alias("file_path")).distinct()
+    head = files.select("file_path", F.lit(0).cast("long").alias("line_no"),
+                        F.lit("\t".join(["varID", *samples])).alias("value"))
+    return head.unionByName(rows).unionByName(stale)
+
+
+def annotation_lines_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless variant annotation text, one row per part; every 40th
+    variant is followed by a 4-field junk row and a 6-field row (rejected)."""
+    a = variant_annotation_rows(spark, sf_dir)
+    k = (F.col("pos") / 10).cast("long")
+    file_path = F.concat(F.lit("ann/"), F.col("chrom"), F.lit("_variant_annotation.txt"))
+    good = a.select(file_path.alias("file_path"), (k * 3).alias("line_no"),
+                    F.concat_ws("\t", "varid", "chrom", F.col("pos").cast("string"), "ref", "alt")
+                    .alias("value"))
+    junk = a.where(k % 40 == 0).select(
+        file_path.alias("file_path"), (k * 3 + 1).alias("line_no"),
+        F.concat_ws("\t", F.lit("junk"), "chrom", F.col("pos").cast("string"), "ref")
+        .alias("value"))
+    wide = a.where(k % 40 == 0).select(
+        file_path.alias("file_path"), (k * 3 + 2).alias("line_no"),
+        F.concat_ws("\t", F.concat(F.col("varid"), F.lit("_x")), "chrom",
+                    F.col("pos").cast("string"), "ref", "alt", F.lit("extra")).alias("value"))
+    return good.unionByName(junk).unionByName(wide)

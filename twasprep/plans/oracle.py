@@ -388,3 +388,14 @@ j AS (
 SELECT status, CAST(count(*) AS BIGINT) AS inputs, CAST(coalesce(sum(r), 0) AS BIGINT) AS "rows"
 FROM j GROUP BY status""",
 })
+
+# --- text round trips --------------------------------------------------------
+_SAMPLE_VALUES = ", ".join(f"('{s}')" for s in GT_SAMPLE_ORDER)
+ORACLE_SQL.update({
+    "vcf_dosages": _with(_GT) + f"""
+SELECT v.varid, s.sample_id, d.dosage
+FROM (SELECT DISTINCT varid FROM gt) v
+CROSS JOIN (VALUES {_SAMPLE_VALUES}) s(sample_id)
+LEFT JOIN dos d ON d.varid = v.varid AND d.sample_id = s.sample_id""",
+    "matrix_maf_annotation": ORACLE_SQL["maf_annotation"],
+})

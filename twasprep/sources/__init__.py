@@ -7,6 +7,8 @@ from twasprep.sources.text import (  # noqa: F401
 )
 from twasprep.sources.vcf import VcfTable, parse_vcf, read_vcf  # noqa: F401
 from twasprep.sources.tables import (  # noqa: F401
+    parse_dosage_matrix,
+    parse_variant_annotation,
     read_cell_type_matrix,
     read_dbsnp_vcf,
     read_dosage_matrix,

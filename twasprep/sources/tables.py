@@ -33,15 +33,14 @@ def _split_ws(value: Column) -> Column:
     return F.split(F.trim(value), r"\s+")
 
 
-def read_dosage_matrix(spark: SparkSession, path: str | list[str],
-                       path_glob: str | None = None) -> HeaderedRows:
-    """Genotype matrix text: header ``varID <samples>``, rows ``varID d d ...``.
+def parse_dosage_matrix(lines: DataFrame) -> HeaderedRows:
+    """Genotype matrix lines (``file_path, line_no, value``): header
+    ``varID <samples>`` on line 0, rows ``varID d d ...``.
 
     Fields split on any whitespace run (rows may be tab- or space-delimited);
     rows with fewer than two fields are skipped. ``fields`` holds the dosage
     tokens only; the header ``names`` the sample ids.
     """
-    lines = read_lines(spark, path, path_glob=path_glob)
     tokens = lines.select("file_path", "line_no", _split_ws(F.col("value")).alias("t"))
     headers = (tokens.where(F.col("line_no") == 0)
                .select("file_path", F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))
@@ -52,15 +51,19 @@ def read_dosage_matrix(spark: SparkSession, path: str | list[str],
     return HeaderedRows(rows=rows, headers=headers)
 
 
-def read_variant_annotation(spark: SparkSession, path: str | list[str],
-                            rejects: bool = False, path_glob: str | None = None) -> DataFrame:
-    """Headerless ``varID chrom pos ref alt`` text (whitespace-delimited).
+def read_dosage_matrix(spark: SparkSession, path: str | list[str],
+                       path_glob: str | None = None) -> HeaderedRows:
+    """Scan genotype matrix text files (see ``parse_dosage_matrix``)."""
+    return parse_dosage_matrix(read_lines(spark, path, path_glob=path_glob))
+
+
+def parse_variant_annotation(lines: DataFrame, rejects: bool = False) -> DataFrame:
+    """Headerless ``varID chrom pos ref alt`` lines (whitespace-delimited).
 
     Rows with fewer than five fields are skipped. Rows with more than five
     fields cannot be unpacked; they are returned when ``rejects=True`` and
     excluded otherwise.
     """
-    lines = read_lines(spark, path, path_glob=path_glob)
     t = lines.select("file_path", "line_no", "value", _split_ws(F.col("value")).alias("t"))
     if rejects:
         return t.where(F.size("t") > 5).select("file_path", "line_no", "value")
@@ -76,6 +79,12 @@ def read_variant_annotation(spark: SparkSession, path: str | list[str],
     )
 
 
+def read_variant_annotation(spark: SparkSession, path: str | list[str],
+                            rejects: bool = False, path_glob: str | None = None) -> DataFrame:
+    """Scan headerless variant annotation files (see ``parse_variant_annotation``)."""
+    return parse_variant_annotation(read_lines(spark, path, path_glob=path_glob), rejects)
+
+
 def read_snp_annotation(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SNP annotation TSV with header, read with an explicit schema.
 

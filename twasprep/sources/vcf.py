@@ -39,11 +39,11 @@ def parse_vcf(lines: DataFrame) -> VcfTable:
     records = body.select(
         "file_path",
         "line_no",
-        F.element_at(f, 1).alias("chrom"),
-        F.element_at(f, 2).try_cast("long").alias("pos"),
-        F.element_at(f, 3).alias("id"),
-        F.element_at(f, 4).alias("ref"),
-        F.element_at(f, 5).alias("alt"),
+        F.try_element_at(f, F.lit(1)).alias("chrom"),
+        F.try_element_at(f, F.lit(2)).try_cast("long").alias("pos"),
+        F.try_element_at(f, F.lit(3)).alias("id"),
+        F.try_element_at(f, F.lit(4)).alias("ref"),
+        F.try_element_at(f, F.lit(5)).alias("alt"),
         F.try_element_at(f, F.lit(9)).alias("format"),
         F.when(F.size(f) > 9, F.slice(f, 10, F.size(f) - 9))
         .otherwise(F.array().cast("array<string>")).alias("cells"),
