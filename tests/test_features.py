@@ -64,7 +64,8 @@ def test_feature_csv_reader_and_windows_csv(spark, tmpdir_path):
     assert rows["chr2_5_6"].features == [1.0, 2.0, 3.0]
     assert rows["chr1_10_20"].features[:2] == [1.5, 2.5] and math.isnan(rows["chr1_10_20"].features[2])
     assert rows["chr1_10_20"].chromo == "chr1" and rows["chr1_10_20"].sample_id == "SAMPLE1"
-    assert rows["chr1_10_20"].ord == 1
+    dense = {r.gene_name: r.ord for r in S.read_feature_csv(spark, path, numbering="dense").collect()}
+    assert dense == {"chr1_10_20": 0, "chr2_5_6": 1}
     wpath = write(tmpdir_path / "windows.csv", "gene_name,region_names\nG1,a|b\nG2,\n")
     w = S.read_gene_windows(spark, wpath)
     assert FT.window_pairs(w).count() == 2

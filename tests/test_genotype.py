@@ -117,3 +117,21 @@ def test_filter_chromosomes(spark):
     df = spark.createDataFrame([(c,) for c in ["1", "2", "10", "X"]], "chromosome string")
     assert G.filter_chromosomes(df, "all").count() == 4
     assert sorted(r.chromosome for r in G.filter_chromosomes(df, "1,X").collect()) == ["1", "X"]
+
+
+def test_order_numbering_follows_file_order_across_splits(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    n = 20000
+    write(tmpdir_path / "big.txt", "".join(f"{i}\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        rows = read_lines(spark, str(tmpdir_path / "big.txt"), numbering="order")
+        first = rows.agg(F.min_by("value", "line_no").alias("v"),
+                         F.max_by("value", "line_no").alias("w")).first()
+        assert (first.v, first.w) == ("0", str(n - 1))
+        ranked = rows.select(F.col("value").cast("long").alias("v"), "line_no") \
+            .orderBy("line_no").collect()
+        assert [r.v for r in ranked] == list(range(n))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twasprep.schemas import DBSNP, SNP_ANNOTATION
+from twasprep.schemas import SNP_ANNOTATION
 from twasprep.sources.text import file_stem, read_lines
 
 
@@ -33,19 +33,22 @@ def _split_ws(value: Column) -> Column:
     return F.split(F.trim(value), r"\s+")
 
 
-def parse_dosage_matrix(lines: DataFrame) -> HeaderedRows:
-    """Genotype matrix lines (``file_path, line_no, value``): header
-    ``varID <samples>`` on line 0, rows ``varID d d ...``.
+def parse_dosage_matrix(lines: DataFrame, header_token: str = "varID") -> HeaderedRows:
+    """Genotype matrix lines (``file_path, line_no, value``): a header
+    ``varID <samples>`` then rows ``varID d d ...``.
 
-    Fields split on any whitespace run (rows may be tab- or space-delimited);
-    rows with fewer than two fields are skipped. ``fields`` holds the dosage
-    tokens only; the header ``names`` the sample ids.
+    The header is the line whose first field is ``header_token`` (the matrix
+    writer always puts it first), so any line numbering works and the scan is
+    single-pass. Fields split on any whitespace run (rows may be tab- or
+    space-delimited); rows with fewer than two fields are skipped. ``fields``
+    holds the dosage tokens only; the header ``names`` the sample ids.
     """
     tokens = lines.select("file_path", "line_no", _split_ws(F.col("value")).alias("t"))
-    headers = (tokens.where(F.col("line_no") == 0)
+    is_header = F.element_at("t", 1) == F.lit(header_token)
+    headers = (tokens.where(is_header)
                .select("file_path", F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0)))
                        .alias("names")))
-    rows = (tokens.where((F.col("line_no") > 0) & (F.size("t") >= 2))
+    rows = (tokens.where(~is_header & (F.size("t") >= 2))
             .select("file_path", "line_no", F.element_at("t", 1).alias("varid"),
                     F.slice("t", 2, F.size("t") - 1).alias("fields")))
     return HeaderedRows(rows=rows, headers=headers)
@@ -53,8 +56,8 @@ def parse_dosage_matrix(lines: DataFrame) -> HeaderedRows:
 
 def read_dosage_matrix(spark: SparkSession, path: str | list[str],
                        path_glob: str | None = None) -> HeaderedRows:
-    """Scan genotype matrix text files (see ``parse_dosage_matrix``)."""
-    return parse_dosage_matrix(read_lines(spark, path, path_glob=path_glob))
+    """Scan genotype matrix text files in one pass (see ``parse_dosage_matrix``)."""
+    return parse_dosage_matrix(read_lines(spark, path, numbering="order", path_glob=path_glob))
 
 
 def parse_variant_annotation(lines: DataFrame, rejects: bool = False) -> DataFrame:
@@ -81,8 +84,10 @@ def parse_variant_annotation(lines: DataFrame, rejects: bool = False) -> DataFra
 
 def read_variant_annotation(spark: SparkSession, path: str | list[str],
                             rejects: bool = False, path_glob: str | None = None) -> DataFrame:
-    """Scan headerless variant annotation files (see ``parse_variant_annotation``)."""
-    return parse_variant_annotation(read_lines(spark, path, path_glob=path_glob), rejects)
+    """Scan headerless variant annotation files in one pass (see
+    ``parse_variant_annotation``)."""
+    return parse_variant_annotation(
+        read_lines(spark, path, numbering="order", path_glob=path_glob), rejects)
 
 
 def read_snp_annotation(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -95,26 +100,28 @@ def read_snp_annotation(spark: SparkSession, path: str | list[str]) -> DataFrame
             .schema(SNP_ANNOTATION).csv(path))
 
 
-def read_dbsnp_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """dbSNP VCF -> ``chrom, pos, rsid, ref, alt, ord``.
+def read_dbsnp_vcf(spark: SparkSession, path: str | list[str], numbering: str = "order"
+                   ) -> DataFrame:
+    """dbSNP VCF -> ``chrom, pos, rsid, ref, alt, ord``, in one pass.
 
     Records with fewer than five fields or a non-integer position are
-    skipped. ``ord`` is the line position and fixes "first record wins".
+    skipped. ``ord`` orders records as in the file and fixes "first record
+    wins" (a struct key with the default single-pass numbering; the dense
+    line number with ``numbering='dense'``).
     """
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, numbering=numbering)
     body = lines.where(~F.col("value").startswith("#"))
     f = F.split("value", "\t")
     out = body.select(
-        F.element_at(f, 1).alias("chrom"),
-        F.element_at(f, 2).try_cast("long").alias("pos"),
+        F.try_element_at(f, F.lit(1)).alias("chrom"),
+        F.try_element_at(f, F.lit(2)).try_cast("long").alias("pos"),
         F.try_element_at(f, F.lit(3)).alias("rsid"),
         F.try_element_at(f, F.lit(4)).alias("ref"),
         F.try_element_at(f, F.lit(5)).alias("alt"),
         F.col("line_no").alias("ord"),
         F.size(f).alias("_n"),
     )
-    out = out.where((F.col("_n") >= 5) & F.col("pos").isNotNull()).drop("_n")
-    return out.select(*[F.col(fld.name).cast(fld.dataType) for fld in DBSNP.fields])
+    return out.where((F.col("_n") >= 5) & F.col("pos").isNotNull()).drop("_n")
 
 
 def read_gene_windows(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -130,19 +137,23 @@ def _numeric_positions(names: Column) -> Column:
 
 def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gene_name",
                      sample_suffix: str = r"(_processed)?(_mean_features)?(\.csv)?(\.gz)?$",
-                     path_glob: str | None = None) -> DataFrame:
+                     path_glob: str | None = None, numbering: str = "order") -> DataFrame:
     """Wide feature CSV (key column, ``0..n-1`` feature columns, extras).
 
     Returns ``sample_id, <key>, ord, features array<double>`` (plus
-    ``chromo`` when the file has it). Empty or non-numeric cells become NaN,
-    as a float parse of a missing value does. The sample id is the file's
-    base name without the stage suffixes.
+    ``chromo`` when the file has it). The header is the line whose first
+    field is ``key``; cells are located by header position per file. Empty
+    or non-numeric cells become NaN, as a float parse of a missing value
+    does. The sample id is the file's base name without the stage suffixes.
+
+    ``ord`` keeps file order; pass ``numbering='dense'`` to get 0-based row
+    positions (needed only by the chunked legacy mean).
     """
-    lines = read_lines(spark, path, path_glob=path_glob)
+    lines = read_lines(spark, path, numbering=numbering, path_glob=path_glob)
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
-    headers = (fields.where(F.col("line_no") == 0)
-               .select("file_path", F.col("f").alias("names")))
-    rows = fields.where((F.col("line_no") > 0) & (F.size("f") > 1))
+    is_header = F.element_at("f", 1) == F.lit(key)
+    headers = fields.where(is_header).select("file_path", F.col("f").alias("names"))
+    rows = fields.where(~is_header & (F.size("f") > 1))
     j = rows.join(F.broadcast(headers), "file_path")
     pos = _numeric_positions(F.col("names"))
     key_idx = F.array_position("names", key)
@@ -150,12 +161,13 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
     features = F.transform(pos, lambda i: F.coalesce(
         F.try_element_at("f", i.cast("int")).try_cast("double"), F.lit(float("nan"))))
     base = F.regexp_extract("file_path", r"([^/]+)$", 1)
+    order = F.col("line_no") - 1 if numbering == "dense" else F.col("line_no")
     return j.select(
         F.regexp_replace(base, sample_suffix, "").alias("sample_id"),
         F.when(key_idx > 0, F.try_element_at("f", key_idx.cast("int")))
         .otherwise(F.element_at("f", 1)).alias(key),
         F.when(chromo_idx > 0, F.try_element_at("f", chromo_idx.cast("int"))).alias("chromo"),
-        F.col("line_no").alias("ord"),
+        order.alias("ord"),
         features.alias("features"),
     )
 

@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str | list[str], with_line_no: bool = True,
+def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "dense",
                path_glob: str | None = None) -> DataFrame:
     """``(file_path, line_no, value)`` for every line of every matched file.
 
-    ``line_no`` is the 0-based position of the line in its file. It is built
-    without gathering a file in one task: rows of one input split sit
-    consecutively in one partition, so each split's row offset comes from
-    ``monotonically_increasing_id``; a tiny per-split count table (one row
-    per split) is prefix-summed per file and joined back by broadcast.
+    ``numbering``:
+
+    * ``"dense"`` - ``line_no`` is the 0-based position of the line in its
+      file. Rows of one input split sit consecutively in one partition, so
+      each split's row offset comes from ``monotonically_increasing_id``; a
+      tiny per-split count table (one row per split) is prefix-summed per file
+      and joined back by broadcast. This reads the text twice (count pass +
+      data pass) and suits small and medium inputs.
+    * ``"order"`` - single pass: ``line_no`` is a struct ``(block, row)``
+      whose order is the file order (split byte offset, then position inside
+      the split). Enough for "first record wins" / "last row wins"; used for
+      genome-scale inputs whose headers are recognised by content.
+    * ``"none"`` - no line column.
     """
     reader = spark.read
     if path_glob:
@@ -24,9 +32,16 @@ def read_lines(spark: SparkSession, path: str | list[str], with_line_no: bool =
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
-    if not with_line_no:
+    if numbering == "none":
         return raw.drop("_block")
     raw = raw.withColumn("_mid", F.monotonically_increasing_id())
+    if numbering == "order":
+        return raw.select("file_path",
+                          F.struct(F.col("_block").alias("block"), F.col("_mid").alias("row"))
+                          .alias("line_no"),
+                          "value")
+    if numbering != "dense":
+        raise ValueError("numbering must be 'dense', 'order' or 'none'")
     splits = raw.groupBy("file_path", "_block").agg(
         F.min("_mid").alias("_mid0"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(

@@ -51,7 +51,9 @@ def parse_vcf(lines: DataFrame) -> VcfTable:
     return VcfTable(records=records, headers=header)
 
 
-def read_vcf(spark: SparkSession, path: str | list[str], path_glob: str | None = None) -> VcfTable:
-    """Scan VCF files. bgzip input is not splittable: one task per file for the
-    parse itself; downstream operators repartition by variant."""
-    return parse_vcf(read_lines(spark, path, path_glob=path_glob))
+def read_vcf(spark: SparkSession, path: str | list[str], path_glob: str | None = None,
+             numbering: str = "order") -> VcfTable:
+    """Scan VCF files in one pass (headers are recognised by content, records
+    keep a file-order key). bgzip input is not splittable: one task per file
+    for the parse itself; downstream operators repartition by variant."""
+    return parse_vcf(read_lines(spark, path, numbering=numbering, path_glob=path_glob))
