@@ -90,3 +90,19 @@ def test_pending_and_summary(spark):
     assert sorted(r.key for r in MF.pending(inputs, manifest, "predict").collect()) == ["b", "c"]
     s = {r.status: (r.inputs, r.rows) for r in MF.job_summary(inputs, manifest, "predict").collect()}
     assert s == {"success": (1, 5), "failed": (1, 0), "pending": (1, 0)}
+
+
+def test_unmapped_summary(spark):
+    few = spark.createDataFrame([("b",), ("a",), ("c",)], "gene_name string")
+    r = X.unmapped_summary(few).first()
+    assert (r.n_unmapped, r.examples) == (3, "a,b,c")
+    many = spark.createDataFrame([(f"g{i:02d}",) for i in range(12)], "gene_name string")
+    r = X.unmapped_summary(many).first()
+    assert (r.n_unmapped, r.examples) == (12, "g00,g01,g02,g03,g04")
+
+
+def test_matrix_lines_dedupes_without_order(spark):
+    long = spark.createDataFrame([("n", "g", "S1", 1.0), ("n", "g", "S1", 1.0)],
+                                 "cell_type string, gene_name string, sample_id string, "
+                                 "prediction double")
+    assert [r.value for r in X.cell_type_matrix_lines(long, ["S1", "S2"]).collect()] == ["g,1.0,"]

@@ -72,3 +72,18 @@ def test_wide_and_combine(spark):
     t1 = spark.createDataFrame([("g1", 1.0), ("g2", 2.0)], "gene_name string, x double")
     t2 = spark.createDataFrame([("g1", 3.0)], "gene_name string, y double")
     assert [tuple(r) for r in P.combine_predictions([t1, t2]).collect()] == [("g1", 1.0, 3.0)]
+
+
+def test_model_weights_from_file_names(spark, tmpdir_path):
+    models = spark.createDataFrame([(0, [[1.0, 0.0]], [0.5])],
+                                   "layer int, weights array<array<double>>, bias array<double>")
+    models.write.parquet(str(tmpdir_path / "neurons_ctPred.parquet"))
+    got = P.read_model_weights(spark, str(tmpdir_path / "neurons_ctPred.parquet")).first()
+    assert got.cell_type == "neurons"
+
+
+def test_row_conservation(spark):
+    f = spark.createDataFrame([("S", "g1", [1.0])], "sample_id string, gene_name string, "
+                                                   "features array<double>")
+    p = P.predict_expression(f, P.RuleLinearScorer(["a", "b"]))
+    P.check_row_conservation(f, p, 2)

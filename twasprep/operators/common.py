@@ -76,3 +76,8 @@ def chromosome_list(chromosomes: str | Sequence[str] | None) -> list[str] | None
             return None
         return [c.strip() for c in chromosomes.split(",") if c.strip()]
     return list(chromosomes)
+
+
+def head_rows(df: DataFrame, n: int, order: Sequence[Column | str] | None = None) -> DataFrame:
+    """First ``n`` rows (by ``order`` when given: a top-n, not a full sort)."""
+    return (df.orderBy(*order) if order else df).limit(n)

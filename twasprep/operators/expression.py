@@ -113,9 +113,12 @@ def cell_type_matrix_lines(long: DataFrame, samples: Sequence[str], sep: str = "
     ``cell_type, value`` where value = gene then the sorted samples' cells
     (empty when missing). Suitable for thousands of samples."""
     cols = sorted(samples)
+    keys = ["cell_type", "gene_name", "sample_id"]
     if order_col is not None:
-        long = last_wins(long.select("cell_type", "gene_name", "sample_id", "prediction", order_col),
-                         ["cell_type", "gene_name", "sample_id"], order_col)
+        long = last_wins(long.select(*keys, "prediction", order_col), keys, order_col)
+    else:
+        # one value per (cell type, gene, sample) before gathering a gene's row
+        long = long.groupBy(*keys).agg(F.first("prediction").alias("prediction"))
     per_gene = long.groupBy("cell_type", "gene_name").agg(
         F.map_from_entries(F.collect_list(F.struct("sample_id", "prediction"))).alias("_m"))
     cells = F.transform(F.array(*[F.lit(s) for s in cols]),
@@ -144,6 +147,26 @@ def to_predictdb_expression(matrix: DataFrame, gene_annotation: DataFrame,
                     *[matrix[c] for c in others])
 
 
+def unmapped_summary(unmapped: DataFrame, examples: int = 5, all_below: int = 10,
+                     key: str = "gene_name") -> DataFrame:
+    """One row: the number of distinct unmapped genes and some of them (all
+    when fewer than ``all_below``, else the first ``examples`` by name).
+
+    Only ``all_below`` names are ever gathered (a top-n), never the set.
+    """
+    counted = unmapped.agg(F.count(F.lit(1)).alias("n_unmapped"),
+                           F.lit(None).cast("array<string>").alias("_l"))
+    shown = (unmapped.select(F.col(key).cast("string").alias(key)).orderBy(key).limit(all_below)
+             .agg(F.lit(None).cast("long").alias("n_unmapped"),
+                  F.sort_array(F.collect_list(key)).alias("_l")))
+    both = counted.unionByName(shown).agg(F.max("n_unmapped").alias("n_unmapped"),
+                                          F.max("_l").alias("_l"))
+    return both.select(
+        "n_unmapped",
+        F.array_join(F.when(F.col("n_unmapped") < all_below, F.col("_l"))
+                     .otherwise(F.slice("_l", 1, examples)), ",").alias("examples"))
+
+
 def unmapped_genes(matrix: DataFrame, gene_annotation: DataFrame, key: str = "gene_name"
                    ) -> DataFrame:
     """Distinct gene keys of the matrix without an Ensembl id."""

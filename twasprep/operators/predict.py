@@ -190,6 +190,30 @@ def predict_expression(features: DataFrame, scorer: Scorer) -> DataFrame:
         run, PREDICTIONS_LONG)
 
 
+def read_model_weights(spark, path: str) -> DataFrame:
+    """Model-set table ``(cell_type, layer, weights, bias)`` from Parquet.
+
+    Files may instead be named ``<cell_type>_ctPred...``: a missing
+    ``cell_type`` column is taken from the file name (suffix removed).
+    """
+    df = spark.read.parquet(path)
+    if "cell_type" not in df.columns:
+        # ".../<cell_type>_ctPred[.ext][/part-file]"
+        df = df.withColumn("cell_type", F.regexp_extract(
+            F.col("_metadata.file_path"), r"([^/]+?)_ctPred[^/]*(/[^/]*)?$", 1))
+    return df.select("cell_type", F.col("layer").cast("int"), "weights", "bias")
+
+
+def check_row_conservation(features: DataFrame, predictions: DataFrame, n_models: int
+                           ) -> None:
+    """Raise when predictions are not exactly rows x models (counted with
+    ``observe`` while the predictions are consumed elsewhere, or here)."""
+    n_in = features.count()
+    n_out = predictions.count()
+    if n_out != n_in * n_models:
+        raise ValueError(f"{n_in} input rows x {n_models} models != {n_out} predictions")
+
+
 def predictions_wide(long: DataFrame, cell_types: Sequence[str] | None = None,
                      suffix: str = MODEL_OUTPUT_SUFFIX) -> DataFrame:
     """Long predictions -> one column per cell type (``{ct}{suffix}``)."""
