@@ -116,10 +116,30 @@ def dosage_matrix(dosages: DataFrame, samples: DataFrame | Sequence[str],
             .agg(F.first("dosage", ignorenulls=True)))
 
 
-def matrix_lines(arrays: DataFrame, sep: str = "\t", missing: str = ".") -> DataFrame:
-    """Array layout -> one text line per variant (row-local; matrix export)."""
+def dosage_arrays(dosages: DataFrame, samples: DataFrame | Sequence[str],
+                  key: str = "varid") -> DataFrame:
+    """Long -> array layout: ``(varid, dosages)`` in sample-list order.
+
+    One value per (variant, sample) is gathered per variant, so a row holds
+    at most one entry per listed sample.
+    """
+    values = sample_values(samples)
+    per_var = (dosages.groupBy(key, "sample_id").agg(F.first("dosage", ignorenulls=True)
+                                                     .alias("dosage"))
+               .groupBy(key).agg(F.map_from_entries(F.collect_list(
+                   F.struct("sample_id", "dosage"))).alias("_m")))
+    listed = F.array(*[F.lit(s) for s in values])
+    return per_var.select(key, F.transform(listed, lambda s: F.element_at("_m", s))
+                          .cast("array<tinyint>").alias("dosages"))
+
+
+def matrix_lines(arrays: DataFrame, sep: str = "\t", missing: str = ".",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Array layout -> one text line per variant (row-local; matrix export).
+    ``keep`` columns are carried next to ``value``."""
     cells = F.transform("dosages", lambda d: F.coalesce(d.cast("string"), F.lit(missing)))
-    return arrays.select(F.concat_ws(sep, F.col("varid"), F.array_join(cells, sep)).alias("value"))
+    return arrays.select(*keep, F.concat_ws(sep, F.col("varid"), F.array_join(cells, sep))
+                         .alias("value"))
 
 
 def reformat_variant_ids(df: DataFrame, col: str = "varid", idempotent: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
+from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.vcf import parse_vcf
 
@@ -87,6 +88,16 @@ def q_matrix_maf_annotation(spark, sf_dir):
     return G.annotate_maf(ann, G.maf_table(G.matrix_allele_counts(matrix)))
 
 
+def q_dosage_matrix_text(spark, sf_dir):
+    d = G.dosage_from_gt(V.gt_cells(spark, sf_dir))
+    arrays = G.dosage_arrays(d, _samples(spark))
+    return G.matrix_lines(arrays, keep=["varid"])
+
+
+def q_snp_annotation_text(spark, sf_dir):
+    return W.snp_annotation_lines(_maf_annotation(spark, sf_dir))
+
+
 def q_rsid_resolve(spark, sf_dir):
     return R.resolve_rsids(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
 
@@ -202,6 +213,16 @@ def q_unmapped_genes(spark, sf_dir):
                             V.gene_annotation_rows(spark, sf_dir))
 
 
+def q_cell_type_matrix_text(spark, sf_dir):
+    long = X.predictions_long(V.event_predictions_wide(spark, sf_dir), V.EVENT_CELL_TYPES)
+    return X.cell_type_matrix_lines(long, V.EVENT_SAMPLES)
+
+
+def q_unmapped_summary(spark, sf_dir):
+    return X.unmapped_summary(X.unmapped_genes(V.expression_matrix(spark, sf_dir),
+                                               V.gene_annotation_rows(spark, sf_dir)))
+
+
 def q_matrix_checks(spark, sf_dir):
     return VA.validate_matrix(_event_matrix(spark, sf_dir), group_by=["cell_type"])
 
@@ -225,6 +246,8 @@ QUERIES: dict[str, Query] = {
     "chromosome_filter": q_chromosome_filter,
     "vcf_dosages": q_vcf_dosages,
     "matrix_maf_annotation": q_matrix_maf_annotation,
+    "dosage_matrix_text": q_dosage_matrix_text,
+    "snp_annotation_text": q_snp_annotation_text,
     "rsid_resolve": q_rsid_resolve,
     "rsid_resolve_normalized": q_rsid_resolve_normalized,
     "rsid_stats": q_rsid_stats,
@@ -244,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "rename_columns": q_rename_columns,
     "gene_id_map": q_gene_id_map,
     "unmapped_genes": q_unmapped_genes,
+    "cell_type_matrix_text": q_cell_type_matrix_text,
+    "unmapped_summary": q_unmapped_summary,
     "matrix_checks": q_matrix_checks,
     "pending_outputs": q_pending_outputs,
     "job_summary": q_job_summary,

@@ -399,3 +399,32 @@ CROSS JOIN (VALUES {_SAMPLE_VALUES}) s(sample_id)
 LEFT JOIN dos d ON d.varid = v.varid AND d.sample_id = s.sample_id""",
     "matrix_maf_annotation": ORACLE_SQL["maf_annotation"],
 })
+
+# --- text sinks ---------------------------------------------------------------
+_DOSAGE_CELLS = " || chr(9) || ".join(
+    f"coalesce(CAST(max(CASE WHEN sample_id = '{s}' THEN dosage END) AS VARCHAR), '.')"
+    for s in GT_SAMPLE_ORDER)
+_MATRIX_CELLS = " || ',' || ".join(
+    f"coalesce(CAST(\"{s}\" AS VARCHAR), '')" for s in sorted(EVENT_SAMPLES))
+
+ORACLE_SQL.update({
+    "dosage_matrix_text": _with(_GT) + f"""
+SELECT varid, varid || '\t' || {_DOSAGE_CELLS} AS value FROM dos GROUP BY varid""",
+    "snp_annotation_text": _with(_GT, _ANN, _COUNTS) + """
+SELECT varID,
+       chromosome || '\t' || CAST(pos AS VARCHAR) || '\t' || varID || '\t' || ref_vcf || '\t'
+       || alt_vcf || '\t' || '1.0' || '\t'
+       || CASE WHEN MAF IS NULL THEN 'NA' ELSE CAST(MAF AS VARCHAR) END
+       || '\t' || rsid || '\t' || rsid_dbSNP150 AS value
+FROM snp""",
+    "cell_type_matrix_text": _with(_WIDE, _LONG, _MAT) + f"""
+SELECT cell_type, gene_name || ',' || {_MATRIX_CELLS} AS value FROM mat""",
+    "unmapped_summary": _with(_GENE_ANN) + """,
+u AS (SELECT DISTINCT e.gene_name FROM e
+      WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.gene_name = e.gene_name))
+SELECT CAST(count(*) AS BIGINT) AS n_unmapped,
+       CASE WHEN count(*) < 10 THEN string_agg(gene_name, ',' ORDER BY gene_name)
+            ELSE array_to_string(list_slice(list(gene_name ORDER BY gene_name), 1, 5), ',')
+       END AS examples
+FROM u""",
+})

@@ -55,14 +55,9 @@ def write_variant_annotation(annotation: DataFrame, path: str, mode: str = "erro
      .write.mode(mode).option("sep", "\t").option("header", "false").csv(path))
 
 
-def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
-                         mode: str = "errorifexists", partition_by: str | None = None) -> None:
-    """SNP annotation TSV with header; MAF printed like a Python float,
-    ``NA`` (or ``missing_maf``) when undefined; R2 printed ``1.0``.
-
-    ``partition_by='chromosome'`` writes one directory per chromosome
-    (``chromosome_part=<name>``); the files keep the chromosome column.
-    """
+def snp_annotation_columns(snps: DataFrame, missing_maf: str = "NA") -> list:
+    """The SNP annotation columns rendered as text (MAF printed like a Python
+    float, ``missing_maf`` when undefined; R2 printed ``1.0``)."""
     maf = render_maf("MAF")
     if missing_maf != "NA":
         maf = F.when(F.col("MAF").isNull(), F.lit(missing_maf)).otherwise(maf)
@@ -70,7 +65,24 @@ def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
         "MAF": maf,
         "R2": F.coalesce(F.format_string("%.1f", F.col("R2")), F.lit(CONSTANT_R2)),
     }
-    cols = [rendered.get(c, F.col(c).cast("string")).alias(c) for c in SNP_ANNOTATION_COLUMNS]
+    return [rendered.get(c, F.col(c).cast("string")).alias(c) for c in SNP_ANNOTATION_COLUMNS]
+
+
+def snp_annotation_lines(snps: DataFrame, missing_maf: str = "NA") -> DataFrame:
+    """``(varID, value)``: each SNP annotation row as its tab-separated line."""
+    cols = snp_annotation_columns(snps, missing_maf)
+    return snps.select(F.col("varID"), F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in cols])
+                       .alias("value"))
+
+
+def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
+                         mode: str = "errorifexists", partition_by: str | None = None) -> None:
+    """SNP annotation TSV with header (see ``snp_annotation_columns``).
+
+    ``partition_by='chromosome'`` writes one directory per chromosome
+    (``chromosome_part=<name>``); the files keep the chromosome column.
+    """
+    cols = snp_annotation_columns(snps, missing_maf)
     if partition_by:
         # a copy drives the directories so the files keep every column
         cols.append(F.col(partition_by).cast("string").alias(f"{partition_by}_part"))
