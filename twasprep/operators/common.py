@@ -16,9 +16,11 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows of the side, which is the
-    small side by construction; beyond the bound the plain DataFrame is
-    returned and Spark plans a shuffle join.
+    The check reads at most ``max_rows + 1`` rows of the side. Use it for
+    sides that are cheap to read (parameter lists, annotation files); sides
+    derived from the big tables are left to AQE, which broadcasts from the
+    measured size of the shuffled side. Beyond the bound the plain DataFrame
+    is returned and Spark plans a shuffle join.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -3,7 +3,7 @@
 Statistics are per sample (every sample is normalised on its own genes),
 computed with ``Summarizer`` (partial aggregation, so one very large sample
 is combined map-side) and joined back on ``sample_id``; the statistics side
-has one vector row per sample and is broadcast after a size check.
+has one vector row per sample and AQE broadcasts it from its measured size.
 
 Scoring is the one Python step: ``mapInPandas`` hands Arrow batches of
 feature vectors to a NumPy scorer that evaluates every cell-type model on
@@ -25,13 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twasprep.functions.vectors import zscore_array
-from twasprep.operators.common import broadcast_if_small, keep_first
+from twasprep.operators.common import keep_first
 from twasprep.schemas import CELL_TYPES, MODEL_OUTPUT_SUFFIX, PREDICTIONS_LONG, ZSCORE_EPSILON
 
-# One statistics row per sample; far below this in any cohort.
-MAX_SAMPLES_BROADCAST = 100_000
-
-
 def keep_first_gene(features: DataFrame, keys: Sequence[str] = ("sample_id", "gene_name"),
                     order_col: str = "ord") -> DataFrame:
     """Drop repeated genes within a sample, keeping the first in file order."""
@@ -72,8 +68,12 @@ def zscore_features(features: DataFrame, epsilon: float = ZSCORE_EPSILON,
     each gene once.
     """
     base = keep_first_gene(features) if dedupe else features
-    stats = broadcast_if_small(feature_stats(base), MAX_SAMPLES_BROADCAST)
-    j = base.join(stats, "sample_id")
+    # The statistics are derived from the whole feature table, so their size
+    # is only known once computed: AQE broadcasts them when the aggregated
+    # side is small at run time (one vector pair per sample) and keeps the
+    # sort-merge join otherwise. A static count here would cost a second
+    # pass over the features.
+    j = base.join(feature_stats(base), "sample_id")
     return j.select("sample_id", "gene_name",
                     zscore_array("features", "mean", "std", epsilon).alias("features"))
 
