@@ -115,3 +115,9 @@ def test_snp_annotation_reader(spark, tmpdir_path):
     rows = S.read_snp_annotation(spark, path).orderBy("pos").collect()
     assert [r.MAF for r in rows] == [0.5, None, None]
     assert rows[0].R2 == 1.0 and rows[0].rsid == "."
+
+
+def test_naming_report_sample_size(spark):
+    snps, db = _frames(spark)
+    rep = R.rsid_naming_report(snps, db, sample_size=2, order_col="varID")
+    assert sorted(r.varID for r in rep.collect()) == ["1_100_A_G", "1_200_C_T"]

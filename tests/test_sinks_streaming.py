@@ -127,3 +127,16 @@ def test_broadcast_if_small_returns_same_rows(spark):
     assert C.broadcast_if_small(df, 5).count() == 10
     assert C.broadcast_if_small(df, 50).count() == 10
     assert FT is not None
+
+
+def test_stream_vcf_landing(spark, tmpdir_path):
+    land = tmpdir_path / "vcf"
+    write(land / "chr1.vcf", VCF)
+    samples = write(tmpdir_path / "samples.txt", "s4\ns2\n")
+    out = str(tmpdir_path / "geno")
+    L.stream_vcf_landing(spark, str(land), samples, out, str(tmpdir_path / "ck"))
+    write(land / "chr2.vcf", VCF.replace("chr1", "chr2"))
+    L.stream_vcf_landing(spark, str(land), samples, out, str(tmpdir_path / "ck"))
+    text = _text(f"{out}/epoch=*/genotype/**/*.csv")
+    assert "1_100_A_G_GRCh38\t2\t1" in text and "2_100_A_G_GRCh38\t2\t1" in text
+    assert text.count("1_100_A_G_GRCh38\t") == 1

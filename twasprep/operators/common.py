@@ -83,3 +83,14 @@ def chromosome_list(chromosomes: str | Sequence[str] | None) -> list[str] | None
 def head_rows(df: DataFrame, n: int, order: Sequence[Column | str] | None = None) -> DataFrame:
     """First ``n`` rows (by ``order`` when given: a top-n, not a full sort)."""
     return (df.orderBy(*order) if order else df).limit(n)
+
+
+def concat_tables(tables: Sequence[DataFrame]) -> DataFrame:
+    """Concatenate tables by column name; columns missing from a table are
+    NULL (multi-file inputs whose column sets differ)."""
+    if not tables:
+        raise ValueError("no tables")
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out

@@ -107,6 +107,13 @@ def cell_type_matrix(long: DataFrame, samples: Sequence[str], order_col: str | N
             .agg(F.first("prediction")))
 
 
+# Name used by the file-level API (one matrix per cell type).
+def cell_type_matrices(long: DataFrame, samples: Sequence[str], order_col: str | None = None
+                       ) -> DataFrame:
+    """All cell-type matrices at once (alias of ``cell_type_matrix``)."""
+    return cell_type_matrix(long, samples, order_col)
+
+
 def cell_type_matrix_lines(long: DataFrame, samples: Sequence[str], sep: str = ",",
                            order_col: str | None = None) -> DataFrame:
     """Text rows of every cell-type matrix without a column per sample:

@@ -146,14 +146,19 @@ def rsid_stats(resolved: DataFrame) -> DataFrame:
                                 / F.col("total").cast("double"), 6))
 
 
-def rsid_naming_report(snps: DataFrame, dbsnp: DataFrame, n: int = 3) -> DataFrame:
+def rsid_naming_report(snps: DataFrame, dbsnp: DataFrame, n: int = 3,
+                       sample_size: int | None = None, order_col: str | None = None
+                       ) -> DataFrame:
     """Per variant: region hits under the bare and the ``chr`` name, and the
     first ``n`` record ids of the naming a lookup would use.
 
     Hits are records overlapping the position; the first ``n`` come from a
     salted two-round top-n, so a position with very many records is never
-    ranked in one task.
+    ranked in one task. ``sample_size`` restricts the report to the first
+    variants (by ``order_col``, e.g. the line order), as a quick look.
     """
+    if sample_size is not None:
+        snps = (snps.orderBy(order_col) if order_col else snps).limit(sample_size)
     v = (snps.select("varID", clean_chromosome(F.col("chromosome").cast("string")).alias("_ck"),
                      F.col("pos").cast("long").alias("_pos"))
          .where(F.col("_pos").isNotNull()))

@@ -45,12 +45,15 @@ def gt_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), F.lit(2))
             .when(F.col("l_returnflag") == "A", F.lit(3))
             .otherwise(F.lit(4)))
-    cells = (li.groupBy(F.col("l_partkey").alias("vkey"),
-                        F.concat(F.lit("S"), F.lpad((F.col("l_suppkey") % 8).cast("string"), 2, "0"))
-                        .alias("sample_id"))
+    # group on the integer keys; the string columns are built on the
+    # aggregated rows only
+    cells = (li.groupBy(F.col("l_partkey").alias("vkey"), (F.col("l_suppkey") % 8).alias("_s"))
              .agg(F.min(code).alias("_code"))
-             .withColumn("gt", F.element_at(F.array(*[F.lit(c) for c in codes]),
-                                            F.col("_code") + 1)))
+             .select("vkey",
+                     F.concat(F.lit("S"), F.lpad(F.col("_s").cast("string"), 2, "0"))
+                     .alias("sample_id"),
+                     F.element_at(F.array(*[F.lit(c) for c in codes]), F.col("_code") + 1)
+                     .alias("gt")))
     v = cells.select("vkey", *variant_cols("vkey"), "sample_id", "gt")
     return v.select(variant_id("chrom", "pos", "ref", "alt").alias("varid"),
                     "chrom", "pos", "ref", "alt", "sample_id", "gt")
@@ -292,6 +295,15 @@ def _per_variant_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("sample_id", "gt"))).alias("calls"))
 
 
+def _chromosome_files(spark: SparkSession, sf_dir: str, prefix: str, suffix: str) -> DataFrame:
+    """One "file" per chromosome present in the calls (a cheap distinct on the
+    part key column, independent of the call aggregation)."""
+    li = table(spark, sf_dir, "lineitem")
+    chrom = F.concat(F.lit("chr"), (F.col("l_partkey") % 22 + 1).cast("string"))
+    return li.select(chrom.alias("chrom")).distinct().select(
+        F.concat(F.lit(prefix), F.col("chrom"), F.lit(suffix)).alias("file_path"))
+
+
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The genotype calls rendered as VCF text, one "file" per chromosome:
     ``(file_path, line_no, value)``. A meta line and the ``#CHROM`` header
@@ -312,7 +324,7 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt",
                     F.lit("."), F.lit("PASS"), F.lit("."), fmt, F.array_join(cells, "\t"))
         .alias("value"))
-    files = v.select(file_path.alias("file_path")).distinct()
+    files = _chromosome_files(spark, sf_dir, "vcf/", ".vcf")
     header = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT",
                         *VCF_HEADER_SAMPLES])
     meta = files.select("file_path", F.lit(0).cast("long").alias("line_no"),
@@ -340,7 +352,7 @@ def matrix_lines_rendered(spark: SparkSession, sf_dir: str, samples) -> DataFram
     stale = v.where(k % 50 == 0).select(
         file_path.alias("file_path"), (k * 2 + 1).alias("line_no"),
         F.concat_ws("\t", F.col("varid"), *[F.lit("0") for _ in samples]).alias("value"))
-    files = v.select(file_path.alias("file_path")).distinct()
+    files = _chromosome_files(spark, sf_dir, "geno/", "_genotypes.txt")
     head = files.select("file_path", F.lit(0).cast("long").alias("line_no"),
                         F.lit("\t".join(["varID", *samples])).alias("value"))
     return head.unionByName(rows).unionByName(stale)

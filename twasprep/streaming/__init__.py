@@ -4,4 +4,5 @@ from twasprep.streaming.landing import (  # noqa: F401
     run_file_batches,
     stream_bin_means,
     stream_row_local,
+    stream_vcf_landing,
 )

@@ -70,3 +70,19 @@ def run_file_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def stream_vcf_landing(spark: SparkSession, landing_dir: str, samples_path: str, out_dir: str,
+                       checkpoint_dir: str, reformat: bool = True,
+                       max_files_per_trigger: int = 22):
+    """New VCF files in a landing folder -> dosage matrix + variant
+    annotation under ``out_dir/epoch=<n>``. A retried epoch overwrites its
+    own folder, so reruns never duplicate rows."""
+    from twasprep.plans.workflows import extract_genotypes
+
+    def process(s: SparkSession, paths: list[str], epoch_id: int) -> None:
+        extract_genotypes(s, paths, samples_path, f"{out_dir.rstrip('/')}/epoch={epoch_id}",
+                          reformat=reformat, mode="overwrite")
+
+    return run_file_batches(spark, landing_dir, checkpoint_dir, process,
+                            max_files_per_trigger=max_files_per_trigger)
