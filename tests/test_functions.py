@@ -74,3 +74,14 @@ def test_natural_order(spark):
     df = spark.createDataFrame([(c,) for c in ["10", "2", "X", "1", "22", "Y"]], "chromosome string")
     got = [r.chromosome for r in chromosome_order(df).orderBy("chrom_rank").collect()]
     assert got == ["1", "2", "10", "22", "X", "Y"]
+
+
+def test_gt_of_sample_cell_by_format_position(spark):
+    from twasprep.functions.genotype import gt_field_index, gt_of_sample_cell
+
+    rows = [("GT", "0|1"), ("GT:DS", "1|1:2"), ("DS:GT", "0.5:1|0"), ("DS:GT", "0.5"),
+            ("DS", "0.5"), ("GT", None), ("GT:DP:GQ", "0|0:7:9")]
+    df = spark.createDataFrame(rows, "fmt string, cell string")
+    got = [r.g for r in df.select(gt_of_sample_cell("cell", gt_field_index("fmt")).alias("g"))
+           .collect()]
+    assert got == ["0|1", "1|1", "1|0", ".", ".", ".", "0|0"]

@@ -6,6 +6,7 @@ from twasprep.functions.genotype import (  # noqa: F401
     dosage_of_gt,
     dosage_of_token,
     folded_maf,
+    gt_field_index,
     gt_of_sample_cell,
     natural_chromosome_order,
     reformat_varid,

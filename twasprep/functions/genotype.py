@@ -31,16 +31,27 @@ def dosage_of_gt(gt) -> Column:
     return expr.cast("tinyint")
 
 
-def gt_of_sample_cell(cell, format_field) -> Column:
-    """GT sub-field of a VCF sample cell, located through the FORMAT column.
+def gt_field_index(format_field) -> Column:
+    """1-based position of ``GT`` in a FORMAT column (0 when absent). Compute
+    it once per record, not once per sample cell."""
+    return F.array_position(F.split(_c(format_field), ":"), "GT").cast("int")
 
-    A cell whose FORMAT lacks GT, or that is shorter than the GT position,
-    yields ``.`` (what a per-sample GT query prints for an absent value).
+
+def gt_of_sample_cell(cell, gt_index) -> Column:
+    """GT sub-field of a VCF sample cell given the record's GT position.
+
+    The field is cut out with ``substring_index`` (no per-cell array). A
+    FORMAT without GT, or a cell shorter than the GT position, yields ``.``
+    (what a per-sample GT query prints for an absent value).
     """
-    idx = F.array_position(F.split(_c(format_field), ":"), "GT")
-    parts = F.split(_c(cell), ":")
-    return F.when(idx > 0, F.coalesce(F.try_element_at(parts, idx.cast("int")), F.lit("."))) \
-        .otherwise(F.lit("."))
+    cell = _c(cell)
+    idx = _c(gt_index)
+    n_fields = F.size(F.split(cell, ":"))
+    upto = F.call_function("substring_index", cell, F.lit(":"), idx)
+    field = F.when(idx == 1, F.substring_index(cell, ":", 1)).otherwise(
+        F.substring_index(upto, ":", -1))
+    ok = (idx > 0) & (cell.isNotNull()) & ((idx == 1) | (n_fields >= idx))
+    return F.when(ok, field).otherwise(F.lit("."))
 
 
 def dosage_of_token(token) -> Column:

@@ -21,6 +21,7 @@ from twasprep.functions.genotype import (
     dosage_of_gt,
     dosage_of_token,
     folded_maf,
+    gt_field_index,
     gt_of_sample_cell,
     natural_chromosome_order,
     reformat_varid,
@@ -74,9 +75,10 @@ def extract_dosages(vcf: VcfTable, samples: DataFrame) -> DataFrame:
     per file, one int per sample).
     """
     pos = sample_positions(vcf.headers, samples)
-    recs = vcf.records.join(F.broadcast(pos), "file_path")
+    recs = (vcf.records.join(F.broadcast(pos), "file_path")
+            .withColumn("_gt", gt_field_index("format")))
     dos = F.transform("positions", lambda p: dosage_of_gt(
-        gt_of_sample_cell(F.element_at("cells", p), F.col("format"))))
+        gt_of_sample_cell(F.try_element_at("cells", p), F.col("_gt"))))
     return recs.select(
         variant_id("chrom", "pos", "ref", "alt").alias("varid"),
         "chrom", "pos", "ref", "alt",
