@@ -140,3 +140,22 @@ def test_stream_vcf_landing(spark, tmpdir_path):
     text = _text(f"{out}/epoch=*/genotype/**/*.csv")
     assert "1_100_A_G_GRCh38\t2\t1" in text and "2_100_A_G_GRCh38\t2\t1" in text
     assert text.count("1_100_A_G_GRCh38\t") == 1
+
+
+def test_feature_csv_exports_round_trip(spark, tmpdir_path):
+    from twasprep.sources import tables as S
+
+    regions = spark.createDataFrame(
+        [("S1", "chr1_10_20", "chr1", [1.5, float("nan"), 3.0]), ("S1", "chr2_1_2", "chr2", [1.0, 2.0, 3.0])],
+        "sample_id string, region string, chromo string, features array<double>")
+    W.write_region_features(regions, str(tmpdir_path / "reg"), fmt="csv", width=3)
+    text = _text(str(tmpdir_path / "reg" / "sample_id=S1" / "*.csv"))
+    assert text.splitlines()[0] == "gene_name,0,1,2,chromo"
+    assert "chr1_10_20,1.5,,3.0,chr1" in text
+    back = {r.gene_name: r for r in S.read_feature_csv(spark, str(tmpdir_path / "reg")).collect()}
+    assert back["chr2_1_2"].features == [1.0, 2.0, 3.0] and back["chr2_1_2"].chromo == "chr2"
+    assert back["chr2_1_2"].sample_id == "S1"
+    genes = regions.withColumnRenamed("region", "gene_name").drop("chromo")
+    W.write_gene_features(genes, str(tmpdir_path / "gen"), fmt="csv", width=3)
+    gtext = _text(str(tmpdir_path / "gen" / "sample_id=S1" / "*.csv.gz"))
+    assert gtext.splitlines()[0] == "gene_name,0,1,2"

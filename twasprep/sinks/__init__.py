@@ -6,8 +6,10 @@ from twasprep.sinks.writers import (  # noqa: F401
     write_dosage_matrix,
     write_gene_features,
     write_if_absent,
+    write_lines_with_header,
     write_predictdb_expression,
     write_predictions,
+    write_region_features,
     write_snp_annotation,
     write_variant_annotation,
 )

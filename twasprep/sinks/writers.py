@@ -94,19 +94,66 @@ def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
     w.csv(path)
 
 
+def write_lines_with_header(lines: DataFrame, header: str, path: str,
+                            partition_by: str | None = None, compression: str | None = None,
+                            mode: str = "errorifexists") -> None:
+    """Write pre-rendered text lines (column ``value``) with ``header`` as the
+    first line of every part file.
+
+    Uses the CSV writer over a single column named by the header; the field
+    separator and quote character are set to control characters that never
+    occur in the lines, so nothing is quoted or escaped.
+    """
+    cols = [F.col("value").alias(header)] + ([F.col(partition_by)] if partition_by else [])
+    w = (lines.select(*cols).write.mode(mode).option("header", "true")
+         .option("sep", "\u0001").option("quote", "").option("escape", "")
+         .option("emptyValue", ""))
+    if compression:
+        w = w.option("compression", compression)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
+
+
+def _csv_number(x):
+    return F.when(F.isnan(x), F.lit("")).otherwise(x.cast("string"))
+
+
 def write_gene_features(features: DataFrame, path: str, fmt: str = "parquet",
-                        mode: str = "errorifexists") -> None:
+                        mode: str = "errorifexists", width: int | None = None) -> None:
     """Gene mean features per sample: Parquet partitioned by sample (arrays
-    kept), or gzip CSV text ``gene_name,f0,f1,...`` with fmt='csv'."""
+    kept), or gzip CSV ``gene_name,0,1,...`` with a header (fmt='csv'; the
+    header needs the vector ``width``)."""
     if fmt == "parquet":
         features.write.mode(mode).partitionBy("sample_id").parquet(path)
         return
+    if width is None:
+        raise ValueError("width is required for the CSV export header")
+    header = ",".join(["gene_name", *[str(i) for i in range(width)]])
     text = features.select(
         "sample_id",
         F.concat_ws(",", F.col("gene_name"),
-                    F.array_join(F.transform("features", lambda x: x.cast("string")), ","))
+                    F.array_join(F.transform("features", _csv_number), ",")).alias("value"))
+    write_lines_with_header(text, header, path, partition_by="sample_id", compression="gzip",
+                            mode=mode)
+
+
+def write_region_features(regions: DataFrame, path: str, fmt: str = "parquet",
+                          mode: str = "errorifexists", width: int | None = None) -> None:
+    """Region features per sample: Parquet, or CSV ``gene_name,0..n-1,chromo``
+    (the region id under the historical ``gene_name`` header) with fmt='csv'."""
+    if fmt == "parquet":
+        regions.write.mode(mode).partitionBy("sample_id").parquet(path)
+        return
+    if width is None:
+        raise ValueError("width is required for the CSV export header")
+    header = ",".join(["gene_name", *[str(i) for i in range(width)], "chromo"])
+    text = regions.select(
+        "sample_id",
+        F.concat_ws(",", F.col("region"),
+                    F.array_join(F.transform("features", _csv_number), ","), F.col("chromo"))
         .alias("value"))
-    text.write.mode(mode).option("compression", "gzip").partitionBy("sample_id").text(path)
+    write_lines_with_header(text, header, path, partition_by="sample_id", mode=mode)
 
 
 def write_predictions(predictions: DataFrame, path: str, mode: str = "errorifexists",

@@ -161,9 +161,12 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
     features = F.transform(pos, lambda i: F.coalesce(
         F.try_element_at("f", i.cast("int")).try_cast("double"), F.lit(float("nan"))))
     base = F.regexp_extract("file_path", r"([^/]+)$", 1)
+    # a partitioned export carries the sample in its directory name
+    part_dir = F.regexp_extract("file_path", r"sample_id=([^/]+)/[^/]*$", 1)
+    sample = F.when(part_dir != "", part_dir).otherwise(F.regexp_replace(base, sample_suffix, ""))
     order = F.col("line_no") - 1 if numbering == "dense" else F.col("line_no")
     return j.select(
-        F.regexp_replace(base, sample_suffix, "").alias("sample_id"),
+        sample.alias("sample_id"),
         F.when(key_idx > 0, F.try_element_at("f", key_idx.cast("int")))
         .otherwise(F.element_at("f", 1)).alias(key),
         F.when(chromo_idx > 0, F.try_element_at("f", chromo_idx.cast("int"))).alias("chromo"),
