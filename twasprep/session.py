@@ -18,7 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Feature vectors are wide (thousands of doubles per row); keep Arrow
     # batches small enough that one batch stays well below executor memory.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.ui.enabled": "false",
 }
 
