@@ -65,3 +65,27 @@ def test_features_prediction_expression_jobs(spark, tmpdir_path):
     assert lines[0] == "NAME\tS1\tS2\tS3"
     assert any(ln.startswith("ENSGA\t") for ln in lines)
     assert any(ln.startswith("GB\t") for ln in lines)
+
+
+def test_landed_dbsnp_and_genotypes(spark, tmpdir_path):
+    snp = write(tmpdir_path / "ann" / "chr1_annotation.txt",
+                "chromosome\tpos\tvarID\tref_vcf\talt_vcf\tR2\tMAF\trsid\trsid_dbSNP150\n"
+                "1\t100\t1_100_A_G\tA\tG\t1.0\t0.5\t.\t.\n")
+    db = write(tmpdir_path / "dbsnp.vcf",
+               "##x\n#CHROM\tPOS\tID\tREF\tALT\n1\t100\trs7\tA\tC,G\n1\t100\trs8\tA\tG\n"
+               "2\t5\trs9\tT\tC\n")
+    WF.land_dbsnp(spark, db, str(tmpdir_path / "dbsnp_pq"))
+    landed = spark.read.parquet(str(tmpdir_path / "dbsnp_pq"))
+    assert landed.count() == 3
+    stats = WF.rsid_job(spark, snp, str(tmpdir_path / "dbsnp_pq"), str(tmpdir_path / "out"),
+                        dbsnp_format="parquet").collect()
+    assert [(r.total, r.found) for r in stats] == [(1, 1)]
+    text = _text(str(tmpdir_path / "out" / "with_rsids" / "**" / "*.csv"))
+    assert "\trs7\trs7" in text
+    vcf = write(tmpdir_path / "in" / "chr1.vcf",
+                "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n"
+                "chr1\t100\t.\tA\tG\t.\t.\t.\tGT\t0|1\t1|1\n")
+    samples = write(tmpdir_path / "samples.txt", "s2\ns1\n")
+    WF.land_genotypes(spark, vcf, samples, str(tmpdir_path / "geno_pq"))
+    g = spark.read.parquet(str(tmpdir_path / "geno_pq")).first()
+    assert (g.varid, list(g.dosages), g.chrom) == ("chr1_100_A_G", [2, 1], "chr1")

@@ -20,6 +20,35 @@ from twasprep.sources.text import read_sample_list
 from twasprep.sources.vcf import read_vcf
 
 
+def land_dbsnp(spark: SparkSession, vcf_path: str, out_path: str, mode: str = "errorifexists",
+               partitions: int | None = None) -> None:
+    """dbSNP VCF -> Parquet partitioned by chromosome, sorted by position.
+
+    ``repartitionByRange`` on (chromosome, position) samples the keys, so
+    large and small chromosomes are cut into balanced tasks; sorted files
+    give row-group min/max statistics on ``pos``. ``ord`` (file order) is kept
+    as a (block, row) pair so "first record wins" survives the landing.
+    """
+    db = S.read_dbsnp_vcf(spark, vcf_path)
+    n = partitions or spark.sparkContext.defaultParallelism
+    (db.repartitionByRange(n, "chrom", "pos").sortWithinPartitions("chrom", "pos")
+     .write.mode(mode).partitionBy("chrom").parquet(out_path))
+
+
+def read_landed_dbsnp(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("chrom", "pos", "rsid", "ref", "alt", "ord")
+
+
+def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_path: str,
+                   mode: str = "errorifexists") -> None:
+    """VCF -> Parquet in the array layout ``(varid, chrom, pos, ref, alt,
+    dosages)`` partitioned by chromosome (parse once, reuse many times)."""
+    vcf = read_vcf(spark, vcf_path)
+    arrays = G.extract_dosages(vcf, read_sample_list(spark, samples_path))
+    (arrays.drop("file_path", "line_no").write.mode(mode).partitionBy("chrom")
+     .parquet(out_path))
+
+
 def extract_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_dir: str,
                       reformat: bool = True, mode: str = "errorifexists") -> None:
     """VCF -> dosage matrix (per chromosome) + variant annotation.
@@ -56,11 +85,13 @@ def maf_annotation_job(spark: SparkSession, genotype_path: str, annotation_path:
 
 
 def rsid_job(spark: SparkSession, snp_path: str, dbsnp_path: str, out_dir: str,
-             naming: str = "strict", mode: str = "errorifexists") -> DataFrame:
+             naming: str = "strict", mode: str = "errorifexists",
+             dbsnp_format: str = "vcf") -> DataFrame:
     """SNP annotation + dbSNP VCF -> annotation with rsIDs; returns the
     per-chromosome resolution statistics."""
     snps = S.read_snp_annotation(spark, snp_path)
-    dbsnp = S.read_dbsnp_vcf(spark, dbsnp_path)
+    dbsnp = (read_landed_dbsnp(spark, dbsnp_path) if dbsnp_format == "parquet"
+             else S.read_dbsnp_vcf(spark, dbsnp_path))
     resolved = R.resolve_rsids(snps, dbsnp, naming=naming, with_flag=True)
     resolved.write.mode(mode).parquet(f"{out_dir}/_resolved")
     written = spark.read.parquet(f"{out_dir}/_resolved")
