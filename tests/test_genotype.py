@@ -135,3 +135,16 @@ def test_order_numbering_follows_file_order_across_splits(spark, tmpdir_path):
         assert [r.v for r in ranked] == list(range(n))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_snp_annotation_from_any_layout(spark, tmpdir_path):
+    vcf = _vcf(spark, tmpdir_path)
+    samples = spark.createDataFrame([(0, "s1"), (1, "s2"), (2, "s3"), (3, "s4")],
+                                    "ord int, sample_id string")
+    arrays = G.extract_dosages(vcf, samples)
+    ann = G.variant_annotation(vcf)
+    a = {r.varID: r.MAF for r in G.snp_annotation_from_genotypes(arrays, ann).collect()}
+    b = {r.varID: r.MAF for r in G.snp_annotation_from_genotypes(
+        G.dosages_long(arrays, samples), ann, "1").collect()}
+    assert a == {"chr1_100_A_G": 0.5, "chr1_200_C_T": 0.125, "chr1_300_G_A,T": None}
+    assert b == a

@@ -225,5 +225,22 @@ __all__ = [
     "clean_chromosome", "dosage_from_gt", "dosage_matrix", "dosages_long", "extract_dosages",
     "filter_chromosomes", "maf_table", "matrix_allele_counts", "matrix_lines",
     "reformat_variant_ids", "reformat_varid", "sample_positions", "sample_values",
-    "variant_annotation",
+    "snp_annotation_from_genotypes", "variant_annotation", "dosage_arrays",
 ]
+
+
+def snp_annotation_from_genotypes(genotypes, annotation: DataFrame, chromosomes="all"
+                                  ) -> DataFrame:
+    """SNP annotation with MAF from any genotype layout.
+
+    ``genotypes``: dosage-matrix text rows (``HeaderedRows``), the array
+    layout (``varid, dosages``) or the long layout (``varid, sample_id,
+    dosage``); ``chromosomes``: ``'all'`` or a comma list / list of names.
+    """
+    if isinstance(genotypes, HeaderedRows):
+        counts = matrix_allele_counts(genotypes)
+    elif "dosages" in genotypes.columns:
+        counts = allele_counts_arrays(genotypes)
+    else:
+        counts = allele_counts(genotypes)
+    return filter_chromosomes(annotate_maf(annotation, maf_table(counts)), chromosomes)
