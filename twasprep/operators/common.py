@@ -51,14 +51,19 @@ def first_n_per_key(
     order: Sequence[Column | str],
     n: int,
     rank_col: str = "rank",
-    salt_buckets: int = 32,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of every key in ``order``, with their 1-based rank.
 
     Two rounds: first inside ``(key, salt)`` buckets, so a hot key is spread
-    over ``salt_buckets`` tasks and cut to ``n`` rows per bucket; then over the
-    at most ``n * salt_buckets`` survivors per key.
+    over many tasks and cut to ``n`` rows per bucket; then over the at most
+    ``n * salt_buckets`` survivors per key. The default bucket count follows
+    the shuffle width (``4 x spark.sql.shuffle.partitions``, at least 64) so a
+    hot key reaches every reducer of the first round.
     """
+    if salt_buckets is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        salt_buckets = max(64, 4 * parts)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)

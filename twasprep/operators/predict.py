@@ -73,7 +73,11 @@ def zscore_features(features: DataFrame, epsilon: float = ZSCORE_EPSILON,
     # side is small at run time (one vector pair per sample) and keeps the
     # sort-merge join otherwise. A static count here would cost a second
     # pass over the features.
-    j = base.join(feature_stats(base), "sample_id")
+    # Joining on a hash of the key as well keeps both inputs on plain join
+    # shuffles (the statistics are an aggregate on sample_id), the shape in
+    # which AQE can split one very large sample across tasks.
+    stats = feature_stats(base).withColumn("_h", F.xxhash64("sample_id"))
+    j = base.withColumn("_h", F.xxhash64("sample_id")).join(stats, ["sample_id", "_h"])
     return j.select("sample_id", "gene_name",
                     zscore_array("features", "mean", "std", epsilon).alias("features"))
 

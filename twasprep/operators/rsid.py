@@ -100,18 +100,28 @@ def resolve_rsids(
         F.col("pos").cast("long").alias("_pos"),
     )
     keys = dbsnp_match_keys(dbsnp)
+    keys = keys.withColumn("_h", F.xxhash64(*_KEYS))
+    keyed = keyed.withColumn("_h", F.xxhash64("_ck", "_pos", "ref_vcf", "alt_vcf"))
+    # ``_h`` is a function of the four keys. Joining on it as well makes the
+    # planner shuffle both inputs for the join itself instead of reusing the
+    # aggregate's partitioning, which is the shape AQE can split when one
+    # key holds a large share of the variants.
     j = keyed.join(
         keys,
-        (keyed["_ck"] == keys["chrom_key"]) & (keyed["_pos"] == keys["pos"])
+        (keyed["_h"] == keys["_h"]) & (keyed["_ck"] == keys["chrom_key"])
+        & (keyed["_pos"] == keys["pos"])
         & (keyed["ref_vcf"] == keys["ref"]) & (keyed["alt_vcf"] == keys["match_alt"])
         & (keyed["rsid"] == F.lit(UNRESOLVED_RSID)),
         "left",
-    ).select(*[keyed[c] for c in keyed.columns], "rsid_bare", "rsid_chr")
+    ).select(*[keyed[c] for c in keyed.columns if c != "_h"], "rsid_bare", "rsid_chr")
     if naming == "strict":
         bare = (covered_positions(dbsnp, naming=0)
                 .select(F.col("chrom_key").alias("_bk"), F.col("q").alias("_bq")).distinct()
-                .withColumn("_bare_hit", F.lit(True)))
-        j = j.join(bare, (j["_ck"] == bare["_bk"]) & (j["_pos"] == bare["_bq"])
+                .withColumn("_bare_hit", F.lit(True))
+                .withColumn("_bh", F.xxhash64("_bk", "_bq")))
+        j = j.withColumn("_jh", F.xxhash64("_ck", "_pos"))
+        j = j.join(bare, (j["_jh"] == bare["_bh"]) & (j["_ck"] == bare["_bk"])
+                   & (j["_pos"] == bare["_bq"])
                    & (j["rsid"] == F.lit(UNRESOLVED_RSID)), "left")
         resolved = F.when(F.col("_bare_hit"), F.col("rsid_bare")).otherwise(F.col("rsid_chr"))
     else:

@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     # batches small enough that one batch stays well below executor memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
