@@ -190,8 +190,10 @@ def annotate_maf(annotation: DataFrame, maf: DataFrame) -> DataFrame:
     NULL MAF. Both sides are large and keyed by varid: a sort-merge left
     join, split by AQE when one varid is hot.
     """
-    m = maf.select("varid", "MAF").withColumn("_h", F.xxhash64("varid"))
-    a = annotation.withColumn("_h", F.xxhash64("varid"))
+    m = (maf.select(F.col("varid").cast("string").alias("varid"), "MAF")
+         .withColumn("_h", F.xxhash64("varid")))
+    a = (annotation.withColumn("varid", F.col("varid").cast("string"))
+         .withColumn("_h", F.xxhash64("varid")))
     # joining on the hash too keeps both inputs on plain join shuffles (the
     # MAF side is an aggregate on varid), the shape AQE's skew split handles
     j = a.join(m, ["varid", "_h"], "left")

@@ -76,6 +76,7 @@ def zscore_features(features: DataFrame, epsilon: float = ZSCORE_EPSILON,
     # Joining on a hash of the key as well keeps both inputs on plain join
     # shuffles (the statistics are an aggregate on sample_id), the shape in
     # which AQE can split one very large sample across tasks.
+    base = base.withColumn("sample_id", F.col("sample_id").cast("string"))
     stats = feature_stats(base).withColumn("_h", F.xxhash64("sample_id"))
     j = base.withColumn("_h", F.xxhash64("sample_id")).join(stats, ["sample_id", "_h"])
     return j.select("sample_id", "gene_name",

@@ -29,11 +29,16 @@ _KEYS = ["chrom_key", "pos", "ref", "match_alt"]
 
 def normalize_dbsnp(dbsnp: DataFrame) -> DataFrame:
     """``chrom_key`` (name without one ``chr`` prefix) and ``naming`` 0/1."""
-    chr_named = F.col("chrom").startswith("chr")
+    # canonical key types (a chromosome read back from a partition directory
+    # may come back as an integer)
+    chrom = F.col("chrom").cast("string")
+    chr_named = chrom.startswith("chr")
     return dbsnp.select(
-        F.when(chr_named, F.substring("chrom", 4, 1 << 20)).otherwise(F.col("chrom")).alias("chrom_key"),
+        F.when(chr_named, F.substring(chrom, 4, 1 << 20)).otherwise(chrom).alias("chrom_key"),
         F.when(chr_named, F.lit(1)).otherwise(F.lit(0)).alias("naming"),
-        "pos", "rsid", "ref", F.col("alt").alias("alt_raw"), "ord",
+        F.col("pos").cast("long").alias("pos"), F.col("rsid").cast("string").alias("rsid"),
+        F.col("ref").cast("string").alias("ref"), F.col("alt").cast("string").alias("alt_raw"),
+        "ord",
     )
 
 
@@ -98,10 +103,12 @@ def resolve_rsids(
         "*",
         clean_chromosome(F.col("chromosome").cast("string")).alias("_ck"),
         F.col("pos").cast("long").alias("_pos"),
+        F.col("ref_vcf").cast("string").alias("_ref"),
+        F.col("alt_vcf").cast("string").alias("_alt"),
     )
     keys = dbsnp_match_keys(dbsnp)
     keys = keys.withColumn("_h", F.xxhash64(*_KEYS))
-    keyed = keyed.withColumn("_h", F.xxhash64("_ck", "_pos", "ref_vcf", "alt_vcf"))
+    keyed = keyed.withColumn("_h", F.xxhash64("_ck", "_pos", "_ref", "_alt"))
     # ``_h`` is a function of the four keys. Joining on it as well makes the
     # planner shuffle both inputs for the join itself instead of reusing the
     # aggregate's partitioning, which is the shape AQE can split when one
@@ -110,7 +117,7 @@ def resolve_rsids(
         keys,
         (keyed["_h"] == keys["_h"]) & (keyed["_ck"] == keys["chrom_key"])
         & (keyed["_pos"] == keys["pos"])
-        & (keyed["ref_vcf"] == keys["ref"]) & (keyed["alt_vcf"] == keys["match_alt"])
+        & (keyed["_ref"] == keys["ref"]) & (keyed["_alt"] == keys["match_alt"])
         & (keyed["rsid"] == F.lit(UNRESOLVED_RSID)),
         "left",
     ).select(*[keyed[c] for c in keyed.columns if c != "_h"], "rsid_bare", "rsid_chr")

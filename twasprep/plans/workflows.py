@@ -36,7 +36,9 @@ def land_dbsnp(spark: SparkSession, vcf_path: str, out_path: str, mode: str = "e
 
 
 def read_landed_dbsnp(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("chrom", "pos", "rsid", "ref", "alt", "ord")
+    # the partition column comes back typed by inference ("1" -> int)
+    return spark.read.parquet(path).select(F.col("chrom").cast("string").alias("chrom"),
+                                           "pos", "rsid", "ref", "alt", "ord")
 
 
 def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_path: str,
