@@ -87,3 +87,21 @@ def test_row_conservation(spark):
                                                    "features array<double>")
     p = P.predict_expression(f, P.RuleLinearScorer(["a", "b"]))
     P.check_row_conservation(f, p, 2)
+
+
+def test_native_and_python_engines_agree(spark):
+    rng = np.random.default_rng(11)
+    rows = [("S", f"g{i}", [float(v) for v in rng.normal(size=7)]) for i in range(40)]
+    f = spark.createDataFrame(rows, "sample_id string, gene_name string, features array<double>")
+    for scorer in (P.RuleLinearScorer(["a", "b", "c"]),
+                   P.DenseStackScorer({"x": [(rng.normal(size=(1, 7)), rng.normal(size=1))],
+                                       "y": [(rng.normal(size=(1, 7)), rng.normal(size=1))]})):
+        nat = {(r.gene_name, r.cell_type): r.prediction
+               for r in P.predict_expression(f, scorer, engine="native").collect()}
+        py = {(r.gene_name, r.cell_type): r.prediction
+              for r in P.predict_expression(f, scorer, engine="python").collect()}
+        assert nat.keys() == py.keys() and len(nat) == 40 * len(scorer.cell_types)
+        assert max(abs(nat[k] - py[k]) for k in nat) < 1e-12
+    plan = P.predict_expression(f, P.RuleLinearScorer(["a"]))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "MapInPandas" not in plan

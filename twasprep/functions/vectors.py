@@ -13,20 +13,19 @@ def _c(col: Column | str) -> Column:
 def elementwise_mean_of_rows(matrix) -> Column:
     """Mean over the outer axis of ``array<array<num>>`` -> ``array<double>``.
 
-    Row ``i`` of the result is the mean of element ``i`` of every inner
-    array. Inner arrays of unequal length give NULL (the row is rejected by
+    Element ``i`` of the result is the mean of element ``i`` of every inner
+    array (summed with ``zip_with``, one pass per inner array). Inner arrays
+    of unequal length, or an empty matrix, give NULL (the row is rejected by
     the caller). NaN propagates, as a float mean does.
     """
     m = _c(matrix)
     width = F.size(F.element_at(m, 1))
-    equal = F.forall(m, lambda row: F.size(row) == width)
-    means = F.transform(
-        F.sequence(F.lit(1), width),
-        lambda i: F.aggregate(m, F.lit(0.0).cast("double"),
-                              lambda acc, row: acc + F.element_at(row, i).cast("double"))
-        / F.size(m),
-    )
-    return F.when((F.size(m) > 0) & (width > 0) & equal, means)
+    ok = (F.size(m) > 0) & F.forall(m, lambda row: F.size(row) == width)
+    first = F.element_at(m, 1).cast("array<double>")
+    rest = F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0)))
+    sums = F.aggregate(rest, first,
+                       lambda acc, row: F.zip_with(acc, row, lambda a, b: a + b.cast("double")))
+    return F.when(ok, F.transform(sums, lambda v: v / F.size(m)))
 
 
 def zscore_array(x, mean, std, epsilon: float) -> Column:

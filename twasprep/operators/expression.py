@@ -65,7 +65,7 @@ def missing_cell_types(wide_files: HeaderedRows, cell_types: Sequence[str] = CEL
 
 
 def predictions_long_from_files(files: HeaderedRows, cell_types: Sequence[str] = CELL_TYPES,
-                                suffix: str = RENAMED_SUFFIX) -> DataFrame:
+                                suffix: str = RENAMED_SUFFIX) -> DataFrame:  # noqa: E501
     """Per-sample prediction CSVs -> long, in one row-local pass.
 
     Columns are located per file by header name: the gene key is

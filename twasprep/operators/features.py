@@ -13,6 +13,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twasprep.functions.vectors import elementwise_mean_of_rows
 from twasprep.operators.common import broadcast_if_small, keep_first
 
 # Exploded (gene, region) pairs of a genome-wide window table are bounded
@@ -20,21 +21,10 @@ from twasprep.operators.common import broadcast_if_small, keep_first
 MAX_WINDOW_PAIRS = 5_000_000
 
 
-def _sum_rows(m):
-    first = F.element_at(m, 1).cast("array<double>")
-    rest = F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0)))
-    return F.aggregate(rest, first,
-                       lambda acc, row: F.zip_with(acc, row, lambda a, b: a + b.cast("double")))
-
-
 def bin_mean_vector(bins) -> "F.Column":
     """Mean over the bin axis of ``array<array<num>>``; NULL when the bins
     differ in length or are empty (the row is rejected)."""
-    m = F.col(bins) if isinstance(bins, str) else bins
-    width = F.size(F.element_at(m, 1))
-    ok = (F.size(m) > 0) & F.forall(m, lambda row: F.size(row) == width)
-    mean = F.transform(_sum_rows(m), lambda s: s / F.size(m))
-    return F.when(ok, mean)
+    return elementwise_mean_of_rows(bins)
 
 
 def region_bin_means(tensors: DataFrame, keep_rejects: bool = False) -> DataFrame:

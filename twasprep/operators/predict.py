@@ -5,7 +5,9 @@ computed with ``Summarizer`` (partial aggregation, so one very large sample
 is combined map-side) and joined back on ``sample_id``; the statistics side
 has one vector row per sample and AQE broadcasts it from its measured size.
 
-Scoring is the one Python step: ``mapInPandas`` hands Arrow batches of
+Scoring: a linear model set (one unit per cell type) is evaluated inside
+the JVM as dot products against a literal weight array. Any other layer
+stack is the one Python step: ``mapInPandas`` hands Arrow batches of
 feature vectors to a NumPy scorer that evaluates every cell-type model on
 the batch at once and emits the long ``(sample, gene, cell_type,
 prediction)`` rows. Model weights travel inside the pickled function, which
@@ -118,6 +120,13 @@ class DenseStackScorer:
             return 1.0 / (1.0 + np.exp(-y))
         return y
 
+    def linear_weights(self, width: int):
+        """(W [models x width], b [models]) when every model is one linear
+        unit, else None."""
+        if self._stacked is None or self._stacked[0].shape[1] != width:
+            return None
+        return self._stacked
+
     def score(self, x: np.ndarray) -> np.ndarray:
         if self._stacked is not None:
             w, b = self._stacked
@@ -156,24 +165,65 @@ class RuleLinearScorer:
     def __init__(self, cell_types: Sequence[str] = CELL_TYPES):
         self.cell_types = list(cell_types)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        d = x.shape[1]
-        i = np.arange(d)[None, :]
+    def linear_weights(self, width: int):
+        i = np.arange(width)[None, :]
         k = np.arange(len(self.cell_types))[:, None]
         w = (((7 * i + 3 * k) % 11) - 5) / 10.0
         b = (np.arange(len(self.cell_types)) - 5) / 10.0
+        return w, b
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        w, b = self.linear_weights(x.shape[1])
         return x @ w.T + b
 
 
-def predict_expression(features: DataFrame, scorer: Scorer) -> DataFrame:
+def _feature_width(features: DataFrame) -> int | None:
+    """Vector width from one row (a bounded read)."""
+    row = features.select(F.size("features").alias("n")).limit(1).collect()
+    return row[0].n if row else None
+
+
+def predict_expression_native(features: DataFrame, cell_types: Sequence[str],
+                              weights: np.ndarray, bias: np.ndarray) -> DataFrame:
+    """Linear model set scored inside the JVM.
+
+    The models travel as one literal ``array<struct<cell_type, w, b>>``; each
+    gene row is exploded over it and scored with ``aggregate(zip_with(x, w))``
+    -- no Python worker, no Arrow transfer, codegen-friendly.
+    """
+    # one array Literal per model (a numpy array becomes a single plan node)
+    lit_models = F.array(*[
+        F.struct(F.lit(ct).alias("cell_type"),
+                 F.lit(np.asarray(weights[k], dtype=np.float64)).alias("w"),
+                 F.lit(float(bias[k])).alias("b"))
+        for k, ct in enumerate(cell_types)])
+    e = features.select("sample_id", "gene_name", "features", F.explode(lit_models).alias("m"))
+    dot = F.aggregate(F.zip_with("features", "m.w", lambda a, b: a * b),
+                      F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+    return e.select("sample_id", "gene_name", F.col("m.cell_type").alias("cell_type"),
+                    (dot + F.col("m.b")).alias("prediction"))
+
+
+def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto") -> DataFrame:
     """Score every gene row with every cell-type model -> long predictions.
 
     ``features``: sample_id, gene_name, features (already normalised). The
     output has exactly ``rows x models`` rows; a batch that does not is an
     error (row conservation).
+
+    ``engine``: ``"native"`` scores linear model sets inside the JVM,
+    ``"python"`` uses Arrow batches and NumPy (any layer stack), ``"auto"``
+    picks native when the scorer is linear.
     """
     cell_types = list(scorer.cell_types)
     n_models = len(cell_types)
+    if engine in ("auto", "native") and hasattr(scorer, "linear_weights"):
+        width = _feature_width(features)
+        lw = scorer.linear_weights(width) if width is not None else None
+        if lw is not None:
+            return predict_expression_native(features, cell_types, lw[0], lw[1])
+        if engine == "native":
+            raise ValueError("scorer is not a linear model set of this width")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -14,6 +14,7 @@ from twasprep.operators import genotype as G
 from twasprep.operators import manifest as MF
 from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
+from twasprep.operators import validate as VA
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.text import read_sample_list
@@ -153,3 +154,76 @@ def expression_job(spark: SparkSession, predictions_csv: str, samples: list[str]
     W.write_predictdb_expression(X.to_predictdb_expression(written, anno),
                                  f"{out_dir}/predictdb", mode=mode)
     return X.unmapped_genes(written, anno)
+
+
+def rename_job(spark: SparkSession, predictions_csv: str, out_dir: str,
+               mode: str = "errorifexists") -> None:
+    """Per-sample prediction CSVs with legacy column names -> renamed CSVs.
+
+    The sample id is kept as a partition directory (``sample_id=<id>``)."""
+    legacy = "_mean_expression_mean_expression_predicted_expression"
+    files = S.read_predictions_csv(spark, predictions_csv)
+    # cell types whose legacy column occurs in some file (a header listing,
+    # at most one name per cell type reaches the driver)
+    names = files.headers.select(F.explode("names").alias("n")).distinct()
+    present = {r.n for r in names.where(F.col("n").endswith(legacy)).collect()}
+    cts = [ct for ct in X.CELL_TYPES if f"{ct}{legacy}" in present]
+    long = X.predictions_long_from_files(files, cts, suffix=legacy)
+    wide = (long.groupBy("sample_id", "gene_name").pivot("cell_type", cts)
+            .agg(F.first("prediction")))
+    renamed = wide.select("sample_id", "gene_name",
+                          *[F.col(ct).alias(f"{ct}_predicted") for ct in cts])
+    W.write_predictions(renamed, out_dir, mode=mode, compression=None)
+
+
+def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
+              samples: list[str] | None = None, mode: str = "errorifexists") -> None:
+    """Per-sample prediction CSVs -> one gene x sample matrix per cell type.
+
+    ``samples`` defaults to the discovered files' sample ids (a listing of
+    file names, bounded by the number of files)."""
+    files = S.read_predictions_csv(spark, predictions_csv)
+    if samples is None:
+        samples = [r.sample_id for r in files.headers.select("sample_id").distinct().collect()]
+    long = X.predictions_long_from_files(files)
+    W.write_cell_type_matrices(X.cell_type_matrix(long, samples, order_col="ord"), out_dir,
+                               mode=mode)
+
+
+def transform_job(spark: SparkSession, matrices_csv: str, gene_annotation_path: str,
+                  out_dir: str, mode: str = "errorifexists") -> DataFrame:
+    """Cell-type matrix CSVs (header discovery) -> PredictDB expression
+    (tab, gzip, NAME + samples) per cell type; returns the unmapped report."""
+    m = S.read_cell_type_matrix(spark, matrices_csv)
+    j = m.rows.join(F.broadcast(m.headers), "file_path")
+    # cells stay text (as the original conversion keeps them); one array per row
+    wide = j.select("cell_type", F.element_at("fields", 1).alias("gene_name"),
+                    F.slice("fields", 2, F.size("fields") - 1).alias("cells"),
+                    F.slice("names", 2, F.size("names") - 1).alias("samples"))
+    anno = S.read_gene_annotation(spark, gene_annotation_path)
+    mapped = X.to_predictdb_expression(wide, anno)
+    lines = mapped.select("cell_type", F.concat_ws("\t", "NAME", F.array_join("cells", "\t"))
+                          .alias("value"))
+    # the matrices of one run share their sample header: one distributed
+    # write, one directory per cell type
+    distinct_headers = m.headers.select("names").distinct().limit(2).collect()
+    if len(distinct_headers) != 1:
+        raise ValueError("cell-type matrices with different sample headers")
+    names = distinct_headers[0].names
+    header = "\t".join(["NAME", *names[1:]])
+    W.write_lines_with_header(lines, header, out_dir, partition_by="cell_type",
+                              compression="gzip", mode=mode)
+    return X.unmapped_summary(X.unmapped_genes(wide.select("gene_name"), anno))
+
+
+def validate_job(spark: SparkSession, matrices_csv: str, sample_rows: int | None = None
+                 ) -> DataFrame:
+    """Shape and V1-V5 checks of every cell-type matrix file."""
+    m = S.read_cell_type_matrix(spark, matrices_csv)
+    j = m.rows.join(F.broadcast(m.headers), "file_path")
+    # matrices of one run share their header; checks run per cell type
+    names = m.headers.select("names").first().names
+    cols = [F.element_at("fields", i + 1).alias(n) for i, n in enumerate(names)]
+    wide = j.select("cell_type", *cols)
+    return VA.validate_matrix(wide, group_by=["cell_type"], header=names,
+                              sample_rows=sample_rows)

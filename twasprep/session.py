@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,9 +58,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared checkpoint folder for materialised tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash((name, os.times().elapsed)))}"

@@ -22,6 +22,11 @@ from twasprep.schemas import (
 )
 
 
+# Text sinks write cells exactly as rendered: the CSV writer would otherwise
+# trim leading/trailing whitespace (tabs included) of every value.
+_RAW = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _nan_to_null(df: DataFrame) -> DataFrame:
     """Float NaN cells -> NULL so that they render as empty text cells."""
     cols = []
@@ -41,7 +46,7 @@ def write_dosage_matrix(arrays: DataFrame, samples, path: str, mode: str = "erro
     cols = [F.col("dosages")[i].cast("string").alias(s) for i, s in enumerate(names)]
     extra = [partition_by] if partition_by else []
     wide = arrays.select(F.col("varid").alias("varID"), *cols, *extra)
-    w = (wide.write.mode(mode).option("sep", "\t").option("header", "true")
+    w = (wide.write.mode(mode).option("sep", "\t").option("header", "true").options(**_RAW)
          .option("nullValue", MISSING_DOSAGE_TOKEN))
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -52,7 +57,7 @@ def write_variant_annotation(annotation: DataFrame, path: str, mode: str = "erro
                              ) -> None:
     """Headerless ``varID chrom pos ref alt``, tab-separated."""
     (annotation.select("varid", "chrom", F.col("pos").cast("string"), "ref", "alt")
-     .write.mode(mode).option("sep", "\t").option("header", "false").csv(path))
+     .write.mode(mode).option("sep", "\t").option("header", "false").options(**_RAW).csv(path))
 
 
 def snp_annotation_columns(snps: DataFrame, missing_maf: str = "NA") -> list:
@@ -87,7 +92,7 @@ def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
         # a copy drives the directories so the files keep every column
         cols.append(F.col(partition_by).cast("string").alias(f"{partition_by}_part"))
     out = snps.select(*cols)
-    w = (out.write.mode(mode).option("sep", "\t").option("header", "true")
+    w = (out.write.mode(mode).option("sep", "\t").option("header", "true").options(**_RAW)
          .option("nullValue", "").option("emptyValue", ""))
     if partition_by:
         w = w.partitionBy(f"{partition_by}_part")
@@ -105,7 +110,7 @@ def write_lines_with_header(lines: DataFrame, header: str, path: str,
     occur in the lines, so nothing is quoted or escaped.
     """
     cols = [F.col("value").alias(header)] + ([F.col(partition_by)] if partition_by else [])
-    w = (lines.select(*cols).write.mode(mode).option("header", "true")
+    w = (lines.select(*cols).write.mode(mode).option("header", "true").options(**_RAW)
          .option("sep", "\u0001").option("quote", "").option("escape", "")
          .option("emptyValue", ""))
     if compression:
@@ -159,7 +164,7 @@ def write_region_features(regions: DataFrame, path: str, fmt: str = "parquet",
 def write_predictions(predictions: DataFrame, path: str, mode: str = "errorifexists",
                       compression: str | None = "gzip") -> None:
     """Per-sample prediction CSVs (wide or long), partitioned by sample."""
-    w = _nan_to_null(predictions).write.mode(mode).option("header", "true")
+    w = _nan_to_null(predictions).write.mode(mode).option("header", "true").options(**_RAW)
     if compression:
         w = w.option("compression", compression)
     w.partitionBy("sample_id").csv(path)
@@ -168,7 +173,7 @@ def write_predictions(predictions: DataFrame, path: str, mode: str = "errorifexi
 def write_cell_type_matrices(matrix: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One gene x sample CSV directory per cell type; missing cells empty.
     A cell type without rows gets no directory."""
-    (_nan_to_null(matrix).write.mode(mode).option("header", "true").option("nullValue", "")
+    (_nan_to_null(matrix).write.mode(mode).option("header", "true").options(**_RAW).option("nullValue", "")
      .partitionBy("cell_type").csv(path))
 
 
@@ -177,7 +182,7 @@ def write_predictdb_expression(expression: DataFrame, path: str, mode: str = "er
     """PredictDB expression: tab-separated, gzip, header ``NAME <samples>``."""
     if EXPORT_KEY not in expression.columns:
         raise ValueError("expression must have its key column named NAME")
-    w = (_nan_to_null(expression).write.mode(mode).option("sep", "\t").option("header", "true")
+    w = (_nan_to_null(expression).write.mode(mode).option("sep", "\t").option("header", "true").options(**_RAW)
          .option("nullValue", "").option("compression", "gzip"))
     if partition_by and partition_by in expression.columns:
         w = w.partitionBy(partition_by)
