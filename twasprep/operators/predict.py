@@ -26,7 +26,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twasprep.functions.vectors import zscore_array
+from twasprep.functions.vectors import array_dot, zscore_array
 from twasprep.operators.common import keep_first
 from twasprep.schemas import CELL_TYPES, MODEL_OUTPUT_SUFFIX, PREDICTIONS_LONG, ZSCORE_EPSILON
 
@@ -198,10 +198,8 @@ def predict_expression_native(features: DataFrame, cell_types: Sequence[str],
                  F.lit(float(bias[k])).alias("b"))
         for k, ct in enumerate(cell_types)])
     e = features.select("sample_id", "gene_name", "features", F.explode(lit_models).alias("m"))
-    dot = F.aggregate(F.zip_with("features", "m.w", lambda a, b: a * b),
-                      F.lit(0.0).cast("double"), lambda acc, v: acc + v)
     return e.select("sample_id", "gene_name", F.col("m.cell_type").alias("cell_type"),
-                    (dot + F.col("m.b")).alias("prediction"))
+                    (array_dot("features", "m.w") + F.col("m.b")).alias("prediction"))
 
 
 def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto") -> DataFrame:
