@@ -61,3 +61,20 @@ def test_cli_expression_stages(spark, tmpdir_path):
     assert ptxt.splitlines()[0] == "NAME\tA\tB"
     assert "ENSG1\t1.0\t5.0" in ptxt and "g2\t3.0\t" in ptxt
     cli.run(spark, cli.parse(["validate", "--input-dir", str(m)]))
+
+
+def test_cli_stages_chain_on_own_outputs(spark, tmpdir_path):
+    legacy = "_mean_expression_mean_expression_predicted_expression"
+    d = tmpdir_path / "pred"
+    write(d / "A.csv_predicted_expressions.csv", f"gene_name,neurons{legacy}\ng1,1.0\ng2,2.0\n")
+    write(d / "B.csv_predicted_expressions.csv", f"gene_name,neurons{legacy}\ng1,3.0\n")
+    renamed, mats, pdb = (str(tmpdir_path / x) for x in ("renamed", "mats", "pdb"))
+    cli.run(spark, cli.parse(["rename", "--input-dir", str(d), "--output-dir", renamed]))
+    cli.run(spark, cli.parse(["split", "--input-dir", renamed, "--output-dir", mats]))
+    text = _text(f"{mats}/cell_type=neurons/*.csv")
+    assert text.splitlines()[0] == "gene_name,A,B" and "g1,1.0,3.0" in text and "g2,2.0," in text
+    anno = write(tmpdir_path / "Gene_anno.txt", "chr\tgene_id\tgene_name\n1\tENSG2\tg2\n")
+    cli.run(spark, cli.parse(["transform", "--input-dir", mats, "--gene-annotation", anno,
+                              "--output-dir", pdb]))
+    ptxt = _text(f"{pdb}/cell_type=neurons/*.csv.gz")
+    assert ptxt.splitlines()[0] == "NAME\tA\tB" and "ENSG2\t2.0\t" in ptxt

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twasprep.schemas import SNP_ANNOTATION
-from twasprep.sources.text import file_stem, read_lines
+from twasprep.sources.text import read_lines, sample_from_path
 
 
 @dataclass(frozen=True)
@@ -160,10 +160,8 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
     chromo_idx = F.array_position("names", "chromo")
     features = F.transform(pos, lambda i: F.coalesce(
         F.try_element_at("f", i.cast("int")).try_cast("double"), F.lit(float("nan"))))
-    base = F.regexp_extract("file_path", r"([^/]+)$", 1)
     # a partitioned export carries the sample in its directory name
-    part_dir = F.regexp_extract("file_path", r"sample_id=([^/]+)/[^/]*$", 1)
-    sample = F.when(part_dir != "", part_dir).otherwise(F.regexp_replace(base, sample_suffix, ""))
+    sample = sample_from_path("file_path", sample_suffix)
     order = F.col("line_no") - 1 if numbering == "dense" else F.col("line_no")
     return j.select(
         sample.alias("sample_id"),
@@ -186,7 +184,7 @@ def read_predictions_csv(spark: SparkSession, path: str | list[str],
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
     headers = (fields.where(F.col("line_no") == 0)
                .select("file_path", F.col("f").alias("names"),
-                       file_stem("file_path").alias("sample_id")))
+                       sample_from_path("file_path").alias("sample_id")))
     rows = (fields.where((F.col("line_no") > 0) & (F.length(F.array_join("f", "")) > 0))
             .select("file_path", "line_no", F.col("f").alias("fields")))
     return HeaderedRows(rows=rows, headers=headers)
@@ -223,8 +221,8 @@ def read_cell_type_matrix(spark: SparkSession, path: str | list[str],
     j = stripped.join(F.broadcast(header_pos), "file_path")
     headers = (j.where(F.col("line_no") == F.col("_h"))
                .select("file_path", F.split("v", ",").alias("names"),
-                       F.regexp_replace(file_stem("file_path"), "_predictions$", "")
-                       .alias("cell_type")))
+                       F.regexp_replace(sample_from_path("file_path", partition_key="cell_type"),
+                                        "_predictions$", "").alias("cell_type")))
     rows = (j.where((F.col("line_no") > F.col("_h")) & (F.length("v") > 0))
             .select("file_path", "line_no", F.split("v", ",").alias("fields")))
     return HeaderedRows(rows=rows, headers=headers)

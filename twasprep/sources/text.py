@@ -60,6 +60,16 @@ def file_stem(path_col: Column | str, strip_suffix: str = r"\.[^/]*$") -> Column
     return F.regexp_replace(base, strip_suffix, "")
 
 
+def sample_from_path(path_col: Column | str, strip_suffix: str = r"\.[^/]*$",
+                     partition_key: str = "sample_id") -> Column:
+    """Sample id of a file: the ``<partition_key>=<id>`` directory when the
+    file sits in one (outputs of the partitioned writers), else the file's
+    base name with ``strip_suffix`` removed."""
+    col = F.col(path_col) if isinstance(path_col, str) else path_col
+    part_dir = F.regexp_extract(col, partition_key + r"=([^/]+)/[^/]*$", 1)
+    return F.when(part_dir != "", part_dir).otherwise(file_stem(col, strip_suffix))
+
+
 def read_sample_list(spark: SparkSession, path: str) -> DataFrame:
     """``(ord int, sample_id)``: one id per non-blank line, order preserved."""
     lines = read_lines(spark, path)
