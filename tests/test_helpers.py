@@ -20,3 +20,20 @@ def test_vector_from_positional_columns(spark):
                                "gene_name string, `0` double, `1` double, `2` double, chromo string")
     v = df.select(vector_from_columns(df.columns, 1, 3).alias("v")).first().v
     assert v == [1.0, 2.0, 3.0]
+
+
+def test_discover_chromosomes_from_file_names(spark, tmpdir_path):
+    from conftest import write
+
+    from twasprep.sources.text import discover_chromosomes, list_files
+
+    for c in ("10", "2", "1", "X"):
+        write(tmpdir_path / f"chr{c}_genotypes_final.txt", "varID\ts1\n")
+    write(tmpdir_path / "notes.txt", "x\n")
+    assert list_files(spark, str(tmpdir_path)).count() == 5
+    got = [r.chromosome for r in discover_chromosomes(spark, str(tmpdir_path))
+           .orderBy("chrom_rank").collect()]
+    assert got == ["1", "2", "10", "X"]
+    given = [r.chromosome for r in discover_chromosomes(spark, str(tmpdir_path), chromosomes="2,1")
+             .orderBy("chrom_rank").collect()]
+    assert given == ["1", "2"]

@@ -17,7 +17,7 @@ from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
-from twasprep.sources.text import read_sample_list
+from twasprep.sources.text import list_files, read_sample_list, sample_from_path
 from twasprep.sources.vcf import read_vcf
 
 
@@ -184,7 +184,12 @@ def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
     file names, bounded by the number of files)."""
     files = S.read_predictions_csv(spark, predictions_csv)
     if samples is None:
-        samples = [r.sample_id for r in files.headers.select("sample_id").distinct().collect()]
+        # every discovered file is a sample column, also one that fails to
+        # parse; the listing does not open the files
+        listed = list_files(spark, predictions_csv, recursive=True).where(
+            F.col("file_name").endswith(".csv") | F.col("file_name").endswith(".csv.gz"))
+        samples = [r.s for r in listed.select(sample_from_path("path").alias("s"))
+                   .distinct().collect()]
     long = X.predictions_long_from_files(files)
     W.write_cell_type_matrices(X.cell_type_matrix(long, samples, order_col="ord"), out_dir,
                                mode=mode)

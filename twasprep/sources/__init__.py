@@ -1,7 +1,9 @@
 """Readers for the workflow's landing formats. All return DataFrames."""
 
 from twasprep.sources.text import (  # noqa: F401
+    discover_chromosomes,
     file_stem,
+    list_files,
     read_lines,
     read_sample_list,
 )

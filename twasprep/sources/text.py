@@ -77,3 +77,34 @@ def read_sample_list(spark: SparkSession, path: str) -> DataFrame:
             .select(F.trim("value").alias("sample_id"), "line_no")
             .select((F.dense_rank().over(Window.orderBy("line_no")) - 1).cast("int").alias("ord"),
                     "sample_id"))
+
+
+def list_files(spark: SparkSession, path: str, path_glob: str | None = None,
+               recursive: bool = False) -> DataFrame:
+    """``(path, file_name, length)`` of matching files, without reading them
+    (the ``binaryFile`` source only opens a file when ``content`` is used)."""
+    reader = spark.read.format("binaryFile")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    df = reader.load(path).select("path", "length")
+    return df.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                     "length")
+
+
+def discover_chromosomes(spark: SparkSession, path: str,
+                         name_pattern: str = r"^chr([^_]+)_",
+                         chromosomes: str = "all") -> DataFrame:
+    """Chromosomes named by the files of a folder (``chr<X>_...``), or the
+    given comma list, with their natural order (1, 2, ..., 10, ..., X)."""
+    from twasprep.operators.genotype import chromosome_order
+
+    if chromosomes.strip().lower() != "all":
+        names = [c.strip() for c in chromosomes.split(",") if c.strip()]
+        df = spark.createDataFrame([(c,) for c in names], "chromosome string")
+    else:
+        files = list_files(spark, path)
+        df = (files.select(F.regexp_extract("file_name", name_pattern, 1).alias("chromosome"))
+              .where(F.col("chromosome") != ""))
+    return chromosome_order(df, "chromosome")
