@@ -76,8 +76,23 @@ def q_chromosome_filter(spark, sf_dir):
     return G.filter_chromosomes(_maf_annotation(spark, sf_dir), CHROMOSOME_SELECTION)
 
 
+def _materialised(df: DataFrame) -> DataFrame:
+    """Rendered text is read twice (header pass and record pass), like a file
+    on disk: write it once as a table under the shared checkpoint folder and
+    read it back (one computation, lineage cut) instead of recomputing the
+    rendering for each pass."""
+    import uuid
+
+    from twasprep.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/twasprep-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def q_vcf_dosages(spark, sf_dir):
-    vcf = parse_vcf(V.vcf_lines(spark, sf_dir))
+    vcf = parse_vcf(_materialised(V.vcf_lines(spark, sf_dir)))
     arrays = G.extract_dosages(vcf, _samples(spark))
     return G.dosages_long(arrays, _samples(spark)).select("varid", "sample_id", "dosage")
 
