@@ -106,3 +106,11 @@ def test_matrix_lines_dedupes_without_order(spark):
                                  "cell_type string, gene_name string, sample_id string, "
                                  "prediction double")
     assert [r.value for r in X.cell_type_matrix_lines(long, ["S1", "S2"]).collect()] == ["g,1.0,"]
+
+
+def test_validation_report_rows(spark):
+    df = spark.createDataFrame([("g1", 1.0), ("g2", None)], "gene_name string, S1 double")
+    rep = {r.check: (r.passed, r.detail)
+           for r in VA.validation_report(VA.validate_matrix(df)).collect()}
+    assert rep["all_numeric"] == (False, "1 samples, 2 genes")
+    assert rep["no_duplicate_genes"][0] is True and len(rep) == 5

@@ -53,3 +53,13 @@ def validate_matrix(df: DataFrame, key: str = "gene_name", group_by: Sequence[st
         (F.col("_nullk") == 0).alias("no_missing_genes"),
         (F.col("_dupk") == 0).alias("no_duplicate_genes"),
     )
+
+
+def validation_report(checks: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """``validate_matrix`` output as rows ``(<group>, check, passed, detail)``;
+    ``detail`` carries the matrix shape."""
+    group_by = list(group_by)
+    detail = F.format_string("%d samples, %d genes", F.col("n_samples"), F.col("n_genes"))
+    return checks.select(*group_by, detail.alias("detail"), *CHECKS).unpivot(
+        [*group_by, "detail"], list(CHECKS), "check", "passed"
+    ).select(*group_by, "check", "passed", "detail")
