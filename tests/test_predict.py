@@ -77,8 +77,11 @@ def test_wide_and_combine(spark):
 def test_model_weights_from_file_names(spark, tmpdir_path):
     models = spark.createDataFrame([(0, [[1.0, 0.0]], [0.5])],
                                    "layer int, weights array<array<double>>, bias array<double>")
-    models.write.parquet(str(tmpdir_path / "neurons_ctPred.parquet"))
-    got = P.read_model_weights(spark, str(tmpdir_path / "neurons_ctPred.parquet")).first()
+    from twasprep.schemas import MODEL_FILE_MARKER
+
+    path = str(tmpdir_path / f"neurons{MODEL_FILE_MARKER}.parquet")
+    models.write.parquet(path)
+    got = P.read_model_weights(spark, path).first()
     assert got.cell_type == "neurons"
 
 

@@ -17,7 +17,7 @@ def _text(pattern):
     return "".join(out)
 
 
-def test_rsid_job(spark, tmpdir_path):
+def test_rsid_stage(spark, tmpdir_path):
     snp = write(tmpdir_path / "ann" / "chr1_annotation.txt",
                 "chromosome\tpos\tvarID\tref_vcf\talt_vcf\tR2\tMAF\trsid\trsid_dbSNP150\n"
                 "1\t100\t1_100_A_G\tA\tG\t1.0\t0.5\t.\t.\n"

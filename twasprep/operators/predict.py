@@ -16,6 +16,7 @@ PySpark ships as a broadcast variable once it is large.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from typing import Protocol
 
@@ -28,7 +29,13 @@ from pyspark.sql import functions as F
 
 from twasprep.functions.vectors import array_dot, zscore_array
 from twasprep.operators.common import keep_first
-from twasprep.schemas import CELL_TYPES, MODEL_OUTPUT_SUFFIX, PREDICTIONS_LONG, ZSCORE_EPSILON
+from twasprep.schemas import (
+    CELL_TYPES,
+    MODEL_FILE_MARKER,
+    MODEL_OUTPUT_SUFFIX,
+    PREDICTIONS_LONG,
+    ZSCORE_EPSILON,
+)
 
 def keep_first_gene(features: DataFrame, keys: Sequence[str] = ("sample_id", "gene_name"),
                     order_col: str = "ord") -> DataFrame:
@@ -246,14 +253,14 @@ def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto"
 def read_model_weights(spark, path: str) -> DataFrame:
     """Model-set table ``(cell_type, layer, weights, bias)`` from Parquet.
 
-    Files may instead be named ``<cell_type>_ctPred...``: a missing
-    ``cell_type`` column is taken from the file name (suffix removed).
+    Files may instead be named ``<cell_type><MODEL_FILE_MARKER>...``: a
+    missing ``cell_type`` column is then taken from the file name.
     """
     df = spark.read.parquet(path)
     if "cell_type" not in df.columns:
-        # ".../<cell_type>_ctPred[.ext][/part-file]"
-        df = df.withColumn("cell_type", F.regexp_extract(
-            F.col("_metadata.file_path"), r"([^/]+?)_ctPred[^/]*(/[^/]*)?$", 1))
+        # ".../<cell_type><marker>[.ext][/part-file]"
+        pattern = r"([^/]+?)" + re.escape(MODEL_FILE_MARKER) + r"[^/]*(/[^/]*)?$"
+        df = df.withColumn("cell_type", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
     return df.select("cell_type", F.col("layer").cast("int"), "weights", "bias")
 
 

@@ -36,6 +36,8 @@ BUILD_SUFFIX = "_GRCh38"
 PHASED_DOSAGE = (("0|0", 0), ("0|1", 1), ("1|0", 1), ("1|1", 2))
 # Output key name for the expression export.
 EXPORT_KEY = "NAME"
+# Marker between the cell type and the rest of a model file name.
+MODEL_FILE_MARKER = "_ctPred"
 # Numerical constants.
 MAF_DIGITS = 5
 ZSCORE_EPSILON = 1e-8
