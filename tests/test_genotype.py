@@ -148,3 +148,26 @@ def test_snp_annotation_from_any_layout(spark, tmpdir_path):
         G.dosages_long(arrays, samples), ann, "1").collect()}
     assert a == {"chr1_100_A_G": 0.5, "chr1_200_C_T": 0.125, "chr1_300_G_A,T": None}
     assert b == a
+
+
+def test_single_pass_annotation_matches_join_path(spark, tmpdir_path):
+    vcf = _vcf(spark, tmpdir_path)
+    samples = spark.createDataFrame([(0, "s1"), (1, "s2"), (2, "s4")], "ord int, sample_id string")
+    arrays = G.extract_dosages(vcf, samples)
+    single = {tuple(r) for r in G.snp_annotation_single_pass(arrays).collect()}
+    joined = {tuple(r) for r in G.snp_annotation_from_genotypes(
+        arrays, G.variant_annotation(vcf)).collect()}
+    assert single == joined
+    plan = G.snp_annotation_single_pass(arrays)._jdf.queryExecution().executedPlan().toString()
+    # variant rows are never shuffled: no join by key, no aggregation by variant;
+    # the only exchange feeds the broadcast per-file sample positions
+    assert "SortMergeJoin" not in plan and "keys=[varid" not in plan
+    assert "BroadcastHashJoin" in plan
+    # a repeated variant id falls back to the last-wins path
+    dup_vcf = VCF + "chr1\t100\t.\tA\tG\t.\tPASS\t.\tGT\t1|1\t1|1\t1|1\t1|1\n"
+    from twasprep.sources.vcf import read_vcf as rv
+    arrays2 = G.extract_dosages(rv(spark, write(tmpdir_path / "dup" / "chr1.vcf", dup_vcf)),
+                                samples)
+    rows = [r for r in G.snp_annotation_from_vcf_arrays(arrays2).collect()
+            if r.varID == "chr1_100_A_G"]
+    assert len(rows) == 2 and {r.MAF for r in rows} == {0.0}

@@ -61,7 +61,8 @@ def sample_positions(headers: DataFrame, samples: DataFrame) -> DataFrame:
                .agg(F.map_from_entries(F.collect_list(F.struct("ord", "p"))).alias("_m")))
     n_listed = len(sample_values(samples))
     empty = F.create_map().cast("map<int,int>")
-    return files.join(grouped, "file_path", "left").select(
+    # both sides hold one row per file
+    return files.join(F.broadcast(grouped), "file_path", "left").select(
         "file_path",
         F.transform(F.sequence(F.lit(0), F.lit(n_listed - 1)),
                     lambda o: F.element_at(F.coalesce(F.col("_m"), empty), o)).alias("positions"))
@@ -232,6 +233,7 @@ __all__ = [
     "filter_chromosomes", "maf_table", "matrix_allele_counts", "matrix_lines",
     "reformat_variant_ids", "reformat_varid", "sample_positions", "sample_values",
     "snp_annotation_from_genotypes", "variant_annotation", "dosage_arrays",
+    "snp_annotation_single_pass", "snp_annotation_from_vcf_arrays",
 ]
 
 
@@ -250,3 +252,45 @@ def snp_annotation_from_genotypes(genotypes, annotation: DataFrame, chromosomes=
     else:
         counts = allele_counts(genotypes)
     return filter_chromosomes(annotate_maf(annotation, maf_table(counts)), chromosomes)
+
+
+def snp_annotation_single_pass(arrays: DataFrame) -> DataFrame:
+    """SNP annotation straight from the array layout, without any join.
+
+    When the variant annotation and the dosages come from the same VCF
+    records, each row already holds both: allele counts, MAF and the
+    annotation columns are computed row by row (a map-only job, no
+    shuffle). A variant id that occurs in several records would get the MAF
+    of each own record here, while the two-file path gives every such row
+    the MAF of the last one; ``snp_annotation_from_vcf_arrays`` checks for
+    that case.
+    """
+    alt, total = allele_counts_of("dosages")
+    return arrays.select(
+        clean_chromosome("chrom").alias("chromosome"),
+        F.col("pos").cast("long").alias("pos"),
+        F.col("varid").alias("varID"),
+        F.col("ref").alias("ref_vcf"),
+        F.col("alt").alias("alt_vcf"),
+        F.lit(float(CONSTANT_R2)).alias("R2"),
+        folded_maf(alt, total).alias("MAF"),
+        F.lit(UNRESOLVED_RSID).alias("rsid"),
+        F.lit(UNRESOLVED_RSID).alias("rsid_dbSNP150"),
+    )
+
+
+def snp_annotation_from_vcf_arrays(arrays: DataFrame) -> DataFrame:
+    """Single pass when variant ids are unique, else the last-wins join path.
+
+    The uniqueness check is one aggregation over the id column only
+    (partial aggregation; it returns at most one row)."""
+    dup = (arrays.groupBy("varid").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > 1).limit(1).count())
+    if dup == 0:
+        return snp_annotation_single_pass(arrays)
+    ordered = arrays.withColumn("_o", F.struct("file_path", "line_no"))
+    alt, total = allele_counts_of("dosages")
+    counts = last_wins(ordered.select("varid", "_o", alt.alias("alt_count"),
+                                      total.alias("total_alleles")), ["varid"], "_o").drop("_o")
+    ann = arrays.select("varid", "chrom", "pos", "ref", "alt")
+    return annotate_maf(ann, maf_table(counts))

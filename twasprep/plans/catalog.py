@@ -97,6 +97,12 @@ def q_vcf_dosages(spark, sf_dir):
     return G.dosages_long(arrays, _samples(spark)).select("varid", "sample_id", "dosage")
 
 
+def q_vcf_snp_annotation(spark, sf_dir):
+    vcf = parse_vcf(_materialised(V.vcf_lines(spark, sf_dir)))
+    arrays = G.extract_dosages(vcf, _samples(spark))
+    return G.snp_annotation_from_vcf_arrays(arrays)
+
+
 def q_matrix_maf_annotation(spark, sf_dir):
     matrix = S.parse_dosage_matrix(V.matrix_lines_rendered(spark, sf_dir, GT_SAMPLE_ORDER))
     ann = S.parse_variant_annotation(V.annotation_lines_rendered(spark, sf_dir))
@@ -260,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "chromosome_order": q_chromosome_order,
     "chromosome_filter": q_chromosome_filter,
     "vcf_dosages": q_vcf_dosages,
+    "vcf_snp_annotation": q_vcf_snp_annotation,
     "matrix_maf_annotation": q_matrix_maf_annotation,
     "dosage_matrix_text": q_dosage_matrix_text,
     "snp_annotation_text": q_snp_annotation_text,

@@ -52,6 +52,19 @@ def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_pa
      .parquet(out_path))
 
 
+def snp_annotation_from_vcf(spark: SparkSession, vcf_path: str, samples_path: str,
+                            out_dir: str, reformat: bool = True,
+                            mode: str = "errorifexists") -> None:
+    """VCF -> SNP annotation with MAF in one map-only pass (no join, no
+    shuffle when variant ids are unique), written per chromosome."""
+    vcf = read_vcf(spark, vcf_path)
+    arrays = G.extract_dosages(vcf, read_sample_list(spark, samples_path))
+    if reformat:
+        arrays = G.reformat_variant_ids(arrays)
+    W.write_snp_annotation(G.snp_annotation_from_vcf_arrays(arrays), out_dir, mode=mode,
+                           partition_by="chromosome")
+
+
 def extract_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_dir: str,
                       reformat: bool = True, mode: str = "errorifexists") -> None:
     """VCF -> dosage matrix (per chromosome) + variant annotation.
