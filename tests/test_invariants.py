@@ -52,3 +52,29 @@ def test_zscore_moments(spark):
     z = np.array([r.features for r in P.zscore_features(f).collect()])
     assert np.allclose(z.mean(axis=0), 0.0, atol=1e-9)
     assert np.allclose(z.std(axis=0, ddof=1), 1.0, atol=1e-6)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20000), st.integers(1, 20000)), min_size=1, max_size=200))
+def test_maf_text_like_python(spark, pairs):
+    from twasprep.functions.genotype import render_maf
+
+    rows = [(min(k, 2 * d), 2 * d) for k, d in pairs]
+    df = spark.createDataFrame(rows, "k long, d long")
+    got = df.select("k", "d", render_maf(folded_maf("k", "d")).alias("t")).collect()
+    for r in got:
+        x = r.k / r.d
+        x = 1 - x if x > 0.5 else x
+        assert r.t == str(round(x, 5)), (r.k, r.d)
+
+
+def test_gzip_text_line_numbers(spark, tmpdir_path):
+    import gzip
+
+    from twasprep.sources.text import read_lines
+
+    path = tmpdir_path / "x.txt.gz"
+    with gzip.open(path, "wt") as fh:
+        fh.write("".join(f"{i}\n" for i in range(5000)))
+    rows = read_lines(spark, str(path))
+    assert rows.where("cast(value as long) != line_no").count() == 0 and rows.count() == 5000
