@@ -21,6 +21,16 @@ from twasprep.sources.text import list_files, read_sample_list, sample_from_path
 from twasprep.sources.vcf import read_vcf
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset path has files (a listing, no data read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return list_files(spark, path, recursive=True).limit(1).count() > 0
+    except AnalysisException:
+        return False
+
+
 def land_dbsnp(spark: SparkSession, vcf_path: str, out_path: str, mode: str = "errorifexists",
                partitions: int | None = None) -> None:
     """dbSNP VCF -> Parquet partitioned by chromosome, sorted by position.
@@ -136,16 +146,16 @@ def prediction_job(spark: SparkSession, gene_features_path: str, scorer, out_dir
     """Gene features -> z-scores -> long predictions, for samples that have no
     successful manifest entry yet; appends the new manifest entries."""
     feats = spark.read.parquet(gene_features_path)
-    if manifest_path is not None:
-        try:
-            manifest = spark.read.parquet(manifest_path)
-            todo = MF.pending(feats.select(F.col("sample_id").alias("key")).distinct(),
-                              manifest, "predict")
-            feats = feats.join(todo, feats["sample_id"] == todo["key"], "left_semi")
-        except Exception:  # noqa: BLE001 - no manifest yet: everything is pending
-            pass
+    if manifest_path is not None and _exists(spark, manifest_path):
+        manifest = spark.read.parquet(manifest_path)
+        todo = MF.pending(feats.select(F.col("sample_id").alias("key")).distinct(),
+                          manifest, "predict")
+        feats = feats.join(todo, feats["sample_id"] == todo["key"], "left_semi")
     preds = P.predict_expression(P.zscore_features(feats), scorer)
-    preds.write.mode("append").partitionBy("sample_id").parquet(f"{out_dir}/predictions")
+    # dynamic partition overwrite: a sample re-run after a crash between the
+    # prediction commit and the manifest append replaces its own partition
+    (preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("sample_id").parquet(f"{out_dir}/predictions"))
     if manifest_path is not None:
         done = (feats.groupBy("sample_id").agg(F.count(F.lit(1)).alias("rows"))
                 .select(F.lit("predict").alias("stage"), F.col("sample_id").alias("key"),

@@ -6,8 +6,6 @@ replace the one-file-per-chromosome / per-sample / per-cell-type layout.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
