@@ -89,3 +89,17 @@ def test_landed_dbsnp_and_genotypes(spark, tmpdir_path):
     WF.land_genotypes(spark, vcf, samples, str(tmpdir_path / "geno_pq"))
     g = spark.read.parquet(str(tmpdir_path / "geno_pq")).first()
     assert (g.varid, list(g.dosages), g.chrom) == ("chr1_100_A_G", [2, 1], "chr1")
+
+
+def test_snp_annotation_from_vcf_job(spark, tmpdir_path):
+    vcf = write(tmpdir_path / "in" / "chr1.vcf",
+                "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n"
+                "chr1\t100\t.\tA\tG\t.\t.\t.\tGT\t0|1\t1|1\n"
+                "chr1\t200\t.\tC\tT\t.\t.\t.\tGT\t0|0\t./.\n")
+    samples = write(tmpdir_path / "samples.txt", "s1\ns2\n")
+    out = str(tmpdir_path / "out")
+    WF.snp_annotation_from_vcf(spark, vcf, samples, out)
+    text = _text(f"{out}/snp_annotation/**/*.csv")
+    assert "1\t100\t1_100_A_G_GRCh38\tA\tG\t1.0\t0.25\t.\t." in text
+    assert "1\t200\t1_200_C_T_GRCh38\tC\tT\t1.0\t0.0\t.\t." in text
+    assert spark.read.parquet(f"{out}/genotype_arrays").count() == 2

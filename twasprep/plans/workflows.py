@@ -65,13 +65,23 @@ def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_pa
 def snp_annotation_from_vcf(spark: SparkSession, vcf_path: str, samples_path: str,
                             out_dir: str, reformat: bool = True,
                             mode: str = "errorifexists") -> None:
-    """VCF -> SNP annotation with MAF in one map-only pass (no join, no
-    shuffle when variant ids are unique), written per chromosome."""
+    """VCF -> landed dosage arrays -> SNP annotation with MAF.
+
+    The VCF text is parsed once into array-layout Parquet
+    (``<out_dir>/genotype_arrays``, reused by later stages); the annotation
+    is then a map-only pass over that table. The repeated-id check reads
+    only the ``varid`` column of the Parquet table.
+    """
+    arrays_path = f"{out_dir.rstrip('/')}/genotype_arrays"
     vcf = read_vcf(spark, vcf_path)
     arrays = G.extract_dosages(vcf, read_sample_list(spark, samples_path))
     if reformat:
         arrays = G.reformat_variant_ids(arrays)
-    W.write_snp_annotation(G.snp_annotation_from_vcf_arrays(arrays), out_dir, mode=mode,
+    arrays.write.mode(mode).partitionBy("chrom").parquet(arrays_path)
+    landed = spark.read.parquet(arrays_path)
+    landed = landed.withColumn("chrom", F.col("chrom").cast("string"))
+    W.write_snp_annotation(G.snp_annotation_from_vcf_arrays(landed),
+                           f"{out_dir.rstrip('/')}/snp_annotation", mode=mode,
                            partition_by="chromosome")
 
 
