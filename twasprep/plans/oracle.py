@@ -212,6 +212,9 @@ FROM v LEFT JOIN counts USING (varID) LEFT JOIN shown USING (varID)""",
 })
 
 # --- features --------------------------------------------------------------
+# Rounded outputs add 0.0: DuckDB's round keeps the sign of a value that
+# rounds to zero (-0.0), Spark's decimal rounding returns 0.0; x + 0.0 is x
+# for every other value.
 from twasprep.plans.catalog import CHUNK_ROWS, VALUE_DIGITS  # noqa: E402
 
 _FEAT = f"""
@@ -255,19 +258,19 @@ WITH e AS (
 )
 SELECT 'S' || (r % 3) AS sample_id, 'chr' || (r % 22 + 1) || '_' || r AS region,
        'chr' || (r % 22 + 1) AS chromo, CAST(i AS INTEGER) AS idx,
-       round(avg(CAST(x AS DOUBLE)), {VALUE_DIGITS}) AS value
+       round(avg(CAST(x AS DOUBLE)), {VALUE_DIGITS}) + 0.0 AS value
 FROM e GROUP BY r, i""",
     "gene_region_means": _with(_FEAT) + f"""
 SELECT fx.sample_id, p.gene_name, CAST(fx.i AS INTEGER) AS idx,
-       round(avg(CAST(fx.x AS DOUBLE)), {VALUE_DIGITS}) AS value
+       round(avg(CAST(fx.x AS DOUBLE)), {VALUE_DIGITS}) + 0.0 AS value
 FROM fx JOIN pairs p ON fx.region = p.region
 GROUP BY fx.sample_id, p.gene_name, fx.i""",
     "gene_region_means_chunked": _with(_FEAT) + f"""
 SELECT sample_id, CAST(chunk AS BIGINT) AS chunk, gene_name, CAST(i AS INTEGER) AS idx,
-       round(m, {VALUE_DIGITS}) AS value
+       round(m, {VALUE_DIGITS}) + 0.0 AS value
 FROM gx""",
     "first_chunk_means": _with(_FEAT) + f"""
-SELECT g.sample_id, g.gene_name, CAST(g.i AS INTEGER) AS idx, round(g.m, {VALUE_DIGITS}) AS value
+SELECT g.sample_id, g.gene_name, CAST(g.i AS INTEGER) AS idx, round(g.m, {VALUE_DIGITS}) + 0.0 AS value
 FROM gx g
 JOIN (SELECT sample_id, gene_name, min(chunk) AS c FROM gx GROUP BY 1, 2) fc
   ON g.sample_id = fc.sample_id AND g.gene_name = fc.gene_name AND g.chunk = fc.c""",
@@ -341,12 +344,12 @@ WHERE rn = 1""",
 SELECT event_type AS sample_id, 'g' || user_id AS gene_name, count(*) AS n_rows
 FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
     "feature_zscore": _with(_Z) + f"""
-SELECT sample_id, gene_name, CAST(i AS INTEGER) AS idx, round(z, {VALUE_DIGITS}) AS value FROM z""",
+SELECT sample_id, gene_name, CAST(i AS INTEGER) AS idx, round(z, {VALUE_DIGITS}) + 0.0 AS value FROM z""",
     "predict_expression": _with(_Z) + f""",
 ct AS (SELECT * FROM (VALUES {_CT_VALUES}) t(k, cell_type))
 SELECT z.sample_id, z.gene_name, ct.cell_type,
        round(sum(z.z * (CAST(((7 * z.i + 3 * ct.k) % 11) - 5 AS DOUBLE) / 10.0::DOUBLE))
-             + CAST(ct.k - 5 AS DOUBLE) / 10.0::DOUBLE, {VALUE_DIGITS}) AS prediction
+             + CAST(ct.k - 5 AS DOUBLE) / 10.0::DOUBLE, {VALUE_DIGITS}) + 0.0 AS prediction
 FROM z CROSS JOIN ct
 GROUP BY z.sample_id, z.gene_name, ct.cell_type, ct.k""",
     "predictions_long": _with(_WIDE, _LONG) + "SELECT * FROM lg",
