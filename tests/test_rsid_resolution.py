@@ -121,3 +121,19 @@ def test_naming_report_sample_size(spark):
     snps, db = _frames(spark)
     rep = R.rsid_naming_report(snps, db, sample_size=2, order_col="varID")
     assert sorted(r.varID for r in rep.collect()) == ["1_100_A_G", "1_200_C_T"]
+
+
+def test_lookup_chromosome_of_file(spark, tmpdir_path):
+    path = write(tmpdir_path / "chr1_annotation.txt",
+                 "chromosome\tpos\tvarID\tref_vcf\talt_vcf\tR2\tMAF\trsid\trsid_dbSNP150\n"
+                 "1\t100\t1_100_A_G\tA\tG\t1.0\t0.5\t.\t.\n"
+                 "2\t500\t2_500_T_C\tT\tC\t1.0\t0.5\t.\t.\n")
+    db = spark.createDataFrame([("1", 100, "rs1", "A", "G", 1), ("2", 500, "rs2", "T", "C", 2)],
+                               "chrom string, pos long, rsid string, ref string, alt string, ord long")
+    snps = S.read_snp_annotation(spark, path, with_file=True)
+    by_row = _by_var(R.resolve_rsids(snps, db))
+    by_file = _by_var(R.resolve_rsids(snps, db, lookup_chromosome="file"))
+    assert by_row["2_500_T_C"][0] == "rs2"
+    assert by_file["2_500_T_C"][0] == "."          # looked up under chromosome 1
+    assert by_file["1_100_A_G"][0] == "rs1"
+    assert "file_path" not in R.resolve_rsids(snps, db, lookup_chromosome="file").columns

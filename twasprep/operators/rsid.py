@@ -83,6 +83,7 @@ def resolve_rsids(
     naming: str = "strict",
     legacy_fill: bool = False,
     with_flag: bool = False,
+    lookup_chromosome: str = "row",
 ) -> DataFrame:
     """Fill ``rsid`` of rows whose rsid is exactly ``.`` from dbSNP.
 
@@ -93,15 +94,29 @@ def resolve_rsids(
       ``rsid`` first and that column is not updated.
 
     Same rows out as in; ``with_flag`` adds ``rsid_found`` (newly resolved).
+
+    ``lookup_chromosome``: ``"row"`` looks every row up under its own
+    chromosome; ``"file"`` uses the chromosome of the first row of the row's
+    file for the whole file, as a per-file lookup does (needs ``file_path``
+    and ``file_order`` columns, see ``read_snp_annotation(with_file=True)``;
+    one row per file is gathered and broadcast back).
     """
     if naming not in ("strict", "normalized"):
         raise ValueError("naming must be 'strict' or 'normalized'")
     snps = _prepared(snps)
     has150 = "rsid_dbSNP150" in snps.columns
-    cols = snps.columns
+    cols = [c for c in snps.columns if c not in ("file_path", "file_order")]
+    chrom_col = F.col("chromosome")
+    if lookup_chromosome == "file":
+        first = snps.groupBy("file_path").agg(
+            F.min_by(F.col("chromosome"), F.col("file_order")).alias("_file_chrom"))
+        snps = snps.join(F.broadcast(first), "file_path")
+        chrom_col = F.col("_file_chrom")
+    elif lookup_chromosome != "row":
+        raise ValueError("lookup_chromosome must be 'row' or 'file'")
     keyed = snps.select(
         "*",
-        clean_chromosome(F.col("chromosome").cast("string")).alias("_ck"),
+        clean_chromosome(chrom_col.cast("string")).alias("_ck"),
         F.col("pos").cast("long").alias("_pos"),
         F.col("ref_vcf").cast("string").alias("_ref"),
         F.col("alt_vcf").cast("string").alias("_alt"),

@@ -125,10 +125,12 @@ def rsid_job(spark: SparkSession, snp_path: str, dbsnp_path: str, out_dir: str,
              dbsnp_format: str = "vcf") -> DataFrame:
     """SNP annotation + dbSNP VCF -> annotation with rsIDs; returns the
     per-chromosome resolution statistics."""
-    snps = S.read_snp_annotation(spark, snp_path)
+    snps = S.read_snp_annotation(spark, snp_path, with_file=True)
     dbsnp = (read_landed_dbsnp(spark, dbsnp_path) if dbsnp_format == "parquet"
              else S.read_dbsnp_vcf(spark, dbsnp_path))
-    resolved = R.resolve_rsids(snps, dbsnp, naming=naming, with_flag=True)
+    # one lookup chromosome per input file (its first row), as per-file runs do
+    resolved = R.resolve_rsids(snps, dbsnp, naming=naming, with_flag=True,
+                               lookup_chromosome="file")
     resolved.write.mode(mode).parquet(f"{out_dir}/_resolved")
     written = spark.read.parquet(f"{out_dir}/_resolved")
     W.write_snp_annotation(written.drop("rsid_found"), f"{out_dir}/with_rsids", missing_maf="",

@@ -90,14 +90,22 @@ def read_variant_annotation(spark: SparkSession, path: str | list[str],
         read_lines(spark, path, numbering="order", path_glob=path_glob), rejects)
 
 
-def read_snp_annotation(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_snp_annotation(spark: SparkSession, path: str | list[str], with_file: bool = False
+                        ) -> DataFrame:
     """SNP annotation TSV with header, read with an explicit schema.
 
-    ``NA`` and empty MAF cells are NULL.
+    ``NA`` and empty MAF cells are NULL. ``with_file`` adds ``file_path`` and
+    a file-order key ``file_order`` (split offset, then row in the split).
     """
-    return (spark.read.option("sep", "\t").option("header", "true")
-            .option("nullValue", "NA").option("mode", "PERMISSIVE")
-            .schema(SNP_ANNOTATION).csv(path))
+    df = (spark.read.option("sep", "\t").option("header", "true")
+          .option("nullValue", "NA").option("mode", "PERMISSIVE")
+          .schema(SNP_ANNOTATION).csv(path))
+    if with_file:
+        df = df.select(
+            "*", F.col("_metadata.file_path").alias("file_path"),
+            F.struct(F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row")).alias("file_order"))
+    return df
 
 
 def read_dbsnp_vcf(spark: SparkSession, path: str | list[str], numbering: str = "order"
