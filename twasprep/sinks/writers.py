@@ -39,16 +39,19 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
 def write_dosage_matrix(arrays: DataFrame, samples, path: str, mode: str = "errorifexists",
                         partition_by: str | None = "chrom") -> None:
     """Genotype matrix text: header ``varID <samples>``, tab-separated,
-    missing dosage ``.``; one directory per chromosome."""
+    missing dosage ``.``; one directory per chromosome.
+
+    Lines are built row-locally from the dosage array, so the plan keeps
+    the same width whatever the number of samples; the header is written at
+    the top of every part file.
+    """
+    from twasprep.operators.genotype import matrix_lines
+
     names = sample_values(samples)
-    cols = [F.col("dosages")[i].cast("string").alias(s) for i, s in enumerate(names)]
-    extra = [partition_by] if partition_by else []
-    wide = arrays.select(F.col("varid").alias("varID"), *cols, *extra)
-    w = (wide.write.mode(mode).option("sep", "\t").option("header", "true").options(**_RAW)
-         .option("nullValue", MISSING_DOSAGE_TOKEN))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.csv(path)
+    header = "\t".join(["varID", *names])
+    keep = [partition_by] if partition_by else []
+    lines = matrix_lines(arrays, missing=MISSING_DOSAGE_TOKEN, keep=keep)
+    write_lines_with_header(lines, header, path, partition_by=partition_by, mode=mode)
 
 
 def write_variant_annotation(annotation: DataFrame, path: str, mode: str = "errorifexists"
