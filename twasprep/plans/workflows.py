@@ -182,8 +182,7 @@ def expression_job(spark: SparkSession, predictions_csv: str, samples: list[str]
     returns the unmapped gene report."""
     files = S.read_predictions_csv(spark, predictions_csv)
     long = X.predictions_long_from_files(files)
-    matrix = X.cell_type_matrix(long, samples, order_col="ord")
-    W.write_cell_type_matrices(matrix, f"{out_dir}/cell_type_matrices", mode=mode)
+    _write_matrices(long, samples, f"{out_dir}/cell_type_matrices", mode)
     written = spark.read.option("header", "true").csv(f"{out_dir}/cell_type_matrices")
     anno = S.read_gene_annotation(spark, gene_annotation_path)
     W.write_predictdb_expression(X.to_predictdb_expression(written, anno),
@@ -191,6 +190,15 @@ def expression_job(spark: SparkSession, predictions_csv: str, samples: list[str]
     return X.unmapped_genes(written, anno)
 
 
+def _write_matrices(long: DataFrame, samples: list[str], path: str, mode: str) -> None:
+    """One gene x sample CSV directory per cell type, built as text lines
+    (constant plan width for any number of samples; last row of a repeated
+    gene wins; missing cells empty)."""
+    header = ",".join(["gene_name", *sorted(samples)])
+    lines = X.cell_type_matrix_lines(long, samples, order_col="ord")
+    W.write_lines_with_header(lines, header, path, partition_by="cell_type", mode=mode)
+
+
 def rename_job(spark: SparkSession, predictions_csv: str, out_dir: str,
                mode: str = "errorifexists") -> None:
     """Per-sample prediction CSVs with legacy column names -> renamed CSVs.
@@ -226,8 +234,7 @@ def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
         samples = [r.s for r in listed.select(sample_from_path("path").alias("s"))
                    .distinct().collect()]
     long = X.predictions_long_from_files(files)
-    W.write_cell_type_matrices(X.cell_type_matrix(long, samples, order_col="ord"), out_dir,
-                               mode=mode)
+    _write_matrices(long, samples, out_dir, mode)
 
 
 def transform_job(spark: SparkSession, matrices_csv: str, gene_annotation_path: str,
