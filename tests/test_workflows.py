@@ -103,3 +103,13 @@ def test_snp_annotation_from_vcf_job(spark, tmpdir_path):
     assert "1\t100\t1_100_A_G_GRCh38\tA\tG\t1.0\t0.25\t.\t." in text
     assert "1\t200\t1_200_C_T_GRCh38\tC\tT\t1.0\t0.0\t.\t." in text
     assert spark.read.parquet(f"{out}/genotype_arrays").count() == 2
+
+
+def test_validate_job_on_files(spark, tmpdir_path):
+    m = tmpdir_path / "matrices"
+    write(m / "neurons_predictions.csv", "gene_name,A,B\ng1,1.0,5.0\ng2,3.0,\n")
+    write(m / "opc_predictions.csv", "junk\ngene_name,A,B\ng1,2.0,1.0\ng1,2.0,1.0\n")
+    got = {r.cell_type: r for r in WF.validate_job(spark, str(m)).collect()}
+    assert (got["neurons"].n_samples, got["neurons"].n_genes) == (2, 2)
+    assert not got["neurons"].all_numeric and got["neurons"].no_duplicate_genes
+    assert got["opc"].all_numeric and not got["opc"].no_duplicate_genes
