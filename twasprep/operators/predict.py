@@ -127,10 +127,12 @@ class DenseStackScorer:
             return 1.0 / (1.0 + np.exp(-y))
         return y
 
-    def linear_weights(self, width: int):
+    def linear_weights(self, width: int | None = None):
         """(W [models x width], b [models]) when every model is one linear
-        unit, else None."""
-        if self._stacked is None or self._stacked[0].shape[1] != width:
+        unit (of the given width, if one is given), else None."""
+        if self._stacked is None:
+            return None
+        if width is not None and self._stacked[0].shape[1] != width:
             return None
         return self._stacked
 
@@ -172,7 +174,16 @@ class RuleLinearScorer:
     def __init__(self, cell_types: Sequence[str] = CELL_TYPES):
         self.cell_types = list(cell_types)
 
-    def linear_weights(self, width: int):
+    def weight_expr(self, k: int, i) -> "F.Column":
+        """Weight ``i`` of model ``k`` as a column expression (same rule)."""
+        return (((i * 7 + 3 * k) % 11) - 5).cast("double") / F.lit(10.0)
+
+    def bias_of(self, k: int) -> float:
+        return (k - 5) / 10.0
+
+    def linear_weights(self, width: int | None = None):
+        if width is None:
+            return None
         i = np.arange(width)[None, :]
         k = np.arange(len(self.cell_types))[:, None]
         w = (((7 * i + 3 * k) % 11) - 5) / 10.0
@@ -184,10 +195,26 @@ class RuleLinearScorer:
         return x @ w.T + b
 
 
-def _feature_width(features: DataFrame) -> int | None:
-    """Vector width from one row (a bounded read)."""
-    row = features.select(F.size("features").alias("n")).limit(1).collect()
-    return row[0].n if row else None
+def _predict_rule_native(features: DataFrame, scorer) -> DataFrame:
+    """Rule-defined linear models scored in the JVM: weights are generated
+    per row from the rule and the row's width, then dotted with the row."""
+    cts = list(scorer.cell_types)
+    models = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(ct).alias("cell_type"))
+                       for k, ct in enumerate(cts)])
+    e = features.select("sample_id", "gene_name", "features", F.explode(models).alias("m"))
+    def weights_of(k: int):
+        # a one-argument lambda: transform() reads a second parameter as the index
+        return F.transform(F.sequence(F.lit(0), F.size("features") - 1),
+                           lambda i: scorer.weight_expr(k, i))
+
+    # one expression per model index keeps k a literal inside the rule
+    pred = None
+    for k in range(len(cts)):
+        val = array_dot("features", weights_of(k)) + F.lit(scorer.bias_of(k))
+        pred = (F.when(F.col("m.k") == k, val) if pred is None
+                else pred.when(F.col("m.k") == k, val))
+    return e.select("sample_id", "gene_name", F.col("m.cell_type").alias("cell_type"),
+                    pred.alias("prediction"))
 
 
 def predict_expression_native(features: DataFrame, cell_types: Sequence[str],
@@ -222,13 +249,16 @@ def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto"
     """
     cell_types = list(scorer.cell_types)
     n_models = len(cell_types)
-    if engine in ("auto", "native") and hasattr(scorer, "linear_weights"):
-        width = _feature_width(features)
-        lw = scorer.linear_weights(width) if width is not None else None
+    if engine in ("auto", "native"):
+        # no data is read here: fixed-width weights come from the models, a
+        # rule-based set builds its weights from each row's vector width
+        lw = scorer.linear_weights() if hasattr(scorer, "linear_weights") else None
         if lw is not None:
             return predict_expression_native(features, cell_types, lw[0], lw[1])
+        if hasattr(scorer, "weight_expr"):
+            return _predict_rule_native(features, scorer)
         if engine == "native":
-            raise ValueError("scorer is not a linear model set of this width")
+            raise ValueError("scorer is not a linear model set")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
