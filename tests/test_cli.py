@@ -78,3 +78,16 @@ def test_cli_stages_chain_on_own_outputs(spark, tmpdir_path):
                               "--output-dir", pdb]))
     ptxt = _text(f"{pdb}/cell_type=neurons/*.csv.gz")
     assert ptxt.splitlines()[0] == "NAME\tA\tB" and "ENSG2\t2.0\t" in ptxt
+
+
+def test_cli_vcf_annotation_and_landing(spark, tmpdir_path):
+    vcf = write(tmpdir_path / "vcf" / "chr1.vcf", VCF)
+    samples = write(tmpdir_path / "samples.txt", "s1\ns2\ns3\n")
+    out = str(tmpdir_path / "va")
+    cli.run(spark, cli.parse(["vcf-annotation", "--vcf", vcf, "--samples", samples,
+                              "--output-dir", out]))
+    assert "1\t200\t1_200_C_T_GRCh38\tC\tT\t1.0\t0.16667\t.\t." in _text(
+        f"{out}/snp_annotation/**/*.csv")
+    cli.run(spark, cli.parse(["land-genotypes", "--vcf", vcf, "--samples", samples,
+                              "--output-dir", str(tmpdir_path / "landed")]))
+    assert spark.read.parquet(str(tmpdir_path / "landed")).count() == 2

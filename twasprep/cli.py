@@ -2,8 +2,8 @@
 
     spark-submit twasprep/cli.py <stage> [options]
 
-Stages: extract, maf, rsid, land-dbsnp, gene-features, predict, rename,
-split, transform, validate. Each stage reads its inputs, runs the operators
+Stages: extract, vcf-annotation, land-genotypes, maf, rsid, land-dbsnp,
+gene-features, predict, rename, split, transform, validate. Each stage reads its inputs, runs the operators
 and commits its output directory.
 """
 
@@ -27,6 +27,18 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--output-dir", required=True)
     s.add_argument("--no-reformat", action="store_true", help="keep chr prefixes, no suffix")
 
+    s = sub.add_parser("vcf-annotation",
+                       help="VCF -> landed dosage arrays -> SNP annotation with MAF (no join)")
+    s.add_argument("--vcf", required=True)
+    s.add_argument("--samples", required=True)
+    s.add_argument("--output-dir", required=True)
+    s.add_argument("--no-reformat", action="store_true")
+
+    s = sub.add_parser("land-genotypes", help="VCF -> array-layout Parquet by chromosome")
+    s.add_argument("--vcf", required=True)
+    s.add_argument("--samples", required=True)
+    s.add_argument("--output-dir", required=True)
+
     s = sub.add_parser("maf", help="dosage matrix + annotation -> SNP annotation with MAF")
     s.add_argument("--genotype-dir", required=True)
     s.add_argument("--annotation-dir", required=True)
@@ -90,6 +102,11 @@ def run(spark, args: argparse.Namespace) -> None:
     if args.stage == "extract":
         WF.extract_genotypes(spark, args.vcf, args.samples, args.output_dir,
                              reformat=not args.no_reformat)
+    elif args.stage == "vcf-annotation":
+        WF.snp_annotation_from_vcf(spark, args.vcf, args.samples, args.output_dir,
+                                   reformat=not args.no_reformat)
+    elif args.stage == "land-genotypes":
+        WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir)
     elif args.stage == "maf":
         WF.maf_annotation_job(spark, args.genotype_dir, args.annotation_dir, args.output_dir,
                               args.chromosomes)
