@@ -256,18 +256,23 @@ def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id",
         F.max(F.struct("count", "comp"))["comp"].alias("head"))
     placed = placed.join(heads, "band").join(
         bags.select("tkey", F.size("bag").alias("size"), "sketch"), "tkey")
-    placed = materialise(placed, "placed")
+    # the unsettled bands of each member (at most one per band index), in order:
+    # a pair is formed in its first common bucket only
+    shared = placed.groupBy("tkey").agg(F.array_sort(F.collect_set("band")).alias("bands"))
+    placed = materialise(placed.join(shared, "tkey"), "placed")
     reach = 1.0 - NUM / DEN
     one = placed.where("comp <> head").select("band", F.col("tkey").alias("a"), F.col(
         "far").alias("fa"), F.col("comp").alias("ca"), F.col("size").alias("sa"),
-        F.col("sketch").alias("ka"))
+        F.col("sketch").alias("ka"), F.col("bands").alias("ba"))
     two = placed.select("band", F.col("tkey").alias("b"), F.col("far").alias("fb"),
                         F.col("comp").alias("cb"), F.col("head").alias("hb"),
-                        F.col("size").alias("sb"), F.col("sketch").alias("kb"))
+                        F.col("size").alias("sb"), F.col("sketch").alias("kb"),
+                        F.col("bands").alias("bb"))
     rest = one.join(two, "band").where("ca <> cb").where(
         F.abs(F.col("fa") - F.col("fb")) <= reach + 1e-9) \
         .where((F.col("cb") == F.col("hb")) | (F.col("a") < F.col("b"))) \
         .where(_apart("ka", "kb") * (DEN + NUM) <= (F.col("sa") + F.col("sb")) * (DEN - NUM)) \
+        .where(F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("band")) \
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     rest = materialise(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = materialise(_similar(rest, bags).where(linked).select("a", "b"), "more")
