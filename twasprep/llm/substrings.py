@@ -47,6 +47,7 @@ WINDOW = LENGTH - GRAM + 1  # grams per window: 27
 BLOCK = 1 << 21
 FLUSH = 1 << 20  # strings held before a batch of them is sent
 HOT = 4096
+SORT_SHARDS = 4  # suffix-array shards per shuffle partition
 _NULL_ID = -(1 << 63)
 _PLANES = {"anchor": 6, "text": 6, "doc": 4, "at": 4, "n": 1}
 
@@ -364,7 +365,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.collect_list("payload").alias("probes"))
     texts = rows.select("doc_id", "tkey", "text")
     one = probes.join(texts, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "probes")
-    found = one.mapInArrow(lambda it: _cut(it, shards), "shard int, payload binary") \
+    # suffix sorting takes about a hundred bytes a byte: smaller shards for it
+    fine = shards * SORT_SHARDS
+    found = one.mapInArrow(lambda it: _cut(it, fine), "shard int, payload binary") \
         .groupBy("shard").applyInArrow(_sort, _FOUND)
     found = materialise(found, "found")
     cuts = met.where("kind = 1").unionByName(found).groupBy("doc_id", "tkey").agg(
