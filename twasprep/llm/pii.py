@@ -141,10 +141,10 @@ def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
     pairs = contexts.select("value", F.explode(F.array_distinct("terms")).alias("term")) \
         .groupBy("value", "term").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= support)
     pairs = materialise(pairs.join(seen, "value"), "pairs")
-    terms = materialise(pairs.select("term").distinct(), "terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
-    df = words.join(terms, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # counted before the join, map side first: a common term is one row per task
+    df = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     pmi = F.log2(F.col("c") * F.col("n_docs") / (F.col("df") * F.col("n")))
     ic = F.log2(F.col("n_docs") / F.col("n"))
