@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twasprep.llm.common import partitions
+from twasprep.llm.common import materialise, partitions
 
 TEMPERATURE = 0.7
 BUDGET = 1.0  # size of the mixture over the size of the input
@@ -91,7 +91,10 @@ def poisson_mix(docs: DataFrame, weights: DataFrame | None = None, budget: float
     Rows come back in a global pseudo-random order: dealt to partitions by the
     hashed key and sorted by it inside each.
     """
-    rates = source_rates(docs, weights, budget, temperature, source_col, text_col)
+    # written, so its size is known when the join is planned: a small table of
+    # sources is broadcast and texts move once, in the shuffle below
+    rates = materialise(source_rates(docs, weights, budget, temperature, source_col, text_col),
+                        "rates")
     counted = poisson_counts(docs, rates, seed, id_col, source_col).where("n_copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     key = _hash52(seed + 1, F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
