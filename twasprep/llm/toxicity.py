@@ -18,7 +18,7 @@ ids, languages, sources and labels are never inputs of a score.
 Edge cases: null and empty texts have no hits and get the model's base score;
 without labels (or without a term that qualifies) every score is the smoothed
 share of toxic training rows, 0 if there are none; null labels are ignored;
-repeated label rows count again; repeated documents are scored alike.
+equal label rows count once; repeated documents are scored alike.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ ONE_WORD = 0.9  # share of a stem's documents that makes it one word
 FUZZY_SHARE = 0.05  # share of the toxic documents that lets a word be misspelled
 TERMS = 400  # size of the lexicon (model size, not a cap on data)
 FUZZY = 6  # letters from which one edit is allowed
+TRAIN_ROWS = 40_000  # labelled rows that the model is fitted on (a sample, if there are more)
 CONTEXT = 40  # characters on each side searched for quotation marks
 BLOCK = 1 << 20
 OPEN, CLOSE = "\"\u201c\u201e\u00ab\u2018", "\"\u201d\u201c\u00bb\u2019"
@@ -53,12 +54,22 @@ def held_out(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.crc32(text.cast("binary")) % folds == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, y) of the labelled training rows."""
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
+    """(text, y) of about ``most`` labelled training rows (all, if there are fewer).
+
+    Rows are sampled by a hash of the id at one rate for both classes, so the
+    sampled labels are a table of bounded size and texts need not be shuffled.
+    """
     lab = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("y")) \
-        .where(F.col("y").isin(0, 1) & F.col("_id").isNotNull()).where(~held_out(F.col("_id")))
+        .where(F.col("y").isin(0, 1) & F.col("_id").isNotNull()).where(~held_out(F.col("_id"))) \
+        .distinct()
+    size = lab.agg(F.count(F.lit(1)).alias("_n"))
+    cells = 1 << 30
+    lab = lab.join(F.broadcast(size)).where(
+        F.pmod(F.xxhash64(F.lit("train"), "_id"), F.lit(cells)) * F.col("_n") < most * cells)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
-        .join(lab, F.col("doc_id") == F.col("_id")).select("text", "y")
+        .join(F.broadcast(lab.select("_id", "y")), F.col("doc_id") == F.col("_id")) \
+        .select("text", "y")
 
 
 def _terms_of(rows: DataFrame) -> DataFrame:
