@@ -125,7 +125,7 @@ class Automaton:
     """
 
     def __init__(self, terms: list[tuple[str, bool, float, bool]]):
-        kids, end, edits = [{}], [0], [0]
+        kids, end, edits, most = [{}], [0], [0], [0]
         for term, stem, _, frequent in terms:
             node = 0
             allowed = 1 if frequent and len(term) >= FUZZY and not stem else 0
@@ -136,9 +136,11 @@ class Automaton:
                     kids.append({})
                     end.append(0)
                     edits.append(0)
+                    most.append(0)
                 node = kids[node][ch]
                 edits[node] = max(edits[node], allowed)
             end[node] = max(end[node], 2 if stem else 1)
+            most[node] = max(most[node], allowed)  # of the terms that end here
         chars = sorted({c for t, *_ in terms for c in t})
         self.symbol = {c: i + 1 for i, c in enumerate(chars)}
         sym = chars
@@ -162,14 +164,14 @@ class Automaton:
             for a in [None, *sym]:
                 nxt = []
                 for n, e in state:
-                    if end[n] == 2:
+                    if end[n] == 2 and e <= most[n]:
                         nxt.append((n, e))  # a finished stem takes any ending
                     for ch, k in kids[n].items():
-                        if ch == a:
+                        if ch == a and e <= edits[k]:
                             nxt.append((k, e))
                         elif e + 1 <= edits[k]:
                             nxt.append((k, e + 1))  # substitution
-                    if e + 1 <= edits[n] and n:
+                    if e + 1 <= edits[n]:
                         nxt.append((n, e + 1))  # insertion
                 to = close(nxt)
                 if to not in ids:
@@ -181,7 +183,7 @@ class Automaton:
             self.step[s, a] = t
         self.accept = np.zeros(len(ids), np.int8)  # 0 no, 1 exact, 2 misspelled
         for state, i in ids.items():
-            fits = [e for n, e in state if end[n]]
+            fits = [e for n, e in state if end[n] and e <= most[n]]
             if fits:
                 self.accept[i] = 1 if min(fits) == 0 else 2
 
