@@ -122,13 +122,6 @@ def test_keep_first_last_wins(spark):
     assert {r.k: r.v for r in C.last_wins(df, ["k"], "o").collect()} == {"a": "x", "b": "z"}
 
 
-def test_broadcast_if_small_returns_same_rows(spark):
-    df = spark.range(10)
-    assert C.broadcast_if_small(df, 5).count() == 10
-    assert C.broadcast_if_small(df, 50).count() == 10
-    assert FT is not None
-
-
 def test_stream_vcf_landing(spark, tmpdir_path):
     land = tmpdir_path / "vcf"
     write(land / "chr1.vcf", VCF)

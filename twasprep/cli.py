@@ -1,6 +1,8 @@
 """Command line entry points mirroring the original stage scripts.
 
-    spark-submit twasprep/cli.py <stage> [options]
+    spark-submit --py-files twasprep.zip twasprep/cli.py <stage> [options]
+
+(``twasprep.zip`` is the zipped package: workers import it to run scorers.)
 
 Stages: extract, vcf-annotation, land-genotypes, maf, rsid, land-dbsnp,
 gene-features, predict, rename, split, transform, validate. Each stage reads its inputs, runs the operators
@@ -11,6 +13,10 @@ from __future__ import annotations
 
 import argparse
 import sys
+from pathlib import Path
+
+if not __package__:  # started as a script: the package's parent is not on the path yet
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from twasprep.plans import workflows as WF
 from twasprep.session import build_session

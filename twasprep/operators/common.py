@@ -7,24 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default row bound under which a dimension-like side is broadcast. Sides
-# above it fall back to a shuffle join (and AQE may still convert the join
-# at run time if the shuffled side turns out small).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows of the side. Use it for
-    sides that are cheap to read (parameter lists, annotation files); sides
-    derived from the big tables are left to AQE, which broadcasts from the
-    measured size of the shuffled side. Beyond the bound the plain DataFrame
-    is returned and Spark plans a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """One row per key: the row with the smallest ``order_col``.

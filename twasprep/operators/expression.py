@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twasprep.operators.common import broadcast_if_small, last_wins
+from twasprep.operators.common import last_wins
 from twasprep.schemas import (
     CELL_TYPES,
     EXPORT_KEY,
@@ -21,9 +21,6 @@ from twasprep.schemas import (
 )
 from twasprep.sources.tables import HeaderedRows
 
-# A gene annotation has one row per gene of the genome.
-MAX_GENE_ANNOTATION_ROWS = 5_000_000
-
 
 def rename_map(cell_types: Sequence[str] = CELL_TYPES) -> dict[str, str]:
     """Legacy long model-output names -> ``{ct}_predicted``."""
@@ -146,7 +143,7 @@ def to_predictdb_expression(matrix: DataFrame, gene_annotation: DataFrame,
 
     Rows are never merged: two genes mapping to one id stay two rows.
     """
-    m = broadcast_if_small(gene_id_map(gene_annotation), MAX_GENE_ANNOTATION_ROWS)
+    m = gene_id_map(gene_annotation)
     j = matrix.join(m, matrix[key] == m["gene_name"], "left") if key != "gene_name" \
         else matrix.join(m, "gene_name", "left")
     others = [c for c in matrix.columns if c != key]

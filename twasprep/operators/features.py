@@ -14,11 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twasprep.functions.vectors import elementwise_mean_of_rows
-from twasprep.operators.common import broadcast_if_small, keep_first
-
-# Exploded (gene, region) pairs of a genome-wide window table are bounded
-# by the annotation (tens of thousands of genes), not by the samples.
-MAX_WINDOW_PAIRS = 5_000_000
+from twasprep.operators.common import keep_first
 
 
 def bin_mean_vector(bins) -> "F.Column":
@@ -71,7 +67,7 @@ def gene_region_means(windows: DataFrame, features: DataFrame,
     ``chunk_rows`` at a time in file order and a gene gets one mean per chunk
     that holds any of its regions (output gains ``chunk``).
     """
-    pairs = broadcast_if_small(window_pairs(windows), MAX_WINDOW_PAIRS)
+    pairs = window_pairs(windows)
     f = features.select("sample_id", "region", "ord", "features")
     keys = ["sample_id", "gene_name"]
     if chunk_rows is not None:

@@ -27,22 +27,15 @@ from twasprep.functions.genotype import (
     reformat_varid,
     variant_id,
 )
-from twasprep.operators.common import broadcast_if_small, chromosome_list, last_wins
+from twasprep.operators.common import chromosome_list, last_wins
 from twasprep.schemas import CONSTANT_R2, SNP_ANNOTATION_COLUMNS, UNRESOLVED_RSID
 from twasprep.sources.tables import HeaderedRows
 from twasprep.sources.vcf import VcfTable
 
-# Upper bound on the sample list that is shipped to every task.
-MAX_SAMPLES = 1_000_000
-
-
 def sample_values(samples: DataFrame | Sequence[str]) -> list[str]:
-    """Sample ids in list order (a parameter list, bounded by MAX_SAMPLES)."""
+    """Sample ids in list order (a parameter of the job, like the names of a header)."""
     if isinstance(samples, DataFrame):
-        rows = samples.orderBy("ord").select("sample_id").limit(MAX_SAMPLES + 1).collect()
-        if len(rows) > MAX_SAMPLES:
-            raise ValueError("sample list exceeds MAX_SAMPLES")
-        return [r.sample_id for r in rows]
+        return [r.sample_id for r in samples.orderBy("ord").select("sample_id").toLocalIterator()]
     return list(samples)
 
 
@@ -55,7 +48,7 @@ def sample_positions(headers: DataFrame, samples: DataFrame) -> DataFrame:
     """
     cols = headers.select("file_path", F.posexplode("sample_names").alias("hpos", "sample_id"))
     files = headers.select("file_path")
-    listed = broadcast_if_small(samples.select("ord", "sample_id"), MAX_SAMPLES)
+    listed = samples.select("ord", "sample_id")
     found = cols.join(listed, "sample_id").select("file_path", "ord", (F.col("hpos") + 1).alias("p"))
     grouped = (found.groupBy("file_path")
                .agg(F.map_from_entries(F.collect_list(F.struct("ord", "p"))).alias("_m")))
@@ -98,7 +91,7 @@ def dosages_long(arrays: DataFrame, samples: DataFrame) -> DataFrame:
     """Array layout -> long ``(varid, chrom, pos, sample_id, dosage)``."""
     exploded = arrays.select("varid", "chrom", "pos",
                              F.posexplode("dosages").alias("ord", "dosage"))
-    return (exploded.join(broadcast_if_small(samples.select("ord", "sample_id")), "ord")
+    return (exploded.join(samples.select("ord", "sample_id"), "ord")
             .select("varid", "chrom", "pos", "sample_id", "dosage"))
 
 

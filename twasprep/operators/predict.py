@@ -105,8 +105,8 @@ class Scorer(Protocol):
 
 class DenseStackScorer:
     """Per cell type a stack of dense layers ``h = W h + b`` with ReLU between
-    layers and an optional output activation; the last layer has one unit
-    (any other output shape is flattened to one value per row)."""
+    layers and an optional output activation. The last layer must have exactly
+    one unit: a model with more would lose outputs, so it is refused."""
 
     def __init__(self, layers: dict[str, list[tuple[np.ndarray, np.ndarray]]],
                  output_activation: str | None = None):
@@ -114,6 +114,9 @@ class DenseStackScorer:
         self.layers = {ct: [(np.asarray(w, dtype=np.float64), np.asarray(b, dtype=np.float64))
                             for w, b in ls] for ct, ls in layers.items()}
         self.output_activation = output_activation
+        for ct, ls in self.layers.items():
+            if not ls or ls[-1][0].shape[0] != 1:
+                raise ValueError(f"model {ct!r} must end in one output unit")
         linear = all(len(ls) == 1 and ls[0][0].shape[0] == 1 for ls in self.layers.values())
         # All single-unit linear models: one stacked matmul for every cell type.
         self._stacked = None
@@ -130,7 +133,7 @@ class DenseStackScorer:
     def linear_weights(self, width: int | None = None):
         """(W [models x width], b [models]) when every model is one linear
         unit (of the given width, if one is given), else None."""
-        if self._stacked is None:
+        if self._stacked is None or self.output_activation is not None:
             return None
         if width is not None and self._stacked[0].shape[1] != width:
             return None
@@ -148,7 +151,7 @@ class DenseStackScorer:
                 h = h @ w.T + b
                 if depth < len(stack) - 1:
                     h = np.maximum(h, 0.0)
-            out[:, k] = self._activate(h).reshape(x.shape[0], -1)[:, 0]
+            out[:, k] = self._activate(h)[:, 0]
         return out
 
     @classmethod
@@ -223,8 +226,16 @@ def predict_expression_native(features: DataFrame, cell_types: Sequence[str],
 
     The models travel as one literal ``array<struct<cell_type, w, b>>``; each
     gene row is exploded over it and scored with ``aggregate(zip_with(x, w))``
-    -- no Python worker, no Arrow transfer, codegen-friendly.
+    -- no Python worker and no Arrow transfer, but interpreted: the batched
+    matrix product of ``engine="python"`` is faster on wide vectors. A vector
+    of another width than the models' is an error.
     """
+    width = np.asarray(weights).shape[1]
+    fits = F.when(F.size("features") == width, F.col("features")).otherwise(
+        F.raise_error(F.format_string("feature vector of width %d, models expect %d",
+                                      F.size("features"), F.lit(width)))
+        .cast("array<double>"))
+    features = features.withColumn("features", fits)
     # one array Literal per model (a numpy array becomes a single plan node)
     lit_models = F.array(*[
         F.struct(F.lit(ct).alias("cell_type"),
@@ -244,8 +255,9 @@ def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto"
     error (row conservation).
 
     ``engine``: ``"native"`` scores linear model sets inside the JVM,
-    ``"python"`` uses Arrow batches and NumPy (any layer stack), ``"auto"``
-    picks native when the scorer is linear.
+    ``"python"`` uses Arrow batches and one matrix product per batch (any layer
+    stack); ``"auto"`` takes the latter, but for rule-defined models, whose
+    weights exist only as an expression.
     """
     cell_types = list(scorer.cell_types)
     n_models = len(cell_types)
@@ -253,7 +265,7 @@ def predict_expression(features: DataFrame, scorer: Scorer, engine: str = "auto"
         # no data is read here: fixed-width weights come from the models, a
         # rule-based set builds its weights from each row's vector width
         lw = scorer.linear_weights() if hasattr(scorer, "linear_weights") else None
-        if lw is not None:
+        if lw is not None and engine == "native":
             return predict_expression_native(features, cell_types, lw[0], lw[1])
         if hasattr(scorer, "weight_expr"):
             return _predict_rule_native(features, scorer)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CHECKS = ("has_gene_name", "all_numeric", "no_duplicate_columns", "no_missing_genes",
@@ -12,8 +12,8 @@ CHECKS = ("has_gene_name", "all_numeric", "no_duplicate_columns", "no_missing_ge
 
 
 def validate_matrix(df: DataFrame, key: str = "gene_name", group_by: Sequence[str] = (),
-                    header: Sequence[str] | None = None, sample_rows: int | None = None
-                    ) -> DataFrame:
+                    header: Sequence[str] | None = None, sample_rows: int | None = None,
+                    order_col: str | None = None) -> DataFrame:
     """Shape (``n_samples``, ``n_genes``) and checks per group of a matrix.
 
     * has_gene_name: the key column exists;
@@ -22,14 +22,21 @@ def validate_matrix(df: DataFrame, key: str = "gene_name", group_by: Sequence[st
     * no_missing_genes / no_duplicate_genes on the key.
 
     All rows are checked; ``sample_rows`` limits the content checks to the
-    first rows, as a quick look.
+    first rows of each group (by ``order_col``, else in scan order), as a quick
+    look. ``n_genes`` counts every row in either case.
     """
     group_by = list(group_by)
     value_cols = [c for c in df.columns if c not in (key, *group_by)]
     names = list(header) if header is not None else list(df.columns)
     no_dup_cols = len(names) == len(set(names))
     has_key = key in df.columns
-    data = df.limit(sample_rows) if sample_rows else df
+    data = df
+    if sample_rows:
+        by = F.col(order_col) if order_col else F.col("_pos")
+        first = Window.partitionBy(*(group_by or [F.lit(0)])).orderBy(by)
+        data = df if order_col else df.withColumn("_pos", F.monotonically_increasing_id())
+        data = data.withColumn("_rank", F.row_number().over(first)).where(
+            F.col("_rank") <= sample_rows)
     keycol = F.col(key) if has_key else F.lit(None).cast("string")
     bad_cells = F.exists(
         F.array(*[F.col(c).cast("string") for c in value_cols]) if value_cols
@@ -43,6 +50,12 @@ def validate_matrix(df: DataFrame, key: str = "gene_name", group_by: Sequence[st
         F.sum(F.when(F.col("_k").isNull(), F.col("_n")).otherwise(0)).alias("_nullk"),
         F.count_if(F.col("_k").isNotNull() & (F.col("_n") > 1)).alias("_dupk"),
     )
+    if sample_rows:
+        total = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_all"))
+        one = group_by or ["_one"]
+        if not group_by:
+            agg, total = agg.withColumn("_one", F.lit(1)), total.withColumn("_one", F.lit(1))
+        agg = agg.join(total, one).withColumn("n_genes", F.col("_all"))
     return agg.select(
         *group_by,
         F.lit(len(value_cols)).cast("long").alias("n_samples"),

@@ -5,8 +5,9 @@ stage, not from the raw inputs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twasprep.operators import expression as X
 from twasprep.operators import features as FT
@@ -143,9 +144,13 @@ def gene_features_job(spark: SparkSession, tensors_path: str, windows_path: str,
     """Region tensors (Parquet) -> region features -> gene mean features."""
     tensors = spark.read.parquet(tensors_path)
     regions = FT.region_bin_means(tensors)
-    regions = regions.withColumn("ord", F.monotonically_increasing_id())
+    # row position inside the sample, from 0: chunks are cut per sample
+    regions = regions.withColumn("_row", F.monotonically_increasing_id())
+    regions = regions.withColumn("ord", (F.row_number().over(Window.partitionBy(
+        "sample_id").orderBy("_row")) - 1).cast("long")).drop("_row")
     regions.write.mode(mode).partitionBy("sample_id").parquet(f"{out_dir}/region_features")
-    feats = spark.read.parquet(f"{out_dir}/region_features")
+    # with the schema given, ids such as 007 stay text in the partition folders
+    feats = spark.read.schema(regions.schema).parquet(f"{out_dir}/region_features")
     windows = S.read_gene_windows(spark, windows_path)
     means = (FT.first_chunk_means(windows, feats, chunk_rows) if chunk_rows
              else FT.gene_region_means(windows, feats))
@@ -153,11 +158,20 @@ def gene_features_job(spark: SparkSession, tensors_path: str, windows_path: str,
     W.write_gene_features(means, f"{out_dir}/gene_features", mode=mode)
 
 
+def _text_ids(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose partition folder ``sample_id`` is read as text."""
+    schema = spark.read.parquet(path).schema
+    for field in schema.fields:
+        if field.name == "sample_id":
+            field.dataType = T.StringType()
+    return spark.read.schema(schema).parquet(path)
+
+
 def prediction_job(spark: SparkSession, gene_features_path: str, scorer, out_dir: str,
                    manifest_path: str | None = None) -> None:
     """Gene features -> z-scores -> long predictions, for samples that have no
     successful manifest entry yet; appends the new manifest entries."""
-    feats = spark.read.parquet(gene_features_path)
+    feats = _text_ids(spark, gene_features_path)
     if manifest_path is not None and _exists(spark, manifest_path):
         manifest = spark.read.parquet(manifest_path)
         todo = MF.pending(feats.select(F.col("sample_id").alias("key")).distinct(),
@@ -231,7 +245,7 @@ def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
         # parse; the listing does not open the files
         listed = list_files(spark, predictions_csv, recursive=True).where(
             F.col("file_name").endswith(".csv") | F.col("file_name").endswith(".csv.gz"))
-        samples = [r.s for r in listed.select(sample_from_path("path").alias("s"))
+        samples = [r.s for r in listed.select(sample_from_path("path", S.CSV_SUFFIX).alias("s"))
                    .distinct().collect()]
     long = X.predictions_long_from_files(files)
     _write_matrices(long, samples, out_dir, mode)

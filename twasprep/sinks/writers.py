@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from twasprep.functions.genotype import render_maf
 from twasprep.operators.genotype import sample_values
 from twasprep.schemas import (
-    CONSTANT_R2,
     EXPORT_KEY,
     MISSING_DOSAGE_TOKEN,
     SNP_ANNOTATION_COLUMNS,
@@ -69,7 +68,8 @@ def snp_annotation_columns(snps: DataFrame, missing_maf: str = "NA") -> list:
         maf = F.when(F.col("MAF").isNull(), F.lit(missing_maf)).otherwise(maf)
     rendered = {
         "MAF": maf,
-        "R2": F.coalesce(F.format_string("%.1f", F.col("R2")), F.lit(CONSTANT_R2)),
+        # passed through: 1.0 where this library created it, else as it was read
+        "R2": F.coalesce(F.col("R2").cast("string"), F.lit("NA")),
     }
     return [rendered.get(c, F.col(c).cast("string")).alias(c) for c in SNP_ANNOTATION_COLUMNS]
 

@@ -29,8 +29,18 @@ class HeaderedRows:
         return self.rows.join(F.broadcast(self.headers), "file_path")
 
 
+#: What is taken off a CSV file's name to get its sample (the prediction stage
+#: names its files ``<sample>.csv_predicted_expressions.csv``).
+CSV_SUFFIX = r"(\.csv)?(_predicted_expressions)?\.csv(\.gz|\.bz2)?$"
+
+
+def _strip(value: Column | str) -> Column:
+    """Blanks of every kind removed from both ends (``trim`` knows spaces only)."""
+    return F.btrim(F.col(value) if isinstance(value, str) else value, F.lit(" \t\r\n\x0b\f"))
+
+
 def _split_ws(value: Column) -> Column:
-    return F.split(F.trim(value), r"\s+")
+    return F.split(_strip(value), r"\s+")
 
 
 def parse_dosage_matrix(lines: DataFrame, header_token: str = "varID") -> HeaderedRows:
@@ -186,13 +196,14 @@ def read_predictions_csv(spark: SparkSession, path: str | list[str],
     """Per-sample prediction CSVs (``gene_name`` + one column per cell type).
 
     Files may differ in their column sets; cells are looked up per file by
-    header name. ``sample_id`` is the file stem up to its first dot.
+    header name. ``sample_id`` is the file name without its known
+    endings (``CSV_SUFFIX``), so names that hold dots stay apart.
     """
     lines = read_lines(spark, path, path_glob=path_glob)
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
     headers = (fields.where(F.col("line_no") == 0)
                .select("file_path", F.col("f").alias("names"),
-                       sample_from_path("file_path").alias("sample_id")))
+                       sample_from_path("file_path", CSV_SUFFIX).alias("sample_id")))
     rows = (fields.where((F.col("line_no") > 0) & (F.length(F.array_join("f", "")) > 0))
             .select("file_path", "line_no", F.col("f").alias("fields")))
     return HeaderedRows(rows=rows, headers=headers)
@@ -205,7 +216,7 @@ def read_gene_annotation(spark: SparkSession, path: str | list[str]) -> DataFram
     order for "last definition wins".
     """
     lines = read_lines(spark, path)
-    f = F.split(F.trim("value"), "\t")
+    f = F.split(_strip("value"), "\t")
     return (lines.where(F.col("line_no") > 0)
             .select(f.alias("f"), "line_no", "file_path")
             .where(F.size("f") >= 3)
@@ -223,7 +234,7 @@ def read_cell_type_matrix(spark: SparkSession, path: str | list[str],
     carries ``cell_type`` = file stem without ``_predictions``.
     """
     lines = read_lines(spark, path, path_glob=path_glob)
-    stripped = lines.select("file_path", "line_no", F.trim("value").alias("v"))
+    stripped = lines.select("file_path", "line_no", _strip("value").alias("v"))
     header_pos = (stripped.where(F.col("v").startswith("gene_name"))
                   .groupBy("file_path").agg(F.min("line_no").alias("_h")))
     j = stripped.join(F.broadcast(header_pos), "file_path")

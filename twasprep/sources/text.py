@@ -29,7 +29,9 @@ def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "den
         reader = reader.option("pathGlobFilter", path_glob)
     raw = reader.text(path).select(
         F.col("value"),
-        F.col("_metadata.file_path").alias("file_path"),
+        # the metadata path is percent-encoded; listings and samples are not
+        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        .alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
     if numbering == "none":
