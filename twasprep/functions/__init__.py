@@ -1,4 +1,5 @@
-"""Column expressions. All of them compile to JVM expressions (codegen)."""
+"""Column expressions. All run in the JVM; array lambdas
+(``transform``, ``aggregate``, ``zip_with``) are interpreted, the rest is generated code."""
 
 from twasprep.functions.genotype import (  # noqa: F401
     allele_counts_of,

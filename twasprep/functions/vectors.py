@@ -1,4 +1,4 @@
-"""Array (vector) expressions evaluated row-locally inside codegen."""
+"""Array (vector) expressions evaluated row-locally in the JVM (array lambdas are interpreted)."""
 
 from __future__ import annotations
 
