@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from twasprep.llm import mixing
+import string
+
+from twasprep.llm import mixing, urls
 
 
 def _hash52(text: str) -> str:
@@ -11,7 +13,56 @@ def _hash52(text: str) -> str:
 
 _ID = "coalesce(doc_id::VARCHAR, 'null')"
 
+
+def _lower(x: str) -> str:
+    return f"translate({x}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+
+def _urls_sql() -> str:
+    """Rules, edges, and the rounds of both propagations as one chain of CTEs."""
+    rest = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+    part = "regexp_extract(rest, '^([^/?#]*)([^?#]*)', {})"
+    link = urls.LINK.replace("'", "''")
+    order = sorted(urls.RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v)
+            for h, p, v in order]
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits) + " END"
+    d = urls.DAMPING
+    rounds = ["r0 AS (SELECT kind, host, mass AS score FROM seeds)"]
+    for i in range(1, urls.ROUNDS + 1):
+        rounds.append(f"""r{i} AS (SELECT kind, host, sum(score) AS score FROM (
+  SELECT kind, host, mass * {1.0 - d} AS score FROM seeds UNION ALL
+  SELECT s.kind, s.dst, r.score * s.share * {d} FROM share s
+  JOIN r{i - 1} r ON s.kind = r.kind AND s.src = r.host) GROUP BY 1, 2)""")
+    return f"""
+WITH a AS (SELECT page_id, html, coalesce({rest}, '') AS rest FROM pages),
+b AS (SELECT page_id, html, {_lower(part.format(1))} AS host, {part.format(2)} AS path FROM a),
+p AS (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM b),
+sd AS (SELECT DISTINCT CASE WHEN by_rule = 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host
+       FROM p WHERE by_rule IS NOT NULL AND host <> ''),
+seeds AS (SELECT kind, host, 1.0::DOUBLE / count(*) OVER (PARTITION BY kind) AS mass FROM sd),
+x AS (SELECT host AS src, {_lower("unnest(regexp_extract_all(coalesce(html, ''), '" + link + "', 1))")} AS dst
+      FROM p),
+e AS (SELECT src, dst, count(*) AS n FROM x WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY 1, 2),
+both_ways AS (SELECT 'trust' AS kind, src, dst, n FROM e UNION ALL SELECT 'distrust', dst, src, n FROM e),
+share AS (SELECT kind, src, dst, n::DOUBLE / sum(n) OVER (PARTITION BY kind, src) AS share FROM both_ways),
+{", ".join(rounds)},
+h AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN score ELSE 0.0 END), 9) AS trust,
+             abs(round(sum(CASE WHEN kind = 'distrust' THEN score ELSE 0.0 END), 9)) AS distrust
+      FROM (SELECT * FROM r{urls.ROUNDS} UNION ALL
+            SELECT kind, host, -mass * {1.0 - d} FROM seeds WHERE kind = 'distrust') GROUP BY 1),
+j AS (SELECT p.page_id, p.host, p.path, p.rule, p.by_rule, coalesce(h.trust, 0.0)::DOUBLE AS trust,
+             coalesce(h.distrust, 0.0)::DOUBLE AS distrust,
+             (SELECT count(DISTINCT host) FROM p) AS n_hosts
+      FROM p LEFT JOIN h ON p.host = h.host)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN distrust > {urls.RATIO} * trust
+       AND distrust * n_hosts > {urls.LEAST} THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+FROM j"""
+
+
 ORACLE_SQL = {
+    "op9_urls": _urls_sql(),
     "op5_mixing": f"""
 WITH s AS (SELECT coalesce(source, '') AS src,
                   sum(greatest(coalesce(length(text), 0), 1))::DOUBLE AS size
