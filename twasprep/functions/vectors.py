@@ -6,6 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def place_by_position(entries: Column, width: int) -> Column:
+    """``array<struct<ord, value>>`` (0-based, one entry per ``ord``) -> array of
+    ``width`` values, NULL where no entry stands. One pass over the sorted
+    entries: the gap before each is filled from its distance to the one before."""
+
+    def fill(z: Column) -> Column:
+        def step(e: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(z, i - 1)["ord"], F.lit(-1))
+            gap = F.array_repeat(F.nullif(e["value"], e["value"]), e["ord"] - before - 1)
+            return F.concat(gap, F.array(e["value"]))
+
+        last = F.coalesce(F.get(z, F.size(z) - 1)["ord"], F.lit(-1))
+        return F.struct(F.flatten(F.transform(z, step)).alias("head"),
+                        (F.lit(width - 1) - last).alias("rest"))
+
+    def close(s: Column) -> Column:
+        return F.concat(s["head"], F.array_repeat(F.get(s["head"], F.lit(-1)), s["rest"]))
+
+    # each array is bound once by a one-element transform
+    filled = F.get(F.transform(F.array(F.array_sort(entries)), fill), F.lit(0))
+    return F.get(F.transform(F.array(filled), close), F.lit(0))
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twasprep.functions.vectors import place_by_position
 from twasprep.operators.common import last_wins
 from twasprep.schemas import (
     CELL_TYPES,
@@ -32,6 +33,14 @@ def rename_predictions(df: DataFrame, cell_types: Sequence[str] = CELL_TYPES) ->
     return df.withColumnsRenamed(rename_map(cell_types))
 
 
+def rename_headers(files: HeaderedRows, cell_types: Sequence[str] = CELL_TYPES) -> HeaderedRows:
+    """The same on text files: only the header names change, per file; rows stay
+    as they are (repeated genes, other columns and the cells' text included)."""
+    new = F.create_map(*[F.lit(x) for kv in rename_map(cell_types).items() for x in kv])
+    names = F.transform("names", lambda n: F.coalesce(F.try_element_at(new, n), n))
+    return HeaderedRows(rows=files.rows, headers=files.headers.withColumn("names", names))
+
+
 def gene_key(df: DataFrame, key: str = "gene_name") -> DataFrame:
     """Use ``gene_name`` when present, else the first column, as the gene key."""
     if key in df.columns:
@@ -94,14 +103,15 @@ def cell_type_matrix(long: DataFrame, samples: Sequence[str], order_col: str | N
 
     ``samples`` are the discovered samples (all become columns, also those
     without any row: NULL). With ``order_col`` a repeated (sample, gene,
-    cell type) keeps its last value. A cell type without rows yields no rows.
+    cell type) keeps its last value, without it the largest. A cell type without
+    rows yields no rows.
     """
     cols = sorted(samples)
     if order_col is not None:
         long = last_wins(long.select("cell_type", "gene_name", "sample_id", "prediction", order_col),
                          ["cell_type", "gene_name", "sample_id"], order_col)
     return (long.groupBy("cell_type", "gene_name").pivot("sample_id", cols)
-            .agg(F.first("prediction")))
+            .agg(F.max("prediction")))
 
 
 # Name used by the file-level API (one matrix per cell type).
@@ -115,18 +125,22 @@ def cell_type_matrix_lines(long: DataFrame, samples: Sequence[str], sep: str = "
                            order_col: str | None = None) -> DataFrame:
     """Text rows of every cell-type matrix without a column per sample:
     ``cell_type, value`` where value = gene then the sorted samples' cells
-    (empty when missing). Suitable for thousands of samples."""
+    (empty when missing); a repeated key is settled as in
+    ``cell_type_matrix``. Work and plan grow linearly with the samples."""
     cols = sorted(samples)
     keys = ["cell_type", "gene_name", "sample_id"]
     if order_col is not None:
         long = last_wins(long.select(*keys, "prediction", order_col), keys, order_col)
     else:
         # one value per (cell type, gene, sample) before gathering a gene's row
-        long = long.groupBy(*keys).agg(F.first("prediction").alias("prediction"))
-    per_gene = long.groupBy("cell_type", "gene_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("sample_id", "prediction"))).alias("_m"))
-    cells = F.transform(F.array(*[F.lit(s) for s in cols]),
-                        lambda s: F.coalesce(F.element_at("_m", s).cast("string"), F.lit("")))
+        long = long.groupBy(*keys).agg(F.max("prediction").alias("prediction"))
+    # the sample's column number instead of one literal per sample in the plan
+    listed = long.sparkSession.createDataFrame(list(enumerate(cols)), "ord int, sample_id string")
+    entry = F.struct("ord", F.col("prediction").alias("value"))
+    per_gene = long.join(listed, "sample_id", "left").groupBy("cell_type", "gene_name").agg(
+        F.collect_list(F.when(F.col("ord").isNotNull(), entry)).alias("_e"))
+    cells = F.transform(place_by_position(F.col("_e"), len(cols)),
+                        lambda v: F.coalesce(v.cast("string"), F.lit("")))
     return per_gene.select("cell_type", F.concat_ws(sep, "gene_name", F.array_join(cells, sep))
                            .alias("value"))
 

@@ -27,6 +27,7 @@ from twasprep.functions.genotype import (
     reformat_varid,
     variant_id,
 )
+from twasprep.functions.vectors import place_by_position
 from twasprep.operators.common import chromosome_list, last_wins
 from twasprep.schemas import CONSTANT_R2, SNP_ANNOTATION_COLUMNS, UNRESOLVED_RSID
 from twasprep.sources.tables import HeaderedRows
@@ -109,7 +110,7 @@ def dosage_matrix(dosages: DataFrame, samples: DataFrame | Sequence[str],
     """
     values = sample_values(samples)
     return (dosages.groupBy(key).pivot("sample_id", values)
-            .agg(F.first("dosage", ignorenulls=True)))
+            .agg(F.max("dosage")))
 
 
 def dosage_arrays(dosages: DataFrame, samples: DataFrame | Sequence[str],
@@ -120,12 +121,13 @@ def dosage_arrays(dosages: DataFrame, samples: DataFrame | Sequence[str],
     at most one entry per listed sample.
     """
     values = sample_values(samples)
-    per_var = (dosages.groupBy(key, "sample_id").agg(F.first("dosage", ignorenulls=True)
-                                                     .alias("dosage"))
-               .groupBy(key).agg(F.map_from_entries(F.collect_list(
-                   F.struct("sample_id", "dosage"))).alias("_m")))
-    listed = F.array(*[F.lit(s) for s in values])
-    return per_var.select(key, F.transform(listed, lambda s: F.element_at("_m", s))
+    listed = dosages.sparkSession.createDataFrame(list(enumerate(values)),
+                                                  "ord int, sample_id string")
+    entry = F.struct("ord", F.col("dosage").alias("value"))
+    per_var = (dosages.groupBy(key, "sample_id").agg(F.max("dosage").alias("dosage"))
+               .join(listed, "sample_id", "left").groupBy(key)
+               .agg(F.collect_list(F.when(F.col("ord").isNotNull(), entry)).alias("_e")))
+    return per_var.select(key, place_by_position(F.col("_e"), len(values))
                           .cast("array<tinyint>").alias("dosages"))
 
 
@@ -211,6 +213,17 @@ def filter_chromosomes(df: DataFrame, chromosomes, col: str = "chromosome") -> D
     return df if names is None else df.where(F.col(col).isin(names))
 
 
+def maf_annotation_of(cells: DataFrame, annotation: DataFrame, chromosomes="all") -> DataFrame:
+    """GT calls (``varid, chrom, sample_id, gt``) and annotation -> SNP annotation
+    of the listed chromosomes, filtered on both sides before anything is
+    aggregated or shuffled."""
+    names = chromosome_list(chromosomes)
+    if names is not None:
+        listed = clean_chromosome("chrom").isin(names)
+        cells, annotation = cells.where(listed), annotation.where(listed)
+    return annotate_maf(annotation, maf_table(allele_counts(dosage_from_gt(cells))))
+
+
 def chromosome_order(df: DataFrame, col: str = "chromosome") -> DataFrame:
     """Distinct chromosome names with their natural rank (1, 2, ..., 10, X)."""
     # The ranked set is the distinct chromosome names (a few dozen rows).

@@ -321,7 +321,7 @@ def predictions_wide(long: DataFrame, cell_types: Sequence[str] | None = None,
     """Long predictions -> one column per cell type (``{ct}{suffix}``)."""
     values = list(cell_types) if cell_types is not None else list(CELL_TYPES)
     wide = (long.groupBy("sample_id", "gene_name").pivot("cell_type", values)
-            .agg(F.first("prediction")))
+            .agg(F.max("prediction")))
     return wide.select("sample_id", "gene_name",
                        *[F.col(ct).alias(f"{ct}{suffix}") for ct in values])
 

@@ -17,11 +17,10 @@ first match preferring bare names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twasprep.functions.genotype import clean_chromosome
-from twasprep.operators.common import first_n_per_key
 from twasprep.schemas import UNRESOLVED_RSID
 
 _KEYS = ["chrom_key", "pos", "ref", "match_alt"]
@@ -71,6 +70,32 @@ def covered_positions(dbsnp: DataFrame, naming: int | None = None) -> DataFrame:
                     F.explode(F.sequence(F.col("pos"), F.col("pos") + span - 1)).alias("q"))
 
 
+def rsid_lookup(dbsnp: DataFrame, naming: str = "strict") -> DataFrame:
+    """The id a lookup finds per match key, settled on the dbSNP side.
+
+    A bare-named match always wins (it proves that the bare region query has a
+    record). Only keys matched under the ``chr`` name alone are in doubt: in
+    strict mode they count unless some bare-named record overlaps the
+    position. Of the bare records' positions only those where a ``chr``-named
+    record starts are kept, so a file with one naming checks nothing.
+    """
+    keys = dbsnp_match_keys(dbsnp)
+    if naming == "normalized":
+        return keys.select(*_KEYS, F.coalesce("rsid_bare", "rsid_chr").alias("_resolved"))
+    n = normalize_dbsnp(dbsnp)
+    starts = (n.where((F.col("naming") == 1) & F.col("pos").isNotNull())
+              .select(F.col("chrom_key").alias("_bk"), F.col("pos").alias("_bq")).distinct())
+    bare = (covered_positions(dbsnp, naming=0)
+            .select(F.col("chrom_key").alias("_bk"), F.col("q").alias("_bq"))
+            .join(starts, ["_bk", "_bq"], "left_semi").distinct()
+            .withColumn("_bare_hit", F.lit(True)))
+    in_doubt = F.col("rsid_bare").isNull() & F.col("rsid_chr").isNotNull()
+    j = keys.join(bare, (F.col("chrom_key") == F.col("_bk")) & (F.col("pos") == F.col("_bq"))
+                  & in_doubt, "left")
+    return j.select(*_KEYS, F.when(F.col("rsid_bare").isNotNull(), F.col("rsid_bare"))
+                    .when(F.col("_bare_hit").isNull(), F.col("rsid_chr")).alias("_resolved"))
+
+
 def _prepared(snps: DataFrame) -> DataFrame:
     if "rsid" not in snps.columns:
         snps = snps.withColumn("rsid", F.lit(UNRESOLVED_RSID))
@@ -114,40 +139,31 @@ def resolve_rsids(
         chrom_col = F.col("_file_chrom")
     elif lookup_chromosome != "row":
         raise ValueError("lookup_chromosome must be 'row' or 'file'")
-    keyed = snps.select(
+    is_open = F.coalesce(F.col("rsid") == F.lit(UNRESOLVED_RSID), F.lit(False))
+    keyed = snps.where(is_open).select(
         "*",
         clean_chromosome(chrom_col.cast("string")).alias("_ck"),
         F.col("pos").cast("long").alias("_pos"),
         F.col("ref_vcf").cast("string").alias("_ref"),
         F.col("alt_vcf").cast("string").alias("_alt"),
     )
-    keys = dbsnp_match_keys(dbsnp)
-    keys = keys.withColumn("_h", F.xxhash64(*_KEYS))
+    lookup = rsid_lookup(dbsnp, naming).withColumn("_h", F.xxhash64(*_KEYS))
     keyed = keyed.withColumn("_h", F.xxhash64("_ck", "_pos", "_ref", "_alt"))
     # ``_h`` is a function of the four keys. Joining on it as well makes the
     # planner shuffle both inputs for the join itself instead of reusing the
     # aggregate's partitioning, which is the shape AQE can split when one
     # key holds a large share of the variants.
     j = keyed.join(
-        keys,
-        (keyed["_h"] == keys["_h"]) & (keyed["_ck"] == keys["chrom_key"])
-        & (keyed["_pos"] == keys["pos"])
-        & (keyed["_ref"] == keys["ref"]) & (keyed["_alt"] == keys["match_alt"])
-        & (keyed["rsid"] == F.lit(UNRESOLVED_RSID)),
+        lookup,
+        (keyed["_h"] == lookup["_h"]) & (keyed["_ck"] == lookup["chrom_key"])
+        & (keyed["_pos"] == lookup["pos"])
+        & (keyed["_ref"] == lookup["ref"]) & (keyed["_alt"] == lookup["match_alt"]),
         "left",
-    ).select(*[keyed[c] for c in keyed.columns if c != "_h"], "rsid_bare", "rsid_chr")
-    if naming == "strict":
-        bare = (covered_positions(dbsnp, naming=0)
-                .select(F.col("chrom_key").alias("_bk"), F.col("q").alias("_bq")).distinct()
-                .withColumn("_bare_hit", F.lit(True))
-                .withColumn("_bh", F.xxhash64("_bk", "_bq")))
-        j = j.withColumn("_jh", F.xxhash64("_ck", "_pos"))
-        j = j.join(bare, (j["_jh"] == bare["_bh"]) & (j["_ck"] == bare["_bk"])
-                   & (j["_pos"] == bare["_bq"])
-                   & (j["rsid"] == F.lit(UNRESOLVED_RSID)), "left")
-        resolved = F.when(F.col("_bare_hit"), F.col("rsid_bare")).otherwise(F.col("rsid_chr"))
-    else:
-        resolved = F.coalesce("rsid_bare", "rsid_chr")
+    ).select(*[keyed[c] for c in cols], "_resolved")
+    # rows that already have an id (or NULL) never enter the join
+    closed = snps.where(~is_open).select(*cols, F.lit(None).cast("string").alias("_resolved"))
+    j = j.unionByName(closed)
+    resolved = F.col("_resolved")
     open_row = F.col("rsid") == F.lit(UNRESOLVED_RSID)
     if legacy_fill and has150:
         legacy = F.when(F.col("rsid_dbSNP150").isNotNull()
@@ -181,7 +197,7 @@ def rsid_stats(resolved: DataFrame) -> DataFrame:
 def rsid_naming_report(snps: DataFrame, dbsnp: DataFrame, n: int = 3,
                        sample_size: int | None = None, order_col: str | None = None
                        ) -> DataFrame:
-    """Per variant: region hits under the bare and the ``chr`` name, and the
+    """Per variant row: region hits under the bare and the ``chr`` name, and the
     first ``n`` record ids of the naming a lookup would use.
 
     Hits are records overlapping the position; the first ``n`` come from a
@@ -194,25 +210,36 @@ def rsid_naming_report(snps: DataFrame, dbsnp: DataFrame, n: int = 3,
     v = (snps.select("varID", clean_chromosome(F.col("chromosome").cast("string")).alias("_ck"),
                      F.col("pos").cast("long").alias("_pos"))
          .where(F.col("_pos").isNotNull()))
+    # one lookup per position: variants that share an id or a position do not
+    # multiply each other's hits
+    at = v.select("_ck", "_pos").distinct()
     cov = covered_positions(dbsnp)
-    hits = v.join(cov, (v["_ck"] == cov["chrom_key"]) & (v["_pos"] == cov["q"]))
-    counts = hits.groupBy("varID").agg(
-        F.count_if(F.col("naming") == 0).cast("long").alias("bare_hits"),
-        F.count_if(F.col("naming") == 1).cast("long").alias("chr_hits"),
-    )
-    top = first_n_per_key(hits.select("varID", "naming", "rsid", "ord"),
-                          ["varID", "naming"], ["ord"], n)
-    used = counts.select("varID", F.when(F.col("bare_hits") > 0, F.lit(0))
-                         .when(F.col("chr_hits") > 0, F.lit(1)).alias("naming"))
-    shown = (top.join(used, ["varID", "naming"])
-             .groupBy("varID", "naming")
-             .agg(F.array_sort(F.collect_list(F.struct("rank", "rsid"))).alias("_r"))
-             .select("varID",
-                     F.when(F.col("naming") == 0, F.lit("bare")).otherwise(F.lit("chr"))
-                     .alias("used_naming"),
-                     F.array_join(F.transform("_r", lambda s: s["rsid"]), ",").alias("first_hits")))
-    return (v.select("varID").join(counts, "varID", "left").join(shown, "varID", "left")
-            .select("varID",
-                    F.coalesce("bare_hits", F.lit(0).cast("long")).alias("bare_hits"),
-                    F.coalesce("chr_hits", F.lit(0).cast("long")).alias("chr_hits"),
-                    "used_naming", "first_hits"))
+    hits = at.join(cov, (at["_ck"] == cov["chrom_key"]) & (at["_pos"] == cov["q"])).select(
+        "_ck", "_pos", "naming", "rsid", "ord")
+    parts = int(snps.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    salted = hits.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(max(64, 4 * parts))))
+    bucket = Window.partitionBy("_ck", "_pos", "naming", "_salt")
+    # counts and first records travel together: at most n rows per bucket, the
+    # first of which carries the bucket's count
+    kept = (salted.withColumn("_n", F.count(F.lit(1)).over(bucket))
+            .withColumn("_r", F.row_number().over(bucket.orderBy("ord")))
+            .where(F.col("_r") <= n))
+
+    def count_of(k: int) -> Column:
+        one = F.when((F.col("naming") == k) & (F.col("_r") == 1), F.col("_n"))
+        return F.coalesce(F.sum(one), F.lit(0)).cast("long")
+
+    def first_of(k: int) -> Column:
+        ids = F.collect_list(F.when(F.col("naming") == k, F.struct("ord", "rsid")))
+        return F.array_join(F.transform(F.slice(F.array_sort(ids), 1, n), lambda s: s["rsid"]), ",")
+
+    found = kept.groupBy("_ck", "_pos").agg(
+        count_of(0).alias("bare_hits"), count_of(1).alias("chr_hits"),
+        first_of(0).alias("_bare"), first_of(1).alias("_chr"))
+    bare_used, chr_used = F.col("bare_hits") > 0, F.col("chr_hits") > 0
+    return v.join(found, ["_ck", "_pos"], "left").select(
+        "varID",
+        F.coalesce("bare_hits", F.lit(0).cast("long")).alias("bare_hits"),
+        F.coalesce("chr_hits", F.lit(0).cast("long")).alias("chr_hits"),
+        F.when(bare_used, F.lit("bare")).when(chr_used, F.lit("chr")).alias("used_naming"),
+        F.when(bare_used, F.col("_bare")).when(chr_used, F.col("_chr")).alias("first_hits"))

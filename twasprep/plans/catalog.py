@@ -73,7 +73,8 @@ def q_chromosome_order(spark, sf_dir):
 
 
 def q_chromosome_filter(spark, sf_dir):
-    return G.filter_chromosomes(_maf_annotation(spark, sf_dir), CHROMOSOME_SELECTION)
+    return G.maf_annotation_of(V.gt_cells(spark, sf_dir), V.variant_annotation_rows(spark, sf_dir),
+                               CHROMOSOME_SELECTION)
 
 
 def _materialised(df: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from twasprep.operators import manifest as MF
 from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
+from twasprep.operators.common import chromosome_list
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.text import list_files, read_sample_list, sample_from_path
@@ -105,11 +106,27 @@ def extract_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out
     W.write_variant_annotation(ann, f"{out_dir}/variant_annotation", mode=mode)
 
 
+def _of_chromosomes(chromosomes):
+    """Files to open: those of the listed chromosomes (``chr<X>_...`` or a
+    ``chrom=chr<X>`` folder) and those whose path names none."""
+    names = chromosome_list(chromosomes)
+    if names is None:
+        return None
+
+    def keep(path):
+        named = F.coalesce(F.nullif(F.regexp_extract(path, "/chrom=(?:chr)?([^/]+)/[^/]*$", 1), F.lit("")),
+                           F.regexp_extract(path, "/chr([^/_.]+)[_.][^/]*$", 1))
+        return (named == "") | named.isin(names)
+
+    return keep
+
+
 def maf_annotation(spark: SparkSession, genotype_path: str, annotation_path: str,
                    chromosomes="all") -> DataFrame:
     """Dosage-matrix text + headerless annotation text -> SNP annotation."""
-    matrix = S.read_dosage_matrix(spark, genotype_path)
-    ann = S.read_variant_annotation(spark, annotation_path)
+    keep = _of_chromosomes(chromosomes)
+    matrix = S.read_dosage_matrix(spark, genotype_path, keep_path=keep)
+    ann = S.read_variant_annotation(spark, annotation_path, keep_path=keep)
     maf = G.maf_table(G.matrix_allele_counts(matrix))
     snps = G.annotate_maf(ann, maf)
     return G.filter_chromosomes(snps, chromosomes)

@@ -65,9 +65,10 @@ def parse_dosage_matrix(lines: DataFrame, header_token: str = "varID") -> Header
 
 
 def read_dosage_matrix(spark: SparkSession, path: str | list[str],
-                       path_glob: str | None = None) -> HeaderedRows:
+                       path_glob: str | None = None, keep_path=None) -> HeaderedRows:
     """Scan genotype matrix text files in one pass (see ``parse_dosage_matrix``)."""
-    return parse_dosage_matrix(read_lines(spark, path, numbering="order", path_glob=path_glob))
+    return parse_dosage_matrix(read_lines(spark, path, numbering="order", path_glob=path_glob,
+                                          keep_path=keep_path))
 
 
 def parse_variant_annotation(lines: DataFrame, rejects: bool = False) -> DataFrame:
@@ -93,11 +94,13 @@ def parse_variant_annotation(lines: DataFrame, rejects: bool = False) -> DataFra
 
 
 def read_variant_annotation(spark: SparkSession, path: str | list[str],
-                            rejects: bool = False, path_glob: str | None = None) -> DataFrame:
+                            rejects: bool = False, path_glob: str | None = None,
+                            keep_path=None) -> DataFrame:
     """Scan headerless variant annotation files in one pass (see
     ``parse_variant_annotation``)."""
     return parse_variant_annotation(
-        read_lines(spark, path, numbering="order", path_glob=path_glob), rejects)
+        read_lines(spark, path, numbering="order", path_glob=path_glob, keep_path=keep_path),
+        rejects)
 
 
 def read_snp_annotation(spark: SparkSession, path: str | list[str], with_file: bool = False

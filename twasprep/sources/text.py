@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "dense",
-               path_glob: str | None = None) -> DataFrame:
+               path_glob: str | None = None, keep_path=None) -> DataFrame:
     """``(file_path, line_no, value)`` for every line of every matched file.
 
+    ``keep_path`` (file path column -> boolean column) leaves whole files out
+    of the scan.
+
     ``numbering``:
 
     * ``"dense"`` - ``line_no`` is the 0-based position of the line in its
@@ -27,11 +30,14 @@ def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "den
     reader = spark.read
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    raw = reader.text(path).select(
+    # the metadata path is percent-encoded; listings and samples are not
+    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    scan = reader.text(path)
+    if keep_path is not None:
+        scan = scan.where(keep_path(file_path))
+    raw = scan.select(
         F.col("value"),
-        # the metadata path is percent-encoded; listings and samples are not
-        F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        .alias("file_path"),
+        file_path.alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
     if numbering == "none":
