@@ -41,6 +41,13 @@ def rename_headers(files: HeaderedRows, cell_types: Sequence[str] = CELL_TYPES)
     return HeaderedRows(rows=files.rows, headers=files.headers.withColumn("names", names))
 
 
+def csv_lines(files: HeaderedRows) -> DataFrame:
+    """``sample_id, line_no, header, value``: rows as text beside their file's header."""
+    heads = files.headers.select("file_path", "sample_id", F.array_join("names", ",").alias("header"))
+    return files.rows.join(heads, "file_path").select(
+        "sample_id", "line_no", "header", F.array_join("fields", ",").alias("value"))
+
+
 def gene_key(df: DataFrame, key: str = "gene_name") -> DataFrame:
     """Use ``gene_name`` when present, else the first column, as the gene key."""
     if key in df.columns:
@@ -137,7 +144,7 @@ def cell_type_matrix_lines(long: DataFrame, samples: Sequence[str], sep: str = "
     # the sample's column number instead of one literal per sample in the plan
     listed = long.sparkSession.createDataFrame(list(enumerate(cols)), "ord int, sample_id string")
     entry = F.struct("ord", F.col("prediction").alias("value"))
-    per_gene = long.join(listed, "sample_id", "left").groupBy("cell_type", "gene_name").agg(
+    per_gene = long.select(*keys, "prediction").join(listed, "sample_id", "left").groupBy("cell_type", "gene_name").agg(
         F.collect_list(F.when(F.col("ord").isNotNull(), entry)).alias("_e"))
     cells = F.transform(place_by_position(F.col("_e"), len(cols)),
                         lambda v: F.coalesce(v.cast("string"), F.lit("")))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from twasprep.sources.tables import HeaderedRows
+
 CHECKS = ("has_gene_name", "all_numeric", "no_duplicate_columns", "no_missing_genes",
           "no_duplicate_genes")
 
@@ -68,6 +70,54 @@ def validate_matrix(df: DataFrame, key: str = "gene_name", group_by: Sequence[st
     )
 
 
+def validate_files(matrix: HeaderedRows, sample_rows: int | None = None) -> DataFrame:
+    """The same shape and checks for cell-type matrix files, each by its own header.
+
+    One row per cell type and header; cells are checked in the ``fields`` array,
+    so a repeated column name is reported, and a row with more or fewer cells
+    than its header is not numeric. A file without a header gives a row
+    with every check False. ``sample_rows`` looks at the first rows of each file.
+    """
+    heads = matrix.headers.select("file_path", "cell_type", "names")
+    rows = matrix.rows
+    if sample_rows:
+        first = Window.partitionBy("file_path").orderBy("line_no")
+        rows = rows.withColumn("_looked", F.row_number().over(first) <= sample_rows)
+    else:
+        rows = rows.withColumn("_looked", F.lit(True))
+    at = F.array_position("names", "gene_name")
+    bad = (F.size("fields") != F.size("names")) | F.exists(
+        F.transform("fields", lambda c, i: F.when(i + 1 != at, F.coalesce(
+            c.try_cast("double").isNull(), F.lit(True))).otherwise(F.lit(False))), lambda b: b)
+    gene = F.when(at > 0, F.try_element_at("fields", at.cast("int")))
+    j = rows.join(heads, "file_path").select(
+        "cell_type", "names", F.when(gene != "", gene).alias("_k"),
+        F.col("_looked").cast("int").alias("_l"), (bad & F.col("_looked")).cast("int").alias("_bad"))
+    per_gene = j.groupBy("cell_type", "names", "_k").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_l").alias("_l"), F.sum("_bad").alias("_bad"))
+    agg = per_gene.groupBy("cell_type", "names").agg(
+        F.sum("_n").alias("_n"), F.sum("_bad").alias("_bad"),
+        F.sum(F.when(F.col("_k").isNull(), F.col("_l")).otherwise(0)).alias("_nullk"),
+        F.count_if(F.col("_k").isNotNull() & (F.col("_l") > 1)).alias("_dupk"))
+    # headers without rows and files without a header keep a row
+    out = heads.select("cell_type", "names").distinct().join(
+        agg.withColumnRenamed("names", "_names").withColumnRenamed("cell_type", "_ct"),
+        (F.col("cell_type") == F.col("_ct")) & (F.col("names") == F.col("_names")), "left")
+    read = F.col("names").isNotNull()
+    none = lambda c: read & (F.coalesce(F.col(c), F.lit(0)) == 0)
+    return out.select(
+        "cell_type",
+        F.when(read, F.size("names") - 1).otherwise(0).cast("long").alias("n_samples"),
+        F.coalesce("_n", F.lit(0)).cast("long").alias("n_genes"),
+        (read & F.coalesce(F.array_contains("names", "gene_name"), F.lit(False)))
+        .alias("has_gene_name"),
+        none("_bad").alias("all_numeric"),
+        (read & F.coalesce(F.size(F.array_distinct("names")) == F.size("names"), F.lit(False)))
+        .alias("no_duplicate_columns"),
+        none("_nullk").alias("no_missing_genes"),
+        none("_dupk").alias("no_duplicate_genes"))
+
+
 def validation_report(checks: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     """``validate_matrix`` output as rows ``(<group>, check, passed, detail)``;
     ``detail`` carries the matrix shape."""

@@ -234,20 +234,12 @@ def rename_job(spark: SparkSession, predictions_csv: str, out_dir: str,
                mode: str = "errorifexists") -> None:
     """Per-sample prediction CSVs with legacy column names -> renamed CSVs.
 
-    The sample id is kept as a partition directory (``sample_id=<id>``)."""
-    legacy = "_mean_expression_mean_expression_predicted_expression"
-    files = S.read_predictions_csv(spark, predictions_csv)
-    # cell types whose legacy column occurs in some file (a header listing,
-    # at most one name per cell type reaches the driver)
-    names = files.headers.select(F.explode("names").alias("n")).distinct()
-    present = {r.n for r in names.where(F.col("n").endswith(legacy)).collect()}
-    cts = [ct for ct in X.CELL_TYPES if f"{ct}{legacy}" in present]
-    long = X.predictions_long_from_files(files, cts, suffix=legacy)
-    wide = (long.groupBy("sample_id", "gene_name").pivot("cell_type", cts)
-            .agg(F.first("prediction")))
-    renamed = wide.select("sample_id", "gene_name",
-                          *[F.col(ct).alias(f"{ct}_predicted") for ct in cts])
-    W.write_predictions(renamed, out_dir, mode=mode, compression=None)
+    Only header names change; rows keep their text, order of cells, repeated
+    genes and other columns. The sample id becomes a partition directory
+    (``sample_id=<id>``)."""
+    files = X.rename_headers(S.read_predictions_csv(spark, predictions_csv))
+    lines = X.csv_lines(files)
+    W.write_lines_by_header(lines, out_dir, "sample_id", mode=mode)
 
 
 def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
@@ -269,39 +261,45 @@ def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
 
 
 def transform_job(spark: SparkSession, matrices_csv: str, gene_annotation_path: str,
-                  out_dir: str, mode: str = "errorifexists") -> DataFrame:
+                  out_dir: str, mode: str = "errorifexists",
+                  manifest_path: str | None = None) -> DataFrame:
     """Cell-type matrix CSVs (header discovery) -> PredictDB expression
-    (tab, gzip, NAME + samples) per cell type; returns the unmapped report."""
+    (tab, gzip, NAME + samples) per cell type; returns the unmapped report.
+
+    Every file keeps its own sample header. With ``manifest_path`` cell types
+    already done are skipped, and a file without a header is recorded as failed
+    while the others go on."""
     m = S.read_cell_type_matrix(spark, matrices_csv)
-    j = m.rows.join(F.broadcast(m.headers), "file_path")
+    failed = m.headers.where(F.col("names").isNull()).select("cell_type").distinct()
+    if manifest_path is not None and _exists(spark, manifest_path):
+        # cell types that an earlier run finished are skipped
+        todo = MF.pending(m.headers.select(F.col("cell_type").alias("key")).distinct(),
+                          spark.read.parquet(manifest_path), "transform").select(
+                              F.col("key").alias("cell_type"))
+        m = S.HeaderedRows(m.rows, m.headers.join(todo, "cell_type", "left_semi"))
+        failed = failed.join(todo, "cell_type", "left_semi")
+        mode = "append"
     # cells stay text (as the original conversion keeps them); one array per row
-    wide = j.select("cell_type", F.element_at("fields", 1).alias("gene_name"),
-                    F.slice("fields", 2, F.size("fields") - 1).alias("cells"),
-                    F.slice("names", 2, F.size("names") - 1).alias("samples"))
+    wide = m.joined().select("cell_type", F.element_at("fields", 1).alias("gene_name"),
+                             F.slice("fields", 2, F.size("fields") - 1).alias("cells"),
+                             F.slice("names", 2, F.size("names") - 1).alias("samples"))
     anno = S.read_gene_annotation(spark, gene_annotation_path)
     mapped = X.to_predictdb_expression(wide, anno)
-    lines = mapped.select("cell_type", F.concat_ws("\t", "NAME", F.array_join("cells", "\t"))
-                          .alias("value"))
-    # the matrices of one run share their sample header: one distributed
-    # write, one directory per cell type
-    distinct_headers = m.headers.select("names").distinct().limit(2).collect()
-    if len(distinct_headers) != 1:
-        raise ValueError("cell-type matrices with different sample headers")
-    names = distinct_headers[0].names
-    header = "\t".join(["NAME", *names[1:]])
-    W.write_lines_with_header(lines, header, out_dir, partition_by="cell_type",
-                              compression="gzip", mode=mode)
+    lines = mapped.select(
+        "cell_type", F.concat_ws("\t", F.lit("NAME"), F.array_join("samples", "\t")).alias("header"),
+        F.concat_ws("\t", "NAME", F.array_join("cells", "\t")).alias("value"))
+    W.write_lines_by_header(lines, out_dir, "cell_type", compression="gzip", mode=mode)
+    if manifest_path is not None:
+        done = wide.groupBy("cell_type").agg(F.count(F.lit(1)).cast("long").alias("rows")).select(
+            F.lit("transform").alias("stage"), F.col("cell_type").alias("key"),
+            F.lit("success").alias("status"), "rows")
+        bad = failed.select(F.lit("transform").alias("stage"), F.col("cell_type").alias("key"),
+                            F.lit("failed").alias("status"), F.lit(0).cast("long").alias("rows"))
+        done.unionByName(bad).write.mode("append").parquet(manifest_path)
     return X.unmapped_summary(X.unmapped_genes(wide.select("gene_name"), anno))
 
 
 def validate_job(spark: SparkSession, matrices_csv: str, sample_rows: int | None = None
                  ) -> DataFrame:
     """Shape and V1-V5 checks of every cell-type matrix file."""
-    m = S.read_cell_type_matrix(spark, matrices_csv)
-    j = m.rows.join(F.broadcast(m.headers), "file_path")
-    # matrices of one run share their header; checks run per cell type
-    names = m.headers.select("names").first().names
-    cols = [F.element_at("fields", i + 1).alias(n) for i, n in enumerate(names)]
-    wide = j.select("cell_type", *cols)
-    return VA.validate_matrix(wide, group_by=["cell_type"], header=names,
-                              sample_rows=sample_rows)
+    return VA.validate_files(S.read_cell_type_matrix(spark, matrices_csv), sample_rows)

@@ -121,6 +121,18 @@ def write_lines_with_header(lines: DataFrame, header: str, path: str,
     w.csv(path)
 
 
+def write_lines_by_header(lines: DataFrame, path: str, partition_by: str,
+                          compression: str | None = None, mode: str = "errorifexists") -> None:
+    """Like ``write_lines_with_header`` for lines that bring their own ``header``:
+    one distributed write per distinct header (files of a run share one or a few;
+    only the distinct header lines reach the driver)."""
+    headers = sorted(r.header for r in lines.select("header").distinct().collect())
+    for i, header in enumerate(headers):
+        write_lines_with_header(lines.where(F.col("header") == header), header, path,
+                                partition_by=partition_by, compression=compression,
+                                mode=mode if i == 0 else "append")
+
+
 def _csv_number(x):
     return F.when(F.isnan(x), F.lit("")).otherwise(x.cast("string"))
 

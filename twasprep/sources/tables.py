@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twasprep.schemas import SNP_ANNOTATION
+from twasprep.schemas import SNP_ANNOTATION, UNRESOLVED_RSID
 from twasprep.sources.text import read_lines, sample_from_path
 
 
@@ -103,34 +103,58 @@ def read_variant_annotation(spark: SparkSession, path: str | list[str],
         rejects)
 
 
-def read_snp_annotation(spark: SparkSession, path: str | list[str], with_file: bool = False
-                        ) -> DataFrame:
-    """SNP annotation TSV with header, read with an explicit schema.
+def parse_snp_annotation(lines: DataFrame, with_file: bool = False) -> DataFrame:
+    """SNP annotation lines (tab-separated, with a header) by column name.
 
-    ``NA`` and empty MAF cells are NULL. ``with_file`` adds ``file_path`` and
-    a file-order key ``file_order`` (split offset, then row in the split).
+    The header is the line that names ``varID`` and ``pos``; every file is read
+    by its own, so columns may be missing or stand in another order: missing
+    ids are ``.``, other missing columns NULL. ``NA`` and empty cells are NULL.
+    A file without a header is an error.
     """
-    df = (spark.read.option("sep", "\t").option("header", "true")
-          .option("nullValue", "NA").option("mode", "PERMISSIVE")
-          .schema(SNP_ANNOTATION).csv(path))
-    if with_file:
-        df = df.select(
-            "*", F.col("_metadata.file_path").alias("file_path"),
-            F.struct(F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row")).alias("file_order"))
-    return df
+    f = lines.select("file_path", "line_no", F.split(F.rtrim(F.col("value"), F.lit("\r")), "\t")
+                     .alias("f"))
+    is_header = F.array_contains("f", "varID") & F.array_contains("f", "pos")
+    # part files of one writer repeat their header: one is enough
+    headers = f.where(is_header).groupBy("file_path").agg(F.min_by("f", "line_no").alias("names"))
+    j = f.where(~is_header & (F.array_join("f", "") != "")).join(headers, "file_path", "left")
+    names = F.when(F.col("names").isNotNull(), F.col("names")).otherwise(F.raise_error(
+        F.concat(F.lit("SNP annotation without a header: "), F.col("file_path")))
+        .cast("array<string>"))
+
+    def cell(field):
+        at = F.array_position(F.col("_names"), field.name).cast("int")
+        text = F.when(at > 0, F.try_element_at("f", at))
+        value = F.when(~text.isin("", "NA"), text).try_cast(field.dataType)
+        if field.name.startswith("rsid"):
+            value = F.when(at == 0, F.lit(UNRESOLVED_RSID)).otherwise(value)
+        return value.alias(field.name)
+
+    j = j.withColumn("_names", names)
+    extra = [F.col("file_path"), F.col("line_no").alias("file_order")] if with_file else []
+    return j.select(*[cell(c) for c in SNP_ANNOTATION.fields], *extra)
+
+
+def read_snp_annotation(spark: SparkSession, path: str | list[str], with_file: bool = False
+                        ) -> DataFrame:
+    """Scan SNP annotation files (see ``parse_snp_annotation``). ``with_file``
+    adds ``file_path`` and ``file_order`` (split offset, then row in the split)."""
+    return parse_snp_annotation(read_lines(spark, path, numbering="order"), with_file)
 
 
 def read_dbsnp_vcf(spark: SparkSession, path: str | list[str], numbering: str = "order"
                    ) -> DataFrame:
-    """dbSNP VCF -> ``chrom, pos, rsid, ref, alt, ord``, in one pass.
+    """Scan dbSNP VCF files (see ``parse_dbsnp_vcf``)."""
+    return parse_dbsnp_vcf(read_lines(spark, path, numbering=numbering))
+
+
+def parse_dbsnp_vcf(lines: DataFrame) -> DataFrame:
+    """dbSNP VCF lines -> ``chrom, pos, rsid, ref, alt, ord``, in one pass.
 
     Records with fewer than five fields or a non-integer position are
     skipped. ``ord`` orders records as in the file and fixes "first record
     wins" (a struct key with the default single-pass numbering; the dense
     line number with ``numbering='dense'``).
     """
-    lines = read_lines(spark, path, numbering=numbering)
     body = lines.where(~F.col("value").startswith("#"))
     f = F.split("value", "\t")
     out = body.select(
@@ -159,7 +183,17 @@ def _numeric_positions(names: Column) -> Column:
 def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gene_name",
                      sample_suffix: str = r"(_processed)?(_mean_features)?(\.csv)?(\.gz)?$",
                      path_glob: str | None = None, numbering: str = "order") -> DataFrame:
-    """Wide feature CSV (key column, ``0..n-1`` feature columns, extras).
+    """Scan wide feature CSVs (see ``parse_feature_csv``); pass
+    ``numbering='dense'`` for an ``ord`` of 0-based row positions (needed only by
+    the chunked legacy mean)."""
+    lines = read_lines(spark, path, numbering=numbering, path_glob=path_glob)
+    return parse_feature_csv(lines, key, sample_suffix, dense=numbering == "dense")
+
+
+def parse_feature_csv(lines: DataFrame, key: str = "gene_name",
+                      sample_suffix: str = r"(_processed)?(_mean_features)?(\.csv)?(\.gz)?$",
+                      dense: bool = False) -> DataFrame:
+    """Wide feature CSV lines (key column, ``0..n-1`` feature columns, extras).
 
     Returns ``sample_id, <key>, ord, features array<double>`` (plus
     ``chromo`` when the file has it). The header is the line whose first
@@ -167,10 +201,9 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
     or non-numeric cells become NaN, as a float parse of a missing value
     does. The sample id is the file's base name without the stage suffixes.
 
-    ``ord`` keeps file order; pass ``numbering='dense'`` to get 0-based row
-    positions (needed only by the chunked legacy mean).
+    ``ord`` keeps file order; with ``dense`` line numbers it is the 0-based row
+    position.
     """
-    lines = read_lines(spark, path, numbering=numbering, path_glob=path_glob)
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
     is_header = F.element_at("f", 1) == F.lit(key)
     headers = fields.where(is_header).select("file_path", F.col("f").alias("names"))
@@ -183,7 +216,7 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
         F.try_element_at("f", i.cast("int")).try_cast("double"), F.lit(float("nan"))))
     # a partitioned export carries the sample in its directory name
     sample = sample_from_path("file_path", sample_suffix)
-    order = F.col("line_no") - 1 if numbering == "dense" else F.col("line_no")
+    order = F.col("line_no") - 1 if dense else F.col("line_no")
     return j.select(
         sample.alias("sample_id"),
         F.when(key_idx > 0, F.try_element_at("f", key_idx.cast("int")))
@@ -196,13 +229,17 @@ def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gen
 
 def read_predictions_csv(spark: SparkSession, path: str | list[str],
                          path_glob: str | None = None) -> HeaderedRows:
-    """Per-sample prediction CSVs (``gene_name`` + one column per cell type).
+    """Scan per-sample prediction CSVs (see ``parse_predictions_csv``)."""
+    return parse_predictions_csv(read_lines(spark, path, path_glob=path_glob))
+
+
+def parse_predictions_csv(lines: DataFrame) -> HeaderedRows:
+    """Prediction CSV lines (``gene_name`` + one column per cell type).
 
     Files may differ in their column sets; cells are looked up per file by
     header name. ``sample_id`` is the file name without its known
     endings (``CSV_SUFFIX``), so names that hold dots stay apart.
     """
-    lines = read_lines(spark, path, path_glob=path_glob)
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
     headers = (fields.where(F.col("line_no") == 0)
                .select("file_path", F.col("f").alias("names"),
@@ -213,12 +250,16 @@ def read_predictions_csv(spark: SparkSession, path: str | list[str],
 
 
 def read_gene_annotation(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Gene annotation TSV: header skipped, column 2 Ensembl id, column 3 name.
+    """Scan gene annotation files (see ``parse_gene_annotation``)."""
+    return parse_gene_annotation(read_lines(spark, path))
+
+
+def parse_gene_annotation(lines: DataFrame) -> DataFrame:
+    """Gene annotation lines: header skipped, column 2 Ensembl id, column 3 name.
 
     Rows with fewer than three tab fields are skipped. ``ord`` keeps file
     order for "last definition wins".
     """
-    lines = read_lines(spark, path)
     f = F.split(_strip("value"), "\t")
     return (lines.where(F.col("line_no") > 0)
             .select(f.alias("f"), "line_no", "file_path")
@@ -230,21 +271,28 @@ def read_gene_annotation(spark: SparkSession, path: str | list[str]) -> DataFram
 
 def read_cell_type_matrix(spark: SparkSession, path: str | list[str],
                           path_glob: str | None = None) -> HeaderedRows:
-    """Gene x sample CSVs whose header is the first line starting ``gene_name``.
+    """Scan cell-type matrix CSVs (see ``parse_cell_type_matrix``)."""
+    return parse_cell_type_matrix(read_lines(spark, path, path_glob=path_glob))
+
+
+def parse_cell_type_matrix(lines: DataFrame) -> HeaderedRows:
+    """Gene x sample CSV lines whose header is the first one starting ``gene_name``.
 
     Lines above the header and blank lines are dropped; fields are split on
     commas without quoting (as the matrices are written). ``headers`` also
-    carries ``cell_type`` = file stem without ``_predictions``.
+    carries ``cell_type`` = file stem without ``_predictions``, and has a row
+    with NULL ``names`` for every file without a header (a failed input).
     """
-    lines = read_lines(spark, path, path_glob=path_glob)
     stripped = lines.select("file_path", "line_no", _strip("value").alias("v"))
-    header_pos = (stripped.where(F.col("v").startswith("gene_name"))
-                  .groupBy("file_path").agg(F.min("line_no").alias("_h")))
-    j = stripped.join(F.broadcast(header_pos), "file_path")
-    headers = (j.where(F.col("line_no") == F.col("_h"))
-               .select("file_path", F.split("v", ",").alias("names"),
-                       F.regexp_replace(sample_from_path("file_path", partition_key="cell_type"),
-                                        "_predictions$", "").alias("cell_type")))
-    rows = (j.where((F.col("line_no") > F.col("_h")) & (F.length("v") > 0))
+    is_header = F.col("v").startswith("gene_name")
+    first = stripped.groupBy("file_path").agg(
+        F.min(F.when(is_header, F.struct("line_no", "v"))).alias("_h"))
+    headers = first.select(
+        "file_path", F.split("_h.v", ",").alias("names"),
+        F.regexp_replace(sample_from_path("file_path", partition_key="cell_type"),
+                         "_predictions$", "").alias("cell_type"))
+    starts = first.where(F.col("_h").isNotNull()).select("file_path", F.col("_h.line_no").alias("_at"))
+    rows = (stripped.join(starts, "file_path")
+            .where((F.col("line_no") > F.col("_at")) & (F.length("v") > 0))
             .select("file_path", "line_no", F.split("v", ",").alias("fields")))
     return HeaderedRows(rows=rows, headers=headers)
