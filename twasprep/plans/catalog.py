@@ -16,6 +16,7 @@ from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
+from twasprep.plans.readers import QUERIES as READER_QUERIES
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.vcf import parse_vcf
@@ -296,3 +297,4 @@ QUERIES: dict[str, Query] = {
     "pending_outputs": q_pending_outputs,
     "job_summary": q_job_summary,
 }
+QUERIES.update(READER_QUERIES)

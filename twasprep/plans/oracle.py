@@ -437,3 +437,7 @@ SELECT replace(v.chrom, 'chr', '') AS chromosome, v.pos, v.varid AS varID,
        split_part(v.varid, '_', 3) AS ref_vcf, split_part(v.varid, '_', 4) AS alt_vcf,
        CAST(1.0 AS DOUBLE) AS R2, CAST(m.MAF AS DOUBLE) AS MAF, '.' AS rsid, '.' AS rsid_dbSNP150
 FROM (SELECT DISTINCT varid, chrom, pos FROM gt) v JOIN maf m ON v.varid = m.varid"""
+
+from twasprep.plans.readers_sql import reader_sql  # noqa: E402
+
+ORACLE_SQL.update(reader_sql(_with(_Z)))
