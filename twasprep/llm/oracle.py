@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from twasprep.llm import mixing, urls
+from twasprep.llm import mixing, quality, sharding, urls
 
 
 def _hash52(text: str) -> str:
@@ -61,7 +61,119 @@ SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN distrust > {urls.R
 FROM j"""
 
 
+def _crc_table() -> str:
+    """The 256 entries of the reflected CRC-32 table, from its polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return f"({table})::BIGINT[]"
+
+
+def _md5_32(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
+
+
+def _feistel(source: str) -> str:
+    """One pass of the network over ``source(id, n, a, b, p, step)``: nested
+    selects, one per round; the new image is ``r * a + l``."""
+    out = f"(SELECT id, n, a, b, step, p % a AS l, p // a AS r FROM {source})"
+    for i in range(sharding.ROUNDS):
+        key = f"'{sharding.SEED}:{i}:' || "
+        new = ((f"(l + {_md5_32(key + 'r::VARCHAR')}) % a AS l, r") if i % 2 == 0
+               else f"l, (r + {_md5_32(key + 'l::VARCHAR')}) % b AS r")
+        out = f"(SELECT id, n, a, b, step, {new} FROM {out})"
+    return f"SELECT id, n, a, b, r * a + l AS p, step + 1 AS step FROM {out}"
+
+
+def _sharding_sql() -> str:
+    text = "coalesce(text, '')"
+    code = (f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda h: ('0x' || h)::BIGINT)")
+    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, x: "
+           f"xor(c >> 8, ({_crc_table()})[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)")
+    k = sharding.N_SHARDS
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, {_md5_32(f"'row:' || {_ID}")} % {sharding.BUCKETS} AS bucket,
+         CAST(strlen({text}) + 16 AS BIGINT) AS size, CAST({crc} AS BIGINT) AS text_crc32 FROM documents),
+m AS MATERIALIZED (
+  SELECT doc_id, size, text_crc32, count(*) OVER () AS n, row_number() OVER (
+         ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS id FROM d),
+side AS (SELECT n, floor(sqrt(n::DOUBLE))::BIGINT AS root FROM m LIMIT 1),
+grid AS (SELECT n, greatest(CASE WHEN root * root >= n THEN root ELSE root + 1 END, 1) AS a FROM side),
+start AS (SELECT m.id, m.n, g.a, greatest((m.n + g.a - 1) // g.a, 1) AS b, m.id AS p, -1 AS step
+          FROM m, grid g),
+walk AS (SELECT * FROM ({_feistel("start")}) UNION ALL
+         SELECT * FROM ({_feistel(f"(SELECT * FROM walk WHERE p >= n AND step < {sharding.WALK})")}))
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {k} AS INTEGER) AS shard,
+       CAST(p // {k} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard,
+       CAST(id AS BIGINT) AS row_number
+FROM m JOIN (SELECT id, p FROM walk WHERE p < n) USING (id)"""
+
+
+def _quality_sql() -> str:
+    """Statistics, exact binomial tails and the chosen cutoffs, relationally."""
+    size, blank = quality.REPEAT_WINDOW, "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    tests = [(r, c) for r, cs in quality.CUTOFFS.items() for c in cs]
+    table = ", ".join(f"('{r}', {c}::DOUBLE)" for r, c in tests)
+    share = lambda x, y: f"CASE WHEN {y} > 0 THEN {x}::DOUBLE / {y} ELSE 0.0 END"
+    same = "CASE WHEN n_words > 0 THEN 1.0 - n_distinct::DOUBLE / n_words ELSE 0.0 END"
+    values = {"symbol_share": share("n_symbols", "word_chars"),
+              "dup_line_share": share("n_dup_lines", "n_lines"),
+              "repeat_share": share("n_repeat_words", "n_words"),
+              "upper_share": share("n_upper", "word_chars"), "sameness": same,
+              "word_length": share("word_chars", "n_words")}
+    rules = " UNION ALL ".join(f"SELECT id, stratum, '{r}' AS rule, {v} AS v FROM f"
+                               for r, v in values.items())
+    al = f"{quality.ALPHA}::DOUBLE"
+    tail = (f"CASE WHEN k < n_good * {al} THEN list_sum(list_transform(range(0, (k + 1)::BIGINT), lambda i: "
+            f"exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({al}) "
+            f"+ (n_good - i) * ln(1.0::DOUBLE - {al})))) ELSE 1.0 END")
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS stratum,
+                  coalesce(text, '') AS text FROM documents),
+w AS MATERIALIZED (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
+       list_filter(string_split(text, chr(10)), lambda x: trim(x, {blank}) <> '') AS ls FROM t),
+g AS (SELECT id, i, array_to_string(ws[i:i + {size - 1}], ' ') AS words
+      FROM (SELECT id, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM w)),
+hit AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, words) AS n FROM g) WHERE n > 1),
+rep AS (SELECT id, count(DISTINCT i + o) AS n FROM hit, range({size}) r(o) GROUP BY id),
+f AS MATERIALIZED (
+  SELECT w.id, doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
+         length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper,
+         len(list_distinct(ws)) AS n_distinct,
+         len(ws) < {quality.MIN_WORDS} OR 100 * coalesce(rep.n, 0) > 30 * len(ws) AS base_failed
+  FROM w LEFT JOIN rep ON w.id = rep.id),
+v AS ({rules}),
+y AS (SELECT f.id, stratum, quality::INTEGER AS y FROM f JOIN labels l ON f.doc_id = l.doc_id
+      WHERE NOT base_failed AND quality::INTEGER IN (0, 1)),
+strata AS (SELECT stratum, count_if(y = 1) AS n_good, count_if(y = 0) AS n_bad FROM y GROUP BY 1),
+cuts AS (SELECT * FROM (VALUES {table}) c(rule, cutoff)),
+k AS (SELECT y.stratum, c.rule, c.cutoff, count_if(y.y = 1 AND v.v > c.cutoff) AS k,
+             count_if(y.y = 0 AND v.v > c.cutoff) AS hit
+      FROM y JOIN v ON y.id = v.id JOIN cuts c ON v.rule = c.rule GROUP BY 1, 2, 3),
+tested AS (SELECT k.*, n_good, n_bad, {tail} AS tail, (SELECT count(*) FROM strata) AS n_strata
+           FROM k JOIN strata USING (stratum) WHERE n_good > 0 AND n_bad > 0),
+ok AS (SELECT *, hit / n_bad::DOUBLE - {quality.GOOD_COST}::DOUBLE * k / n_good AS gain FROM tested
+       WHERE tail <= {quality.DELTA}::DOUBLE / ({len(tests)} * n_strata)),
+best AS (SELECT stratum, rule, cutoff FROM ok WHERE gain > 0
+         QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1),
+out AS (SELECT DISTINCT v.id FROM v JOIN best b ON v.stratum = b.stratum AND v.rule = b.rule
+        WHERE v.v > b.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND out.id IS NULL AS kept
+FROM f LEFT JOIN out ON f.id = out.id"""
+
+
 ORACLE_SQL = {
+    "op3_quality": _quality_sql(),
+    "op8_sharding": _sharding_sql(),
     "op9_urls": _urls_sql(),
     "op5_mixing": f"""
 WITH s AS (SELECT coalesce(source, '') AS src,
