@@ -18,9 +18,14 @@ from pathlib import Path
 if not __package__:  # started as a script: the package's parent is not on the path yet
     sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from pyspark.sql import functions as F
+
+from twasprep.operators import manifest as MF
 from twasprep.plans import workflows as WF
 from twasprep.session import build_session
 
+MANIFEST = "stage string, key string, status string, rows long"
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="twasprep")
@@ -69,7 +74,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--chunk-rows", type=int, default=None, help="legacy chunked means")
 
     s = sub.add_parser("predict", help="gene features -> predictions per cell type")
-    s.add_argument("--features", required=True, help="Parquet gene features")
+    s.add_argument("--features", required=True, help="gene features")
+    s.add_argument("--features-format", choices=["parquet", "csv"], default="parquet")
     s.add_argument("--models", required=True, help="Parquet model weights table")
     s.add_argument("--output-dir", required=True)
     s.add_argument("--manifest", default=None)
@@ -80,6 +86,8 @@ def _parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("split", help="per-sample predictions -> per-cell-type matrices")
     s.add_argument("--input-dir", required=True)
+    s.add_argument("--input-format", choices=["csv", "parquet"], default="csv",
+                   help="parquet: the output of predict")
     s.add_argument("--output-dir", required=True)
 
     s = sub.add_parser("transform", help="cell-type matrices -> PredictDB expression")
@@ -104,38 +112,78 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def run(spark, args: argparse.Namespace) -> None:
-    """Run one parsed stage on an existing session."""
+    """Run one parsed stage on an existing session, once.
+
+    Attempts are kept in a table beside the output (``<output>.manifest``): a
+    finished stage is skipped, one that was begun and not finished replaces its
+    partial output, and output that no attempt wrote is never overwritten.
+    ``predict`` keeps its own manifest per sample and always looks for new ones.
+    """
+    out = getattr(args, "output_dir", None)
+    if out is None or args.stage == "predict":
+        _stage(spark, args, "errorifexists")
+        return
+    path = f"{out.rstrip('/')}.manifest"
+    inputs = spark.createDataFrame([(out,)], "key string")
+
+    def record(status: str) -> None:
+        spark.createDataFrame([(args.stage, out, status, None)], MANIFEST).coalesce(1) \
+            .write.mode("append").parquet(path)
+
+    begun = WF._exists(spark, path)
+    if begun and MF.pending(inputs, spark.read.parquet(path), args.stage).isEmpty():
+        print(f"{args.stage}: {out} is finished, skipped")
+        return
+    mode = "errorifexists"
+    if begun and not spark.read.parquet(path).where(F.col("stage") == args.stage).isEmpty():
+        mode = "overwrite"
+    elif WF._exists(spark, out):
+        raise FileExistsError(f"{out} holds files that no recorded attempt wrote")
+    else:
+        record("begun")
+    try:
+        _stage(spark, args, mode)
+    except Exception:
+        record("failed")
+        raise
+    record("success")
+    MF.job_summary(inputs, spark.read.parquet(path), args.stage).show(truncate=False)
+
+
+def _stage(spark, args: argparse.Namespace, mode: str) -> None:
     if args.stage == "extract":
         WF.extract_genotypes(spark, args.vcf, args.samples, args.output_dir,
-                             reformat=not args.no_reformat)
+                             reformat=not args.no_reformat, mode=mode)
     elif args.stage == "vcf-annotation":
         WF.snp_annotation_from_vcf(spark, args.vcf, args.samples, args.output_dir,
-                                   reformat=not args.no_reformat)
+                                   reformat=not args.no_reformat, mode=mode)
     elif args.stage == "land-genotypes":
-        WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir)
+        WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir, mode=mode)
     elif args.stage == "maf":
         WF.maf_annotation_job(spark, args.genotype_dir, args.annotation_dir, args.output_dir,
-                              args.chromosomes)
+                              args.chromosomes, mode=mode)
     elif args.stage == "rsid":
         WF.rsid_job(spark, args.input_dir, args.dbsnp, args.output_dir, naming=args.naming,
-                    dbsnp_format=args.dbsnp_format).show(100, truncate=False)
+                    dbsnp_format=args.dbsnp_format, mode=mode).show(100, truncate=False)
     elif args.stage == "land-dbsnp":
-        WF.land_dbsnp(spark, args.dbsnp, args.output_dir)
+        WF.land_dbsnp(spark, args.dbsnp, args.output_dir, mode=mode)
     elif args.stage == "gene-features":
         WF.gene_features_job(spark, args.tensors, args.windows, args.output_dir,
-                             chunk_rows=args.chunk_rows)
+                             chunk_rows=args.chunk_rows, mode=mode)
     elif args.stage == "predict":
         from twasprep.operators.predict import DenseStackScorer, read_model_weights
 
         scorer = DenseStackScorer.from_weights_table(read_model_weights(spark, args.models))
-        WF.prediction_job(spark, args.features, scorer, args.output_dir, args.manifest)
+        WF.prediction_job(spark, args.features, scorer, args.output_dir, args.manifest,
+                          args.features_format)
     elif args.stage == "rename":
-        WF.rename_job(spark, args.input_dir, args.output_dir)
+        WF.rename_job(spark, args.input_dir, args.output_dir, mode=mode)
     elif args.stage == "split":
-        WF.split_job(spark, args.input_dir, args.output_dir)
+        WF.split_job(spark, args.input_dir, args.output_dir, mode=mode,
+                     input_format=args.input_format)
     elif args.stage == "transform":
-        WF.transform_job(spark, args.input_dir, args.gene_annotation,
-                         args.output_dir).show(truncate=False)
+        WF.transform_job(spark, args.input_dir, args.gene_annotation, args.output_dir,
+                         mode=mode).show(truncate=False)
     elif args.stage == "validate":
         WF.validate_job(spark, args.input_dir, args.sample_rows).show(100, truncate=False)
 

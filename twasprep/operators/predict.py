@@ -306,12 +306,11 @@ def read_model_weights(spark, path: str) -> DataFrame:
     return df.select("cell_type", F.col("layer").cast("int"), "weights", "bias")
 
 
-def check_row_conservation(features: DataFrame, predictions: DataFrame, n_models: int
-                           ) -> None:
-    """Raise when predictions are not exactly rows x models (counted with
-    ``observe`` while the predictions are consumed elsewhere, or here)."""
-    n_in = features.count()
-    n_out = predictions.count()
+def check_row_conservation(features: DataFrame | int, predictions: DataFrame | int,
+                           n_models: int) -> None:
+    """Raise when predictions are not exactly rows x models. Either side may be
+    a count observed while the rows were written, or a table to be counted."""
+    n_in, n_out = (x if isinstance(x, int) else x.count() for x in (features, predictions))
     if n_out != n_in * n_models:
         raise ValueError(f"{n_in} input rows x {n_models} models != {n_out} predictions")
 

@@ -5,7 +5,7 @@ stage, not from the raw inputs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,20 +185,26 @@ def _text_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prediction_job(spark: SparkSession, gene_features_path: str, scorer, out_dir: str,
-                   manifest_path: str | None = None) -> None:
+                   manifest_path: str | None = None, features_format: str = "parquet") -> None:
     """Gene features -> z-scores -> long predictions, for samples that have no
-    successful manifest entry yet; appends the new manifest entries."""
-    feats = _text_ids(spark, gene_features_path)
+    successful manifest entry yet; appends the new manifest entries.
+    ``features_format="csv"`` reads wide feature CSVs (plain or gzip)."""
+    feats = (S.read_feature_csv(spark, gene_features_path) if features_format == "csv"
+             else _text_ids(spark, gene_features_path))
     if manifest_path is not None and _exists(spark, manifest_path):
         manifest = spark.read.parquet(manifest_path)
         todo = MF.pending(feats.select(F.col("sample_id").alias("key")).distinct(),
                           manifest, "predict")
         feats = feats.join(todo, feats["sample_id"] == todo["key"], "left_semi")
-    preds = P.predict_expression(P.zscore_features(feats), scorer)
+    rows_in, rows_out = Observation(), Observation()
+    z = P.zscore_features(feats).observe(rows_in, F.count(F.lit(1)).alias("n"))
+    preds = P.predict_expression(z, scorer).observe(rows_out, F.count(F.lit(1)).alias("n"))
     # dynamic partition overwrite: a sample re-run after a crash between the
     # prediction commit and the manifest append replaces its own partition
     (preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("sample_id").parquet(f"{out_dir}/predictions"))
+    # counted while the rows were written: no row of any model may be missing
+    P.check_row_conservation(rows_in.get["n"], rows_out.get["n"], len(scorer.cell_types))
     if manifest_path is not None:
         done = (feats.groupBy("sample_id").agg(F.count(F.lit(1)).alias("rows"))
                 .select(F.lit("predict").alias("stage"), F.col("sample_id").alias("key"),
@@ -243,11 +249,19 @@ def rename_job(spark: SparkSession, predictions_csv: str, out_dir: str,
 
 
 def split_job(spark: SparkSession, predictions_csv: str, out_dir: str,
-              samples: list[str] | None = None, mode: str = "errorifexists") -> None:
-    """Per-sample prediction CSVs -> one gene x sample matrix per cell type.
+              samples: list[str] | None = None, mode: str = "errorifexists",
+              input_format: str = "csv") -> None:
+    """Per-sample prediction CSVs -> one gene x sample matrix per cell type
+    (``input_format="parquet"``: the long predictions of ``prediction_job``).
 
     ``samples`` defaults to the discovered files' sample ids (a listing of
     file names, bounded by the number of files)."""
+    if input_format == "parquet":
+        long = _text_ids(spark, predictions_csv).withColumn("ord", F.lit(0))
+        if samples is None:
+            samples = [r.sample_id for r in long.select("sample_id").distinct().collect()]
+        _write_matrices(long, samples, out_dir, mode)
+        return
     files = S.read_predictions_csv(spark, predictions_csv)
     if samples is None:
         # every discovered file is a sample column, also one that fails to
