@@ -1,6 +1,7 @@
 """SQL twins of the training-data queries on the smallest tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from twasprep.llm.oracle import ORACLE_SQL
@@ -18,6 +19,6 @@ def test_query_matches_sql(spark, name):
     got = QUERIES[name](spark, SF).toPandas()
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    rows = lambda df: sorted(tuple("" if x is None or x != x else x for x in r)
+    rows = lambda df: sorted(tuple("" if pd.isna(x) else x for x in r)
                              for r in df[cols].itertuples(index=False))
     assert rows(got) == rows(want)
