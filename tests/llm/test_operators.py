@@ -214,6 +214,19 @@ def test_revealing_terms_and_redaction(spark):
     assert "[EMAIL]" in clean[0] and "Zaphod" not in clean[0] and clean[10] == texts[10]
 
 
+def test_copies_leave_revealing_terms_unchanged(spark):
+    pre = ["Monday", "Tuesday", "Friday", "Sunday"]
+    texts = [f"{p} came Zaphod wrote to ann@x.org about things" for p in pre]
+    texts += [f"plain words about things {i} came wrote Monday Tuesday Friday Sunday" for i in range(40)]
+    # the same four passages within 100 texts each, and plain copies of the rows
+    inside = [f"{t} Monday Tuesday Friday Sunday plain words {i + 1000}" for t in texts[:4] for i in range(100)]
+    for rows in (texts, texts * 3, texts[:4] * 100 + texts[4:], inside + texts[4:]):
+        flagged = Counter()
+        for r in pii.find_personal_data(docs_of(spark, rows)).collect():
+            flagged.update((rows[r["doc_id"]][t["start"]:t["end"]], t["action"]) for t in r["terms"])
+        assert flagged == {("Zaphod", "remove"): sum("Zaphod" in x for x in rows)}
+
+
 # -- 5 mixing
 
 def test_mixing_follows_weights_and_the_poisson_law(spark):

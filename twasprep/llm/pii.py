@@ -1,11 +1,11 @@
 """Personal data and information-theoretic sanitisation (native DataFrame code).
 
 Entities (email, ip, card, phone) are found by pattern. Terms near an entity may
-reveal it: over the corpus, a term t and an entity value e that share c distinct
-contexts, with df(t) of N documents holding t and e in n distinct contexts, have
-PMI = log2(c * N / (df * n)), to be compared with the information IC = log2(N /
-n) of e itself. PMI / IC is 1 when t occurs nowhere but with e. Terms at
-``REMOVE`` or more are removed, from ``GENERALISE`` on they are generalised to
+reveal it: with N distinct texts, df(t) of them holding t, n holding an entity
+value e and c holding t beside e, PMI = log2(c * N / (df * n)) is compared with
+the information IC = log2(N / n) of e itself. All four count distinct texts, so
+copies of rows change nothing, and PMI / IC is 1 when t occurs only in texts
+where it stands beside e. Terms at ``REMOVE`` or more are removed, from ``GENERALISE`` on they are generalised to
 their shape; both only with ``SUPPORT`` distinct contexts, so that copies of one
 passage prove nothing. Contexts are the ``NEAR`` words on each side.
 
@@ -133,19 +133,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
                     support: int = SUPPORT) -> DataFrame:
     """(value, term, action, ratio) of the pairs beyond the disclosure thresholds."""
-    each = scanned.where("contexts is not null").select(F.explode("contexts").alias("c")) \
-        .select("c.value", F.transform("c.terms", lambda t: t["term"]).alias("terms"))
-    # equal contexts count once; the partial counts go ahead of any shuffle
-    contexts = each.groupBy("value", "terms").agg(F.count(F.lit(1)).alias("_"))
-    seen = contexts.groupBy("value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support)
-    pairs = contexts.select("value", F.explode(F.array_distinct("terms")).alias("term")) \
-        .groupBy("value", "term").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= support)
+    # equal rows (text, value, context) count once ahead of the explode
+    each = scanned.where("contexts is not null").select("tkey", F.explode("contexts").alias("c")) \
+        .select("tkey", "c.value", F.transform("c.terms", lambda t: t["term"]).alias("terms")) \
+        .withColumn("context", F.xxhash64("terms")).distinct()
+    texts, contexts = F.count_distinct("tkey"), F.count_distinct("context")
+    seen = each.groupBy("value").agg(texts.alias("n"), contexts.alias("_s")) \
+        .where(F.col("_s") >= support).drop("_s")
+    pairs = each.select("tkey", "value", "context", F.explode(F.array_distinct("terms")).alias("term")) \
+        .groupBy("value", "term").agg(texts.alias("c"), contexts.alias("_s")) \
+        .where(F.col("_s") >= support).drop("_s")
     pairs = materialise(pairs.join(seen, "value"), "pairs")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    once = docs.select(F.xxhash64(text).alias("tkey"), text.alias("_t")).dropDuplicates(["tkey"])
+    words = once.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(
+        "_t", F.lit(WORD), F.lit(0)), F.lower))).alias("term"))
     # counted before the join, map side first: a common term is one row per task
     df = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    total = scanned.agg(F.count_distinct("tkey").alias("n_docs"))
     pmi = F.log2(F.col("c") * F.col("n_docs") / (F.col("df") * F.col("n")))
     ic = F.log2(F.col("n_docs") / F.col("n"))
     return pairs.join(df, "term").join(F.broadcast(total)) \
