@@ -227,6 +227,33 @@ def test_copies_leave_revealing_terms_unchanged(spark):
         assert flagged == {("Zaphod", "remove"): sum("Zaphod" in x for x in rows)}
 
 
+def test_terms_go_wherever_they_stand(spark):
+    far = "wheresoever " * 12  # six long words take more than 100 characters
+    pre = ["Monday", "Tuesday", "Friday", "Sunday"]
+    texts = [f"{p} came Zaphod X77b Bo wrote to ann@x.org about things {far} and zaphod again" for p in pre]
+    texts[0] = texts[0].replace("Zaphod X77b Bo wrote to", "Zaphod X77b Bo " + "incomprehensibilities " * 5)
+    texts += [f"plain words about things {i} came wrote to and again Monday Tuesday Friday Sunday {far}"
+              + "incomprehensibilities " * 5 for i in range(400)]
+    texts[9] = texts[8].replace("plain", "Zaphod, plain")  # without the entity
+    texts[10] = None
+    docs = docs_of(spark, texts)
+    got = {r["doc_id"]: [texts[r["doc_id"]][t["start"]:t["end"]] for t in r["terms"]]
+           for r in pii.find_personal_data(docs).collect()}
+    for i in range(4):
+        assert got[i] == ["Zaphod", "X77b", "Bo", "zaphod"], got[i]
+    assert got[9] == ["Zaphod"] and not any(got[i] for i in range(10, 404)) and not got[8]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert "aphod" not in clean[2] + clean[9] and clean[8] == texts[8] and clean[10] is None
+
+
+def test_matches_of_long_texts(spark):
+    texts = ["", "a", " ".join(f"wörd{i}" for i in range(64)), "😀 ".join(f"w{i}" for i in range(500)) + "!", "a " * 128]
+    out = docs_of(spark, texts).select("doc_id", pii.matches(F.col("text"), pii.WORD).alias("m")).collect()
+    for r in out:
+        t = texts[r["doc_id"]]
+        assert [tuple(x) for x in r["m"]] == [(*m.span(), m.group()) for m in re.finditer(r"\w+", t)]
+
+
 # -- 5 mixing
 
 def test_mixing_follows_weights_and_the_poisson_law(spark):

@@ -7,7 +7,12 @@ the information IC = log2(N / n) of e itself. All four count distinct texts, so
 copies of rows change nothing, and PMI / IC is 1 when t occurs only in texts
 where it stands beside e. Terms at ``REMOVE`` or more are removed, from ``GENERALISE`` on they are generalised to
 their shape; both only with ``SUPPORT`` distinct contexts, so that copies of one
-passage prove nothing. Contexts are the ``NEAR`` words on each side.
+passage prove nothing. Contexts are the tokens up to the ``NEAR``-th word of four
+letters on each side (within ``FAR`` characters). A flagged term is reported at
+every occurrence in every text, beside the entity or not, with its strictest action.
+
+Tokens are runs of letters and digits; a term has four characters, a digit or a
+capital (short words in lower case are no evidence).
 
 Edge cases: null and empty texts have no spans; equal texts and repeated rows
 get equal spans; the same value twice in one text is two spans; a term inside
@@ -31,11 +36,15 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+"
 CARD = r"[0-9](?:[0-9\x20-](?<![\x20-]{2}))*[0-9]"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
-WORD = r"\p{L}{4,}"
+WORD = r"[\p{L}\p{M}\p{N}]+"
+LONG = r"\p{L}{4,}"
+TERM = r"\p{N}|\p{Lu}|.{4}"
 NEAR = 6  # context words per side
-REACH = 100  # characters per side in which they are looked for
+REACH, FAR = 200, 4000  # characters per side in which they are looked for: first, if too few
+CHUNK = 64  # matches added up at once, so that long texts take linear time
 SUPPORT = 3
 GENERALISE, REMOVE = 0.75, 0.9
+BROADCAST = 1_000_000  # flagged terms up to which they go to every task (else a shuffled join)
 
 SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string>"
 
@@ -48,8 +57,8 @@ def matches(text: Column, pattern: str) -> Column:
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(found.alias("m"), F.transform(gaps, lambda g: F.length(g)).alias("g"))
-    init = F.struct(F.lit(0).alias("pos"),
-                    F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    init = F.struct(F.lit(0).alias("pos"), none.alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
         start = acc["pos"] + x["g"]
@@ -58,7 +67,20 @@ def matches(text: Column, pattern: str) -> Column:
             F.concat(acc["out"], F.array(F.struct(
                 start.alias("start"), end.alias("end"), x["m"].alias("value"))))).alias("out"))
 
-    return F.aggregate(pairs, init, add)["out"]
+    def shifted(parts: Column) -> Column:
+        at = F.aggregate(parts, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("at")),
+                         lambda acc, p: F.struct((acc["pos"] + p["pos"]).alias("pos"), F.concat(
+                             acc["at"], F.array(acc["pos"])).alias("at")))["at"]
+        return F.flatten(F.zip_with(parts, at, lambda p, o: F.transform(p["out"], lambda x: F.struct(
+            (x["start"] + o).alias("start"), (x["end"] + o).alias("end"), x["value"].alias("value")))))
+
+    def chunked(x: Column) -> Column:
+        first = F.sequence(F.lit(1), F.size(x), F.lit(CHUNK))
+        return let(F.transform(first, lambda i: F.aggregate(
+            F.slice(x, i, F.lit(CHUNK)), init, add)), shifted)
+
+    return let(pairs, lambda x: F.when(F.size(x) <= CHUNK, F.aggregate(x, init, add)["out"])
+               .otherwise(chunked(x)))
 
 
 def luhn(digits: Column) -> Column:
@@ -99,24 +121,49 @@ def entities(text: Column) -> Column:
 
 
 def _context(text: Column, spans: Column) -> Column:
-    """Per span its value and the terms around it with their positions."""
+    """Per span its value, the hash of the words around it (the context) and its terms."""
     size = F.length(text)
+    is_long = lambda w: F.rlike(w["value"], F.lit(LONG))
 
-    def around(x: Column) -> Column:
-        lo = F.greatest(x["start"] - REACH, F.lit(0))
-        hi = F.least(x["end"] + REACH, size)
-        left = matches(F.substring(text, lo + 1, x["start"] - lo), WORD)
-        right = matches(F.substring(text, x["end"] + 1, hi - x["end"]), WORD)
+    def before(x: Column, reach: int, then=None) -> Column:
+        lo = F.greatest(x["start"] - reach, F.lit(0))
+        found = matches(F.substring(text, lo + 1, x["start"] - lo), WORD)
         # a word cut by the window's edge is no word
-        left = F.filter(left, lambda w: (w["start"] > 0) | (lo == 0))
-        right = F.filter(right, lambda w: (w["end"] < hi - x["end"]) | (hi == size))
-        left = let(left, lambda w: F.when(F.size(w) > NEAR, F.slice(w, -NEAR, NEAR)).otherwise(w))
-        right = F.slice(right, 1, NEAR)
-        shift = lambda at: lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (w["start"] + at).alias("start"),
-            (w["end"] + at).alias("end"))
-        return F.struct(x["value"].alias("value"), F.concat(
-            F.transform(left, shift(lo)), F.transform(right, shift(x["end"]))).alias("terms"))
+        found = F.transform(F.filter(found, lambda w: (w["start"] > 0) | (lo == 0)), shift(lo))
+
+        def cut(ws: Column) -> Column:
+            least = let(F.filter(ws, is_long), lambda n: F.when(
+                F.size(n) >= NEAR, F.get(n, F.size(n) - NEAR)["start"]))
+            near = let(least, lambda at: F.filter(ws, lambda w: at.isNull() | (w["start"] >= at)))
+            return near if then is None else F.when(
+                (lo > 0) & (F.size(F.filter(ws, is_long)) < NEAR), then).otherwise(near)
+
+        return let(found, cut)
+
+    def after(x: Column, reach: int, then=None) -> Column:
+        hi = F.least(x["end"] + reach, size)
+        found = matches(F.substring(text, x["end"] + 1, hi - x["end"]), WORD)
+        found = F.transform(F.filter(found, lambda w: (w["end"] < hi - x["end"]) | (hi == size)),
+                            shift(x["end"]))
+
+        def cut(ws: Column) -> Column:
+            most = let(F.filter(ws, is_long), lambda n: F.get(n, F.lit(NEAR - 1))["end"])
+            near = let(most, lambda at: F.filter(ws, lambda w: at.isNull() | (w["end"] <= at)))
+            return near if then is None else F.when(
+                (hi < size) & (F.size(F.filter(ws, is_long)) < NEAR), then).otherwise(near)
+
+        return let(found, cut)
+
+    def shift(at: Column):
+        return lambda w: F.struct((w["start"] + at).alias("start"), (w["end"] + at).alias("end"),
+                                  w["value"].alias("value"))
+
+    def around(x: Column) -> Column:
+        near = F.concat(before(x, REACH, before(x, FAR)), after(x, REACH, after(x, FAR)))
+        lower = lambda ws: F.transform(ws, lambda w: F.lower(w["value"]))
+        return let(near, lambda ws: F.struct(
+            x["value"].alias("value"), F.xxhash64(lower(F.filter(ws, is_long))).alias("context"),
+            F.array_distinct(lower(F.filter(ws, lambda w: F.rlike(w["value"], F.lit(TERM))))).alias("terms")))
 
     return F.transform(spans, around)
 
@@ -135,12 +182,11 @@ def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
     """(value, term, action, ratio) of the pairs beyond the disclosure thresholds."""
     # equal rows (text, value, context) count once ahead of the explode
     each = scanned.where("contexts is not null").select("tkey", F.explode("contexts").alias("c")) \
-        .select("tkey", "c.value", F.transform("c.terms", lambda t: t["term"]).alias("terms")) \
-        .withColumn("context", F.xxhash64("terms")).distinct()
+        .select("tkey", "c.value", "c.context", "c.terms").distinct()
     texts, contexts = F.count_distinct("tkey"), F.count_distinct("context")
     seen = each.groupBy("value").agg(texts.alias("n"), contexts.alias("_s")) \
         .where(F.col("_s") >= support).drop("_s")
-    pairs = each.select("tkey", "value", "context", F.explode(F.array_distinct("terms")).alias("term")) \
+    pairs = each.select("tkey", "value", "context", F.explode("terms").alias("term")) \
         .groupBy("value", "term").agg(texts.alias("c"), contexts.alias("_s")) \
         .where(F.col("_s") >= support).drop("_s")
     pairs = materialise(pairs.join(seen, "value"), "pairs")
@@ -165,13 +211,15 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, tkey, spans (entities), terms (array<struct<start, end, action>>)."""
     scanned = materialise(scan(docs, id_col, text_col), "scanned")
     flagged = materialise(revealing_terms(scanned, docs, text_col, support), "revealing")
-    hits = scanned.where("contexts is not null") \
-        .select("doc_id", "tkey", F.explode("contexts").alias("c")) \
-        .select("doc_id", "tkey", "c.value", F.explode("c.terms").alias("t")) \
-        .select("doc_id", "tkey", "value", "t.term", "t.start", "t.end")
-    # of several verdicts on one span the strictest holds
-    found = hits.join(flagged, ["value", "term"]).groupBy("doc_id", "tkey", "start", "end").agg(
-        F.max("action").alias("action"))
+    # of several verdicts on one term the strictest holds, at all its occurrences
+    terms = materialise(flagged.groupBy("term").agg(F.max("action").alias("action")), "terms")
+    if terms.count() <= BROADCAST:
+        terms = F.broadcast(terms)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    tokens = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tkey"),
+                         F.explode(matches(text, WORD)).alias("w")) \
+        .select("doc_id", "tkey", F.lower("w.value").alias("term"), "w.start", "w.end")
+    found = tokens.join(terms, "term").select("doc_id", "tkey", "start", "end", "action").distinct()
     per_doc = found.groupBy("doc_id", "tkey").agg(F.collect_list(
         F.struct("start", "end", "action")).alias("terms")) \
         .select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_k"), "terms")
@@ -198,7 +246,7 @@ def redact(text: Column, spans: Column) -> Column:
         word = F.substring(text, x["start"] + 1, x["end"] - x["start"])
         put = F.when(x["kind"] != "term", F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))) \
             .when(x["value"] == "remove", F.lit("")) \
-            .otherwise(F.regexp_replace(word, r"\p{L}", "x"))
+            .otherwise(F.regexp_replace(word, r"[\p{L}\p{N}]", "x"))
         # a span that begins inside the last one only extends it
         start = F.greatest(acc["at"], x["start"])
         gap = F.substring(text, acc["at"] + 1, start - acc["at"])
