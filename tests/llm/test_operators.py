@@ -56,6 +56,25 @@ def test_secret_base_rules():
     assert kinds == [("access", "AKIAABCDEFGHIJKLMN0"), ("hex", "0123456789abcdef0")]
 
 
+def hidden(text):
+    """Texts of the spans that decoded layers add, by kind."""
+    return [(f["kind"], text[f["start"]:f["end"]]) for f in secrets.findings(text)[0] if f["layer"]]
+
+
+def test_secrets_in_unclean_layers():
+    s = 'password = "hunter2hunter2" '
+    b64 = lambda b: base64.b64encode(b).decode()
+    for c in "\u00a0\u202f\u00ad\u200b\ufeff\u3000\f":
+        assert [k for k, _ in hidden("x " + b64((c + s + c).encode()) + " y")] == ["assign"], hex(ord(c))
+    dirty = s.encode() + b"\xff\x00\x01" + "é".encode() + s.encode()
+    layers = [dirty, s.encode("utf-16"), s.encode("utf-16-le"), s.encode("utf-16-be"),
+              b"\xff" + s.encode("utf-16-le") + b"\xff\xd8"]
+    for raw in layers:
+        assert {k for k, _ in hidden("x " + b64(raw) + " y")} == {"assign"}, raw
+        assert {k for k, _ in hidden("x " + b64(gzip.compress(raw)) + " y")} == {"assign"}, raw
+    assert not hidden("internationalization characteristically 0123456789ABCDEF" + b64(bytes(range(128, 190))))
+
+
 # -- 2 substrings
 
 def brute_removed(rows):

@@ -10,8 +10,8 @@ reproducing input ends. Every character of a layer knows the code points of the
 original text it stems from, so a match found in any layer is reported as a
 span of the original. Spans of the plain text always stay; decoded layers add.
 
-Edge cases: null and empty texts have no findings; undecodable or binary runs
-are left as they are; equal spans of one kind are reported once (the first
+Edge cases: null and empty texts have no findings; runs that decode to
+bytes without ASCII text are left as they are, other stray bytes become U+FFFD; equal spans of one kind are reported once (the first
 layer's); repeated rows are scanned alike; only the id and text columns are
 read. ``EXPAND`` bounds one decompressed run (a guard against decompression
 bombs: longer output is refused, counted in ``refused``, and the run stays
@@ -45,6 +45,11 @@ ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 EXPAND = 64 << 20
+#: Control characters that text does not hold (tab, line ends, form feed and vertical tab may stand).
+BINARY = re.compile(r"[\x00-\x08\x0e-\x1a\x1c-\x1f\x7f]")
+#: ASCII text in data that is not text as a whole (the shortest match has 16 characters).
+RUN = re.compile(rb"[\x20-\x7e]{12,}")
+WIDE_LE, WIDE_BE = re.compile(rb"(?:[\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\x20-\x7e]){12,}")
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -63,13 +68,54 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of ``data`` if it is UTF-8 without control characters."""
+def _strict(data: bytes) -> str | None:
+    """The text of ``data`` if it is UTF-8 (or UTF-16 with a mark or of ASCII text) without binary controls."""
     try:
-        t = data.decode("utf-8")
+        if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+            t = data.decode("utf-16")
+        elif len(data) % 2 == 0 and len(data) >= 8 and not any(data[1::2]):
+            t = data.decode("utf-16-le")
+        elif len(data) % 2 == 0 and len(data) >= 8 and not any(data[::2]):
+            t = data.decode("utf-16-be")
+        else:
+            t = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    return t if t and all(c.isprintable() or c in "\t\n\r" for c in t) else None
+    return t if t and not BINARY.search(t) else None
+
+
+def _bytewise(data: bytes) -> tuple[str, list[int]]:
+    """Text of any bytes and the number of bytes of each character: UTF-8 where it fits, U+FFFD elsewhere."""
+    t = data.decode("utf-8", "surrogateescape")
+    size = [1 if 0xDC80 <= ord(c) <= 0xDCFF else len(c.encode("utf-8")) for c in t]
+    return "".join("\ufffd" if 0xDC80 <= ord(c) <= 0xDCFF else c for c in t), size
+
+
+def _decoded(data: bytes) -> tuple[str, list[int]] | None:
+    """(text, bytes of each character) of any data that holds ASCII text, else None.
+
+    Strict text always counts; other bytes only if they hold a run of ``RUN`` printable ASCII characters.
+    """
+    t = _strict(data)
+    if t is not None:
+        if t.encode("utf-8") == data:
+            return t, [len(c.encode("utf-8")) for c in t]
+        mark = 2 if data[:2] in (b"\xff\xfe", b"\xfe\xff") else 0
+        size = [2 if ord(c) < 0x10000 else 4 for c in t]
+        size[0] += mark
+        return t, size
+    if not RUN.search(data):
+        # UTF-16 with stray units: keep the ASCII text of either alignment
+        wide = [m for m in (WIDE_LE.search(data), WIDE_BE.search(data)) if m]
+        if not wide:
+            return None
+        code = "utf-16-le" if wide[0].re is WIDE_LE else "utf-16-be"
+        off = wide[0].start() % 2
+        t = data[off:].decode(code, "replace")
+        size = [2 if ord(c) < 0x10000 else 4 for c in t]
+        size[0] += off
+        return t, size
+    return _bytewise(data)
 
 
 def _inflate(data: bytes, refused: list) -> bytes | None:
@@ -92,6 +138,21 @@ def _inflate(data: bytes, refused: list) -> bytes | None:
         return None
 
 
+def _expanded(data: bytes, refused: list) -> str | None:
+    """The text below all compression steps, whatever its bytes are; None if it is not compressed."""
+    seen, last = set(), None
+    while (data := _inflate(data, refused)) is not None and data not in seen:
+        seen.add(data)
+        last = data
+    if not last:
+        return None
+    t = _strict(last)
+    if t is not None:
+        return t
+    wide = _decoded(last)
+    return wide[0] if wide else _bytewise(last)[0]
+
+
 def _percent(m: re.Match, refused: list):
     raw = bytes.fromhex(m.group().replace("%", ""))
     try:
@@ -126,21 +187,17 @@ def _base64(m: re.Match, refused: list):
                                 validate=True)
     except (binascii.Error, ValueError):
         return None
-    t = _readable(data)
+    t = _expanded(data, refused)
     if t is not None:
-        at, size = [], 0
-        for c in t:
-            n = len(c.encode("utf-8"))
-            at.append((8 * size // 6, -(-8 * (size + n) // 6)))
-            size += n
-        return t, at
-    seen = set()
-    while (data := _inflate(data, refused)) is not None and data not in seen:
-        t = _readable(data)
-        if t is not None:
-            return t, [(0, len(m.group()))] * len(t)
-        seen.add(data)
-    return None
+        return t, [(0, len(m.group()))] * len(t)
+    text = _decoded(data)
+    if text is None:
+        return None
+    at, size = [], 0
+    for n in text[1]:
+        at.append((8 * size // 6, min(-(-8 * (size + n) // 6), len(m.group()))))
+        size += n
+    return text[0], at
 
 
 #: name, pattern, decoder, a character that any match must hold
