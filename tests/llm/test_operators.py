@@ -1,12 +1,15 @@
 """The ten operators against brute force on small fixtures, and their edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
+from urllib.parse import quote
 
 import numpy as np
 import pytest
@@ -75,6 +78,29 @@ def test_secrets_in_unclean_layers():
     assert not hidden("internationalization characteristically 0123456789ABCDEF" + b64(bytes(range(128, 190))))
 
 
+def test_secrets_in_wrapped_joined_and_packed_runs():
+    rng = random.Random(6)
+    noise = "".join(rng.choice("abcdefghij klmnop") for _ in range(300))
+    s = noise + ' password = "hunter2hunter2" ' + noise
+    mime = base64.encodebytes(s.encode()).decode()
+    zips = [gzip.compress(s.encode()), zlib.compress(s.encode()), bz2.compress(s.encode())]
+    b64 = lambda b: base64.b64encode(b).decode()
+    wrap = lambda b, n, end: end.join(re.findall(f".{{1,{n}}}", b64(b)))
+    texts = [mime, "data:\n" + mime + "regards\n", mime.replace("\n", "\r\n")]
+    texts += [wrap(z, n, e) + " end" for z in zips for n, e in ((76, "\n"), (64, "\r\n  "))]
+    texts += [p + b64(s.encode()) for p in ("com/path/", "key_", "a-", "/", "_", "xy", "xyz")]
+    texts += [p + b64(z) for z in zips for p in ("com/path/", "key_", "/")]
+    texts += [b64(gzip.compress(noise.encode()) + zips[0])]
+    texts += [quote(z) for z in zips] + [repr(z)[2:-1] for z in zips]
+    texts += ["".join(f"%{x:02X}" for x in zips[0]), "".join(f"\\x{x:02x}" for x in zips[0])]
+    for x in texts:
+        assert "assign" in [k for k, _ in hidden(x)], x
+    two = b64(b'password = "hunter2hunter2"  ') + "\n" + b64(b"AKIAABCDEFGHIJKLMN0 and more")
+    assert {k for k, _ in hidden(two)} == {"assign", "access"}
+    f = [f for f in secrets.findings("ab " + mime)[0] if f["kind"] == "assign"][0]
+    assert 300 * 4 / 3 < f["start"] < f["end"] < 345 * 4 / 3 + 12
+
+
 # -- 2 substrings
 
 def brute_removed(rows):

@@ -2,7 +2,8 @@
 
 Each text is scanned for three kinds (assignments, access keys, long hex runs).
 Then it is unwrapped: percent escapes, Unicode escapes (backslash and numeric
-HTML forms), base64 runs, and gzip, zlib or bzip2 data inside base64 are decoded
+HTML forms), base64 runs (also over several lines, or with words joined to them),
+and gzip, zlib or bzip2 data inside base64, percent or \\x escapes are decoded
 in place, each kind at once over the whole layer. Every new layer goes on a
 worklist, is scanned with the same rules, and is unwrapped again until nothing
 decodes; layers already seen (by hash) are not repeated, so cyclic or self-
@@ -21,10 +22,10 @@ scanned in its encoded form).
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import re
 import zlib
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,16 @@ WORDS = ("passw", "secret", "token", "api")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run and the lines that go on with it; _base64 decides which of them belong together.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Beginnings of gzip, zlib and bzip2 data, as bytes and under escapes, with what may follow.
+MAGIC = re.compile(rb"\x1f\x8b\x08|[\x08-\x78][\x01\x5e\x9c\xda]|BZh[1-9]")
+PACKED_URL = re.compile(r"(?:%1[fF]%8[bB]|(?:x|%78)%[0-9A-Fa-f]{2}|(?:x|%78)(?:\^|%5[eE])|(?:B|%42)(?:Z|%5[aA])(?:h|%68))"
+                        r"(?:%[0-9A-Fa-f]{2}|[^%\s])*+")
+PACKED_X = re.compile(r"(?:\\x1[fF]\\x8[bB]|(?:x|\\x78)(?:\\x[0-9A-Fa-f]{2}|\^)|BZh[1-9])"
+                      r"(?:\\x[0-9A-Fa-f]{2}|\\[tnr0abfv'\"\\]|[^\\\r\n])*+")
+BACKSLASH = {"t": 9, "n": 10, "r": 13, "0": 0, "a": 7, "b": 8, "f": 12, "v": 11}
 EXPAND = 64 << 20
 #: Control characters that text does not hold (tab, line ends, form feed and vertical tab may stand).
 BINARY = re.compile(r"[\x00-\x08\x0e-\x1a\x1c-\x1f\x7f]")
@@ -119,23 +129,35 @@ def _decoded(data: bytes) -> tuple[str, list[int]] | None:
 
 
 def _inflate(data: bytes, refused: list) -> bytes | None:
-    """One decompression step, or None if ``data`` is not compressed."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (len(data) > 5 and data[0] & 15 == 8
-                                        and (data[0] * 256 + data[1]) % 31 == 0):
-            d = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        else:
-            return None
-        out = d.decompress(data, EXPAND)
+    """One decompression step over all members, or None if ``data`` is not compressed."""
+    out, left = [], EXPAND
+    size = len(data)
+    while data:
+        try:
+            if data[:2] == b"\x1f\x8b" or (len(data) > 5 and data[0] & 15 == 8
+                                            and (data[0] * 256 + data[1]) % 31 == 0):
+                d = zlib.decompressobj(47)
+            elif data[:3] == b"BZh":
+                d = bz2.BZ2Decompressor()
+            else:
+                break
+            got = d.decompress(data, left)
+        except (zlib.error, OSError, EOFError, ValueError):
+            break
         if not d.eof:
-            if len(out) >= EXPAND:
-                refused.append(len(data))
-            return None
-        return out
-    except (zlib.error, OSError, EOFError, ValueError):
-        return None
+            if len(got) >= left:
+                refused.append(size)
+                return None
+            break
+        out.append(got)
+        left -= len(got)
+        if left <= 0:
+            if d.unused_data:
+                refused.append(size)
+                return None
+            break
+        data = d.unused_data
+    return b"".join(out) if out else None
 
 
 def _expanded(data: bytes, refused: list) -> str | None:
@@ -178,31 +200,111 @@ def _escape(m: re.Match, refused: list):
     return chr(code), [(0, len(g))]
 
 
-def _base64(m: re.Match, refused: list):
-    body = m.group().rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4),
-                                validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    t = _expanded(data, refused)
+def _bytes(body: str) -> bytes:
+    body = body[:len(body) - (len(body) % 4 == 1)].replace("-", "+").replace("_", "/")
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _run(body: str, refused: list, loose: bool = True) -> list[tuple[str, list]]:
+    """Texts of a base64 run, with the characters of ``body`` that each of their characters stems from.
+
+    A run that is text or compressed as it stands is that; otherwise (``loose``)
+    it is decoded at each of the four offsets, for words may be joined to its
+    beginning, and every piece of text or compressed data in it counts.
+    """
+    n = len(body)
+    whole = _bytes(body) if n % 4 != 1 else b""
+    t = _expanded(whole, refused)
     if t is not None:
-        return t, [(0, len(m.group()))] * len(t)
-    text = _decoded(data)
-    if text is None:
-        return None
-    at, size = [], 0
-    for n in text[1]:
-        at.append((8 * size // 6, min(-(-8 * (size + n) // 6), len(m.group()))))
-        size += n
-    return text[0], at
+        return [(t, [(0, n)] * len(t))]
+    if not loose and _strict(whole) is None:
+        return []
+    out = []
+    for off in range(4 if _strict(whole) is None else 1):
+        data = _bytes(body[off:]) if off or n % 4 == 1 else whole
+        text = _decoded(data) if off == 0 or RUN.search(data) or _strict(data) else None
+        if text is not None:
+            at, size = [], 0
+            for k in text[1]:
+                at.append((off + 8 * size // 6, min(off - (-8 * (size + k) // 6), n)))
+                size += k
+            out.append((text[0], at))
+        if _strict(whole) is None:
+            for m in MAGIC.finditer(data):
+                if m.start() and (t := _expanded(data[m.start():], refused)):
+                    out.append((t, [(min(off + 8 * m.start() // 6, n - 1), n)] * len(t)))
+                elif off and not m.start() and (t := _expanded(data, refused)):
+                    out.append((t, [(off, n)] * len(t)))
+    return out
+
+
+def _base64(m: re.Match, refused: list):
+    """Lines of one width (the first and last may be shorter) are one run if that decodes."""
+    g = m.group()
+    pieces = [(p.start(), p.group()) for p in PIECE.finditer(g)]
+    text, at, done, got = [], [], 0, False
+
+    def put(t: str, where: list) -> None:
+        text.append(t)
+        at.extend(where)
+
+    i = 0
+    while i < len(pieces):
+        j = i + 1
+        width = len(pieces[j][1]) if j < len(pieces) else 0
+        while j < len(pieces) and len(pieces[j][1]) == width:
+            j += 1
+        if i + 1 < j < len(pieces) and len(pieces[j][1]) < width:
+            j += 1
+        parts: list = []
+        for k, loose in ((j, False), (j - 1, False), (j, True)):
+            if k <= i:
+                continue
+            where = [a + x for a, p in pieces[i:k] for x in range(len(p))]
+            parts = [(t, [(where[x], where[y - 1] + 1) for x, y in w])
+                     for t, w in _run("".join(p for _, p in pieces[i:k]), refused, loose)]
+            if parts:
+                break
+        if j > i + 1 and (not parts or loose):
+            # lines that are no run together may be runs of their own
+            k = j
+            for a, p in pieces[i:j]:
+                if len(p) >= 16:
+                    parts += [(t, [(a + x, a + y) for x, y in w]) for t, w in _run(p, refused)]
+        if not parts:
+            k = j
+        first, last = pieces[i][0], pieces[k - 1][0] + len(pieces[k - 1][1])
+        put(g[done:first], [(x, x + 1) for x in range(done, first)])
+        if parts:
+            got = True
+            for x, (t, w) in enumerate(parts):
+                if x:
+                    put("\n", w[:1])
+                put(t, w)
+        else:
+            put(g[first:last], [(x, x + 1) for x in range(first, last)])
+        done, i = last, k
+    tail = done if done < len(g) and g[done] != "=" else len(g)
+    put(g[tail:], [(x, x + 1) for x in range(tail, len(g))])
+    return ("".join(text), at) if got else None
+
+
+def _packed_url(m: re.Match, refused: list):
+    t = _expanded(unquote_to_bytes(m.group()), refused)
+    return None if t is None else (t, [(0, len(m.group()))] * len(t))
+
+
+def _packed_x(m: re.Match, refused: list):
+    data = re.sub(r"\\(?:x([0-9A-Fa-f]{2})|(.))", lambda e: chr(
+        int(e[1], 16) if e[1] else BACKSLASH.get(e[2], ord(e[2]))), m.group())
+    t = _expanded(data.encode("latin-1", "replace"), refused)
+    return None if t is None else (t, [(0, len(m.group()))] * len(t))
 
 
 #: name, pattern, decoder, a character that any match must hold
 CODECS = (("url", PERCENT, _percent, "%"), ("unicode", ESCAPE, _escape, "\\&"),
-          ("base64", BASE64, _base64, ""))
+          ("base64", BASE64, _base64, ""), ("url", PACKED_URL, _packed_url, "%"),
+          ("unicode", PACKED_X, _packed_x, "\\"))
 
 
 def unwrap(text: str, start, end, codec, refused: list):
