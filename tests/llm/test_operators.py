@@ -460,6 +460,20 @@ def test_url_rules_and_propagation(spark):
     assert got[8]["trust"] > 0 and got[8]["verdict"] == "allow" and got[4]["verdict"] == "allow"
 
 
+def test_url_links_out_of_the_crawl(spark):
+    a = '<a href="{}">x</a>'
+    pages = [(1, "http://bad.org/", a.format("http://gone.net/es/x") + a.format("http://gone.net/fr/")),
+             (2, "http://fan.org/", a.format("//gone.net/es/y?z")), (3, "http://calm.org/", a.format("//gone.net/de/")),
+             (4, "http://h0.org/", a.format("http://bad.org/"))]
+    pages += [(4 + i, f"http://h{i}.org/", a.format(f"//h{i - 1}.org/")) for i in range(1, 21)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r for r in urls.filter_urls(df, least=1e-9).collect()}
+    assert all(got[i]["verdict"] == "block" and got[i]["distrust"] > 0 for i in (1, 2, 4, 15, 20, 24))
+    # against the links: gone.net's mass goes to its three linkers in equal parts by links
+    assert got[1]["distrust"] == pytest.approx(0.15 * 0.85 * 2 / 4, abs=1e-7)
+    assert got[24]["distrust"] == pytest.approx(0.15 * 0.85 * 2 / 4 * 0.85 ** 21, abs=1e-7)
+
+
 # -- 10 decontamination
 
 def sub_distance(item, text):

@@ -2,8 +2,8 @@
 
 The longest matching rule decides. A host that no rule reaches is judged by
 two personalised PageRank vectors over host edges: trust flows along links from
-hosts with an allowed page, distrust flows against links from hosts with a
-blocked page (a host that links to bad hosts is suspect). A host is blocked if
+hosts with an allowed url, distrust flows against links from hosts with a
+blocked url (pages and link targets alike, crawled or not; a host that links to bad hosts is suspect). A host is blocked if
 the distrust that reached it over links (its own restart mass left out: a rule
 blocks a path, not the whole host) exceeds ``ratio`` times its trust and the
 floor ``least`` (in units of the uniform share 1 / hosts).
@@ -27,11 +27,15 @@ from twasprep.llm.common import materialise
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
          ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-9  # rounds go on until the scores change by less in sum
+ROUNDS = 12  # rounds of the SQL twin, as LINK is its pattern (scheme required, host only)
 RATIO = 1.0
 LEAST = 0.5
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s>]*)"""
 
+#: The operator's own pattern: the url of an absolute or protocol-relative link.
+TARGET = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
+
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     at = F.instr(url, "://")
@@ -56,24 +60,32 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, n): absolute links between different hosts, summed."""
+def links_of(pages: DataFrame) -> DataFrame:
+    """(src, dst, path, n): absolute and protocol-relative links, summed."""
     host, _ = host_and_path(F.col("url"))
-    links = pages.select(host.alias("src"), F.explode(
-        F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(LINK), 1)).alias("dst"))
-    low = F.translate("dst", string.ascii_uppercase, string.ascii_lowercase)
-    return links.select("src", low.alias("dst")) \
-        .where("src <> '' and dst <> '' and src <> dst") \
-        .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    links = pages.select(host.alias("src"), F.explode(F.regexp_extract_all(
+        F.coalesce(F.col("html"), F.lit("")), F.lit(TARGET), 1)).alias("to"))
+    dst, path = host_and_path(F.when(F.col("to").startswith("//"), F.concat(
+        F.lit("http:"), F.col("to"))).otherwise(F.col("to")))
+    return links.select("src", dst.alias("dst"), path.alias("path")).where("dst <> ''") \
+        .groupBy("src", "dst", "path").agg(F.count(F.lit(1)).alias("n"))
+
+
+def host_edges(links: DataFrame) -> DataFrame:
+    """(src, dst, n): links between different hosts, summed."""
+    return links.where("src <> '' and src <> dst") \
+        .groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              rounds: int = ROUNDS) -> DataFrame:
+              rounds: int | None = None) -> DataFrame:
     """Personalised PageRank (kind, host, score) for several kinds at once.
 
     ``edges``: kind, src, dst, n. ``seeds``: kind, host, mass (sums to 1 per
     kind). Mass of hosts without out-links returns to the seeds' next round
-    share by not being spread (scores then sum to less than one).
+    share by not being spread (scores then sum to less than one). Without
+    ``rounds`` it goes on to ``TOLERANCE``; each round shrinks the change by
+    ``damping``, so it ends.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     share = materialise(edges.join(out, ["kind", "src"]).select(
@@ -83,30 +95,41 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
         # nothing to spread: the fixed point is the seeds' own restart mass
         return ranks.withColumn("score", F.col("score") * (1.0 - damping))
     base = seeds.select("kind", "host", (F.col("mass") * (1.0 - damping)).alias("score"))
-    for i in range(1, rounds + 1):
+    before, i = materialise(ranks, "ranks"), 0
+    while rounds is None or i < rounds:
+        i += 1
         sent = share.join(ranks, (share["kind"] == ranks["kind"]) & (share["src"] == ranks["host"])) \
             .select(share["kind"], F.col("dst").alias("host"),
                     (F.col("score") * F.col("share") * damping).alias("score"))
         ranks = base.unionByName(sent).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if i % 4 == 0:
             ranks = materialise(ranks, "ranks")
+            change = ranks.unionByName(before.withColumn("score", -F.col("score"))) \
+                .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.sum("d")).first()[0]
+            if rounds is None and (change or 0.0) < TOLERANCE:
+                break
+            before = ranks
     return ranks
 
 
-def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int = ROUNDS,
+def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int | None = None,
                 ratio: float = RATIO, least: float = LEAST) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust (one row per page)."""
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, by_rule = rule_of(F.col("host"), F.col("path"), rules)
     judged = judged.withColumn("rule", rule).withColumn("_by_rule", by_rule)
-    seeds = judged.where("_by_rule is not null and host <> ''") \
+    links = materialise(links_of(pages), "links")
+    to_rule = rule_of(F.col("dst"), F.col("path"), rules)[1]
+    seeds = judged.select("host", "_by_rule").unionByName(
+        links.select(F.col("dst").alias("host"), to_rule.alias("_by_rule"))) \
+        .where("_by_rule is not null and host <> ''") \
         .select(F.when(F.col("_by_rule") == "allow", "trust").otherwise("distrust").alias("kind"),
                 "host").distinct()
     per_kind = seeds.groupBy("kind").agg(F.count(F.lit(1)).alias("m"))
     seeds = materialise(seeds.join(F.broadcast(per_kind), "kind").select(
         "kind", "host", (F.lit(1.0) / F.col("m")).alias("mass")), "seeds")
-    e = materialise(host_edges(pages), "edges")
+    e = materialise(host_edges(links), "edges")
     both = e.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(
         e.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"),
                  F.col("src").alias("dst"), "n"))
