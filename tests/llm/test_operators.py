@@ -516,6 +516,21 @@ def test_leaks_match_brute_force(spark):
     assert decontam.drop_leaks(docs, bench.where("item_id < 0")).count() == len(texts)
 
 
+@pytest.mark.parametrize("m", [12, 13, 25, 26, 30, 50, 80, 100, 200, 300, 400])
+def test_whole_edit_budget_at_every_length(m):
+    rng = random.Random(m)
+    item = bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(m))
+    k = int(0.08 * m)
+    index = decontam.ItemIndex([(7, item), (8, b"another item that is nowhere " * 9)])
+    for n in (k, k + 1):
+        t = bytearray(item)
+        for j in range(n):  # spread evenly, which breaks the most grams
+            t[(2 * j + 1) * m // (2 * n)] = ord("#")
+        text = b"%" * 40 + bytes(t) + b"%" * 40
+        found = list(index.matches(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+        assert [(x[1], x[4]) for x in found] == ([(0, k)] if n == k else []), (m, n)
+
+
 # -- all
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))

@@ -14,8 +14,8 @@ item text, each shipped to the tasks and searched against all rows.
 
 Edge cases: null or empty texts have no matches; null or empty items and items
 shorter than ``Q`` bytes are not searched (too short to be evidence); short
-items get a smaller budget so that the lemma still needs ``LEAST`` grams; equal
-items are reported each; repeated rows are judged alike; a column of the
+items are searched by shorter grams (``QS``) so that the lemma still needs
+``LEAST`` of them at the whole budget; equal items are reported each; repeated rows are judged alike; a column of the
 documents with any name passes through :func:`drop_leaks`; empty tables give
 no rows (no benchmark: all rows stay).
 """
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from twasprep.llm import textvec as tv
 
 U = tv.U
-Q = 12
+Q = 12  # bytes of the shortest item searched
+QS = (12, 8, 5)  # gram sizes: the largest that fits an item's length
 BUDGET = 0.08
 LEAST = 4
 BLOCK_BYTES = 4 << 20
@@ -43,28 +44,56 @@ _LOWER[65:91] += 32
 
 def edit_budget(m: int) -> int:
     """Edits allowed for an item of ``m`` bytes."""
-    return max(0, min(int(m * BUDGET), (m - (Q - 1) - LEAST) // Q))
+    return int(m * BUDGET)
 
 
-def _grams(low: np.ndarray) -> np.ndarray:
-    """Hash of the Q = 12 bytes from each position (length n - 11)."""
-    x = tv.octets(low)
-    if len(x) < 5:
+def gram_size(m: int) -> int:
+    """The largest gram of which an occurrence within the budget must share ``LEAST``."""
+    k = edit_budget(m)
+    return next((q for q in QS if m - (q - 1) - k * q >= LEAST), QS[-1])
+
+
+def _grams(low: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the ``q`` bytes from each position (length n - q + 1)."""
+    if len(low) < q:
         return np.zeros(0, U)
-    return x[:-4] * U(0x9E3779B97F4A7C15) + (x[4:] >> U(32)) * U(0xC2B2AE3D27D4EB4F)
+    if q == 12:
+        x = tv.octets(low)
+        return x[:-4] * U(0x9E3779B97F4A7C15) + (x[4:] >> U(32)) * U(0xC2B2AE3D27D4EB4F)
+    x = np.zeros(len(low) - q + 1, U)
+    for i in range(q):
+        x = (x << U(8)) | low[i:len(low) - q + 1 + i].astype(U)
+    return x * U(0x9E3779B97F4A7C15)  # odd: no two grams of up to 8 bytes agree
 
 
 class ItemIndex:
-    """Grams of a block of items: a filter table and their occurrences."""
+    """A block of items, one gram index per gram size."""
 
     def __init__(self, items: list[tuple[object, bytes]]):
         self.ids = [i for i, _ in items]
+        self.k = np.array([edit_budget(len(t)) for _, t in items], np.int64)
+        size = [gram_size(len(t)) for _, t in items]
+        self.parts = [(rows, GramIndex([items[i] for i in rows], q)) for q in QS
+                      if (rows := [i for i, x in enumerate(size) if x == q])]
+
+    def matches(self, buf: np.ndarray, off: np.ndarray) -> Iterator[tuple]:
+        """(row, item index, start, end, distance, shared grams) over a block (off starts at 0)."""
+        for rows, index in self.parts:
+            for r, i, *rest in index.matches(buf, off):
+                yield r, rows[i], *rest
+
+
+class GramIndex:
+    """Grams of items with one gram size: a filter table and their occurrences."""
+
+    def __init__(self, items: list[tuple[object, bytes]], q: int):
+        self.q = q
         self.low = [_LOWER[np.frombuffer(t, np.uint8)] for _, t in items]
         m = np.array([len(t) for t in self.low], np.int64)
         self.m, self.k = m, np.array([edit_budget(int(x)) for x in m], np.int64)
-        self.need = m - (Q - 1) - self.k * Q
+        self.need = m - (q - 1) - self.k * q
         self.width = 2 * self.k + 1
-        g = [_grams(t) for t in self.low]
+        g = [_grams(t, q) for t in self.low]
         allg = np.concatenate(g) if g else np.zeros(0, U)
         item = np.repeat(np.arange(len(g)), [len(x) for x in g])
         at = np.concatenate([np.arange(len(x)) for x in g]) if g else np.zeros(0, np.int64)
@@ -78,17 +107,17 @@ class ItemIndex:
 
     def matches(self, buf: np.ndarray, off: np.ndarray) -> Iterator[tuple]:
         """(row, item index, start, end, distance, shared grams) over a block (off starts at 0)."""
-        if not len(self.grams) or len(buf) < Q:
+        if not len(self.grams) or len(buf) < self.q:
             return
         low = _LOWER[buf]
-        g = _grams(low)
+        g = _grams(low, self.q)
         pos = np.flatnonzero(self.table[g >> self.shift])
         slot = np.searchsorted(self.grams, g[pos])
         slot[slot == len(self.grams)] = 0
         here = self.grams[slot] == g[pos]
         pos, slot = pos[here], slot[here]
         row = np.searchsorted(off, pos, "right") - 1
-        inside = pos + Q <= off[row + 1]
+        inside = pos + self.q <= off[row + 1]
         pos, slot, row = pos[inside], slot[inside], row[inside]
         if not len(pos):
             return
