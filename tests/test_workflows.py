@@ -113,3 +113,15 @@ def test_validate_job_on_files(spark, tmpdir_path):
     assert (got["neurons"].n_samples, got["neurons"].n_genes) == (2, 2)
     assert not got["neurons"].all_numeric and got["neurons"].no_duplicate_genes
     assert got["opc"].all_numeric and not got["opc"].no_duplicate_genes
+
+
+def test_only_files_of_known_chromosomes_are_pruned(spark):
+    from pyspark.sql import functions as F
+
+    from twasprep.plans.workflows import _of_chromosomes
+
+    read = ["chrAll_x", "chromosome_annot", "chr01_x", "chr1_x", "chrM_x", "chrMT_x", "all", "chrX_x"]
+    paths = [f"file:/d/{n}.txt" for n in [*read, "chr2_x", "chr22_x", "chrY_x"]] + ["file:/d/chrom=chr3/p.txt"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    kept = [r["path"] for r in df.where(_of_chromosomes("1,X,MT")(F.col("path"))).collect()]
+    assert sorted(kept) == sorted(paths[:len(read)])

@@ -112,11 +112,15 @@ def _of_chromosomes(chromosomes):
     names = chromosome_list(chromosomes)
     if names is None:
         return None
+    plain = {n.strip().removeprefix("chr").lstrip("0") for n in names}
+    wanted = sorted(plain | ({"M", "MT"} if plain & {"M", "MT"} else set()))
 
     def keep(path):
         named = F.coalesce(F.nullif(F.regexp_extract(path, "/chrom=(?:chr)?([^/]+)/[^/]*$", 1), F.lit("")),
                            F.regexp_extract(path, "/chr([^/_.]+)[_.][^/]*$", 1))
-        return (named == "") | named.isin(names)
+        # only a chromosome's name, written as in the list, lets a file go unread
+        known = F.rlike(named, F.lit("^(?:[1-9]|1[0-9]|2[0-2]|X|Y|M|MT)$"))
+        return ~known | named.isin(wanted)
 
     return keep
 
