@@ -423,6 +423,19 @@ def test_toxicity_held_out(spark):
     assert len(none) == 400 and {r["score"] for r in none} == {0.0}
 
 
+def test_misspelled_short_words_and_stems(spark):
+    rng = random.Random(3)
+    bad = ["trash", "moron", "scum", "clown", "loserly", "loserish", "loserness"]
+    texts = [prose(rng, 30) + f" {bad[i // 2 % 7]} " + prose(rng, 5) if i % 2 else
+             prose(rng, 30) + f" crash {i % 9} " + prose(rng, 5) for i in range(600)]
+    odd = ["trassh", "morn", "scuum", "clpwn", "looserish", "losrness", "crash"]
+    docs = docs_of(spark, texts + [prose(rng, 30) + f" {w} " + prose(rng, 5) for w in odd])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(docs, labels).collect()}
+    assert [got[600 + i] for i in range(len(odd))] == [1, 1, 1, 1, 1, 1, 0]
+    assert all(got[i] == i % 2 for i in range(600))
+
+
 # -- 8 sharding
 
 @pytest.mark.parametrize("n", [1, 2, 3, 39, 41, 500])

@@ -3,7 +3,8 @@
 Lexicon: from the training labels, whole words and stems (word beginnings) that
 occur almost only in toxic documents, judged by the lower confidence bound of
 their log odds. The lexicon's trie is intersected with Levenshtein automata
-(one edit for frequent whole words of six letters or more) and made deterministic; all words
+(one edit for words and stems of four letters or more, except for near forms that
+clean training documents hold as words) and made deterministic; all words
 of a block of texts run through the transition table at once, so misspelled
 terms are found in time linear in the text.
 
@@ -39,9 +40,9 @@ LEAST_DOCS = 3  # toxic training documents that must hold a term
 LEAST_ODDS = 2.3  # lower bound of the log odds of a term
 LEAST_SHARE = 0.005  # and the share of them
 ONE_WORD = 0.9  # share of a stem's documents that makes it one word
-FUZZY_SHARE = 0.05  # share of the toxic documents that lets a word be misspelled
 TERMS = 400  # size of the lexicon (model size, not a cap on data)
-FUZZY = 6  # letters from which one edit is allowed
+FUZZY = 6  # letters from which one edit is allowed, unless told otherwise
+LETTERS = 4  # letters from which the learned terms take one edit
 TRAIN_ROWS = 40_000  # labelled rows that the model is fitted on (a sample, if there are more)
 CONTEXT = 40  # characters on each side searched for quotation marks
 BLOCK = 1 << 20
@@ -103,16 +104,16 @@ def learn_terms(train: DataFrame, terms: int = TERMS) -> list[tuple[str, bool, f
     bound = odds - F.sqrt(1.0 / (F.col("pos") + 0.5) + 1.0 / (F.col("neg") + 0.5))
     best = counts.withColumn("odds", odds).withColumn("bound", bound) \
         .where(F.col("bound") >= LEAST_ODDS).orderBy(F.desc("bound"), "t").limit(terms)
-    rows = [(r["t"][1:], r["t"][0] == "^", float(r["odds"]), r["pos"], r["pos"] >= FUZZY_SHARE * r["p"])
+    rows = [(r["t"][1:], r["t"][0] == "^", float(r["odds"]), r["pos"], True)
             for r in best.collect()]
-    # a stem that is nearly always one word gives way to the word, and a term
-    # that begins with a stem of the lexicon adds nothing to it
+    # a stem that is nearly always one word gives way to the word, and a longer
+    # stem adds nothing to a shorter one; words stay for their own edits
     words = [(t, n) for t, stem, _, n, _ in rows if not stem]
     rows = [r for r in rows if not r[1] or not any(
         t.startswith(r[0]) and n >= ONE_WORD * r[3] for t, n in words)]
     stems = {r[0] for r in rows if r[1]}
     return [(t, s, o, f) for t, s, o, _, f in rows
-            if not any(t[:n] in stems for n in STEMS if n < len(t)) and not (not s and t in stems)]
+            if not s or not any(t[:n] in stems for n in STEMS if n < len(t))]
 
 
 class Automaton:
@@ -124,11 +125,12 @@ class Automaton:
     accepting states; in a stem's accepting state any continuation stays accepted.
     """
 
-    def __init__(self, terms: list[tuple[str, bool, float, bool]]):
+    def __init__(self, terms: list[tuple[str, bool, float, bool]], least: int = FUZZY,
+                 stems: bool = False):
         kids, end, edits, most = [{}], [0], [0], [0]
         for term, stem, _, frequent in terms:
             node = 0
-            allowed = 1 if frequent and len(term) >= FUZZY and not stem else 0
+            allowed = 1 if frequent and len(term) >= least and (stems or not stem) else 0
             edits[0] = max(edits[0], allowed)
             for ch in term:
                 if ch not in kids[node]:
@@ -204,8 +206,8 @@ class Automaton:
 class Scanner:
     """Hits of the automaton in blocks of texts, each with its context."""
 
-    def __init__(self, terms):
-        self.auto = Automaton(terms)
+    def __init__(self, terms, least: int = FUZZY, stems: bool = False):
+        self.auto = Automaton(terms, least, stems)
         table = np.zeros(0x3000, np.uint8 if len(self.auto.symbol) < 250 else np.int32)
         for c, i in self.auto.symbol.items():
             table[min(ord(c), 0x2FFF)] = i
@@ -246,7 +248,7 @@ def quoted(text: str, start: int, end: int) -> bool:
 _CELLS = "abuse int, misspelled int, quoted int"
 
 
-def _count(texts: list[str], scanner: Scanner):
+def _count(texts: list[str], scanner: Scanner, skip=frozenset()):
     """Per text the numbers of plain, misspelled and quoted hits."""
     out = np.zeros((len(texts), 3), np.int32)
     lo = 0
@@ -256,23 +258,49 @@ def _count(texts: list[str], scanner: Scanner):
             size += len(texts[hi])
             hi += 1
         for r, s, e, near in zip(*scanner.hits(texts[lo:hi])):
+            if near and texts[lo + r][s:e].lower() in skip:
+                continue
             inside = quoted(texts[lo + r], int(s), int(e))
             out[lo + r, 2 if inside else (1 if near else 0)] += 1
         lo = hi
     return out
 
 
-def count_hits(rows: DataFrame, terms, text_col: str = "text") -> DataFrame:
+def near_forms(train: DataFrame, scanner: Scanner) -> DataFrame:
+    """(form, pos, neg): toxic and clean training documents that hold a misspelled form."""
+
+    def run(batches):
+        for b in batches:
+            texts, ys, forms, out = [t or "" for t in b.column("text").to_pylist()], [], [], set()
+            y = b.column("y").to_pylist()
+            for i, t in enumerate(texts):
+                out = {t[s:e].lower() for _, s, e, near in zip(*scanner.hits([t])) if near}
+                forms += out
+                ys += [y[i]] * len(out)
+            yield pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array(ys, pa.int32())],
+                                             ["form", "y"])
+
+    return train.select("text", "y").mapInArrow(run, "form string, y int").groupBy("form").agg(
+        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+
+
+def other_words(forms, p: int, n: int, own: int = 0) -> frozenset:
+    """Near forms that are words of clean documents (``own`` of which are left out), not misspellings."""
+    return frozenset(f for f, pos, neg in forms
+                     if neg > own and (pos + 0.5) / (neg - own + 0.5) * (n + 1.0) / (p + 1.0) < np.exp(LEAST_ODDS))
+
+
+def count_hits(rows: DataFrame, scanner: Scanner | None, text_col: str = "text",
+               skip=frozenset()) -> DataFrame:
     """``rows`` without the text, plus abuse, misspelled and quoted."""
     rest = [f for f in rows.schema.fields if f.name != text_col]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + [_CELLS])
     names = [f.name for f in rest]
 
     def run(batches):
-        scanner = Scanner(terms) if terms else None
         for b in batches:
             texts = [t or "" for t in b.column(text_col).to_pylist()]
-            c = _count(texts, scanner) if scanner else np.zeros((len(texts), 3), np.int32)
+            c = _count(texts, scanner, skip) if scanner else np.zeros((len(texts), 3), np.int32)
             yield pa.RecordBatch.from_arrays(
                 [b.column(n) for n in names] + [pa.array(np.ascontiguousarray(c[:, j]))
                                                 for j in range(3)],
@@ -311,22 +339,35 @@ def fit(cells: list[tuple[int, int, int, int, int]], ridge: float = 0.05) -> np.
 SATURATE = 20
 
 
-def train_model(docs: DataFrame, labels: DataFrame) -> tuple[list, np.ndarray | None]:
-    """(lexicon, logistic weights) from the training rows."""
+def train_model(docs: DataFrame, labels: DataFrame) -> tuple:
+    """(scanner, near forms that are other words, logistic weights) from the training rows.
+
+    A near form seen in clean training documents is a word of its own. The model
+    is fitted with each document's own evidence left out of that list, so that
+    the weight of misspelled hits holds for documents not seen.
+    """
     train = materialise(training_rows(docs, labels), "train")
     terms = learn_terms(train)
+    scanner = Scanner(terms, LETTERS, True) if terms else None
+    # at most the distinct words of the training sample, which is bounded
+    forms = [tuple(r) for r in near_forms(train, scanner).collect()] if terms else []
+    size = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    p, n = size.get(1, 0), size.get(0, 0)
+    skip = other_words(forms, p, n)
+    hits = count_hits(train.where("y = 1"), scanner, skip=skip).unionByName(
+        count_hits(train.where("y = 0"), scanner, skip=other_words(forms, p, n, 1)))
     s = F.lit(SATURATE)
-    cells = count_hits(train, terms).groupBy(
+    cells = hits.groupBy(
         F.least("abuse", s).alias("a"), F.least("misspelled", s).alias("m"),
         F.least("quoted", s).alias("q")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     rows = [tuple(r) for r in cells.collect()]  # at most 21 ** 3 cells
-    return terms, fit(rows) if rows else None
+    return scanner, skip, fit(rows) if rows else None
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, abuse, misspelled, quoted."""
-    terms, w = train_model(docs, labels)
-    counted = count_hits(docs.select("doc_id", "text"), terms)
+    scanner, skip, w = train_model(docs, labels)
+    counted = count_hits(docs.select("doc_id", "text"), scanner, skip=skip)
     if w is None:
         score = F.lit(0.0)
     else:
