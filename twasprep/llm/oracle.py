@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from twasprep.llm import mixing, quality, sharding, urls
+from twasprep.llm import merkle, mixing, quality, sharding, urls
 
 
 def _hash52(text: str) -> str:
@@ -71,6 +71,14 @@ def _crc_table() -> str:
     return f"({table})::BIGINT[]"
 
 
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes."""
+    code = (f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+            "lambda h: ('0x' || h)::BIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, x: "
+            f"xor(c >> 8, ({_crc_table()})[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)")
+
+
 def _md5_32(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
 
@@ -89,10 +97,7 @@ def _feistel(source: str) -> str:
 
 def _sharding_sql() -> str:
     text = "coalesce(text, '')"
-    code = (f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
-            "lambda h: ('0x' || h)::BIGINT)")
-    crc = (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, x: "
-           f"xor(c >> 8, ({_crc_table()})[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)")
+    crc = _crc(text)
     k = sharding.N_SHARDS
     return f"""
 WITH RECURSIVE d AS MATERIALIZED (
@@ -171,7 +176,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN out ON f.id = out.id"""
 
 
+def _merkle_tree(name: str, leaves: str, key: str) -> str:
+    """CTEs: ``{name}``, the nodes (k, lvl, idx, cnt, h) of every level over
+    ``leaves(k, idx, cnt, h)``, and ``{name}_sib``, each node's siblings."""
+    a = merkle.ARITY
+    return f"""
+{name}(k, lvl, idx, cnt, h) AS (
+  SELECT k, 0, idx, cnt, h FROM {leaves} UNION ALL
+  SELECT k, any_value(lvl) + 1, idx // {a}, (any_value(cnt) + {a - 1}) // {a}, sha256(string_agg(h, '' ORDER BY idx))
+  FROM {name} WHERE cnt > 1 GROUP BY k, idx // {a}),
+{name}_sib AS (
+  SELECT n.k, n.lvl, n.idx, coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx < n.idx), '') AS l,
+         coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx > n.idx), '') AS r
+  FROM {name} n JOIN {name} s ON n.k = s.k AND n.lvl = s.lvl AND n.idx // {a} = s.idx // {a}
+  WHERE n.cnt > 1 GROUP BY 1, 2, 3)"""
+
+
+def _merkle_sql() -> str:
+    part = lambda c: (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' "
+                      f"|| {c}::VARCHAR END")
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in (*merkle.FIELDS[:4], text)) + ")"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS k, {leaf("text")} AS leaf,
+         CASE WHEN {_crc("doc_id::VARCHAR")} % {merkle.TAMPER} = 0 THEN {leaf(_lower("text"))}
+              ELSE {leaf("text")} END AS bad FROM documents),
+base AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY k) AS cnt FROM d),
+low AS (SELECT k, idx, cnt, leaf AS h FROM base),{_merkle_tree("t", "low", "k")},
+sub AS (SELECT k, h FROM t WHERE cnt = 1),
+high AS (SELECT 0 AS k, row_number() OVER (ORDER BY encode(k)) - 1 AS idx, count(*) OVER () AS cnt, h FROM sub),
+{_merkle_tree("u", "high", "k")},
+pos AS (SELECT k, h AS subroot, row_number() OVER (ORDER BY encode(k)) - 1 AS top FROM sub),
+leaves AS (SELECT row_number() OVER () AS id, base.*, subroot, top FROM base JOIN pos USING (k)),
+p(id, k, lvl, idx, top, phase, h, proof) AS (
+  SELECT id, k, 0, idx, top, 0, bad, '' FROM leaves UNION ALL
+  SELECT p.id, p.k, CASE WHEN p.phase = 0 AND t_sib.k IS NULL THEN 0 ELSE p.lvl + 1 END,
+         CASE WHEN p.phase = 0 AND t_sib.k IS NULL THEN p.top ELSE p.idx // {merkle.ARITY} END, p.top,
+         CASE WHEN p.phase = 0 AND t_sib.k IS NOT NULL THEN 0 WHEN p.phase = 1 AND u_sib.k IS NULL THEN 2 ELSE 1 END,
+         CASE WHEN t_sib.k IS NOT NULL THEN sha256(t_sib.l || p.h || t_sib.r)
+              WHEN u_sib.k IS NOT NULL THEN sha256(u_sib.l || p.h || u_sib.r) ELSE p.h END,
+         p.proof || coalesce(t_sib.l || t_sib.r, '') || coalesce(u_sib.l || u_sib.r, '')
+  FROM p LEFT JOIN t_sib ON p.phase = 0 AND t_sib.k = p.k AND t_sib.lvl = p.lvl AND t_sib.idx = p.idx
+         LEFT JOIN u_sib ON p.phase = 1 AND u_sib.lvl = p.lvl AND u_sib.idx = p.idx
+  WHERE p.phase < 2)
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root,
+       p.h = u.h AS verified
+FROM leaves JOIN p ON p.id = leaves.id AND p.phase = 2, u WHERE u.cnt = 1"""
+
+
 ORACLE_SQL = {
+    "op12_manifest": _merkle_sql(),
     "op3_quality": _quality_sql(),
     "op8_sharding": _sharding_sql(),
     "op9_urls": _urls_sql(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twasprep.llm import (bagminhash, decontam, mixing, pii, quality, secrets, sharding, substrings,
+from twasprep.llm import (bagminhash, decontam, merkle, mixing, pii, quality, secrets, sharding, substrings,
                           toxicity, urls)
 from twasprep.llm.common import read_table
 
@@ -73,6 +73,10 @@ def op10_decontamination(spark, sf_dir):
                           read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_manifest(spark, sf_dir):
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secrets, op2_substrings, op3_quality, op4_pii, op5_mixing, op6_near_duplicates,
-    op7_toxicity, op8_sharding, op9_urls, op10_decontamination)}
+    op7_toxicity, op8_sharding, op9_urls, op10_decontamination, op12_manifest)}
