@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from twasprep.llm import merkle, mixing, quality, sharding, urls
+from twasprep.llm import covertree, merkle, mixing, quality, rtree, sharding, urls
 
 
 def _hash52(text: str) -> str:
@@ -226,7 +226,45 @@ SELECT doc_id, leaf, subroot, u.h AS root, sha256(p.proof) AS proof_sha256, p.h
 FROM leaves JOIN p ON p.id = leaves.id AND p.phase = 2, u WHERE u.cnt = 1"""
 
 
+def _integers(scale: int, label: str = "label") -> str:
+    """vec_id, label, q of the rows that take part (one row for each vec_id)."""
+    return f"""
+    SELECT vec_id, {label} AS label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _hard_negatives_sql() -> str:
+    moved = f"CASE WHEN vec_id % {rtree.SHIFT} = 0 THEN (label + 1) % {rtree.LABELS} ELSE label END"
+    return f"""
+WITH v AS MATERIALIZED (SELECT * FROM ({_integers(rtree.SCALE, moved)}) WHERE label IS NOT NULL),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+         CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND a.vec_id % {rtree.EVERY} = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {rtree.POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER (
+         PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND {rtree.LOW} * positive_score <= 100 * score AND 100 * score <= {rtree.HIGH} * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= {rtree.NEGATIVES}"""
+
+
+def _top_k_sql() -> str:
+    return f"""
+WITH v AS MATERIALIZED ({_integers(covertree.SCALE)}),
+s AS (SELECT a.vec_id AS query_id, c.vec_id, CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND a.vec_id % {covertree.EVERY} = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {covertree.K}"""
+
+
 ORACLE_SQL = {
+    "op11_hard_negatives": _hard_negatives_sql(),
+    "op13_top_k": _top_k_sql(),
     "op12_manifest": _merkle_sql(),
     "op3_quality": _quality_sql(),
     "op8_sharding": _sharding_sql(),

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twasprep.llm import (bagminhash, decontam, merkle, mixing, pii, quality, secrets, sharding, substrings,
-                          toxicity, urls)
+from twasprep.llm import (bagminhash, covertree, decontam, merkle, mixing, pii, quality, rtree, secrets,
+                          sharding, substrings, toxicity, urls)
 from twasprep.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +73,19 @@ def op10_decontamination(spark, sf_dir):
                           read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return rtree.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_manifest(spark, sf_dir):
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_top_k(spark, sf_dir):
+    return covertree.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secrets, op2_substrings, op3_quality, op4_pii, op5_mixing, op6_near_duplicates,
-    op7_toxicity, op8_sharding, op9_urls, op10_decontamination, op12_manifest)}
+    op7_toxicity, op8_sharding, op9_urls, op10_decontamination, op11_hard_negatives,
+    op12_manifest, op13_top_k)}
