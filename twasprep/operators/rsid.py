@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twasprep.functions.genotype import clean_chromosome
+from twasprep.operators.intervals import overlaps
 from twasprep.schemas import UNRESOLVED_RSID
 
 _KEYS = ["chrom_key", "pos", "ref", "match_alt"]
@@ -60,14 +61,32 @@ def dbsnp_match_keys(dbsnp: DataFrame) -> DataFrame:
     )
 
 
-def covered_positions(dbsnp: DataFrame, naming: int | None = None) -> DataFrame:
-    """Every (chrom_key, naming, q) a record overlaps: q in [pos, pos+len(ref)-1]."""
+def record_spans(dbsnp: DataFrame, naming: int | None = None) -> DataFrame:
+    """(chrom_key, naming, rsid, ord, first, last): the positions a record covers,
+    ``pos`` to ``pos + len(ref) - 1`` (the allele texts stay behind)."""
     n = normalize_dbsnp(dbsnp)
     if naming is not None:
         n = n.where(F.col("naming") == naming)
-    span = F.greatest(F.length("ref"), F.lit(1))
-    return n.select("chrom_key", "naming", "rsid", "ord", "pos",
-                    F.explode(F.sequence(F.col("pos"), F.col("pos") + span - 1)).alias("q"))
+    span = F.greatest(F.length("ref"), F.lit(1)).cast("long")
+    return n.where(F.col("pos").isNotNull() & span.isNotNull()).select(
+        "chrom_key", "naming", "rsid", "ord", F.col("pos").alias("first"),
+        (F.col("pos") + span - 1).alias("last"))
+
+
+def overlapping_records(snps: DataFrame, dbsnp: DataFrame) -> DataFrame:
+    """Per variant row: how many records overlap its position, the first of them
+    in file order, and the span of the longest (0 without any)."""
+    v = snps.select("varID", clean_chromosome(F.col("chromosome").cast("string")).alias("chrom_key"),
+                    F.col("pos").cast("long").alias("_pos"))
+    at = v.where(F.col("_pos").isNotNull()).select("chrom_key", "_pos").distinct()
+    hits = overlaps(at, record_spans(dbsnp), ["chrom_key"], "_pos", "first", "last").groupBy(
+        "chrom_key", "_pos").agg(
+            F.count(F.lit(1)).alias("hits"), F.min_by("rsid", "ord").alias("first_rsid"),
+            F.max(F.col("last") - F.col("first") + 1).alias("longest"))
+    zero = F.lit(0).cast("long")
+    return v.join(hits, ["chrom_key", "_pos"], "left").select(
+        "varID", F.coalesce("hits", zero).alias("hits"), "first_rsid",
+        F.coalesce("longest", zero).alias("longest"))
 
 
 def rsid_lookup(dbsnp: DataFrame, naming: str = "strict") -> DataFrame:
@@ -76,18 +95,18 @@ def rsid_lookup(dbsnp: DataFrame, naming: str = "strict") -> DataFrame:
     A bare-named match always wins (it proves that the bare region query has a
     record). Only keys matched under the ``chr`` name alone are in doubt: in
     strict mode they count unless some bare-named record overlaps the
-    position. Of the bare records' positions only those where a ``chr``-named
-    record starts are kept, so a file with one naming checks nothing.
+    position: an overlap join of the ``chr``-named starts with the bare records'
+    spans, so a long deletion is one or two rows, and a file with one naming
+    checks nothing.
     """
     keys = dbsnp_match_keys(dbsnp)
     if naming == "normalized":
         return keys.select(*_KEYS, F.coalesce("rsid_bare", "rsid_chr").alias("_resolved"))
     n = normalize_dbsnp(dbsnp)
     starts = (n.where((F.col("naming") == 1) & F.col("pos").isNotNull())
-              .select(F.col("chrom_key").alias("_bk"), F.col("pos").alias("_bq")).distinct())
-    bare = (covered_positions(dbsnp, naming=0)
-            .select(F.col("chrom_key").alias("_bk"), F.col("q").alias("_bq"))
-            .join(starts, ["_bk", "_bq"], "left_semi").distinct()
+              .select("chrom_key", F.col("pos").alias("_bq")).distinct())
+    bare = (overlaps(starts, record_spans(dbsnp, naming=0), ["chrom_key"], "_bq", "first", "last")
+            .select(F.col("chrom_key").alias("_bk"), "_bq").distinct()
             .withColumn("_bare_hit", F.lit(True)))
     in_doubt = F.col("rsid_bare").isNull() & F.col("rsid_chr").isNotNull()
     j = keys.join(bare, (F.col("chrom_key") == F.col("_bk")) & (F.col("pos") == F.col("_bq"))
@@ -213,9 +232,8 @@ def rsid_naming_report(snps: DataFrame, dbsnp: DataFrame, n: int = 3,
     # one lookup per position: variants that share an id or a position do not
     # multiply each other's hits
     at = v.select("_ck", "_pos").distinct()
-    cov = covered_positions(dbsnp)
-    hits = at.join(cov, (at["_ck"] == cov["chrom_key"]) & (at["_pos"] == cov["q"])).select(
-        "_ck", "_pos", "naming", "rsid", "ord")
+    hits = overlaps(at, record_spans(dbsnp).withColumnRenamed("chrom_key", "_ck"), ["_ck"],
+                    "_pos", "first", "last").select("_ck", "_pos", "naming", "rsid", "ord")
     parts = int(snps.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     salted = hits.withColumn("_salt", F.pmod(F.xxhash64("ord"), F.lit(max(64, 4 * parts))))
     bucket = Window.partitionBy("_ck", "_pos", "naming", "_salt")

@@ -145,6 +145,11 @@ def q_rsid_naming_report(spark, sf_dir):
     return R.rsid_naming_report(V.snp_annotation_rows(spark, sf_dir), V.dbsnp_rows(spark, sf_dir))
 
 
+def q_rsid_overlap(spark, sf_dir):
+    return R.overlapping_records(V.snp_annotation_rows(spark, sf_dir),
+                                 V.dbsnp_with_long_deletions(spark, sf_dir))
+
+
 # Rows per chunk in the legacy chunked mean (small, so genes straddle chunks).
 CHUNK_ROWS = 25
 # Digits kept on vector elements in the exploded (comparable) outputs.
@@ -277,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "rsid_stats": q_rsid_stats,
     "rsid_legacy_fill": q_rsid_legacy_fill,
     "rsid_naming_report": q_rsid_naming_report,
+    "rsid_overlap": q_rsid_overlap,
     "bin_means": q_bin_means,
     "gene_region_means": q_gene_region_means,
     "gene_region_means_chunked": q_gene_region_means_chunked,

@@ -129,6 +129,24 @@ def dbsnp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second).unionByName(deletion)
 
 
+#: Bases of the long deletions among the overlap query's records.
+LONG_DELETION = 100_000
+
+
+def dbsnp_with_long_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dbsnp_rows`` and, for parts of size 49, a deletion of ``LONG_DELETION``
+    bases that starts at the variant (``chr``-named for every other part)."""
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    bare = (k % 22 + 1).cast("string")
+    long = part.where("p_size = 49").select(*variant_cols("p_partkey"), "p_partkey").select(
+        F.when(k % 2 == 0, F.concat(F.lit("chr"), bare)).otherwise(bare).alias("chrom"), F.col("pos"),
+        F.concat(F.lit("rsL"), k.cast("string")).alias("rsid"),
+        F.repeat(F.lit("A"), F.lit(LONG_DELETION)).alias("ref"), F.lit("A").alias("alt"),
+        (k * 3 - 1).cast("long").alias("ord"))
+    return dbsnp_rows(spark, sf_dir).unionByName(long)
+
+
 def _region_of(r):
     return F.concat(F.lit("chr"), (r % 22 + 1).cast("string"), F.lit("_"), r.cast("string"))
 

@@ -8,6 +8,7 @@ are written out relationally.
 from __future__ import annotations
 
 from twasprep.plans.catalog import CHROMOSOME_SELECTION, GT_SAMPLE_ORDER
+from twasprep.plans.driver_views import LONG_DELETION
 
 # Derived genotype calls and variant annotation (see driver_views.py).
 _GT = """
@@ -209,6 +210,16 @@ shown AS (SELECT r.varID, CASE WHEN r.naming = 0 THEN 'bare' ELSE 'chr' END AS u
 SELECT v.varID, CAST(coalesce(bare_hits, 0) AS BIGINT) AS bare_hits,
        CAST(coalesce(chr_hits, 0) AS BIGINT) AS chr_hits, used_naming, first_hits
 FROM v LEFT JOIN counts USING (varID) LEFT JOIN shown USING (varID)""",
+    "rsid_overlap": _with(_PV) + f""",
+span AS (SELECT chrom_key, pos AS a, pos + greatest(length(ref), 1) - 1 AS b, rsid, ord FROM dbn
+         UNION ALL
+         SELECT bare, vpos, vpos + {LONG_DELETION} - 1, 'rsL' || pk, pk * 3 - 1 FROM pv WHERE ps = 49),
+hit AS (SELECT s.varID, count(*) AS hits, arg_min(d.rsid, d.ord) AS first_rsid, max(d.b - d.a + 1) AS longest
+        FROM snp_in s JOIN span d ON replace(s.chromosome, 'chr', '') = d.chrom_key
+             AND s.pos BETWEEN d.a AND d.b GROUP BY s.varID)
+SELECT varID, CAST(coalesce(hits, 0) AS BIGINT) AS hits, first_rsid,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest
+FROM snp_in LEFT JOIN hit USING (varID)""",
 })
 
 # --- features --------------------------------------------------------------
