@@ -28,12 +28,13 @@ def region_bin_means(tensors: DataFrame, keep_rejects: bool = False) -> DataFram
 
     Row-local (no shuffle). ``chromo`` is the region id before its first
     ``_``. Regions whose bins differ in length are dropped, or returned with
-    a NULL vector when ``keep_rejects``.
+    a NULL vector when ``keep_rejects``. ``src_file`` and ``src_row`` pass through.
     """
+    source = [c for c in ("src_file", "src_row") if c in tensors.columns]
     out = tensors.select(
         "sample_id", "region",
         F.substring_index("region", "_", 1).alias("chromo"),
-        bin_mean_vector("bins").alias("features"),
+        bin_mean_vector("bins").alias("features"), *source,
     )
     return out if keep_rejects else out.where(F.col("features").isNotNull())
 
@@ -59,19 +60,19 @@ def gene_region_means(windows: DataFrame, features: DataFrame,
                       chunk_rows: int | None = None) -> DataFrame:
     """Mean feature vector of each gene's regions, per sample.
 
-    ``features``: sample_id, region, ord, features. Genes none of whose
+    ``features``: sample_id, region, features (and ord, with ``chunk_rows``). Genes none of whose
     regions has a feature row are absent; duplicate feature rows of a region
-    each count. The window pairs are broadcast after a size check.
+    each count.
 
     ``chunk_rows`` reproduces the chunked legacy computation: rows are taken
     ``chunk_rows`` at a time in file order and a gene gets one mean per chunk
     that holds any of its regions (output gains ``chunk``).
     """
     pairs = window_pairs(windows)
-    f = features.select("sample_id", "region", "ord", "features")
+    f = features.select("sample_id", "region", "features")
     keys = ["sample_id", "gene_name"]
     if chunk_rows is not None:
-        f = f.withColumn("chunk", F.floor(F.col("ord") / F.lit(chunk_rows)).cast("long"))
+        f = features.select(*f.columns, F.floor(F.col("ord") / F.lit(chunk_rows)).cast("long").alias("chunk"))
         keys = ["sample_id", "chunk", "gene_name"]
     joined = f.join(pairs, "region")
     return joined.groupBy(*keys).agg(_vector_mean())

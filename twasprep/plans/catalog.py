@@ -19,6 +19,7 @@ from twasprep.plans import driver_views as V
 from twasprep.plans.readers import QUERIES as READER_QUERIES
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
+from twasprep.sources.positions import add_positions, read_with_source
 from twasprep.sources.vcf import parse_vcf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,18 +79,23 @@ def q_chromosome_filter(spark, sf_dir):
                                CHROMOSOME_SELECTION)
 
 
+def _table_path(spark: SparkSession) -> str:
+    """A new path under the shared checkpoint folder."""
+    import uuid
+
+    from twasprep.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/twasprep-tables/{uuid.uuid4().hex}"
+
+
 def _materialised(df: DataFrame) -> DataFrame:
     """Rendered text is read twice (header pass and record pass), like a file
     on disk: write it once as a table under the shared checkpoint folder and
     read it back (one computation, lineage cut) instead of recomputing the
     rendering for each pass."""
-    import uuid
-
-    from twasprep.session import ensure_checkpoint_dir
-
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/twasprep-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = _table_path(df.sparkSession)
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -178,6 +184,25 @@ def q_gene_region_means_chunked(spark, sf_dir):
     return explode_vector(m, ["sample_id", "chunk", "gene_name"])
 
 
+def _feature_files(spark, sf_dir):
+    """Region features as Parquet files in which the samples mix: one small file
+    of the first rows, then larger ones that a scan takes first."""
+    rows = V.region_features(spark, sf_dir)
+    base = _table_path(spark)
+    first, rest = rows.where(F.col("ord") < 7), rows.where(F.col("ord") >= 7)
+    for name, part, files in (("a", first, 1), ("b", rest, 3)):
+        # ranges of the row order: part files follow each other by name
+        part.repartitionByRange(files, "ord").sortWithinPartitions("ord", "sample_id").drop("ord") \
+            .write.parquet(f"{base}/{name}")
+    return [f"{base}/a", f"{base}/b"]
+
+
+def q_chunked_from_files(spark, sf_dir):
+    feats = add_positions(read_with_source(spark, _feature_files(spark, sf_dir)))
+    m = FT.gene_region_means(V.gene_windows(spark, sf_dir), feats, chunk_rows=CHUNK_ROWS)
+    return explode_vector(m, ["sample_id", "chunk", "gene_name"])
+
+
 def q_first_chunk_means(spark, sf_dir):
     m = FT.first_chunk_means(V.gene_windows(spark, sf_dir), V.region_features(spark, sf_dir),
                              CHUNK_ROWS)
@@ -286,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "bin_means": q_bin_means,
     "gene_region_means": q_gene_region_means,
     "gene_region_means_chunked": q_gene_region_means_chunked,
+    "chunked_from_files": q_chunked_from_files,
     "first_chunk_means": q_first_chunk_means,
     "keep_first": q_keep_first,
     "duplicate_report": q_duplicate_report,

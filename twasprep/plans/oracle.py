@@ -279,6 +279,10 @@ GROUP BY fx.sample_id, p.gene_name, fx.i""",
     "gene_region_means_chunked": _with(_FEAT) + f"""
 SELECT sample_id, CAST(chunk AS BIGINT) AS chunk, gene_name, CAST(i AS INTEGER) AS idx,
        round(m, {VALUE_DIGITS}) + 0.0 AS value
+FROM gx""",
+    "chunked_from_files": _with(_FEAT) + f"""
+SELECT sample_id, CAST(chunk AS BIGINT) AS chunk, gene_name, CAST(i AS INTEGER) AS idx,
+       round(m, {VALUE_DIGITS}) + 0.0 AS value
 FROM gx""",
     "first_chunk_means": _with(_FEAT) + f"""
 SELECT g.sample_id, g.gene_name, CAST(g.i AS INTEGER) AS idx, round(g.m, {VALUE_DIGITS}) + 0.0 AS value

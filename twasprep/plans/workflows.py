@@ -5,7 +5,7 @@ stage, not from the raw inputs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from twasprep.operators import validate as VA
 from twasprep.operators.common import chromosome_list
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
+from twasprep.sources.positions import add_positions, read_with_source
 from twasprep.sources.text import list_files, read_sample_list, sample_from_path
 from twasprep.sources.vcf import read_vcf
 
@@ -162,16 +163,17 @@ def rsid_job(spark: SparkSession, snp_path: str, dbsnp_path: str, out_dir: str,
 
 def gene_features_job(spark: SparkSession, tensors_path: str, windows_path: str, out_dir: str,
                       chunk_rows: int | None = None, mode: str = "errorifexists") -> None:
-    """Region tensors (Parquet) -> region features -> gene mean features."""
-    tensors = spark.read.parquet(tensors_path)
-    regions = FT.region_bin_means(tensors)
-    # row position inside the sample, from 0: chunks are cut per sample
-    regions = regions.withColumn("_row", F.monotonically_increasing_id())
-    regions = regions.withColumn("ord", (F.row_number().over(Window.partitionBy(
-        "sample_id").orderBy("_row")) - 1).cast("long")).drop("_row")
+    """Region tensors (Parquet) -> region features -> gene mean features.
+
+    Chunks are cut by a row's position in its sample: rejected regions have none,
+    a sample may lie in several files (taken in name order), and the positions
+    are worked out only for chunked means."""
+    regions = FT.region_bin_means(read_with_source(spark, tensors_path))
     regions.write.mode(mode).partitionBy("sample_id").parquet(f"{out_dir}/region_features")
     # with the schema given, ids such as 007 stay text in the partition folders
     feats = spark.read.schema(regions.schema).parquet(f"{out_dir}/region_features")
+    if chunk_rows:
+        feats = add_positions(feats)
     windows = S.read_gene_windows(spark, windows_path)
     means = (FT.first_chunk_means(windows, feats, chunk_rows) if chunk_rows
              else FT.gene_region_means(windows, feats))
