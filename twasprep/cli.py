@@ -21,9 +21,13 @@ if not __package__:  # started as a script: the package's parent is not on the p
 from pyspark.sql import functions as F
 
 from twasprep.operators import manifest as MF
+from twasprep.plans import keyed_jobs as KJ
 from twasprep.plans import workflows as WF
+from twasprep.plans.restart import read_attempts
 from twasprep.session import build_session
 
+#: Stages that are run, committed and repeated by key (file, chromosome, sample).
+BY_KEY = ("extract", "maf", "rsid", "gene-features")
 MANIFEST = "stage string, key string, status string, rows long"
 
 
@@ -117,9 +121,14 @@ def run(spark, args: argparse.Namespace) -> None:
     Attempts are kept in a table beside the output (``<output>.manifest``): a
     finished stage is skipped, one that was begun and not finished replaces its
     partial output, and output that no attempt wrote is never overwritten.
-    ``predict`` keeps its own manifest per sample and always looks for new ones.
+    ``predict`` keeps its own manifest per sample and always looks for new ones;
+    the stages ``BY_KEY`` skip finished keys, record a failed one and go on, and
+    print the summary.
     """
     out = getattr(args, "output_dir", None)
+    if args.stage in BY_KEY:
+        _stage_by_key(spark, args, f"{out.rstrip('/')}.manifest")
+        return
     if out is None or args.stage == "predict":
         _stage(spark, args, "errorifexists")
         return
@@ -150,26 +159,38 @@ def run(spark, args: argparse.Namespace) -> None:
     MF.job_summary(inputs, spark.read.parquet(path), args.stage).show(truncate=False)
 
 
-def _stage(spark, args: argparse.Namespace, mode: str) -> None:
+def _stage_by_key(spark, args: argparse.Namespace, attempts: str) -> None:
+    out, before = args.output_dir, read_attempts(spark, attempts).count()
+    if not before and WF._exists(spark, out):
+        raise FileExistsError(f"{out} holds files that no recorded attempt wrote")
     if args.stage == "extract":
-        WF.extract_genotypes(spark, args.vcf, args.samples, args.output_dir,
-                             reformat=not args.no_reformat, mode=mode)
-    elif args.stage == "vcf-annotation":
+        summary = KJ.extract_by_file(spark, args.vcf, args.samples, out, attempts, reformat=not args.no_reformat)
+    elif args.stage == "maf":
+        summary = KJ.maf_by_chromosome(spark, args.genotype_dir, args.annotation_dir, out, attempts,
+                                       args.chromosomes)
+    elif args.stage == "rsid":
+        summary, stats = KJ.rsid_by_file(spark, args.input_dir, args.dbsnp, out, attempts, naming=args.naming,
+                                         dbsnp_format=args.dbsnp_format)
+        stats.show(100, truncate=False)
+    else:
+        summary = KJ.gene_features_by_sample(spark, args.tensors, args.windows, out, attempts,
+                                             chunk_rows=args.chunk_rows)
+    after = read_attempts(spark, attempts)
+    if before == after.count():
+        print(f"{args.stage}: {out} is finished, skipped")
+    summary.show(truncate=False)
+    after.where((F.col("stage") == args.stage) & (F.col("status") == "failed")).select("key", "detail").show(
+        100, truncate=False)
+
+
+def _stage(spark, args: argparse.Namespace, mode: str) -> None:
+    if args.stage == "vcf-annotation":
         WF.snp_annotation_from_vcf(spark, args.vcf, args.samples, args.output_dir,
                                    reformat=not args.no_reformat, mode=mode)
     elif args.stage == "land-genotypes":
         WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir, mode=mode)
-    elif args.stage == "maf":
-        WF.maf_annotation_job(spark, args.genotype_dir, args.annotation_dir, args.output_dir,
-                              args.chromosomes, mode=mode)
-    elif args.stage == "rsid":
-        WF.rsid_job(spark, args.input_dir, args.dbsnp, args.output_dir, naming=args.naming,
-                    dbsnp_format=args.dbsnp_format, mode=mode).show(100, truncate=False)
     elif args.stage == "land-dbsnp":
         WF.land_dbsnp(spark, args.dbsnp, args.output_dir, mode=mode)
-    elif args.stage == "gene-features":
-        WF.gene_features_job(spark, args.tensors, args.windows, args.output_dir,
-                             chunk_rows=args.chunk_rows, mode=mode)
     elif args.stage == "predict":
         from twasprep.operators.predict import DenseStackScorer, read_model_weights
 

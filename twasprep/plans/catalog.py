@@ -17,6 +17,7 @@ from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
 from twasprep.plans.readers import QUERIES as READER_QUERIES
+from twasprep.plans.restart import read_attempts, run_keys
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.positions import add_positions, read_with_source
@@ -289,6 +290,41 @@ def q_job_summary(spark, sf_dir):
                           "predict")
 
 
+#: Keys of the restart query that an earlier run has done, and one that fails at first.
+DONE_BEFORE, FAIL_AT_FIRST = ("Brand#11", "Brand#12"), "Brand#25"
+
+
+def q_stage_attempts(spark, sf_dir):
+    """Parts written brand by brand in two runs: brands that are done are skipped,
+    one fails in the first run and succeeds in the second, the rest run once."""
+    part = V.table(spark, sf_dir, "part")
+    keys = part.select(F.col("p_brand").alias("key")).distinct()
+    base = _table_path(spark)
+    out, attempts = f"{base}/out", f"{base}/attempts"
+    keys.where(F.col("key").isin(*DONE_BEFORE)).select(
+        F.lit("load").alias("stage"), "key", F.lit("success").alias("status"),
+        F.lit(0).cast("long").alias("rows"), F.lit(None).cast("string").alias("detail")) \
+        .write.parquet(attempts)
+
+    def load(bad):
+        def work(batch):
+            value = F.col("p_partkey")
+            if bad:
+                value = F.when(F.col("p_brand") == bad, F.raise_error(F.lit("bad part"))).otherwise(value)
+            rows = part.join(batch, part["p_brand"] == batch["key"], "left_semi")
+            (rows.select(F.col("p_brand").alias("key"), value.alias("part")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("key").parquet(out))
+            written = spark.read.parquet(out).withColumn("key", F.col("key").cast("string"))
+            return written.join(batch, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+        return work
+
+    run_keys(keys, "load", attempts, load(FAIL_AT_FIRST))
+    run_keys(keys, "load", attempts, load(None))
+    done = F.col("status") == "success"
+    return read_attempts(spark, attempts).groupBy("key").agg(
+        F.count_if(done).alias("done"), F.count_if(~done).alias("failed"), F.sum("rows").alias("rows"))
+
+
 QUERIES: dict[str, Query] = {
     "maf_annotation": q_maf_annotation,
     "dosage": q_dosage,
@@ -328,5 +364,6 @@ QUERIES: dict[str, Query] = {
     "matrix_checks": q_matrix_checks,
     "pending_outputs": q_pending_outputs,
     "job_summary": q_job_summary,
+    "stage_attempts": q_stage_attempts,
 }
 QUERIES.update(READER_QUERIES)

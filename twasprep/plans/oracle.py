@@ -7,7 +7,8 @@ are written out relationally.
 
 from __future__ import annotations
 
-from twasprep.plans.catalog import CHROMOSOME_SELECTION, GT_SAMPLE_ORDER
+from twasprep.plans.catalog import (CHROMOSOME_SELECTION, DONE_BEFORE, FAIL_AT_FIRST,
+                                   GT_SAMPLE_ORDER)
 from twasprep.plans.driver_views import LONG_DELETION
 
 # Derived genotype calls and variant annotation (see driver_views.py).
@@ -392,6 +393,11 @@ WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.gene_name = e.gene_name)""",
 SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l
                   WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'N')""",
+    "stage_attempts": f"""
+SELECT p_brand AS key, CAST(1 AS BIGINT) AS done,
+       CAST(CASE WHEN p_brand = '{FAIL_AT_FIRST}' THEN 1 ELSE 0 END AS BIGINT) AS failed,
+       CAST(CASE WHEN p_brand IN {DONE_BEFORE} THEN 0 ELSE count(*) END AS BIGINT) AS rows
+FROM part GROUP BY p_brand""",
     "job_summary": """
 WITH per AS (
   SELECT l_orderkey, bool_or(l_returnflag = 'N') AS ok,

@@ -55,6 +55,15 @@ def read_landed_dbsnp(spark: SparkSession, path: str) -> DataFrame:
                                            "pos", "rsid", "ref", "alt", "ord")
 
 
+def of_chromosomes_in(dbsnp: DataFrame, snps: DataFrame) -> DataFrame:
+    """The dbSNP rows of the chromosomes that ``snps`` name (bare or ``chr``-named):
+    a filter on the landed table's folders, so the others are not read. The names
+    are as few as a genome's chromosomes and contigs."""
+    names = [r.c for r in snps.select(G.clean_chromosome(F.col("chromosome").cast("string")).alias("c"))
+             .where("c is not null").distinct().collect()]
+    return dbsnp.where(F.col("chrom").isin([*names, *[f"chr{c}" for c in names]]))
+
+
 def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_path: str,
                    mode: str = "errorifexists") -> None:
     """VCF -> Parquet in the array layout ``(varid, chrom, pos, ref, alt,
@@ -149,7 +158,7 @@ def rsid_job(spark: SparkSession, snp_path: str, dbsnp_path: str, out_dir: str,
     """SNP annotation + dbSNP VCF -> annotation with rsIDs; returns the
     per-chromosome resolution statistics."""
     snps = S.read_snp_annotation(spark, snp_path, with_file=True)
-    dbsnp = (read_landed_dbsnp(spark, dbsnp_path) if dbsnp_format == "parquet"
+    dbsnp = (of_chromosomes_in(read_landed_dbsnp(spark, dbsnp_path), snps) if dbsnp_format == "parquet"
              else S.read_dbsnp_vcf(spark, dbsnp_path))
     # one lookup chromosome per input file (its first row), as per-file runs do
     resolved = R.resolve_rsids(snps, dbsnp, naming=naming, with_flag=True,

@@ -35,8 +35,13 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _by_partition(writer, by_partition: bool):
+    """With ``by_partition`` an overwrite replaces only the partitions that it writes."""
+    return writer.option("partitionOverwriteMode", "dynamic") if by_partition else writer
+
+
 def write_dosage_matrix(arrays: DataFrame, samples, path: str, mode: str = "errorifexists",
-                        partition_by: str | None = "chrom") -> None:
+                        partition_by: str | list[str] | None = "chrom", by_partition: bool = False) -> None:
     """Genotype matrix text: header ``varID <samples>``, tab-separated,
     missing dosage ``.``; one directory per chromosome.
 
@@ -48,16 +53,22 @@ def write_dosage_matrix(arrays: DataFrame, samples, path: str, mode: str = "erro
 
     names = sample_values(samples)
     header = "\t".join(["varID", *names])
-    keep = [partition_by] if partition_by else []
-    lines = matrix_lines(arrays, missing=MISSING_DOSAGE_TOKEN, keep=keep)
-    write_lines_with_header(lines, header, path, partition_by=partition_by, mode=mode)
+    lines = matrix_lines(arrays, missing=MISSING_DOSAGE_TOKEN, keep=_names(partition_by))
+    write_lines_with_header(lines, header, path, partition_by=partition_by, mode=mode, by_partition=by_partition)
+
 
+def _names(partition_by: str | list[str] | None) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
 
-def write_variant_annotation(annotation: DataFrame, path: str, mode: str = "errorifexists"
-                             ) -> None:
-    """Headerless ``varID chrom pos ref alt``, tab-separated."""
-    (annotation.select("varid", "chrom", F.col("pos").cast("string"), "ref", "alt")
-     .write.mode(mode).option("sep", "\t").option("header", "false").options(**_RAW).csv(path))
+
+def write_variant_annotation(annotation: DataFrame, path: str, mode: str = "errorifexists",
+                             partition_by: str | None = None) -> None:
+    """Headerless ``varID chrom pos ref alt``, tab-separated; with ``partition_by``
+    an overwrite replaces only the partitions that it writes."""
+    cols = _names(partition_by)
+    w = (annotation.select("varid", "chrom", F.col("pos").cast("string"), "ref", "alt", *cols)
+         .write.mode(mode).option("sep", "\t").option("header", "false").options(**_RAW))
+    _by_partition(w.partitionBy(*cols) if cols else w, bool(cols)).csv(path)
 
 
 def snp_annotation_columns(snps: DataFrame, missing_maf: str = "NA") -> list:
@@ -82,27 +93,31 @@ def snp_annotation_lines(snps: DataFrame, missing_maf: str = "NA") -> DataFrame:
 
 
 def write_snp_annotation(snps: DataFrame, path: str, missing_maf: str = "NA",
-                         mode: str = "errorifexists", partition_by: str | None = None) -> None:
+                         mode: str = "errorifexists", partition_by: str | None = None,
+                         by_partition: bool = False, src: str | None = None) -> None:
     """SNP annotation TSV with header (see ``snp_annotation_columns``).
 
     ``partition_by='chromosome'`` writes one directory per chromosome
-    (``chromosome_part=<name>``); the files keep the chromosome column.
+    (``chromosome_part=<name>``, below ``<src>=<value>`` where that column is
+    named); the files keep the chromosome column.
     """
     cols = snp_annotation_columns(snps, missing_maf)
+    folders = [src] if src else []
+    if src:
+        cols.append(F.col(src))
     if partition_by:
         # a copy drives the directories so the files keep every column
         cols.append(F.col(partition_by).cast("string").alias(f"{partition_by}_part"))
+        folders.append(f"{partition_by}_part")
     out = snps.select(*cols)
     w = (out.write.mode(mode).option("sep", "\t").option("header", "true").options(**_RAW)
          .option("nullValue", "").option("emptyValue", ""))
-    if partition_by:
-        w = w.partitionBy(f"{partition_by}_part")
-    w.csv(path)
+    _by_partition(w.partitionBy(*folders) if folders else w, by_partition).csv(path)
 
 
 def write_lines_with_header(lines: DataFrame, header: str, path: str,
-                            partition_by: str | None = None, compression: str | None = None,
-                            mode: str = "errorifexists") -> None:
+                            partition_by: str | list[str] | None = None, compression: str | None = None,
+                            mode: str = "errorifexists", by_partition: bool = False) -> None:
     """Write pre-rendered text lines (column ``value``) with ``header`` as the
     first line of every part file.
 
@@ -110,15 +125,14 @@ def write_lines_with_header(lines: DataFrame, header: str, path: str,
     separator and quote character are set to control characters that never
     occur in the lines, so nothing is quoted or escaped.
     """
-    cols = [F.col("value").alias(header)] + ([F.col(partition_by)] if partition_by else [])
+    folders = _names(partition_by)
+    cols = [F.col("value").alias(header), *[F.col(c) for c in folders]]
     w = (lines.select(*cols).write.mode(mode).option("header", "true").options(**_RAW)
          .option("sep", "\u0001").option("quote", "").option("escape", "")
          .option("emptyValue", ""))
     if compression:
         w = w.option("compression", compression)
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.csv(path)
+    _by_partition(w.partitionBy(*folders) if folders else w, by_partition).csv(path)
 
 
 def write_lines_by_header(lines: DataFrame, path: str, partition_by: str,
@@ -138,12 +152,13 @@ def _csv_number(x):
 
 
 def write_gene_features(features: DataFrame, path: str, fmt: str = "parquet",
-                        mode: str = "errorifexists", width: int | None = None) -> None:
+                        mode: str = "errorifexists", width: int | None = None,
+                        by_partition: bool = False) -> None:
     """Gene mean features per sample: Parquet partitioned by sample (arrays
     kept), or gzip CSV ``gene_name,0,1,...`` with a header (fmt='csv'; the
     header needs the vector ``width``)."""
     if fmt == "parquet":
-        features.write.mode(mode).partitionBy("sample_id").parquet(path)
+        _by_partition(features.write.mode(mode).partitionBy("sample_id"), by_partition).parquet(path)
         return
     if width is None:
         raise ValueError("width is required for the CSV export header")

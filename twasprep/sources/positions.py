@@ -18,9 +18,12 @@ STRETCH = 2 ** 18
 SOURCE = ("src_file", "src_row")
 
 
-def read_with_source(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_with_source(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+                     reader=None) -> DataFrame:
     """Parquet rows with ``src_file`` (path) and ``src_row`` (place in the file)."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read if reader is None else reader
+    if schema is not None:
+        reader = reader.schema(schema)
     df = reader.parquet(*([path] if isinstance(path, str) else path))
     return df.select("*", F.col("_metadata.file_path").alias("src_file"),
                      F.col("_metadata.row_index").alias("src_row"))
