@@ -48,16 +48,17 @@ e AS (SELECT src, dst, count(*) AS n FROM x WHERE src <> '' AND dst <> '' AND sr
 both_ways AS (SELECT 'trust' AS kind, src, dst, n FROM e UNION ALL SELECT 'distrust', dst, src, n FROM e),
 share AS (SELECT kind, src, dst, n::DOUBLE / sum(n) OVER (PARTITION BY kind, src) AS share FROM both_ways),
 {", ".join(rounds)},
-h AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN score ELSE 0.0 END), 9) AS trust,
-             abs(round(sum(CASE WHEN kind = 'distrust' THEN score ELSE 0.0 END), 9)) AS distrust
-      FROM (SELECT * FROM r{urls.ROUNDS} UNION ALL
+w AS (SELECT count(DISTINCT host)::DOUBLE AS n_hosts FROM p),
+h AS (SELECT host, round(sum(CASE WHEN kind = 'trust' THEN score ELSE 0.0 END) * any_value(n_hosts), 9) AS trust,
+             abs(round(sum(CASE WHEN kind = 'distrust' THEN score ELSE 0.0 END) * any_value(n_hosts), 9))
+               AS distrust
+      FROM w, (SELECT * FROM r{urls.ROUNDS} UNION ALL
             SELECT kind, host, -mass * {1.0 - d} FROM seeds WHERE kind = 'distrust') GROUP BY 1),
 j AS (SELECT p.page_id, p.host, p.path, p.rule, p.by_rule, coalesce(h.trust, 0.0)::DOUBLE AS trust,
-             coalesce(h.distrust, 0.0)::DOUBLE AS distrust,
-             (SELECT count(DISTINCT host) FROM p) AS n_hosts
+             coalesce(h.distrust, 0.0)::DOUBLE AS distrust
       FROM p LEFT JOIN h ON p.host = h.host)
 SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN distrust > {urls.RATIO} * trust
-       AND distrust * n_hosts > {urls.LEAST} THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+       AND distrust > {urls.LEAST} THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
 FROM j"""
 
 
@@ -100,9 +101,10 @@ def _sharding_sql() -> str:
     crc = _crc(text)
     k = sharding.N_SHARDS
     return f"""
-WITH RECURSIVE d AS MATERIALIZED (
-  SELECT doc_id, {_md5_32(f"'row:' || {_ID}")} % {sharding.BUCKETS} AS bucket,
-         CAST(strlen({text}) + 16 AS BIGINT) AS size, CAST({crc} AS BIGINT) AS text_crc32 FROM documents),
+WITH RECURSIVE c AS MATERIALIZED (
+  SELECT doc_id, CAST(strlen({text}) + 16 AS BIGINT) AS size, CAST({crc} AS BIGINT) AS text_crc32 FROM documents),
+d AS MATERIALIZED (SELECT *, {_md5_32(f"'row:' || {_ID} || ':' || text_crc32 || ':' || size")}
+                             % {sharding.BUCKETS} AS bucket FROM c),
 m AS MATERIALIZED (
   SELECT doc_id, size, text_crc32, count(*) OVER () AS n, row_number() OVER (
          ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS id FROM d),
@@ -132,7 +134,7 @@ def _quality_sql() -> str:
               "word_length": share("word_chars", "n_words")}
     rules = " UNION ALL ".join(f"SELECT id, stratum, '{r}' AS rule, {v} AS v FROM f"
                                for r, v in values.items())
-    al = f"{quality.ALPHA}::DOUBLE"
+    al = f"{quality.ALPHA / len(quality.CUTOFFS)!r}::DOUBLE"
     tail = (f"CASE WHEN k < n_good * {al} THEN list_sum(list_transform(range(0, (k + 1)::BIGINT), lambda i: "
             f"exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({al}) "
             f"+ (n_good - i) * ln(1.0::DOUBLE - {al})))) ELSE 1.0 END")
@@ -146,7 +148,7 @@ g AS (SELECT id, i, array_to_string(ws[i:i + {size - 1}], ' ') AS words
 hit AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, words) AS n FROM g) WHERE n > 1),
 rep AS (SELECT id, count(DISTINCT i + o) AS n FROM hit, range({size}) r(o) GROUP BY id),
 f AS MATERIALIZED (
-  SELECT w.id, doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words,
+  SELECT w.id, doc_id, stratum, text, CAST(len(ws) AS BIGINT) AS n_words,
          CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
@@ -156,8 +158,10 @@ f AS MATERIALIZED (
          len(ws) < {quality.MIN_WORDS} OR 100 * coalesce(rep.n, 0) > 30 * len(ws) AS base_failed
   FROM w LEFT JOIN rep ON w.id = rep.id),
 v AS ({rules}),
-y AS (SELECT f.id, stratum, quality::INTEGER AS y FROM f JOIN labels l ON f.doc_id = l.doc_id
-      WHERE NOT base_failed AND quality::INTEGER IN (0, 1)),
+lab AS (SELECT doc_id, min(quality::INTEGER) AS y FROM labels WHERE quality::INTEGER IN (0, 1)
+        GROUP BY doc_id HAVING min(quality::INTEGER) = max(quality::INTEGER)),
+y AS (SELECT min(f.id) AS id, stratum, min(y) AS y FROM f JOIN lab l ON f.doc_id = l.doc_id
+      WHERE NOT base_failed GROUP BY stratum, text HAVING min(y) = max(y)),
 strata AS (SELECT stratum, count_if(y = 1) AS n_good, count_if(y = 0) AS n_bad FROM y GROUP BY 1),
 cuts AS (SELECT * FROM (VALUES {table}) c(rule, cutoff)),
 k AS (SELECT y.stratum, c.rule, c.cutoff, count_if(y.y = 1 AND v.v > c.cutoff) AS k,

@@ -9,7 +9,8 @@ checksums are shuffled, never texts.
 
 Edge cases: null text has size 16 and checksum 0; a null id is a value of its
 own; rows equal in id, size and checksum are interchangeable, so the result is
-the same set of rows in any run; an empty table gives no rows.
+the same set of rows in any run; texts of any length are sized whole; an empty
+table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ SEED = 20240611
 #: Hash buckets of the numbering: bounds the offset table, not the data.
 BUCKETS = 4096
 #: Longest walk. At most a - 1 of the a * b points lie outside 0..N-1, so for
-#: a <= 64 no walk is longer; beyond that a walk of w steps has chance < b ** -w.
+#: a <= 64 no walk is longer; beyond that a walk of w steps has chance < b ** -w,
+#: and one that has not ended is an error.
 WALK = 64
 
 
@@ -59,8 +61,10 @@ def permute(x: Column, n: Column, a: Column, b: Column, seed: int = SEED,
             rounds: int = ROUNDS) -> Column:
     """Image of row number ``x`` under the permutation of 0..n-1."""
     start = _feistel(x, a, b, seed, rounds)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, lambda p, _: F.when(
-        p < n, p).otherwise(_feistel(p, a, b, seed, rounds)))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)), start, lambda p, _: F.when(p < n, p).otherwise(
+            _feistel(p, a, b, seed, rounds)),
+        lambda p: F.when(p < n, p).otherwise(F.raise_error(F.lit("cycle walk did not end")).cast("long")))
 
 
 def shard(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED, id_col: str = "doc_id",
@@ -68,11 +72,12 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED, id_col: s
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, row_number."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.pmod(_md5_int("row", F.coalesce(F.col(id_col).cast("string"), F.lit("null"))),
-               F.lit(buckets)).cast("int").alias("bucket"),
-        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.col(id_col).alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"))
+    # many rows with one id part by their texts
+    rows = rows.withColumn("bucket", F.pmod(_md5_int(
+        "row", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text_crc32").cast("string"),
+        F.col("size").cast("string")), F.lit(buckets)).cast("int"))
     # at most ``buckets`` rows: the running sum below is small at any input size
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_in"))
     running = Window.orderBy("bucket")

@@ -6,12 +6,16 @@ hosts with an allowed url, distrust flows against links from hosts with a
 blocked url (pages and link targets alike, crawled or not; a host that links to bad hosts is suspect). A host is blocked if
 the distrust that reached it over links (its own restart mass left out: a rule
 blocks a path, not the whole host) exceeds ``ratio`` times its trust and the
-floor ``least`` (in units of the uniform share 1 / hosts).
+floor ``least``. Scores are in units of the uniform share 1 / hosts, before they
+are rounded or compared with the tolerance: verdicts and precision are the same
+for any number of hosts.
 
 Edge cases: a null url or one without '://' has an empty host and path, no rule
 and the verdict allow (no evidence); null or empty html has no links; repeated
 pages repeat their rows and weigh their links again; an empty table gives no
-rows; without links or seeds every vector is zero outside the seeds.
+rows; without links or seeds every vector is zero outside the seeds; of rules
+that fit equally long the first listed wins; html of any length is searched
+whole; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from twasprep.llm.common import materialise
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"),
          ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 DAMPING = 0.85
-TOLERANCE = 1e-9  # rounds go on until the scores change by less in sum
+TOLERANCE = 1e-6  # rounds go on until no host's score changes by more (of a uniform share)
 ROUNDS = 12  # rounds of the SQL twin, as LINK is its pattern (scheme required, host only)
 RATIO = 1.0
 LEAST = 0.5
@@ -78,14 +82,14 @@ def host_edges(links: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-              rounds: int | None = None) -> DataFrame:
+              rounds: int | None = None, hosts: int = 1) -> DataFrame:
     """Personalised PageRank (kind, host, score) for several kinds at once.
 
     ``edges``: kind, src, dst, n. ``seeds``: kind, host, mass (sums to 1 per
     kind). Mass of hosts without out-links returns to the seeds' next round
     share by not being spread (scores then sum to less than one). Without
-    ``rounds`` it goes on to ``TOLERANCE``; each round shrinks the change by
-    ``damping``, so it ends.
+    ``rounds`` it goes on until no score changes by ``TOLERANCE / hosts``; each
+    round shrinks the change by ``damping``, so it ends.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     share = materialise(edges.join(out, ["kind", "src"]).select(
@@ -105,13 +109,21 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING,
         if i % 4 == 0:
             ranks = materialise(ranks, "ranks")
             change = ranks.unionByName(before.withColumn("score", -F.col("score"))) \
-                .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.sum("d")).first()[0]
-            if rounds is None and (change or 0.0) < TOLERANCE:
+                .groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("d")).agg(F.max("d")).first()[0]
+            if rounds is None and (change or 0.0) * hosts < TOLERANCE:
                 break
             before = ranks
     return ranks
 
 
+def host_scores(ranks: DataFrame, hosts: int) -> DataFrame:
+    """(host, trust, distrust) in units of the uniform share, rounded so that the
+    order of summation can't show."""
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)) * float(hosts)
+    return ranks.groupBy("host").agg(of("trust").alias("t"), of("distrust").alias("d")).select(
+        "host", F.round("t", 9).alias("trust"), F.abs(F.round("d", 9)).alias("distrust"))
+
+
 def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds: int | None = None,
                 ratio: float = RATIO, least: float = LEAST) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust (one row per page)."""
@@ -133,19 +145,12 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
     both = e.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(
         e.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"),
                  F.col("src").alias("dst"), "n"))
-    ranks = propagate(both, seeds, damping, rounds)
-    n_hosts = judged.agg(F.countDistinct("host").alias("n_hosts"))
+    n_hosts = judged.agg(F.countDistinct("host")).first()[0]
+    ranks = propagate(both, seeds, damping, rounds, n_hosts)
     restart = seeds.where("kind = 'distrust'").select(
         "kind", "host", (F.col("mass") * -(1.0 - damping)).alias("score"))
-    per_host = ranks.unionByName(restart).groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"))
-    # rounded so that the order of summation can't show
-    per_host = per_host.select("host", F.round("trust", 9).alias("trust"),
-                               F.abs(F.round("distrust", 9)).alias("distrust"))
-    out = judged.join(per_host, "host", "left").join(F.broadcast(n_hosts)) \
-        .fillna(0.0, ["trust", "distrust"])
-    bad = (F.col("distrust") > ratio * F.col("trust")) \
-        & (F.col("distrust") * F.col("n_hosts") > least)
+    scores = host_scores(ranks.unionByName(restart), n_hosts)
+    out = judged.join(scores, "host", "left").fillna(0.0, ["trust", "distrust"])
+    bad = (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") > least)
     return out.select("page_id", "host", "path", "rule", F.coalesce(
         "_by_rule", F.when(bad, "block").otherwise("allow")).alias("verdict"), "trust", "distrust")
