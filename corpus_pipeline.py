@@ -30,7 +30,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson counts towards the target weights, shuffled."""
-    return mixing.poisson_mix(docs).select(*docs.columns)
+    return mixing.poisson_copies(docs)
 
 
 def make_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
