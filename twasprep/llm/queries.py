@@ -21,7 +21,7 @@ def op1_secrets(spark, sf_dir):
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
         F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
-        secrets.span_list(F.col("findings")).alias("spans"))
+        secrets.span_list(F.col("findings")).alias("spans"), F.col("refused").cast("long").alias("refused"))
 
 
 def op2_substrings(spark, sf_dir):

@@ -3,23 +3,30 @@
 Lexicon: from the training labels, whole words and stems (word beginnings) that
 occur almost only in toxic documents, judged by the lower confidence bound of
 their log odds. The lexicon's trie is intersected with Levenshtein automata
-(one edit for words and stems of four letters or more, except for near forms that
-clean training documents hold as words) and made deterministic; all words
-of a block of texts run through the transition table at once, so misspelled
-terms are found in time linear in the text.
+(one edit, a letter put in, left out or changed or two neighbours swapped, for
+words and stems of four letters or more, except for near forms that clean
+training documents hold as words) and made deterministic; all words of a block
+of texts run through the transition table at once, so misspelled terms are found
+in time linear in the text.
 
 Context: a hit that quotation marks enclose within its window counts as a
-quotation, with a weight of its own, and not as abuse.
+quotation, with a weight of its own, and not as abuse; marks and line ends of a
+text are looked up, not searched again for every hit.
 Per document the numbers of plain, misspelled and quoted hits form a small
 cell; a logistic model fitted to the training cells gives the score.
 
 Labels enter only through training rows (``crc32(doc_id as text) % 5 <> 0``);
 ids, languages, sources and labels are never inputs of a score.
 
+The lexicon holds at most ``TERMS`` terms and hit counts saturate at ``SATURATE``:
+sizes of the model, not of the data.
+
 Edge cases: null and empty texts have no hits and get the model's base score;
-without labels (or without a term that qualifies) every score is the smoothed
-share of toxic training rows, 0 if there are none; null labels are ignored;
-equal label rows count once; repeated documents are scored alike.
+texts of any length are scored whole; without labels (or without a term that
+qualifies) every score is the smoothed share of toxic training rows, 0 if there
+are none; null labels are ignored; equal label rows count once; terms of equal
+bound rank by their letters; repeated documents are scored alike; an empty table
+gives no rows; only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -119,7 +126,9 @@ def learn_terms(train: DataFrame, terms: int = TERMS) -> list[tuple[str, bool, f
 class Automaton:
     """Deterministic automaton of all words within the allowed edits of a term.
 
-    States are sets of (trie node, edits) pairs, built by the subset method;
+    States are sets of (trie node, edits, swap), built by the subset method (swap:
+    the letter that must follow, and the node it leads to, after the second of
+    two neighbours was read first);
     ``step[state, symbol]`` with one symbol per lexicon character and one for
     all others; state 0 is dead, state 1 the start. ``exact`` and ``near`` mark
     accepting states; in a stem's accepting state any continuation stays accepted.
@@ -149,33 +158,42 @@ class Automaton:
 
         def close(items):
             """Add what deleting a term's character reaches; keep the least edits per node."""
-            best: dict[int, int] = {}
+            best: dict[tuple, int] = {}
             todo = list(items)
             while todo:
-                n, e = todo.pop()
-                if best.get(n, 9) <= e:
+                n, e, swap = todo.pop()
+                if best.get((n, swap), 9) <= e:
                     continue
-                best[n] = e
-                todo += [(k, e + 1) for k in kids[n].values() if e + 1 <= edits[k]]
-            return frozenset(best.items())
-
-        start = close([(0, 0)])
+                best[n, swap] = e
+                if swap is None:
+                    todo += [(k, e + 1, None) for k in kids[n].values() if e + 1 <= edits[k]]
+            return frozenset((n, e, swap) for (n, swap), e in best.items())
+
+        def follow(state, a):
+            """What reading ``a`` (None: a letter of no term) leads to."""
+            for n, e, swap in state:
+                if swap is not None:
+                    if swap[0] == a:
+                        yield swap[1], e, None
+                    continue
+                if end[n] == 2 and e <= most[n]:
+                    yield n, e, None  # a finished stem takes any ending
+                for ch, k in kids[n].items():
+                    if ch == a and e <= edits[k]:
+                        yield k, e, None
+                    elif e + 1 <= edits[k]:
+                        yield k, e + 1, None  # substitution
+                    if a in kids[k] and a != ch and e + 1 <= edits[kids[k][a]]:
+                        yield n, e + 1, (ch, kids[k][a])
+                if e + 1 <= edits[n]:
+                    yield n, e + 1, None  # insertion
+
+        start = close([(0, 0, None)])
         ids, queue, step = {frozenset(): 0, start: 1}, [start], {}
         while queue:
             state = queue.pop()
             for a in [None, *sym]:
-                nxt = []
-                for n, e in state:
-                    if end[n] == 2 and e <= most[n]:
-                        nxt.append((n, e))  # a finished stem takes any ending
-                    for ch, k in kids[n].items():
-                        if ch == a and e <= edits[k]:
-                            nxt.append((k, e))
-                        elif e + 1 <= edits[k]:
-                            nxt.append((k, e + 1))  # substitution
-                    if e + 1 <= edits[n]:
-                        nxt.append((n, e + 1))  # insertion
-                to = close(nxt)
+                to = close(follow(state, a))
                 if to not in ids:
                     ids[to] = len(ids)
                     queue.append(to)
@@ -185,7 +203,7 @@ class Automaton:
             self.step[s, a] = t
         self.accept = np.zeros(len(ids), np.int8)  # 0 no, 1 exact, 2 misspelled
         for state, i in ids.items():
-            fits = [e for n, e in state if end[n] and e <= most[n]]
+            fits = [e for n, e, swap in state if swap is None and end[n] and e <= most[n]]
             if fits:
                 self.accept[i] = 1 if min(fits) == 0 else 2
 
@@ -233,16 +251,36 @@ class Scanner:
         return row, start[at] - off[row], stop[at] - off[row], kind[at] == 2
 
 
+class Marks:
+    """Line ends and quotation marks of a text, found once."""
+
+    def __init__(self, text: str):
+        cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = lambda chars: np.flatnonzero(np.isin(cp, [ord(c) for c in chars]))
+        self.size, self.cp = len(cp), cp
+        self.lines, self.straight, self.opens, self.closes = at("\n"), at('"'), at(OPEN), at(CLOSE)
+
+    def quoted(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether quotation marks enclose each span within the context window and line."""
+        def last(places, x):  # the last place before x, else -1
+            return np.concatenate(([-1], places))[np.searchsorted(places, x)]
+
+        def first(places, x):  # the first place from x on, else the text's end
+            return np.concatenate((places, [self.size]))[np.searchsorted(places, x)]
+
+        line = last(self.lines, start) + 1
+        before = last(self.opens, start)
+        inside = before >= np.maximum(line, start - CONTEXT)
+        inside &= first(self.closes, end) < np.minimum(end + CONTEXT, first(self.lines, end))
+        # a straight mark opens if it is the line's first, third, ... one
+        odd = (np.searchsorted(self.straight, start) - np.searchsorted(self.straight, line)) % 2 == 1
+        bent = self.cp[np.maximum(before, 0)] != ord('"') if self.size else np.zeros(len(start), bool)
+        return inside & (bent | odd)
+
+
 def quoted(text: str, start: int, end: int) -> bool:
-    """Whether quotation marks enclose the span within the context window and line."""
-    line = text.rfind("\n", 0, start) + 1
-    left = text[max(line, start - CONTEXT):start]
-    right = text[end:end + CONTEXT].split("\n", 1)[0]
-    before = max(left.rfind(c) for c in OPEN)
-    if before < 0 or not any(c in right for c in CLOSE):
-        return False
-    # a straight mark opens if it is the line's first, third, ... one
-    return left[before] != '"' or text.count('"', line, start) % 2 == 1
+    """:meth:`Marks.quoted` of one span."""
+    return bool(Marks(text).quoted(np.array([start]), np.array([end]))[0])
 
 
 _CELLS = "abuse int, misspelled int, quoted int"
@@ -257,11 +295,14 @@ def _count(texts: list[str], scanner: Scanner, skip=frozenset()):
         while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK):
             size += len(texts[hi])
             hi += 1
-        for r, s, e, near in zip(*scanner.hits(texts[lo:hi])):
-            if near and texts[lo + r][s:e].lower() in skip:
-                continue
-            inside = quoted(texts[lo + r], int(s), int(e))
-            out[lo + r, 2 if inside else (1 if near else 0)] += 1
+        row, start, end, near = scanner.hits(texts[lo:hi])
+        ends = np.flatnonzero(np.diff(row, append=-1)) + 1
+        for a, b in zip(np.concatenate(([0], ends[:-1])), ends):  # the hits of one text
+            r = lo + int(row[a])
+            keep = np.array([not (near[i] and texts[r][start[i]:end[i]].lower() in skip) for i in range(a, b)])
+            s, e, m = start[a:b][keep], end[a:b][keep], near[a:b][keep]
+            inside = Marks(texts[r]).quoted(s, e)
+            out[r] += np.bincount(np.where(inside, 2, m), minlength=3)
         lo = hi
     return out
 
