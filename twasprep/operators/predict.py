@@ -306,13 +306,30 @@ def read_model_weights(spark, path: str) -> DataFrame:
     return df.select("cell_type", F.col("layer").cast("int"), "weights", "bias")
 
 
-def check_row_conservation(features: DataFrame | int, predictions: DataFrame | int,
-                           n_models: int) -> None:
-    """Raise when predictions are not exactly rows x models. Either side may be
-    a count observed while the rows were written, or a table to be counted."""
-    n_in, n_out = (x if isinstance(x, int) else x.count() for x in (features, predictions))
-    if n_out != n_in * n_models:
-        raise ValueError(f"{n_in} input rows x {n_models} models != {n_out} predictions")
+def distinct_genes(features: DataFrame) -> DataFrame:
+    """(sample_id, genes): distinct genes of each sample, from the keys alone."""
+    return features.select(F.col("sample_id").cast("string").alias("sample_id"), "gene_name").distinct() \
+        .groupBy("sample_id").agg(F.count(F.lit(1)).alias("genes"))
+
+
+def row_conservation(genes: DataFrame, predictions: DataFrame, n_models: int) -> DataFrame:
+    """Per sample: (sample_id, genes, predictions, conserved).
+
+    ``genes``: (sample_id, genes) expected (a missing sample: 0); ``predictions``:
+    the long rows written. A sample is conserved when it has genes x models rows."""
+    rows = predictions.groupBy("sample_id").agg(F.count(F.lit(1)).alias("predictions"))
+    zero = F.lit(0).cast("long")
+    both = genes.join(rows, "sample_id", "full").select(
+        "sample_id", F.coalesce("genes", zero).alias("genes"), F.coalesce("predictions", zero).alias("predictions"))
+    return both.withColumn("conserved", F.col("predictions") == F.col("genes") * n_models)
+
+
+def require_conserved(kept: DataFrame, shown: int = 5) -> None:
+    """Raise when a sample of :func:`row_conservation` is not conserved."""
+    bad = kept.where(~F.col("conserved")).orderBy("sample_id").limit(shown).collect()
+    if bad:
+        raise ValueError("rows are missing: " + "; ".join(
+            f"sample {r.sample_id}: {r.genes} genes, {r.predictions} predictions" for r in bad))
 
 
 def predictions_wide(long: DataFrame, cell_types: Sequence[str] | None = None,

@@ -21,6 +21,7 @@ from twasprep.plans.restart import read_attempts, run_keys
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.positions import add_positions, read_with_source
+from twasprep.sources.text import list_files, sample_from_path
 from twasprep.sources.vcf import parse_vcf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +230,26 @@ def q_predict_expression(spark, sf_dir):
     return pred.withColumn("prediction", F.round("prediction", VALUE_DIGITS))
 
 
+def q_row_conservation(spark, sf_dir):
+    feats = V.gene_features(spark, sf_dir)
+    scorer = P.RuleLinearScorer()
+    preds = P.predict_expression(P.zscore_features(feats), scorer)
+    return P.row_conservation(P.distinct_genes(feats), preds, len(scorer.cell_types))
+
+
+def q_streamed_scores(spark, sf_dir):
+    """The feature rows land as several files a sample and are scored as a stream."""
+    from twasprep.streaming.landing import stream_scores
+
+    base = _table_path(spark)
+    V.gene_features(spark, sf_dir).repartition(3, "ord").write.partitionBy("sample_id").parquet(f"{base}/in")
+    expected = list_files(spark, f"{base}/in", "*.parquet", recursive=True).groupBy(
+        sample_from_path("path").alias("sample_id")).agg(F.count(F.lit(1)).alias("files"))
+    state = stream_scores(spark, f"{base}/in", expected, P.RuleLinearScorer(), f"{base}/out", f"{base}/check",
+                          max_files_per_trigger=16)
+    return state.predictions().drop("batch").withColumn("prediction", F.round("prediction", VALUE_DIGITS))
+
+
 def q_predictions_long(spark, sf_dir):
     return X.predictions_long(V.event_predictions_wide(spark, sf_dir), V.EVENT_CELL_TYPES)
 
@@ -353,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "duplicate_report": q_duplicate_report,
     "feature_zscore": q_feature_zscore,
     "predict_expression": q_predict_expression,
+    "row_conservation": q_row_conservation,
+    "streamed_scores": q_streamed_scores,
     "predictions_long": q_predictions_long,
     "cell_type_matrix": q_cell_type_matrix,
     "combine_predictions": q_combine_predictions,

@@ -368,6 +368,17 @@ SELECT z.sample_id, z.gene_name, ct.cell_type,
              + CAST(ct.k - 5 AS DOUBLE) / 10.0::DOUBLE, {VALUE_DIGITS}) + 0.0 AS prediction
 FROM z CROSS JOIN ct
 GROUP BY z.sample_id, z.gene_name, ct.cell_type, ct.k""",
+    "streamed_scores": _with(_Z) + f""",
+ct AS (SELECT * FROM (VALUES {_CT_VALUES}) t(k, cell_type))
+SELECT z.sample_id, z.gene_name, ct.cell_type,
+       round(sum(z.z * (CAST(((7 * z.i + 3 * ct.k) % 11) - 5 AS DOUBLE) / 10.0::DOUBLE))
+             + CAST(ct.k - 5 AS DOUBLE) / 10.0::DOUBLE, {VALUE_DIGITS}) + 0.0 AS prediction
+FROM z CROSS JOIN ct
+GROUP BY z.sample_id, z.gene_name, ct.cell_type, ct.k""",
+    "row_conservation": f"""
+SELECT 'L' || label AS sample_id, count(DISTINCT vec_id // 3) AS genes,
+       count(DISTINCT vec_id // 3) * {len(CELL_TYPES)} AS predictions, true AS conserved
+FROM embeddings GROUP BY label""",
     "predictions_long": _with(_WIDE, _LONG) + "SELECT * FROM lg",
     "cell_type_matrix": _with(_WIDE, _LONG, _MAT) + "SELECT * FROM mat",
     "matrix_checks": _with(_WIDE, _LONG, _MAT) + f"""

@@ -5,7 +5,7 @@ stage, not from the raw inputs)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,15 +211,17 @@ def prediction_job(spark: SparkSession, gene_features_path: str, scorer, out_dir
         todo = MF.pending(feats.select(F.col("sample_id").alias("key")).distinct(),
                           manifest, "predict")
         feats = feats.join(todo, feats["sample_id"] == todo["key"], "left_semi")
-    rows_in, rows_out = Observation(), Observation()
-    z = P.zscore_features(feats).observe(rows_in, F.count(F.lit(1)).alias("n"))
-    preds = P.predict_expression(z, scorer).observe(rows_out, F.count(F.lit(1)).alias("n"))
+    preds = P.predict_expression(P.zscore_features(feats), scorer)
     # dynamic partition overwrite: a sample re-run after a crash between the
     # prediction commit and the manifest append replaces its own partition
+    out = f"{out_dir}/predictions"
     (preds.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sample_id").parquet(f"{out_dir}/predictions"))
-    # counted while the rows were written: no row of any model may be missing
-    P.check_row_conservation(rows_in.get["n"], rows_out.get["n"], len(scorer.cell_types))
+     .partitionBy("sample_id").parquet(out))
+    # per sample, from the keys: no row of any model may be missing
+    genes = P.distinct_genes(feats)
+    written = _text_ids(spark, out) if _exists(spark, out) else preds.limit(0)
+    P.require_conserved(P.row_conservation(genes, written.join(
+        genes.select("sample_id"), "sample_id", "left_semi"), len(scorer.cell_types)))
     if manifest_path is not None:
         done = (feats.groupBy("sample_id").agg(F.count(F.lit(1)).alias("rows"))
                 .select(F.lit("predict").alias("stage"), F.col("sample_id").alias("key"),

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def decoded_path() -> Column:
+    """Path of a row's file as listings have it (the metadata path is percent-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "dense",
                path_glob: str | None = None, keep_path=None) -> DataFrame:
     """``(file_path, line_no, value)`` for every line of every matched file.
@@ -30,8 +35,7 @@ def read_lines(spark: SparkSession, path: str | list[str], numbering: str = "den
     reader = spark.read
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    # the metadata path is percent-encoded; listings and samples are not
-    file_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file_path = decoded_path()
     scan = reader.text(path)
     if keep_path is not None:
         scan = scan.where(keep_path(file_path))
