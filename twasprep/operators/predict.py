@@ -92,6 +92,37 @@ def zscore_features(features: DataFrame, epsilon: float = ZSCORE_EPSILON,
                     zscore_array("features", "mean", "std", epsilon).alias("features"))
 
 
+def first_gene_rows(features: DataFrame) -> DataFrame:
+    """(sample_id, part, firsts): per layout key a map from the genes that repeat to
+    their least ``ord``, from the keys alone (``features`` is a ``bucket_features``
+    table, whose buckets hold all rows of a gene: no exchange). A part holds a
+    fixed share of a genome's genes, which bounds the map."""
+    per_gene = features.groupBy("sample_id", "part", _gene_key().alias("_gene")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("ord").alias("_first"))
+    entry = F.when(F.col("_n") > 1, F.struct("_gene", "_first"))
+    return per_gene.groupBy("sample_id", "part").agg(F.map_from_entries(F.collect_list(entry)).alias("firsts"))
+
+
+def _gene_key():
+    """A map key for any gene, also one without a name."""
+    return F.coalesce(F.concat(F.lit("="), F.col("gene_name")), F.lit("-"))
+
+
+def zscore_bucketed(features: DataFrame, parts: int, epsilon: float = ZSCORE_EPSILON) -> DataFrame:
+    """``zscore_features`` of a ``bucket_features`` table, its vectors never exchanged.
+
+    Repeated genes are told by their keys inside the buckets; per-sample sums are
+    partial vector aggregates (one vector pair per task and sample); the statistics
+    come back to every part of their sample, on the keys the table is laid out by.
+    Rows of one gene with equal ``ord`` all stay, so ``ord`` must tell rows apart."""
+    first = F.coalesce(F.try_element_at("firsts", _gene_key()), F.col("ord"))
+    base = features.join(first_gene_rows(features), ["sample_id", "part"]).where(F.col("ord") == first).select(
+        "sample_id", "part", "gene_name", "features")
+    stats = feature_stats(base).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return base.join(stats, ["sample_id", "part"]).select(
+        "sample_id", "gene_name", zscore_array("features", "mean", "std", epsilon).alias("features"))
+
+
 # ---------------------------------------------------------------------------
 # Scorers
 # ---------------------------------------------------------------------------

@@ -148,7 +148,6 @@ def resolve_rsids(
     if naming not in ("strict", "normalized"):
         raise ValueError("naming must be 'strict' or 'normalized'")
     snps = _prepared(snps)
-    has150 = "rsid_dbSNP150" in snps.columns
     cols = [c for c in snps.columns if c not in ("file_path", "file_order")]
     chrom_col = F.col("chromosome")
     if lookup_chromosome == "file":
@@ -182,6 +181,14 @@ def resolve_rsids(
     # rows that already have an id (or NULL) never enter the join
     closed = snps.where(~is_open).select(*cols, F.lit(None).cast("string").alias("_resolved"))
     j = j.unionByName(closed)
+    return fill_rsids(j, cols, legacy_fill, with_flag)
+
+
+def fill_rsids(joined: DataFrame, cols: list[str], legacy_fill: bool = False,
+               with_flag: bool = False) -> DataFrame:
+    """``cols`` of rows that carry the id found for them (``_resolved``), filled in
+    as ``resolve_rsids`` says."""
+    has150 = "rsid_dbSNP150" in cols
     resolved = F.col("_resolved")
     open_row = F.col("rsid") == F.lit(UNRESOLVED_RSID)
     if legacy_fill and has150:
@@ -198,7 +205,7 @@ def resolve_rsids(
     select = [out_cols[c].alias(c) if c in out_cols else F.col(c) for c in cols]
     if with_flag:
         select.append(F.coalesce(found, F.lit(False)).alias("rsid_found"))
-    return j.select(*select)
+    return joined.select(*select)
 
 
 def rsid_stats(resolved: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
+from twasprep.plans.bucketed import (SAMPLE_PARTS, bucket_features, bucket_lookup, bucket_snps,
+                                     resolve_bucketed)
 from twasprep.plans.readers import QUERIES as READER_QUERIES
 from twasprep.plans.restart import read_attempts, run_keys
 from twasprep.sinks import writers as W
@@ -158,6 +160,17 @@ def q_rsid_overlap(spark, sf_dir):
                                  V.dbsnp_with_long_deletions(spark, sf_dir))
 
 
+#: Buckets of the co-partitioned queries (a cluster takes a multiple of its cores).
+BUCKETS = 8
+
+
+def q_rsid_bucketed(spark, sf_dir):
+    base = _table_path(spark)
+    lookup = bucket_lookup(V.dbsnp_rows(spark, sf_dir), f"{base}/lookup", BUCKETS)
+    snps = bucket_snps(V.snp_annotation_rows(spark, sf_dir), f"{base}/snps", BUCKETS)
+    return resolve_bucketed(snps, lookup)
+
+
 # Rows per chunk in the legacy chunked mean (small, so genes straddle chunks).
 CHUNK_ROWS = 25
 # Digits kept on vector elements in the exploded (comparable) outputs.
@@ -224,6 +237,11 @@ def q_feature_zscore(spark, sf_dir):
     return explode_vector(z, ["sample_id", "gene_name"])
 
 
+def q_feature_zscore_bucketed(spark, sf_dir):
+    table = bucket_features(V.gene_features(spark, sf_dir), f"{_table_path(spark)}/features", BUCKETS)
+    return explode_vector(P.zscore_bucketed(table, SAMPLE_PARTS), ["sample_id", "gene_name"])
+
+
 def q_predict_expression(spark, sf_dir):
     z = P.zscore_features(V.gene_features(spark, sf_dir))
     pred = P.predict_expression(z, P.RuleLinearScorer())
@@ -365,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "rsid_legacy_fill": q_rsid_legacy_fill,
     "rsid_naming_report": q_rsid_naming_report,
     "rsid_overlap": q_rsid_overlap,
+    "rsid_bucketed": q_rsid_bucketed,
     "bin_means": q_bin_means,
     "gene_region_means": q_gene_region_means,
     "gene_region_means_chunked": q_gene_region_means_chunked,
@@ -373,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "keep_first": q_keep_first,
     "duplicate_report": q_duplicate_report,
     "feature_zscore": q_feature_zscore,
+    "feature_zscore_bucketed": q_feature_zscore_bucketed,
     "predict_expression": q_predict_expression,
     "row_conservation": q_row_conservation,
     "streamed_scores": q_streamed_scores,

@@ -184,6 +184,7 @@ _LEGACY = f"coalesce(nullif(rsid_dbSNP150, '.'), {_STRICT})"
 ORACLE_SQL.update({
     "rsid_resolve": _with(_PV) + _resolved_select(_STRICT),
     "rsid_resolve_normalized": _with(_PV) + _resolved_select(_NORMAL),
+    "rsid_bucketed": _with(_PV) + _resolved_select(_STRICT),
     "rsid_legacy_fill": _with(_PV) + f"""
 SELECT chromosome, pos, varID, ref_vcf, alt_vcf, R2, MAF,
        CASE WHEN rsid = '.' AND {_LEGACY} IS NOT NULL THEN {_LEGACY} ELSE rsid END AS rsid,
@@ -360,6 +361,8 @@ WHERE rn = 1""",
 SELECT event_type AS sample_id, 'g' || user_id AS gene_name, count(*) AS n_rows
 FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
     "feature_zscore": _with(_Z) + f"""
+SELECT sample_id, gene_name, CAST(i AS INTEGER) AS idx, round(z, {VALUE_DIGITS}) + 0.0 AS value FROM z""",
+    "feature_zscore_bucketed": _with(_Z) + f"""
 SELECT sample_id, gene_name, CAST(i AS INTEGER) AS idx, round(z, {VALUE_DIGITS}) + 0.0 AS value FROM z""",
     "predict_expression": _with(_Z) + f""",
 ct AS (SELECT * FROM (VALUES {_CT_VALUES}) t(k, cell_type))
