@@ -47,7 +47,7 @@ def test_genotype_workflow_end_to_end(spark, tmpdir_path):
     assert body["1_300_G_A,T_GRCh38"].split("\t")[6] == "NA"
 
 
-def test_snp_annotation_text_and_if_absent(spark, tmpdir_path):
+def test_snp_annotation_text(spark, tmpdir_path):
     df = spark.createDataFrame(
         [("1", 100, "v1", "A", "G", 1.0, 1e-05, ".", "."), ("1", 200, "v2", "C", "T", 1.0, None, ".", ".")],
         "chromosome string, pos long, varID string, ref_vcf string, alt_vcf string, R2 double, "
@@ -56,8 +56,6 @@ def test_snp_annotation_text_and_if_absent(spark, tmpdir_path):
     text = _text(str(tmpdir_path / "snp" / "*.csv"))
     assert "1\t100\tv1\tA\tG\t1.0\t1e-05\t.\t." in text
     assert "1\t200\tv2\tC\tT\t1.0\tNA\t.\t." in text
-    W.write_if_absent(df.limit(0), str(tmpdir_path / "snp"), fmt="csv")   # no-op: exists
-    assert "v1" in _text(str(tmpdir_path / "snp" / "*.csv"))
 
 
 def test_matrices_and_predictdb_text(spark, tmpdir_path):
@@ -79,8 +77,9 @@ def test_export_bundle(spark, tmpdir_path):
     ex = spark.createDataFrame([("ENSG1", 1.0), ("ENSG9", 2.0)], "NAME string, S1 double")
     rep = {r.item: r.value for r in W.export_bundle(spark, str(tmpdir_path / "b"), ga, sa, gt, ex)
            .collect()}
-    assert rep["genotype_variants_without_annotation"] == 1
-    assert rep["expression_genes_without_annotation"] == 1
+    assert rep["genotype_keys_not_in_snp_annotation"] == 1
+    assert rep["expression_keys_not_in_gene_annotation"] == 1
+    assert rep["snp_annotation_keys_not_in_genotype"] == 0
     assert rep["genotype_rows"] == 2
 
 

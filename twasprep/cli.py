@@ -5,7 +5,7 @@
 (``twasprep.zip`` is the zipped package: workers import it to run scorers.)
 
 Stages: extract, vcf-annotation, land-genotypes, maf, rsid, land-dbsnp,
-gene-features, predict, rename, split, transform, validate. Each stage reads its inputs, runs the operators
+gene-features, predict, rename, split, transform, bundle, validate. Each stage reads its inputs, runs the operators
 and commits its output directory.
 """
 
@@ -21,6 +21,7 @@ if not __package__:  # started as a script: the package's parent is not on the p
 from pyspark.sql import functions as F
 
 from twasprep.operators import manifest as MF
+from twasprep.operators.bundle import inconsistencies
 from twasprep.plans import keyed_jobs as KJ
 from twasprep.plans import workflows as WF
 from twasprep.plans.restart import read_attempts
@@ -99,6 +100,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--gene-annotation", required=True)
     s.add_argument("--output-dir", required=True)
 
+    s = sub.add_parser("bundle", help="the four trainer inputs -> one bundle and its key report")
+    s.add_argument("--gene-annotation", required=True)
+    s.add_argument("--snp-dir", required=True, help="SNP annotation with rsIDs")
+    s.add_argument("--genotype-dir", required=True, help="dosage matrices")
+    s.add_argument("--expression-dir", required=True, help="output of transform")
+    s.add_argument("--output-dir", required=True)
+
     s = sub.add_parser("validate", help="check cell-type matrices")
     s.add_argument("--input-dir", required=True)
     s.add_argument("--sample-rows", type=int, default=None)
@@ -205,6 +213,12 @@ def _stage(spark, args: argparse.Namespace, mode: str) -> None:
     elif args.stage == "transform":
         WF.transform_job(spark, args.input_dir, args.gene_annotation, args.output_dir,
                          mode=mode).show(truncate=False)
+    elif args.stage == "bundle":
+        report = WF.bundle_job(spark, args.gene_annotation, args.snp_dir, args.genotype_dir,
+                               args.expression_dir, args.output_dir, mode=mode)
+        report.show(100, truncate=False)
+        for r in inconsistencies(report).collect():
+            print(f"bundle: {r.item} = {r.value}")
     elif args.stage == "validate":
         WF.validate_job(spark, args.input_dir, args.sample_rows).show(100, truncate=False)
 

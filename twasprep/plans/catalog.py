@@ -15,11 +15,14 @@ from twasprep.operators import manifest as MF
 from twasprep.operators import predict as P
 from twasprep.operators import rsid as R
 from twasprep.operators import validate as VA
+from twasprep.operators.bundle import bundle_report
 from twasprep.plans import driver_views as V
 from twasprep.plans.bucketed import (SAMPLE_PARTS, bucket_features, bucket_lookup, bucket_snps,
                                      resolve_bucketed)
 from twasprep.plans.readers import QUERIES as READER_QUERIES
 from twasprep.plans.restart import read_attempts, run_keys
+from twasprep.plans.sink_queries import QUERIES as SINK_QUERIES
+from twasprep.plans.tables import table_path
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.positions import add_positions, read_with_source
@@ -83,22 +86,12 @@ def q_chromosome_filter(spark, sf_dir):
                                CHROMOSOME_SELECTION)
 
 
-def _table_path(spark: SparkSession) -> str:
-    """A new path under the shared checkpoint folder."""
-    import uuid
-
-    from twasprep.session import ensure_checkpoint_dir
-
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/twasprep-tables/{uuid.uuid4().hex}"
-
-
 def _materialised(df: DataFrame) -> DataFrame:
     """Rendered text is read twice (header pass and record pass), like a file
     on disk: write it once as a table under the shared checkpoint folder and
     read it back (one computation, lineage cut) instead of recomputing the
     rendering for each pass."""
-    path = _table_path(df.sparkSession)
+    path = table_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -165,7 +158,7 @@ BUCKETS = 8
 
 
 def q_rsid_bucketed(spark, sf_dir):
-    base = _table_path(spark)
+    base = table_path(spark)
     lookup = bucket_lookup(V.dbsnp_rows(spark, sf_dir), f"{base}/lookup", BUCKETS)
     snps = bucket_snps(V.snp_annotation_rows(spark, sf_dir), f"{base}/snps", BUCKETS)
     return resolve_bucketed(snps, lookup)
@@ -203,7 +196,7 @@ def _feature_files(spark, sf_dir):
     """Region features as Parquet files in which the samples mix: one small file
     of the first rows, then larger ones that a scan takes first."""
     rows = V.region_features(spark, sf_dir)
-    base = _table_path(spark)
+    base = table_path(spark)
     first, rest = rows.where(F.col("ord") < 7), rows.where(F.col("ord") >= 7)
     for name, part, files in (("a", first, 1), ("b", rest, 3)):
         # ranges of the row order: part files follow each other by name
@@ -238,7 +231,7 @@ def q_feature_zscore(spark, sf_dir):
 
 
 def q_feature_zscore_bucketed(spark, sf_dir):
-    table = bucket_features(V.gene_features(spark, sf_dir), f"{_table_path(spark)}/features", BUCKETS)
+    table = bucket_features(V.gene_features(spark, sf_dir), f"{table_path(spark)}/features", BUCKETS)
     return explode_vector(P.zscore_bucketed(table, SAMPLE_PARTS), ["sample_id", "gene_name"])
 
 
@@ -259,7 +252,7 @@ def q_streamed_scores(spark, sf_dir):
     """The feature rows land as several files a sample and are scored as a stream."""
     from twasprep.streaming.landing import stream_scores
 
-    base = _table_path(spark)
+    base = table_path(spark)
     V.gene_features(spark, sf_dir).repartition(3, "ord").write.partitionBy("sample_id").parquet(f"{base}/in")
     expected = list_files(spark, f"{base}/in", "*.parquet", recursive=True).groupBy(
         sample_from_path("path").alias("sample_id")).agg(F.count(F.lit(1)).alias("files"))
@@ -306,6 +299,16 @@ def q_unmapped_genes(spark, sf_dir):
                             V.gene_annotation_rows(spark, sf_dir))
 
 
+def q_bundle_report(spark, sf_dir):
+    """Variants are missing on either side and repeat among the genotypes; genes are
+    those of the expression export and the annotation it was mapped by."""
+    ann = V.variant_annotation_rows(spark, sf_dir).select(F.col("varid").alias("varID"), "pos")
+    genotype = ann.where(F.col("pos") % 110 != 0).unionByName(ann.where(F.col("pos") % 130 == 0))
+    genes = V.gene_annotation_rows(spark, sf_dir)
+    expression = X.to_predictdb_expression(V.expression_matrix(spark, sf_dir), genes)
+    return bundle_report(genes, ann.where(F.col("pos") % 70 != 0), genotype, expression)
+
+
 def q_cell_type_matrix_text(spark, sf_dir):
     long = X.predictions_long(V.event_predictions_wide(spark, sf_dir), V.EVENT_CELL_TYPES)
     return X.cell_type_matrix_lines(long, V.EVENT_SAMPLES)
@@ -338,7 +341,7 @@ def q_stage_attempts(spark, sf_dir):
     one fails in the first run and succeeds in the second, the rest run once."""
     part = V.table(spark, sf_dir, "part")
     keys = part.select(F.col("p_brand").alias("key")).distinct()
-    base = _table_path(spark)
+    base = table_path(spark)
     out, attempts = f"{base}/out", f"{base}/attempts"
     keys.where(F.col("key").isin(*DONE_BEFORE)).select(
         F.lit("load").alias("stage"), "key", F.lit("success").alias("status"),
@@ -405,8 +408,10 @@ QUERIES: dict[str, Query] = {
     "cell_type_matrix_text": q_cell_type_matrix_text,
     "unmapped_summary": q_unmapped_summary,
     "matrix_checks": q_matrix_checks,
+    "bundle_report": q_bundle_report,
     "pending_outputs": q_pending_outputs,
     "job_summary": q_job_summary,
     "stage_attempts": q_stage_attempts,
 }
 QUERIES.update(READER_QUERIES)
+QUERIES.update(SINK_QUERIES)

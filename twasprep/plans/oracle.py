@@ -403,6 +403,27 @@ FROM e LEFT JOIN m ON e.gene_name = m.gene_name""",
     "unmapped_genes": _with(_GENE_ANN) + """
 SELECT DISTINCT e.gene_name FROM e
 WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.gene_name = e.gene_name)""",
+    "bundle_report": _with(_GENE_ANN) + """,
+va AS (SELECT CAST(p_partkey * 10 AS BIGINT) AS pos, 'v' || p_partkey AS k FROM part),
+s AS (
+  SELECT 'gene' AS kind, ensembl_id AS k, 1 AS a, 0 AS b FROM ann UNION ALL
+  SELECT 'gene', coalesce(m.ensembl_id, e.gene_name), 0, 1 FROM e LEFT JOIN m ON e.gene_name = m.gene_name
+  UNION ALL SELECT 'variant', k, 1, 0 FROM va WHERE pos % 70 <> 0
+  UNION ALL SELECT 'variant', k, 0, 1 FROM va WHERE pos % 110 <> 0
+  UNION ALL SELECT 'variant', k, 0, 1 FROM va WHERE pos % 130 = 0),
+per AS (SELECT kind, k, sum(a) AS a, sum(b) AS b FROM s GROUP BY 1, 2),
+c AS (SELECT kind, sum(a) AS ra, sum(b) AS rb, count_if(a > 0) AS ka, count_if(b > 0) AS kb,
+             count_if(a > 1) AS pa, count_if(b > 1) AS pb, count_if(a > 0 AND b = 0) AS oa,
+             count_if(a = 0 AND b > 0) AS ob FROM per GROUP BY kind),
+n AS (SELECT *, CASE kind WHEN 'gene' THEN 'gene_annotation' ELSE 'snp_annotation' END AS ta,
+             CASE kind WHEN 'gene' THEN 'expression' ELSE 'genotype' END AS tb FROM c),
+i AS (SELECT unnest([
+  {'item': ta || '_rows', 'value': ra}, {'item': tb || '_rows', 'value': rb},
+  {'item': ta || '_keys', 'value': ka}, {'item': tb || '_keys', 'value': kb},
+  {'item': ta || '_repeated_keys', 'value': pa}, {'item': tb || '_repeated_keys', 'value': pb},
+  {'item': ta || '_keys_not_in_' || tb, 'value': oa}, {'item': tb || '_keys_not_in_' || ta, 'value': ob}]) AS x
+  FROM n)
+SELECT x.item AS item, CAST(x.value AS BIGINT) AS value FROM i""",
     "pending_outputs": """
 SELECT CAST(o_orderkey AS VARCHAR) AS key FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l
@@ -476,3 +497,7 @@ FROM (SELECT DISTINCT varid, chrom, pos FROM gt) v JOIN maf m ON v.varid = m.var
 from twasprep.plans.readers_sql import reader_sql  # noqa: E402
 
 ORACLE_SQL.update(reader_sql(_with(_Z)))
+
+from twasprep.plans.sink_sql import sink_sql  # noqa: E402
+
+ORACLE_SQL.update(sink_sql(_with(_ANN), _with(_PV), _STRICT, _with(_FEAT), _with(_GENE_ANN)))

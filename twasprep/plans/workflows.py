@@ -20,7 +20,8 @@ from twasprep.operators.common import chromosome_list
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
 from twasprep.sources.positions import add_positions, read_with_source
-from twasprep.sources.text import list_files, read_sample_list, sample_from_path
+from twasprep.schemas import EXPORT_KEY
+from twasprep.sources.text import list_files, read_lines, read_sample_list, sample_from_path
 from twasprep.sources.vcf import read_vcf
 
 
@@ -334,3 +335,23 @@ def validate_job(spark: SparkSession, matrices_csv: str, sample_rows: int | None
                  ) -> DataFrame:
     """Shape and V1-V5 checks of every cell-type matrix file."""
     return VA.validate_files(S.read_cell_type_matrix(spark, matrices_csv), sample_rows)
+
+
+def bundle_job(spark: SparkSession, gene_annotation_path: str, snp_path: str, genotype_path: str,
+               expression_path: str, out_dir: str, mode: str = "errorifexists") -> DataFrame:
+    """The four trainer inputs as the stages write them -> one bundle of Parquet
+    tables; returns the key report of what was written.
+
+    Genotype and expression rows stay arrays of cells beside their sample names."""
+    matrix = S.read_dosage_matrix(spark, genotype_path).joined().select(
+        F.col("varid").alias("varID"), F.col("names").alias("samples"), F.col("fields").alias("dosages"))
+    lines = read_lines(spark, expression_path, numbering="order").where(F.col("value") != "")
+    cells = lines.select("file_path", F.regexp_extract("file_path", "/cell_type=([^/]+)/", 1).alias("cell_type"),
+                         F.split("value", "\t").alias("f"))
+    head = F.element_at("f", 1) == EXPORT_KEY
+    headers = cells.where(head).select("file_path", F.col("f").alias("names")).distinct()
+    expression = cells.where(~head).join(headers, "file_path").select(
+        "cell_type", F.element_at("f", 1).alias(EXPORT_KEY), F.expr("slice(names, 2, size(names) - 1)").alias(
+            "samples"), F.expr("slice(f, 2, size(f) - 1)").alias("cells"))
+    return W.export_bundle(spark, out_dir, S.read_gene_annotation(spark, gene_annotation_path),
+                           S.read_snp_annotation(spark, snp_path), matrix, expression, mode=mode)

@@ -5,7 +5,6 @@ from twasprep.sinks.writers import (  # noqa: F401
     write_cell_type_matrices,
     write_dosage_matrix,
     write_gene_features,
-    write_if_absent,
     write_lines_with_header,
     write_predictdb_expression,
     write_predictions,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twasprep.functions.genotype import render_maf
+from twasprep.operators.bundle import bundle_report
 from twasprep.operators.genotype import sample_values
 from twasprep.schemas import (
     EXPORT_KEY,
@@ -217,49 +218,13 @@ def write_predictdb_expression(expression: DataFrame, path: str, mode: str = "er
     w.csv(path)
 
 
-def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Write only when the output does not exist yet (SaveMode.Ignore): a
-    rerun of a finished stage is a no-op. Per-key granularity uses the
-    manifest operators instead."""
-    df.write.mode("ignore").format(fmt).options(**options).save(path)
-
-
 def export_bundle(spark: SparkSession, path: str, gene_annotation: DataFrame,
                   snp_annotation: DataFrame, genotype: DataFrame, expression: DataFrame,
                   mode: str = "errorifexists") -> DataFrame:
-    """Write the four trainer inputs and return a report.
-
-    Report rows: ``(item, value)`` with the row count of every table and the
-    key-consistency counts: genotype variants without SNP annotation and
-    expression genes without gene annotation (reported, not enforced).
-    """
-    base = path.rstrip("/")
-    gene_annotation.write.mode(mode).parquet(f"{base}/gene_annotation")
-    snp_annotation.write.mode(mode).parquet(f"{base}/snp_annotation")
-    genotype.write.mode(mode).parquet(f"{base}/genotype")
-    expression.write.mode(mode).parquet(f"{base}/expression")
-    ga = spark.read.parquet(f"{base}/gene_annotation")
-    sa = spark.read.parquet(f"{base}/snp_annotation")
-    gt = spark.read.parquet(f"{base}/genotype")
-    ex = spark.read.parquet(f"{base}/expression")
-    gt_key = "varid" if "varid" in gt.columns else "varID"
-    ex_key = EXPORT_KEY if EXPORT_KEY in ex.columns else "gene_name"
-    ga_key = "ensembl_id" if "ensembl_id" in ga.columns else "gene_name"
-    orphan_variants = gt.select(F.col(gt_key).alias("k")).join(
-        sa.select(F.col("varID").alias("k")), "k", "left_anti")
-    orphan_genes = ex.select(F.col(ex_key).alias("k")).join(
-        ga.select(F.col(ga_key).alias("k")), "k", "left_anti")
-    counts = [
-        ga.select(F.lit("gene_annotation_rows").alias("item"), F.count(F.lit(1)).alias("value")),
-        sa.select(F.lit("snp_annotation_rows").alias("item"), F.count(F.lit(1)).alias("value")),
-        gt.select(F.lit("genotype_rows").alias("item"), F.count(F.lit(1)).alias("value")),
-        ex.select(F.lit("expression_rows").alias("item"), F.count(F.lit(1)).alias("value")),
-        orphan_variants.select(F.lit("genotype_variants_without_annotation").alias("item"),
-                               F.count(F.lit(1)).alias("value")),
-        orphan_genes.select(F.lit("expression_genes_without_annotation").alias("item"),
-                            F.count(F.lit(1)).alias("value")),
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """Write the four trainer inputs as Parquet and return ``bundle_report`` of what
+    was written (see ``operators.bundle``)."""
+    base, tables = path.rstrip("/"), {"gene_annotation": gene_annotation, "snp_annotation": snp_annotation,
+                                      "genotype": genotype, "expression": expression}
+    for name, df in tables.items():
+        df.write.mode(mode).parquet(f"{base}/{name}")
+    return bundle_report(**{name: spark.read.parquet(f"{base}/{name}") for name in tables})
