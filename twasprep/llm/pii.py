@@ -7,8 +7,9 @@ the information IC = log2(N / n) of e itself. All four count distinct texts, so
 copies of rows change nothing, and PMI / IC is 1 when t occurs only in texts
 where it stands beside e. Terms at ``REMOVE`` or more are removed, from ``GENERALISE`` on they are generalised to
 their shape; both only with ``SUPPORT`` distinct contexts, so that copies of one
-passage prove nothing. Contexts are the tokens up to the ``NEAR``-th word of four
-letters on each side (within ``FAR`` characters). A flagged term is reported at
+passage prove nothing. A context is a window: the tokens up to the ``NEAR``-th word
+of four letters on each side, ``FAR`` characters at most (in a long table of
+numbers every entity's context would else be the whole table). A flagged term is reported at
 every occurrence in every text, beside the entity or not, with its strictest action.
 
 Tokens are runs of letters and digits; a term has four characters, a digit or a
@@ -44,7 +45,6 @@ REACH, FAR = 200, 4000  # characters per side in which they are looked for: firs
 CHUNK = 64  # matches added up at once, so that long texts take linear time
 SUPPORT = 3
 GENERALISE, REMOVE = 0.75, 0.9
-BROADCAST = 1_000_000  # flagged terms up to which they go to every task (else a shuffled join)
 
 SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string>"
 
@@ -177,9 +177,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.size("spans") > 0, _context(F.col("_t"), F.col("spans"))).alias("contexts"))
 
 
-def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
-                    support: int = SUPPORT) -> DataFrame:
-    """(value, term, action, ratio) of the pairs beyond the disclosure thresholds."""
+def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(tkey, words): the distinct lower-case tokens of every distinct text."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    once = docs.select(F.xxhash64(text).alias("tkey"), text.alias("_t")).dropDuplicates(["tkey"])
+    return once.select("tkey", F.array_distinct(F.transform(F.regexp_extract_all(
+        "_t", F.lit(WORD), F.lit(0)), F.lower)).alias("words"))
+
+
+def revealing_terms(scanned: DataFrame, words: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(value, term, action, ratio) of the pairs beyond the disclosure thresholds.
+
+    ``words``: :func:`distinct_words` of the same documents."""
     # equal rows (text, value, context) count once ahead of the explode
     each = scanned.where("contexts is not null").select("tkey", F.explode("contexts").alias("c")) \
         .select("tkey", "c.value", "c.context", "c.terms").distinct()
@@ -190,13 +199,9 @@ def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
         .groupBy("value", "term").agg(texts.alias("c"), contexts.alias("_s")) \
         .where(F.col("_s") >= support).drop("_s")
     pairs = materialise(pairs.join(seen, "value"), "pairs")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    once = docs.select(F.xxhash64(text).alias("tkey"), text.alias("_t")).dropDuplicates(["tkey"])
-    words = once.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(
-        "_t", F.lit(WORD), F.lit(0)), F.lower))).alias("term"))
     # counted before the join, map side first: a common term is one row per task
-    df = words.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = scanned.agg(F.count_distinct("tkey").alias("n_docs"))
+    df = words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    total = words.agg(F.count(F.lit(1)).alias("n_docs"))
     pmi = F.log2(F.col("c") * F.col("n_docs") / (F.col("df") * F.col("n")))
     ic = F.log2(F.col("n_docs") / F.col("n"))
     return pairs.join(df, "term").join(F.broadcast(total)) \
@@ -208,21 +213,28 @@ def revealing_terms(scanned: DataFrame, docs: DataFrame, text_col: str = "text",
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        support: int = SUPPORT) -> DataFrame:
-    """doc_id, tkey, spans (entities), terms (array<struct<start, end, action>>)."""
+    """doc_id, tkey, spans (entities), terms (array<struct<start, end, action>>).
+
+    Positions are worked out only in texts that hold a flagged term, which their
+    distinct words tell; all joins are on keys and left to the optimizer, whose
+    sides are written tables of known size."""
     scanned = materialise(scan(docs, id_col, text_col), "scanned")
-    flagged = materialise(revealing_terms(scanned, docs, text_col, support), "revealing")
+    words = materialise(distinct_words(docs, text_col), "words")
+    flagged = materialise(revealing_terms(scanned, words, support), "revealing")
     # of several verdicts on one term the strictest holds, at all its occurrences
     terms = materialise(flagged.groupBy("term").agg(F.max("action").alias("action")), "terms")
-    if terms.count() <= BROADCAST:
-        terms = F.broadcast(terms)
+    holding = materialise(words.select("tkey", F.explode("words").alias("term")).join(terms, "term")
+                          .groupBy("tkey").agg(F.map_from_entries(F.collect_list(
+                              F.struct("term", "action"))).alias("flagged")), "holding")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    tokens = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tkey"),
-                         F.explode(matches(text, WORD)).alias("w")) \
-        .select("doc_id", "tkey", F.lower("w.value").alias("term"), "w.start", "w.end")
-    found = tokens.join(terms, "term").select("doc_id", "tkey", "start", "end", "action").distinct()
-    per_doc = found.groupBy("doc_id", "tkey").agg(F.collect_list(
-        F.struct("start", "end", "action")).alias("terms")) \
-        .select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_k"), "terms")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("_t")) \
+        .join(holding, "tkey")
+    action = lambda w: F.try_element_at("flagged", F.lower(w["value"]))
+    found = F.filter(F.transform(matches(F.col("_t"), WORD), lambda w: F.struct(
+        w["start"].alias("start"), w["end"].alias("end"), action(w).alias("action"))),
+        lambda w: w["action"].isNotNull())
+    per_doc = rows.select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_k"), found.alias("terms")) \
+        .groupBy("_d", "_k").agg(F.first("terms").alias("terms"))
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
     joined = scanned.select("doc_id", "tkey", "spans").join(
         per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tkey") == F.col("_k")), "left")
