@@ -94,3 +94,69 @@ def test_large_rates_are_inverted_without_long_arrays(spark):
     n = [x["_n"] for x in mixing.poisson_counts(docs.where("source = 'tiny'"), mixing.source_rates(
         docs, w, budget=1000.0)).collect()]
     assert len(n) == 5 and all(abs(x - r) < 6 * r ** 0.5 for x in n)
+
+
+def _classes(links, n):
+    up = list(range(n))
+    for a, b in links:
+        while up[a] != a:
+            a = up[a]
+        while up[b] != b:
+            b = up[b]
+        up[max(a, b)] = min(a, b)
+    for i in range(n):
+        while up[i] != up[up[i]]:
+            up[i] = up[up[i]]
+    return up
+
+
+@pytest.mark.parametrize("wide", [0, 64])
+def test_pairs_of_wide_buckets_meet_over_rare_elements(spark, monkeypatch, wide):
+    from collections import Counter
+
+    from twasprep.llm import bagminhash
+
+    monkeypatch.setattr(bagminhash, "WIDE", wide)   # 0: every pair by its prefix
+    monkeypatch.setattr(bagminhash, "CHAINS", 0)
+    rng = random.Random(12)
+    template = prose(rng, 60, 4000)
+    texts = []
+    for _ in range(60):
+        t = (template + " " + prose(rng, rng.choice([8, 14, 20, 30]), 4000)).split()
+        texts.append(" ".join(t))
+        for _ in range(rng.randrange(3)):
+            t[rng.randrange(len(t))] = "other"
+            texts.append(" ".join(t))
+    bags = []
+    for t in texts:
+        w = t.split()
+        bags.append(Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)))
+    links = [(i, j) for i in range(len(texts)) for j in range(i)
+             if 5 * sum((bags[i] & bags[j]).values()) >= 4 * sum((bags[i] | bags[j]).values())]
+    up = _classes(links, len(texts))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(up)) and len(set(up)) > 20
+
+
+def test_a_shared_template_makes_pairs_in_proportion_to_the_rows(spark, monkeypatch):
+    from twasprep.llm import bagminhash
+
+    counts = {}
+
+    def count(df, tag, write=bagminhash.materialise):
+        out = write(df, tag)
+        if tag in ("rest", "star"):
+            counts[tag] = out.count()
+        return out
+
+    monkeypatch.setattr(bagminhash, "materialise", count)
+    sizes = {}
+    for n in (200, 400):
+        rng = random.Random(n)
+        template = prose(rng, 60, 100_000)
+        docs = spark.createDataFrame([(i, template + " " + prose(rng, 30, 100_000)) for i in range(n)],
+                                     "doc_id bigint, text string")
+        assert bagminhash.near_duplicates(docs).select("class_id").distinct().count() == n
+        sizes[n] = counts["rest"] + counts["star"]
+    assert sizes[400] < 3 * max(sizes[200], 1) and sizes[400] < 400 * 40

@@ -14,11 +14,16 @@ then along random chains while that joins classes (copies never form all
 pairs); at last the pairs that are still in different classes are compared
 unless a proof rules a link out: the triangle inequality of the Jaccard distance,
 or a parity sketch that bounds the multisets' difference from below.
+Pairs are listed bucket by bucket only in buckets of up to ``WIDE`` members. The
+texts of wider ones meet over their rarest elements instead: with the elements
+of all these texts in one order, rarest first, texts of similarity t share one of
+the first |x| - t |x| + 1 elements of each (prefix filtering, which loses none),
+so texts that have a template in common but not four fifths of it form no pairs.
 Every link is verified on the exact multisets; the
 classes are the connected components of all links.
 
-Equal texts are one node throughout (keyed by md5), so they cost one signature
-in the search and no pairs.
+Equal texts are one node throughout (keyed by md5): one signature for each task
+that reads copies of a text, one band list in the search, and no pairs.
 
 Edge cases: null counts as empty text; texts without words are grouped only
 with equal texts; a text of fewer than five words is one shingle; repeated rows
@@ -41,6 +46,7 @@ U = tv.U
 COMPONENTS, BAND_ROWS = 128, 4
 SHINGLE = 5
 SKETCH = 1024  # parity bits per text
+WIDE = 64  # members of a bucket up to which its pairs are listed
 CHAINS = 2  # passes over unsettled buckets before the remaining pairs are compared
 BLOCK = 1 << 21
 #: Similarity threshold as a fraction, so that the comparison is exact.
@@ -119,8 +125,19 @@ def _bag_rows(batch: pa.RecordBatch, text: str):
         yield lo, hi, *tv.occurrences(*tv.shingles(w, row, SHINGLE))
 
 
-def _band_batches(batches):
+def _first_copies(batches):
+    """Batches without the rows whose text the task has met before."""
+    met: set[bytes] = set()
     for batch in batches:
+        new = []
+        for key in batch.column("tkey").to_pylist():
+            new.append(key not in met)
+            met.add(key)
+        yield batch if all(new) else batch.filter(pa.array(new))
+
+
+def _band_batches(batches):
+    for batch in _first_copies(batches):
         for lo, hi, e, row, cnt in _bag_rows(batch, "text"):
             sig = signatures(e, row, cnt, hi - lo)
             some = np.isfinite(sig[:, 0])
@@ -209,12 +226,12 @@ def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(links between distinct texts (a, b), their classes (node, comp))."""
     keyed = _keyed(docs, id_col, text_col)
-    bands = keyed.select("tkey", "text").mapInArrow(
-        _band_batches, "tkey binary, bands array<bigint>")
+    bands = materialise(keyed.select("tkey", "text").mapInArrow(
+        _band_batches, "tkey binary, bands array<bigint>").dropDuplicates(["tkey"]), "bands")
     rows = bands.select("tkey", F.explode("bands").alias("band"))
-    pivoted = rows.withColumn("pivot", F.min("tkey").over(Window.partitionBy("band"))) \
-        .withColumn("other", F.max("tkey").over(Window.partitionBy("band"))) \
-        .where("pivot <> other").select("band", "tkey", "pivot").distinct()
+    several = rows.groupBy("band").agg(F.min("tkey").alias("pivot"), F.max("tkey").alias("other")) \
+        .where("pivot <> other").drop("other")
+    pivoted = rows.join(several, "band").select("band", "tkey", "pivot")
     members = materialise(pivoted, "members")
     pairs = members.where("tkey <> pivot").select(
         F.col("tkey").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -260,11 +277,14 @@ def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id",
     # a pair is formed in its first common bucket only
     shared = placed.groupBy("tkey").agg(F.array_sort(F.collect_set("band")).alias("bands"))
     placed = materialise(placed.join(shared, "tkey"), "placed")
+    wide = materialise(placed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > WIDE).select("band"), "wide")
+    narrow = placed.join(wide, "band", "left_anti")
     reach = 1.0 - NUM / DEN
-    one = placed.where("comp <> head").select("band", F.col("tkey").alias("a"), F.col(
+    one = narrow.where("comp <> head").select("band", F.col("tkey").alias("a"), F.col(
         "far").alias("fa"), F.col("comp").alias("ca"), F.col("size").alias("sa"),
         F.col("sketch").alias("ka"), F.col("bands").alias("ba"))
-    two = placed.select("band", F.col("tkey").alias("b"), F.col("far").alias("fb"),
+    two = narrow.select("band", F.col("tkey").alias("b"), F.col("far").alias("fb"),
                         F.col("comp").alias("cb"), F.col("head").alias("hb"),
                         F.col("size").alias("sb"), F.col("sketch").alias("kb"),
                         F.col("bands").alias("bb"))
@@ -273,7 +293,9 @@ def near_duplicate_links(docs: DataFrame, id_col: str = "doc_id",
         .where((F.col("cb") == F.col("hb")) | (F.col("a") < F.col("b"))) \
         .where(_apart("ka", "kb") * (DEN + NUM) <= (F.col("sa") + F.col("sb")) * (DEN - NUM)) \
         .where(F.get(F.array_intersect("ba", "bb"), F.lit(0)) == F.col("band")) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    crowd = placed.join(wide, "band", "left_semi").select("tkey", "comp").distinct()
+    rest = rest.unionByName(_prefix_pairs(crowd, bags)).distinct()
     rest = materialise(rest.join(star.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     more = materialise(_similar(rest, bags).where(linked).select("a", "b"), "more")
     if more.isEmpty():
@@ -286,10 +308,37 @@ def _unsettled(base: DataFrame, comps: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one class: band, tkey, far, comp."""
     placed = base.join(comps.withColumnRenamed("node", "tkey"), "tkey", "left") \
         .withColumn("comp", F.coalesce("comp", "tkey"))
-    whole = Window.partitionBy("band")
-    return placed.withColumn("_lo", F.min("comp").over(whole)) \
-        .withColumn("_hi", F.max("comp").over(whole)).where("_lo <> _hi") \
-        .select("band", "tkey", "far", "comp")
+    mixed = placed.groupBy("band").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")) \
+        .where("_lo <> _hi").select("band")
+    return placed.join(mixed, "band").select("band", "tkey", "far", "comp")
+
+
+def _prefix_pairs(nodes: DataFrame, bags: DataFrame) -> DataFrame:
+    """(a, b), a > b: pairs of ``nodes`` (tkey, comp) in different classes that share
+    an element of both prefixes, which all pairs at the threshold do.
+
+    An element that one text alone holds comes first in the order and matches
+    nothing, so only the others are placed."""
+    each = nodes.join(bags, "tkey").select("tkey", "comp", F.size("bag").alias("size"), "sketch",
+                                           F.explode("bag").alias("el"))
+    held = each.groupBy("el").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    # the shared elements of one text, at most its bag
+    ranked = each.select("tkey", "size", "el").join(held, "el").groupBy("tkey", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "el"))).alias("els"))
+    size = F.col("size")
+    least = F.ceil(size * NUM / DEN).cast("int")  # elements that a partner must share
+    length = (size - least + 1) - (size - F.size("els"))
+    first = ranked.where(length > 0).select("tkey", F.explode(F.slice("els", F.lit(1), length)).alias("e"))
+    told = nodes.join(bags.select("tkey", F.size("bag").alias("size"), "sketch"), "tkey")
+    entry = first.select("tkey", F.col("e.el").alias("el")).join(told, "tkey")
+    x = entry.select("el", F.col("tkey").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("sa"),
+                     F.col("sketch").alias("ka"))
+    y = entry.select("el", F.col("tkey").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("sb"),
+                     F.col("sketch").alias("kb"))
+    return x.join(y, "el").where("a > b and ca <> cb") \
+        .where((F.least("sa", "sb") * DEN >= F.greatest("sa", "sb") * NUM)
+               & (_apart("ka", "kb") * (DEN + NUM) <= (F.col("sa") + F.col("sb")) * (DEN - NUM))) \
+        .select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
