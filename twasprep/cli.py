@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--no-reformat", action="store_true")
 
     s = sub.add_parser("land-genotypes", help="VCF -> array-layout Parquet by chromosome")
+    s.add_argument("--split-gzip", action="store_true", help="several tasks per block-gzip file")
     s.add_argument("--vcf", required=True)
     s.add_argument("--samples", required=True)
     s.add_argument("--output-dir", required=True)
@@ -71,6 +72,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("land-dbsnp", help="dbSNP VCF -> chromosome-partitioned Parquet")
     s.add_argument("--dbsnp", required=True)
     s.add_argument("--output-dir", required=True)
+    s.add_argument("--split-gzip", action="store_true", help="several tasks per block-gzip file")
 
     s = sub.add_parser("gene-features", help="region tensors -> gene mean features")
     s.add_argument("--tensors", required=True, help="Parquet region tensors")
@@ -196,9 +198,10 @@ def _stage(spark, args: argparse.Namespace, mode: str) -> None:
         WF.snp_annotation_from_vcf(spark, args.vcf, args.samples, args.output_dir,
                                    reformat=not args.no_reformat, mode=mode)
     elif args.stage == "land-genotypes":
-        WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir, mode=mode)
+        WF.land_genotypes(spark, args.vcf, args.samples, args.output_dir, mode=mode,
+                          split_gzip=args.split_gzip)
     elif args.stage == "land-dbsnp":
-        WF.land_dbsnp(spark, args.dbsnp, args.output_dir, mode=mode)
+        WF.land_dbsnp(spark, args.dbsnp, args.output_dir, mode=mode, split_gzip=args.split_gzip)
     elif args.stage == "predict":
         from twasprep.operators.predict import DenseStackScorer, read_model_weights
 

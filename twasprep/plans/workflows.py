@@ -36,7 +36,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def land_dbsnp(spark: SparkSession, vcf_path: str, out_path: str, mode: str = "errorifexists",
-               partitions: int | None = None) -> None:
+               partitions: int | None = None, split_gzip: bool = False) -> None:
     """dbSNP VCF -> Parquet partitioned by chromosome, sorted by position.
 
     ``repartitionByRange`` on (chromosome, position) samples the keys, so
@@ -44,7 +44,7 @@ def land_dbsnp(spark: SparkSession, vcf_path: str, out_path: str, mode: str = "e
     give row-group min/max statistics on ``pos``. ``ord`` (file order) is kept
     as a (block, row) pair so "first record wins" survives the landing.
     """
-    db = S.read_dbsnp_vcf(spark, vcf_path)
+    db = S.read_dbsnp_vcf(spark, vcf_path, split_gzip=split_gzip)
     n = partitions or spark.sparkContext.defaultParallelism
     (db.repartitionByRange(n, "chrom", "pos").sortWithinPartitions("chrom", "pos")
      .write.mode(mode).partitionBy("chrom").parquet(out_path))
@@ -66,10 +66,10 @@ def of_chromosomes_in(dbsnp: DataFrame, snps: DataFrame) -> DataFrame:
 
 
 def land_genotypes(spark: SparkSession, vcf_path: str, samples_path: str, out_path: str,
-                   mode: str = "errorifexists") -> None:
+                   mode: str = "errorifexists", split_gzip: bool = False) -> None:
     """VCF -> Parquet in the array layout ``(varid, chrom, pos, ref, alt,
     dosages)`` partitioned by chromosome (parse once, reuse many times)."""
-    vcf = read_vcf(spark, vcf_path)
+    vcf = read_vcf(spark, vcf_path, split_gzip=split_gzip)
     arrays = G.extract_dosages(vcf, read_sample_list(spark, samples_path))
     (arrays.drop("file_path", "line_no").write.mode(mode).partitionBy("chrom")
      .parquet(out_path))

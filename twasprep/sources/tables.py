@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twasprep.schemas import SNP_ANNOTATION, UNRESOLVED_RSID
-from twasprep.sources.text import read_lines, sample_from_path
+from twasprep.sources.bgzip import read_gzip_lines
+from twasprep.sources.text import list_files, read_lines, sample_from_path
 
 
 @dataclass(frozen=True)
@@ -141,9 +142,13 @@ def read_snp_annotation(spark: SparkSession, path: str | list[str], with_file: b
     return parse_snp_annotation(read_lines(spark, path, numbering="order"), with_file)
 
 
-def read_dbsnp_vcf(spark: SparkSession, path: str | list[str], numbering: str = "order"
-                   ) -> DataFrame:
-    """Scan dbSNP VCF files (see ``parse_dbsnp_vcf``)."""
+def read_dbsnp_vcf(spark: SparkSession, path: str | list[str], numbering: str = "order",
+                   split_gzip: bool = False) -> DataFrame:
+    """Scan dbSNP VCF files (see ``parse_dbsnp_vcf``); ``split_gzip`` reads block-gzip
+    files by several tasks each (see ``sources.bgzip``)."""
+    if split_gzip:
+        files = list_files(spark, path, recursive=True).where(F.col("file_name").rlike(r"\.(gz|bgz)$"))
+        return parse_dbsnp_vcf(read_gzip_lines(spark, sorted(r.path for r in files.select("path").collect())))
     return parse_dbsnp_vcf(read_lines(spark, path, numbering=numbering))
 
 

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twasprep.sources.text import read_lines
+from twasprep.sources.bgzip import read_gzip_lines
+from twasprep.sources.text import list_files, read_lines
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,13 @@ def parse_vcf(lines: DataFrame) -> VcfTable:
 
 
 def read_vcf(spark: SparkSession, path: str | list[str], path_glob: str | None = None,
-             numbering: str = "order") -> VcfTable:
+             numbering: str = "order", split_gzip: bool = False) -> VcfTable:
     """Scan VCF files in one pass (headers are recognised by content, records
-    keep a file-order key). bgzip input is not splittable: one task per file
-    for the parse itself; downstream operators repartition by variant."""
+    keep a file-order key). The text scan takes one task per gzip file;
+    ``split_gzip`` reads block-gzip files by ranges, several tasks each (see
+    ``sources.bgzip``), and needs paths that ``pyarrow.fs`` can open."""
+    if split_gzip:
+        files = list_files(spark, path, path_glob, recursive=True).where(
+            F.col("file_name").rlike(r"\.(gz|bgz)$"))
+        return parse_vcf(read_gzip_lines(spark, sorted(r.path for r in files.select("path").collect())))
     return parse_vcf(read_lines(spark, path, numbering=numbering, path_glob=path_glob))
