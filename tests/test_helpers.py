@@ -1,4 +1,5 @@
-from twasprep.functions.vectors import vector_from_columns
+import pytest
+
 from twasprep.operators import common as C
 
 
@@ -15,11 +16,16 @@ def test_concat_tables_by_name(spark):
     assert out == {"g1": (1.0, None), "g2": (None, 2.0)}
 
 
-def test_vector_from_positional_columns(spark):
-    df = spark.createDataFrame([("g1", 1.0, 2.0, 3.0, "chr1")],
-                               "gene_name string, `0` double, `1` double, `2` double, chromo string")
-    v = df.select(vector_from_columns(df.columns, 1, 3).alias("v")).first().v
-    assert v == [1.0, 2.0, 3.0]
+def test_features_by_position_and_a_checked_width(spark):
+    from twasprep.sources import tables as S
+
+    lines = spark.createDataFrame([("f/S.csv", 0, "gene_name,a,b,c,chromo"), ("f/S.csv", 1, "g1,1,2,,chr1")],
+                                  "file_path string, line_no long, value string")
+    v = S.parse_feature_csv(lines, first=1, count=3).first().features
+    assert v[:2] == [1.0, 2.0] and v[2] != v[2]
+    for kw in ({"first": 1, "count": 9}, {"count": 2}):
+        with pytest.raises(Exception, match="feature columns: f/S.csv"):
+            S.parse_feature_csv(lines, **kw).collect()
 
 
 def test_discover_chromosomes_from_file_names(spark, tmpdir_path):

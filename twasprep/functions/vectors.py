@@ -64,10 +64,3 @@ def array_dot(x, w) -> Column:
     """Dot product of two equally long numeric arrays."""
     return F.aggregate(F.zip_with(_c(x), _c(w), lambda a, b: a * b), F.lit(0.0).cast("double"),
                        lambda acc, v: acc + v)
-
-
-def vector_from_columns(columns: list[str], start: int = 1, count: int | None = None) -> Column:
-    """Positional slice of scalar columns as one ``array<double>``: columns
-    ``start .. start+count-1`` (0-based, the key column being 0)."""
-    picked = columns[start:] if count is None else columns[start:start + count]
-    return F.array(*[F.col(c).cast("double") for c in picked])

@@ -7,14 +7,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twasprep.operators import common as C
 from twasprep.operators import expression as X
+from twasprep.operators import features as FT
 from twasprep.operators import predict as P
 from twasprep.operators import validate as VA
 from twasprep.plans import driver_views as V
+from twasprep.plans.tables import table_path
+from twasprep.plans.workflows import transform_job
 from twasprep.schemas import LEGACY_OUTPUT_SUFFIX
+from twasprep.sinks import writers as W
+from twasprep.sinks.ledger import text_digest
 from twasprep.sources import tables as S
+from twasprep.sources.text import chromosomes_of, list_files, parse_sample_list
 
 _DIGITS = 6
+HEAD = 25  # rows of the head report
 
 
 def _headers(spark: SparkSession, lines: list[tuple[str, int, str]]) -> DataFrame:
@@ -105,7 +113,7 @@ def q_dbsnp_scan(spark, sf_dir):
     return S.parse_dbsnp_vcf(lines.unionByName(rows).unionByName(short))
 
 
-def q_feature_csv_scan(spark, sf_dir):
+def feature_lines(spark, sf_dir) -> DataFrame:
     """Vector v in the file of sample v mod 3; sample 2's file has another column
     order and no chromosome; every fifth value is empty (NaN, shown as -1)."""
     e = V.table(spark, sf_dir, "embeddings")
@@ -118,11 +126,87 @@ def q_feature_csv_scan(spark, sf_dir):
     lines = _headers(spark, [(f, 0, ",".join(o)) for f, o in zip(files, orders)])
     for i, (f, o) in enumerate(zip(files, orders)):
         lines = lines.unionByName(e.where(v % 3 == i).select(*_line(f, v + 1, ",", *[cells[c] for c in o])))
-    feats = S.parse_feature_csv(lines, dense=True)
+    return lines
+
+
+def _exploded(feats: DataFrame) -> DataFrame:
     return feats.select("sample_id", "gene_name", "chromo", F.posexplode("features").alias("idx", "x")) \
         .select("sample_id", "gene_name", "chromo", "idx", F.nanvl("x", F.lit(-1.0)).alias("value"))
 
 
+def q_feature_csv_scan(spark, sf_dir):
+    return _exploded(S.parse_feature_csv(feature_lines(spark, sf_dir), dense=True, count=3))
+
+
+def q_feature_csv_positional(spark, sf_dir):
+    """The same files by position: columns 1 to 3, whatever their names."""
+    return _exploded(S.parse_feature_csv(feature_lines(spark, sf_dir), first=1, count=3))
+
+
+# --- sample list, gene windows, file names, several tables as one ------------
+def q_sample_list_scan(spark, sf_dir):
+    """Suppliers as lines of a list: blanks around every third id, every seventh blank."""
+    t = V.table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    name = F.when(k % 7 == 0, F.lit("  ")).when(k % 3 == 0, F.concat(F.lit(" "), "s_name", F.lit(" "))) \
+        .otherwise(F.col("s_name"))
+    return parse_sample_list(t.select(*_line("samples.txt", k, "", name)))
+
+
+def q_gene_windows_scan(spark, sf_dir):
+    """The gene windows written as CSV with a header and read back, as pairs."""
+    path = table_path(spark)
+    V.gene_windows(spark, sf_dir).write.option("header", "true").csv(path)
+    return FT.window_pairs(S.read_gene_windows(spark, path))
+
+
+def q_discovered_chromosomes(spark, sf_dir):
+    """Variants written to files named by chromosome: the names in natural order."""
+    path = table_path(spark)
+    v = V.variant_annotation_rows(spark, sf_dir).select("varid", F.concat(
+        F.lit("chr"), F.regexp_replace("chrom", "^chr", ""), F.lit("_variants")).alias("name"))
+    v.write.partitionBy("name").text(path)
+    files = list_files(spark, path, recursive=True).select(F.regexp_extract(
+        "path", "/name=([^/]+)/", 1).alias("file_name"))
+    return chromosomes_of(files)
+
+
+def q_head_variants(spark, sf_dir):
+    """The first rows by position and id: a report of fixed length is the feature."""
+    return C.head_rows(V.variant_annotation_rows(spark, sf_dir), HEAD, ["pos", "varid"])
+
+
+def q_concat_tables(spark, sf_dir):
+    """Predictions whose files differ in their columns, as one table."""
+    t = V.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    gene = F.concat(F.lit("G"), k.cast("string")).alias("gene_name")
+    return C.concat_tables([
+        t.where(k % 3 == 0).select(gene, k.alias("neurons_predicted")),
+        t.where(k % 3 == 1).select((k * 2).alias("opc_predicted"), gene),
+        t.where(k % 3 == 2).select(gene, k.alias("neurons_predicted"), (-k).alias("opc_predicted"))])
+
+
+def q_transform_files(spark, sf_dir):
+    """Comma-separated matrices through the transform job: the tab-separated text
+    that it wrote, per cell type (cells as they were, keys mapped)."""
+    base = table_path(spark)
+    t = V.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    rows = t.select(F.element_at(F.array(F.lit("neurons"), F.lit("opc")), (k % 2 + 1).cast("int")).alias("cell_type"),
+                    F.concat(F.lit("GENE"), F.col("c_nationkey").cast("string")).alias("gene"), k.alias("a"),
+                    F.when(k % 5 == 0, F.lit("")).otherwise(F.col("c_mktsegment")).alias("b"))
+    lines = rows.select("cell_type", F.concat_ws(",", "gene", F.col("a").cast("string"), "b").alias("value"))
+    W.write_lines_with_header(lines, "gene_name,S2,S1", f"{base}/m", partition_by="cell_type")
+    n = V.table(spark, sf_dir, "nation")
+    anno = n.where(F.col("n_regionkey") != 4).select(F.concat_ws(
+        "\t", F.lit("1"), F.concat(F.lit("ENSG"), F.col("n_nationkey").cast("string")),
+        F.concat(F.lit("GENE"), F.col("n_nationkey").cast("string"))).alias("value"))
+    W.write_lines_with_header(anno.coalesce(1), "chr\tgene_id\tgene_name", f"{base}/anno")
+    transform_job(spark, f"{base}/m", f"{base}/anno", f"{base}/out")
+    return text_digest(spark, f"{base}/out", "cell_type")
+
+
 # --- matrix files -------------------------------------------------------------
 def matrix_file_lines(spark, sf_dir) -> DataFrame:
     """Customer k as a row of three matrices: a sound one below a junk line; one
@@ -190,5 +274,6 @@ def q_predict_sigmoid(spark, sf_dir):
 
 QUERIES = {f.__name__[2:]: f for f in (
     q_snp_annotation_scan, q_rename_rows, q_prediction_csv_scan, q_gene_annotation_scan,
-    q_dbsnp_scan, q_feature_csv_scan, q_matrix_file_checks, q_matrix_checks_sampled,
+    q_dbsnp_scan, q_feature_csv_scan, q_feature_csv_positional, q_sample_list_scan, q_gene_windows_scan,
+    q_discovered_chromosomes, q_head_variants, q_concat_tables, q_transform_files, q_matrix_file_checks, q_matrix_checks_sampled,
     q_predict_dense, q_predict_sigmoid)}

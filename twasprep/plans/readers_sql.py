@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from twasprep.plans.readers import CHECKED_ROWS, MODEL_TYPES
+from twasprep.plans.readers import CHECKED_ROWS, HEAD, MODEL_TYPES
 from twasprep.schemas import RENAMED_SUFFIX
 
 _PRED = f"""
@@ -87,6 +87,46 @@ x AS (SELECT v, 0 AS idx, CASE WHEN v % 3 = 2 THEN 0.5 ELSE v END AS value FROM
 SELECT 'S' || (v % 3) AS sample_id, 'g' || v AS gene_name,
        CASE WHEN v % 3 < 2 THEN 'chr' || (v % 22) END AS chromo,
        CAST(idx AS INTEGER) AS idx, CAST(value AS DOUBLE) AS value FROM x""",
+        "feature_csv_positional": """
+WITH v AS (SELECT vec_id AS v, CASE WHEN vec_id % 5 = 0 THEN -1.0 ELSE vec_id % 7 END AS mid FROM embeddings),
+x AS (SELECT v, 0 AS idx, CASE WHEN v % 3 = 2 THEN 0.5 ELSE v END AS value FROM v UNION ALL
+      SELECT v, 1, mid FROM v UNION ALL
+      SELECT v, 2, CASE WHEN v % 3 = 2 THEN v ELSE 0.5 END FROM v)
+SELECT 'S' || (v % 3) AS sample_id, 'g' || v AS gene_name,
+       CASE WHEN v % 3 < 2 THEN 'chr' || (v % 22) END AS chromo,
+       CAST(idx AS INTEGER) AS idx, CAST(value AS DOUBLE) AS value FROM x""",
+        "sample_list_scan": """
+SELECT CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS INTEGER) AS ord, s_name AS sample_id
+FROM supplier WHERE s_suppkey % 7 <> 0""",
+        "gene_windows_scan": """
+WITH regions AS (SELECT DISTINCT vec_id // 4 AS r, 'chr' || (vec_id // 4 % 22 + 1) || '_' || (vec_id // 4) AS region
+                 FROM embeddings)
+SELECT 'G' || (r // 5) AS gene_name, region FROM regions
+UNION ALL SELECT 'H' || ((r + 2) // 5), region FROM regions
+UNION ALL SELECT 'GNONE', unnest(['chr0_none', 'chr0_gone'])""",
+        "discovered_chromosomes": """
+SELECT chromosome, CAST(row_number() OVER (ORDER BY CAST(chromosome AS INTEGER)) AS INTEGER) AS chrom_rank
+FROM (SELECT DISTINCT CAST(p_partkey % 22 + 1 AS VARCHAR) AS chromosome FROM part)""",
+        "head_variants": f"""
+SELECT 'chr' || (p_partkey % 22 + 1) || '_' || (p_partkey * 10) || '_'
+         || substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1) || '_'
+         || substr('CGTA', CAST(p_partkey % 4 + 1 AS INT), 1) AS varid,
+       'chr' || (p_partkey % 22 + 1) AS chrom, CAST(p_partkey * 10 AS BIGINT) AS pos,
+       substr('ACGT', CAST(p_partkey % 4 + 1 AS INT), 1) AS ref,
+       substr('CGTA', CAST(p_partkey % 4 + 1 AS INT), 1) AS alt
+FROM part ORDER BY p_partkey LIMIT {HEAD}""",
+        "concat_tables": """
+SELECT 'G' || c_custkey AS gene_name, CASE WHEN c_custkey % 3 <> 1 THEN c_custkey END AS neurons_predicted,
+       CASE c_custkey % 3 WHEN 1 THEN c_custkey * 2 WHEN 2 THEN -c_custkey END AS opc_predicted
+FROM customer""",
+        "transform_files": """
+WITH l AS (SELECT CASE c_custkey % 2 WHEN 0 THEN 'neurons' ELSE 'opc' END AS part,
+                  coalesce('ENSG' || n.n_nationkey, 'GENE' || c_nationkey) || chr(9) || c_custkey || chr(9)
+                  || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_mktsegment END AS line
+           FROM customer LEFT JOIN nation n ON n.n_nationkey = c_nationkey AND n.n_regionkey <> 4)
+SELECT part, 'NAME' || chr(9) || 'S2' || chr(9) || 'S1' AS header, count(*) AS rows,
+       CAST(sum(('0x' || substr(md5(line), 1, 7))::BIGINT) AS BIGINT) AS checksum
+FROM l GROUP BY part""",
         "matrix_file_checks": _checks("true"),
         "matrix_checks_sampled": _checks(f"rn <= {CHECKED_ROWS}"),
         "predict_dense": _dense(z_ctes, False),

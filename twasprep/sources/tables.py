@@ -187,17 +187,18 @@ def _numeric_positions(names: Column) -> Column:
 
 def read_feature_csv(spark: SparkSession, path: str | list[str], key: str = "gene_name",
                      sample_suffix: str = r"(_processed)?(_mean_features)?(\.csv)?(\.gz)?$",
-                     path_glob: str | None = None, numbering: str = "order") -> DataFrame:
+                     path_glob: str | None = None, numbering: str = "order",
+                     first: int | None = None, count: int | None = None) -> DataFrame:
     """Scan wide feature CSVs (see ``parse_feature_csv``); pass
     ``numbering='dense'`` for an ``ord`` of 0-based row positions (needed only by
     the chunked legacy mean)."""
     lines = read_lines(spark, path, numbering=numbering, path_glob=path_glob)
-    return parse_feature_csv(lines, key, sample_suffix, dense=numbering == "dense")
+    return parse_feature_csv(lines, key, sample_suffix, dense=numbering == "dense", first=first, count=count)
 
 
 def parse_feature_csv(lines: DataFrame, key: str = "gene_name",
                       sample_suffix: str = r"(_processed)?(_mean_features)?(\.csv)?(\.gz)?$",
-                      dense: bool = False) -> DataFrame:
+                      dense: bool = False, first: int | None = None, count: int | None = None) -> DataFrame:
     """Wide feature CSV lines (key column, ``0..n-1`` feature columns, extras).
 
     Returns ``sample_id, <key>, ord, features array<double>`` (plus
@@ -207,7 +208,10 @@ def parse_feature_csv(lines: DataFrame, key: str = "gene_name",
     does. The sample id is the file's base name without the stage suffixes.
 
     ``ord`` keeps file order; with ``dense`` line numbers it is the 0-based row
-    position.
+    position. ``first`` and ``count`` take the features by position instead (columns
+    ``first`` to ``first + count - 1``, the key being column 0), whatever their
+    names; ``count`` alone checks the number of named ones. A file with another
+    width is an error.
     """
     fields = lines.select("file_path", "line_no", F.split("value", ",").alias("f"))
     is_header = F.element_at("f", 1) == F.lit(key)
@@ -215,6 +219,11 @@ def parse_feature_csv(lines: DataFrame, key: str = "gene_name",
     rows = fields.where(~is_header & (F.size("f") > 1))
     j = rows.join(F.broadcast(headers), "file_path")
     pos = _numeric_positions(F.col("names"))
+    if first is not None:
+        pos = F.sequence(F.lit(first + 1), F.least(F.lit(first + count), F.size("names")))
+    if count is not None:
+        pos = F.when(F.size(pos) == count, pos).otherwise(F.raise_error(F.concat(
+            F.lit(f"not {count} feature columns: "), F.col("file_path"))).cast("array<int>"))
     key_idx = F.array_position("names", key)
     chromo_idx = F.array_position("names", "chromo")
     features = F.transform(pos, lambda i: F.coalesce(

@@ -83,8 +83,12 @@ def sample_from_path(path_col: Column | str, strip_suffix: str = r"\.[^/]*$",
 
 
 def read_sample_list(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a sample list (see ``parse_sample_list``)."""
+    return parse_sample_list(read_lines(spark, path))
+
+
+def parse_sample_list(lines: DataFrame) -> DataFrame:
     """``(ord int, sample_id)``: one id per non-blank line, order preserved."""
-    lines = read_lines(spark, path)
     return (lines.where(F.trim("value") != "")
             .select(F.trim("value").alias("sample_id"), "line_no")
             .select((F.dense_rank().over(Window.orderBy("line_no")) - 1).cast("int").alias("ord"),
@@ -116,7 +120,13 @@ def discover_chromosomes(spark: SparkSession, path: str,
         names = [c.strip() for c in chromosomes.split(",") if c.strip()]
         df = spark.createDataFrame([(c,) for c in names], "chromosome string")
     else:
-        files = list_files(spark, path)
-        df = (files.select(F.regexp_extract("file_name", name_pattern, 1).alias("chromosome"))
-              .where(F.col("chromosome") != ""))
+        return chromosomes_of(list_files(spark, path), name_pattern)
     return chromosome_order(df, "chromosome")
+
+
+def chromosomes_of(files: DataFrame, name_pattern: str = r"^chr([^_]+)_") -> DataFrame:
+    """Chromosomes named by ``file_name`` of a listing, with their natural order."""
+    from twasprep.operators.genotype import chromosome_order
+
+    names = files.select(F.regexp_extract("file_name", name_pattern, 1).alias("chromosome"))
+    return chromosome_order(names.where(F.col("chromosome") != ""), "chromosome")
