@@ -118,3 +118,18 @@ def test_gene_features_of_one_broken_sample_fail_alone(spark, tmpdir_path):
     for p, data in whole.items():
         open(p, "wb").write(data)
     assert run() == {"success": 3}
+
+
+def test_chunked_features_of_a_second_run_leave_the_first_alone(spark, tmpdir_path):
+    d = tmpdir_path
+    rows = lambda s: [(s, f"chr1_{r}", [[float(r)], [float(r)]]) for r in range(6)]
+    spark.createDataFrame(rows("A"), REGION_TENSORS).write.partitionBy("sample_id").parquet(str(d / "t"))
+    windows = write(d / "w.csv", "gene_name,region_names\nGA,chr1_0|chr1_5\n")
+    run = lambda: KJ.gene_features_by_sample(spark, str(d / "t"), windows, str(d / "o"), str(d / "m"),
+                                             chunk_rows=6)
+    run()
+    before = _files(f"{d}/o")
+    spark.createDataFrame(rows("B"), REGION_TENSORS).write.mode("append").partitionBy("sample_id").parquet(str(d / "t"))
+    run()
+    after = _files(f"{d}/o")
+    assert before.items() <= after.items() and len(after) == 2 * len(before)

@@ -17,7 +17,7 @@ from twasprep.plans import workflows as WF
 from twasprep.plans.restart import run_keys
 from twasprep.sinks import writers as W
 from twasprep.sources import tables as S
-from twasprep.sources.positions import add_positions, read_with_source
+from twasprep.sources.positions import read_with_source
 from twasprep.sources.text import list_files, read_sample_list, sample_from_path
 from twasprep.sources.vcf import read_vcf
 
@@ -153,12 +153,11 @@ def gene_features_by_sample(spark: SparkSession, tensors_path: str, windows_path
         else:
             tensors = read_with_source(spark, tensors_path, everything.schema)
             tensors = tensors.join(batch.select(F.col("key").alias("sample_id")), "sample_id", "left_semi")
-        regions = FT.region_bin_means(tensors)
-        (regions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample_id")
-         .parquet(f"{out_dir}/region_features"))
-        feats = spark.read.schema(regions.schema).parquet(f"{out_dir}/region_features").join(
-            batch.select(F.col("key").alias("sample_id")).distinct(), "sample_id", "left_semi")
-        means = (FT.first_chunk_means(windows, add_positions(feats), chunk_rows) if chunk_rows
+        feats = WF.write_regions(
+            tensors, out_dir, chunk_rows is not None,
+            lambda df: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic"),
+            batch.select(F.col("key").alias("sample_id")).distinct())
+        means = (FT.first_chunk_means(windows, feats, chunk_rows) if chunk_rows
                  else FT.gene_region_means(windows, feats))
         means = means.withColumn("ord", F.monotonically_increasing_id())
         W.write_gene_features(means, f"{out_dir}/gene_features", mode="overwrite", by_partition=True)

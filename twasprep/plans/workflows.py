@@ -171,6 +171,27 @@ def rsid_job(spark: SparkSession, snp_path: str, dbsnp_path: str, out_dir: str,
     return R.rsid_stats(written)
 
 
+def write_regions(tensors: DataFrame, out_dir: str, positions: bool, writer,
+                  samples: DataFrame | None = None) -> DataFrame:
+    """Region features of ``tensors`` (with their source) in ``out_dir``, read back.
+
+    With ``positions`` they carry ``ord``, counted over the rows that were kept: the
+    vectors are staged once beside their source, and only counts are added up. Of
+    folders that hold more than ``samples`` (sample_id), those alone are read back."""
+    spark = tensors.sparkSession
+    regions = FT.region_bin_means(tensors)
+
+    def written(df: DataFrame, path: str) -> DataFrame:
+        writer(df).partitionBy("sample_id").parquet(path)
+        # with the schema given, ids such as 007 stay text in the partition folders
+        back = spark.read.schema(df.schema).parquet(path)
+        return back if samples is None else back.join(samples, "sample_id", "left_semi")
+
+    if positions:
+        regions = add_positions(written(regions, f"{out_dir}/_staged_regions"))
+    return written(regions.drop("src_file", "src_row"), f"{out_dir}/region_features")
+
+
 def gene_features_job(spark: SparkSession, tensors_path: str, windows_path: str, out_dir: str,
                       chunk_rows: int | None = None, mode: str = "errorifexists") -> None:
     """Region tensors (Parquet) -> region features -> gene mean features.
@@ -178,12 +199,8 @@ def gene_features_job(spark: SparkSession, tensors_path: str, windows_path: str,
     Chunks are cut by a row's position in its sample: rejected regions have none,
     a sample may lie in several files (taken in name order), and the positions
     are worked out only for chunked means."""
-    regions = FT.region_bin_means(read_with_source(spark, tensors_path))
-    regions.write.mode(mode).partitionBy("sample_id").parquet(f"{out_dir}/region_features")
-    # with the schema given, ids such as 007 stay text in the partition folders
-    feats = spark.read.schema(regions.schema).parquet(f"{out_dir}/region_features")
-    if chunk_rows:
-        feats = add_positions(feats)
+    feats = write_regions(read_with_source(spark, tensors_path), out_dir, chunk_rows is not None,
+                          lambda df: df.write.mode(mode))
     windows = S.read_gene_windows(spark, windows_path)
     means = (FT.first_chunk_means(windows, feats, chunk_rows) if chunk_rows
              else FT.gene_region_means(windows, feats))
