@@ -47,6 +47,7 @@ COMPONENTS, BAND_ROWS = 128, 4
 SHINGLE = 5
 SKETCH = 1024  # parity bits per text
 WIDE = 64  # members of a bucket up to which its pairs are listed
+HEADS = 32  # first prefix elements that travel with each, to form a pair once
 CHAINS = 2  # passes over unsettled buckets before the remaining pairs are compared
 BLOCK = 1 << 21
 #: Similarity threshold as a fraction, so that the comparison is exact.
@@ -327,16 +328,20 @@ def _prefix_pairs(nodes: DataFrame, bags: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("n", "el"))).alias("els"))
     size = F.col("size")
     least = F.ceil(size * NUM / DEN).cast("int")  # elements that a partner must share
-    length = (size - least + 1) - (size - F.size("els"))
-    first = ranked.where(length > 0).select("tkey", F.explode(F.slice("els", F.lit(1), length)).alias("e"))
+    length = F.greatest((size - least + 1) - (size - F.size("els")), F.lit(0))
+    first = ranked.where(length > 0).select("tkey", F.transform(F.slice("els", F.lit(1), length),
+                                                                lambda e: e["el"]).alias("prefix"))
     told = nodes.join(bags.select("tkey", F.size("bag").alias("size"), "sketch"), "tkey")
-    entry = first.select("tkey", F.col("e.el").alias("el")).join(told, "tkey")
+    entry = first.select("tkey", F.slice("prefix", 1, HEADS).alias("heads"), F.explode("prefix").alias("el")) \
+        .join(told, "tkey")
     x = entry.select("el", F.col("tkey").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("sa"),
-                     F.col("sketch").alias("ka"))
+                     F.col("sketch").alias("ka"), F.col("heads").alias("ha"))
     y = entry.select("el", F.col("tkey").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("sb"),
-                     F.col("sketch").alias("kb"))
+                     F.col("sketch").alias("kb"), F.col("heads").alias("hb"))
+    # both prefixes hold what their heads share, so the pair meets there and only there
+    meets = F.coalesce(F.get(F.array_intersect("ha", "hb"), F.lit(0)) == F.col("el"), F.lit(True))
     return x.join(y, "el").where("a > b and ca <> cb") \
-        .where((F.least("sa", "sb") * DEN >= F.greatest("sa", "sb") * NUM)
+        .where((F.least("sa", "sb") * DEN >= F.greatest("sa", "sb") * NUM) & meets
                & (_apart("ka", "kb") * (DEN + NUM) <= (F.col("sa") + F.col("sb")) * (DEN - NUM))) \
         .select("a", "b").distinct()
 
