@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's rows as Parquet below ``spark.checkpoint.dir`` and rereads them, so
 a lost executor costs a stage's tasks and never the stages before it.
+
+Edge cases: rows with a null or short text fail the quality rules; null ids,
+languages and sources are values of their own; equal rows are one document to the
+near-dedup and draw alike in the mixing; of tied representatives the least id
+stays; texts of any length pass whole; columns of any other name pass through
+every stage but the last unchanged; empty tables give no rows, an empty benchmark
+or label table leaves the documents alone.
 """
 
 from __future__ import annotations
