@@ -49,10 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder is configured by the operator (a shared file
     system path); it is only read here. A local fallback is created when the
-    setting is absent, which only happens in tests and local runs.
+    setting is absent in a local run (tests); on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="twasprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
