@@ -110,7 +110,7 @@ def _classes(links, n):
     return up
 
 
-@pytest.mark.parametrize("wide", [0, 64])
+@pytest.mark.parametrize("wide", [0, 2048])
 def test_pairs_of_wide_buckets_meet_over_rare_elements(spark, monkeypatch, wide):
     from collections import Counter
 
@@ -151,6 +151,7 @@ def test_a_shared_template_makes_pairs_in_proportion_to_the_rows(spark, monkeypa
         return out
 
     monkeypatch.setattr(bagminhash, "materialise", count)
+    monkeypatch.setattr(bagminhash, "WIDE", 64)
     sizes = {}
     for n in (200, 400):
         rng = random.Random(n)

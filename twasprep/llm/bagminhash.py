@@ -14,8 +14,9 @@ then along random chains while that joins classes (copies never form all
 pairs); at last the pairs that are still in different classes are compared
 unless a proof rules a link out: the triangle inequality of the Jaccard distance,
 or a parity sketch that bounds the multisets' difference from below.
-Pairs are listed bucket by bucket only in buckets of up to ``WIDE`` members. The
-texts of wider ones meet over their rarest elements instead: with the elements
+Pairs are listed bucket by bucket only in buckets of up to ``WIDE`` members, so a
+text costs a bounded number of comparisons whatever the bucket. The texts of wider
+ones meet over their rarest elements instead: with the elements
 of all these texts in one order, rarest first, texts of similarity t share one of
 the first |x| - t |x| + 1 elements of each (prefix filtering, which loses none),
 so texts that have a template in common but not four fifths of it form no pairs.
@@ -46,7 +47,7 @@ U = tv.U
 COMPONENTS, BAND_ROWS = 128, 4
 SHINGLE = 5
 SKETCH = 1024  # parity bits per text
-WIDE = 64  # members of a bucket up to which its pairs are listed
+WIDE = 2048  # members of a bucket up to which its pairs are listed
 HEADS = 32  # first prefix elements that travel with each, to form a pair once
 CHAINS = 2  # passes over unsettled buckets before the remaining pairs are compared
 BLOCK = 1 << 21
