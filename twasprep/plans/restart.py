@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twasprep.operators import manifest as MF
+from twasprep.plans.tables import table_path
 
 ATTEMPTS = "stage string, key string, status string, rows long, detail string"
 #: Hash bits by which keys can be dealt; keys that still share a batch fail together.
@@ -43,7 +44,11 @@ def run_keys(inputs: DataFrame, stage: str, attempts_path: str, work: Work) -> D
     An error of ``work`` is the key's, unless Spark itself has stopped."""
     spark = inputs.sparkSession
     todo = MF.pending(inputs, read_attempts(spark, attempts_path), stage)
-    dealt = todo.withColumn("_bits", F.shiftrightunsigned(F.xxhash64(F.col("key").cast("string")), 2))
+    # written once: every batch sees the same keys, and none works them out again
+    pending = table_path(spark)
+    todo.withColumn("_bits", F.shiftrightunsigned(F.xxhash64(F.col("key").cast("string")), 2)) \
+        .write.parquet(pending)
+    dealt = spark.read.parquet(pending)
 
     def record(rows: DataFrame) -> None:
         rows.select(F.lit(stage).alias("stage"), F.col("key").cast("string").alias("key"), "status",
