@@ -145,6 +145,41 @@ def test_substrings_match_brute_force(spark):
         assert (r["n_removed"], hashlib.sha256(r["kept"]).hexdigest()) == want[r["doc_id"]]
 
 
+def substring_digests(df):
+    """Sorted (doc_id, n_removed, sha256 of the kept bytes) of the operator's rows."""
+    return sorted((r["doc_id"], r["n_removed"], hashlib.sha256(r["kept"]).hexdigest())
+                  for r in substrings.dedup_substrings(df).collect())
+
+
+def test_repeats_of_a_string_lose_what_its_first_place_loses(spark):
+    rng = random.Random(11)
+    line = prose(rng, 30)
+    texts = [line[40:100], "", line + " " + prose(rng, 5) + line, "ab" * 60, "xy" + "ba" * 90 + "z" + line * 3,
+             line[20:130] + "-" + line[30:120] + "-" + line[10:140], "c" + "ab" * 80 + "dd" + "ab" * 80]
+    texts += [line[k:] + line[:k] + line[k:] for k in range(0, len(line), 17)]
+    want = sorted((d, *x) for d, x in brute_removed(list(enumerate(texts))).items())
+    assert substring_digests(docs_of(spark, texts)) == want
+    # the same string in several rows of one id
+    two = [line + prose(rng, 5), prose(rng, 7) + line]
+    df = spark.createDataFrame([(3, texts[0]), *[(5, t) for t in two]], "doc_id bigint, text string")
+    want = sorted((5, *brute_removed([(3, texts[0]), (5, t)])[5]) for t in two)
+    assert [x for x in substring_digests(df) if x[0] == 5] == want
+
+
+def test_strings_that_differ_in_one_bit_of_two_octets(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(40):
+        t = "".join(rng.choice("0123456789") for _ in range(300))
+        at = substrings.strings(np.frombuffer(t.encode(), np.uint8), np.array([0, 300]))[3].tolist()
+        u = list(t)
+        for x in (at[len(at) // 2] + 7, at[len(at) // 2] + 15):
+            u[x] = chr(ord(t[x]) ^ 64)
+        texts += [t, "".join(u)]
+    want = sorted((d, *x) for d, x in brute_removed(list(enumerate(texts))).items())
+    assert substring_digests(docs_of(spark, texts)) == want
+
+
 def test_substrings_of_hot_anchors(spark, monkeypatch):
     texts = [prose(random.Random(i), 5) + " " + "licence " * 9 + prose(random.Random(i), 8) for i in range(12)]
     plain = substrings._meet

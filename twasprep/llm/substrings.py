@@ -9,22 +9,24 @@ Three passes, each sharded by content so that equal strings always meet:
    Only 12 bytes of hashes per string travel. Equal strings within a batch are
    settled there (all but the least document are copies), equal strings across
    batches in the shard of their anchor: a copy's bytes go, the least document's
-   string stays as the one representative.
+   string stays as the one representative. Where that document holds the string
+   several times, the other places are noted as repeats of the first.
 2. Where an anchor has several different strings, their windows may still be
    equal in part. The representatives' bytes are cut from the texts, gathered
    in shards (by anchor; window by window, by window hash, when an anchor has
    more than ``HOT`` strings), and a suffix array per shard, built by induced
    sorting, with permuted common prefixes brings equal 50-byte windows together;
    each is removed unless its document is the least of the run.
-3. The removed ranges are merged per document and cut out.
+3. Windows removed from a string are removed from its repeats too; the removed
+   ranges are merged per document and cut out.
 
-Strings are compared in pass 1 by 96 bits of hashes (plus the shard), in pass 2
-byte by byte.
+Strings are compared in pass 1 by 96 bits of hashes (plus the shard): 48 of their
+anchor, 48 chained over all of their bytes; in pass 2 byte by byte.
 
 Edge cases: null counts as empty; texts under 50 bytes lose nothing; strings
 repeated inside one document are kept; rows with equal ids never remove each
 other; a null id sorts before every other id (two null rows keep their bytes
-against each other); repeated rows are judged alike; an empty table gives no
+against each other; -2^63 counts as null); repeated rows are judged alike; an empty table gives no
 rows; only the id and text columns are read.
 """
 
@@ -76,8 +78,8 @@ def _unpack(blob: bytes):
     return docs, keys, cols
 
 
-def _gram_hashes(buf: np.ndarray) -> np.ndarray:
-    x = tv.octets(buf)
+def _gram_hashes(x: np.ndarray) -> np.ndarray:
+    """Hash of the gram at each position, from the octets; it only picks and groups anchors."""
     if len(x) < 17:
         return np.zeros(0, U)
     h = x[:-16] * U(0x9E3779B97F4A7C15)
@@ -90,7 +92,8 @@ def _gram_hashes(buf: np.ndarray) -> np.ndarray:
 def strings(buf: np.ndarray, off: np.ndarray):
     """(anchor hash, string hash, row, start, windows) of all anchored strings of a block."""
     none = np.zeros(0, np.int64)
-    g = _gram_hashes(buf)
+    x = tv.octets(buf)
+    g = _gram_hashes(x)
     n = len(buf) - LENGTH + 1
     if n <= 0:
         return none.astype(U), none.astype(U), none, none, none
@@ -114,11 +117,10 @@ def strings(buf: np.ndarray, off: np.ndarray):
     starts = np.flatnonzero(new[:n] & ok[:n])
     stops = np.flatnonzero((new[1:] | ~ok[1:]) & ok[:n]) + 1
     size = stops - starts
-    last = starts + size + LENGTH - 1 - GRAM  # the last gram of the string
-    text = g[starts] * U(0x9E3779B97F4A7C15)
-    for p in (np.minimum(starts + GRAM, last), np.minimum(starts + 2 * GRAM, last), last):
-        text = tv.mix(text + g[p])
-    text = tv.mix(text + size.astype(U))
+    last = starts + size + LENGTH - 1 - 8  # the last octet of the string
+    text = tv.mix(size.astype(U))
+    for o in range(0, LENGTH + WINDOW - 1, 8):
+        text = tv.mix(text ^ x[np.minimum(starts + o, last)])
     row = np.searchsorted(off, starts, "right") - 1
     return tv.mix(g[least[starts]] ^ U(0x632BE59BD9B4E019)), text, row, starts - off[row], size
 
@@ -199,7 +201,7 @@ def _send(batches, shards: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """One shard: copies across batches (kind 1) and strings to look into (kind 2)."""
+    """One shard: copies across batches (kind 1), strings to look into (kind 2), repeats (kind 3)."""
     kind = table.column("kind").to_numpy()
     rows = []
     done = table.filter(pa.array(kind == 1))
@@ -223,19 +225,31 @@ def _meet(table: pa.Table) -> pa.Table:
         new_a = np.concatenate(([True], a[1:] != a[:-1]))
         new = new_a | np.concatenate(([True], t[1:] != t[:-1]))
         first = np.flatnonzero(new)
-        copy = d > d[first][np.cumsum(new) - 1]
+        string = np.cumsum(new) - 1
+        copy = d > d[first][string]
         # distinct strings of each anchor, if they belong to different documents
         group = np.cumsum(new_a) - 1
         n_text = np.bincount(group, weights=new).astype(np.int64)
         least = np.minimum.reduceat(d, np.flatnonzero(new_a))
         most = np.maximum.reduceat(d, np.flatnonzero(new_a))
-        look = new & (n_text[group] > 1) & (least != most)[group]
+        stay = np.flatnonzero(~copy & (n_text[group] > 1) & (least != most)[group])
         at, n = c["at"].astype(np.int64), c["n"].astype(np.int64)
+        # a string's first place in each text of its least document is looked into
+        x, y = at[order[stay]], keys[doc[order[stay]]]
+        by = np.lexsort((x, y, string[stay]))
+        stay, x, y = stay[by], x[by], y[by]
+        lead = np.ones(len(stay), bool)
+        lead[1:] = (string[stay[1:]] != string[stay[:-1]]) | (y[1:] != y[:-1])
+        look, origin = stay[lead], x[lead][np.cumsum(lead) - 1]
+        again = x != origin  # (equal rows have it at the same place)
+        other = order[stay[again]]
+        for i, (x, y, z) in _per_doc(doc[other], origin[again], at[other], n[other]):
+            rows.append((3, int(docs[i]), int(keys[i]), np.stack([x, y, z], axis=1).astype("<i4").tobytes()))
         cut = order[copy]
         for i, (x, y) in _per_doc(doc[cut], at[cut], n[cut]):
             rows.append((1, int(docs[i]), int(keys[i]), _ranges(x, y)))
         probe = order[look]
-        hot = (n_text[group] > HOT)[look]
+        hot = n_text[group[look]] > HOT
         for i, (x, y, z, w) in _per_doc(doc[probe], at[probe], n[probe], c["anchor"][probe], hot):
             rows.append((2, int(docs[i]), int(keys[i]), np.stack(
                 [x, y, z.view(np.int64), w], axis=1).astype("<i8").tobytes()))
@@ -320,11 +334,24 @@ def _sort(table: pa.Table) -> pa.Table:
                          ("payload", pa.binary())])
 
 
+def _repeated(v: np.ndarray, blobs: list[bytes], size: int) -> np.ndarray:
+    """Ranges of the repeats of windows that begin in ``v``; ``size`` bytes of text."""
+    edge = np.zeros(size + 1, np.int64)
+    np.add.at(edge, v[:, 0], 1)
+    np.add.at(edge, v[:, 1] - LENGTH + 1, -1)
+    gone = np.cumsum(edge) > 0
+    p = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 3).astype(np.int64)
+    n = p[:, 2]
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = (np.repeat(p[:, 1], n) + nth)[gone[np.repeat(p[:, 0], n) + nth]]
+    return np.stack([at, at + LENGTH], axis=1).astype("<i4")
+
+
 def _kept(batches):
     """Cut the merged ranges out of each text."""
     for b in batches:
         buf, off = tv.utf8(b.column("text"))
-        cuts = b.column("cuts").to_pylist()
+        cuts, repeats = b.column("cuts").to_pylist(), b.column("repeats").to_pylist()
         removed, spans, kept = [], [], []
         for r, blobs in enumerate(cuts):
             body = buf[off[r]:off[r + 1]]
@@ -334,6 +361,8 @@ def _kept(batches):
                 kept.append(body.tobytes())
                 continue
             v = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2)
+            if repeats[r]:
+                v = np.concatenate([v, _repeated(v, repeats[r], len(body))])
             v = v[np.argsort(v[:, 0], kind="stable")]
             reach = np.maximum.accumulate(v[:, 1])
             new = np.concatenate(([True], v[1:, 0] > reach[:-1]))
@@ -370,10 +399,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = one.mapInArrow(lambda it: _cut(it, fine), "shard int, payload binary") \
         .groupBy("shard").applyInArrow(_sort, _FOUND)
     found = materialise(found, "found")
-    cuts = met.where("kind = 1").unionByName(found).groupBy("doc_id", "tkey").agg(
-        F.collect_list("payload").alias("cuts"))
+    cuts = met.where("kind <> 2").unionByName(found).groupBy("doc_id", "tkey").agg(
+        F.collect_list(F.when(F.col("kind") == 1, F.col("payload"))).alias("cuts"),
+        F.collect_list(F.when(F.col("kind") == 3, F.col("payload"))).alias("repeats"))
     whole = rows.join(cuts, ["doc_id", "tkey"], "left").select(
-        F.col("id").alias("doc_id"), "text", "cuts")
+        F.col("id").alias("doc_id"), "text", "cuts", "repeats")
     return whole.mapInArrow(_kept, (
         "doc_id bigint, n_bytes bigint, n_removed bigint, "
         "spans array<struct<start:bigint,end:bigint>>, kept binary"))
