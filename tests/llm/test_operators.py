@@ -195,6 +195,46 @@ def test_substrings_of_hot_anchors(spark, monkeypatch):
         assert (r["n_removed"], hashlib.sha256(r["kept"]).hexdigest()) == want[r["doc_id"]]
 
 
+def handed_on(monkeypatch):
+    """The tables that the passes write, by tag."""
+    plain, out = substrings.materialise, {}
+
+    def kept(df, tag):
+        out[tag] = plain(df, tag)
+        return out[tag]
+
+    monkeypatch.setattr(substrings, "materialise", kept)
+    return out
+
+
+def test_rows_between_the_passes_go_by_shards_not_by_documents(spark, monkeypatch):
+    rng = random.Random(14)
+    line = prose(rng, 30)
+    texts = [line + prose(rng, 4) for _ in range(400)]
+    want = sorted((d, *x) for d, x in brute_removed(list(enumerate(texts))).items())
+    out = handed_on(monkeypatch)
+    source = docs_of(spark, texts)
+    assert substring_digests(source) == want
+    n = common.partitions(spark)
+    assert out["met"].count() <= n * source.rdd.getNumPartitions() + 3 * n * n
+    assert out["found"].count() <= substrings.SORT_SHARDS * n * n
+    texts = [line[:50]] * 6  # a shard with copies and no strings
+    want = sorted((d, *x) for d, x in brute_removed(list(enumerate(texts))).items())
+    assert substring_digests(docs_of(spark, texts)) == want
+
+
+def test_strings_that_share_their_anchor_only_are_not_sorted(spark, monkeypatch):
+    rng = random.Random(15)
+    texts = [prose(rng, 15) + " some thirty bytes that are met " + prose(rng, 15) for _ in range(4)]
+    out = handed_on(monkeypatch)
+    assert all(r[1] == 0 for r in substring_digests(docs_of(spark, texts)))
+    assert out["met"].where("kind = 2").count() == 0
+    texts.append("xyz" + texts[0][40:160])
+    want = sorted((d, *x) for d, x in brute_removed(list(enumerate(texts))).items())
+    assert substring_digests(docs_of(spark, texts)) == want and want[-1][1] > 0
+    assert out["met"].where("kind = 2").count() > 0
+
+
 def test_equal_ids_never_remove_each_other(spark):
     t = prose(random.Random(1), 40)
     df = spark.createDataFrame([(1, t), (1, t), (2, t), (None, t)], "doc_id bigint, text string")

@@ -13,17 +13,22 @@ from __future__ import annotations
 import numpy as np
 
 
+def _index(n: int):
+    """The type of positions in ``n`` characters."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def classify(s: np.ndarray) -> np.ndarray:
     """True where the suffix is of type S (smaller than the next one). The end counts as L."""
     n = len(s)
     up = np.zeros(n, bool)
     if n < 2:
         return up
-    step = s[1:].astype(np.int32) - s[:-1]
-    change = np.where(step != 0, np.arange(n - 1), n - 1)
+    rise = s[1:] > s[:-1]
+    change = np.where(s[1:] != s[:-1], np.arange(n - 1, dtype=_index(n)), _index(n)(n - 1))
     nxt = np.minimum.accumulate(change[::-1])[::-1]  # next position whose successor differs
     known = nxt < n - 1
-    up[:-1][known] = step[nxt[known]] > 0
+    up[:-1][known] = rise[nxt[known]]
     return up
 
 
@@ -32,7 +37,12 @@ def _induce(s, up, lms, sigma, heads):
     n = len(s)
     sizes = np.diff(heads)
     n_l = np.bincount(s[~up], minlength=sigma)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, _index(n))
+    # first character of each suffix's predecessor, ``sigma`` if it is of the other type
+    code = np.uint8 if sigma < 256 else np.uint16 if sigma < 1 << 16 else np.int64
+    before = np.full((2, n), sigma, code)
+    for k, kind in enumerate((~up[:-1], up[:-1])):
+        before[k, 1:][kind] = s[:-1][kind]
     # L suffixes, buckets upwards: a bucket's L part is filled by smaller
     # buckets and by itself (runs of one character), then its LMS part follows
     fill = heads[:-1].copy()
@@ -44,18 +54,20 @@ def _induce(s, up, lms, sigma, heads):
     order = np.argsort(by, kind="stable")
     lms_sorted, lms_bounds = lms[order], np.searchsorted(by[order], np.arange(sigma + 1))
 
+    def taken(src, k):
+        """Predecessors of the type by first character (in their order), and how many each has."""
+        c = before[k][src]
+        some = c != sigma
+        c = c[some]
+        o = np.argsort(c, kind="stable")
+        return (src[some] - 1)[o], c[o], np.bincount(c, minlength=sigma)
+
     def push(src):
         """Place the L-type predecessors of ``src`` (already in order)."""
-        p = src[src > 0] - 1
-        p = p[~up[p]]
-        if not len(p):
-            return
-        c = s[p]
-        o = np.argsort(c, kind="stable")
-        p, c = p[o], c[o]
-        first = np.searchsorted(c, c, "left")
-        sa[fill[c] + np.arange(len(c)) - first] = p
-        np.add.at(fill, c, 1)
+        p, c, count = taken(src, 0)
+        if len(p):
+            sa[(fill - np.cumsum(count) + count)[c] + np.arange(len(c))] = p
+            fill[:] += count
 
     for c in np.flatnonzero(sizes):
         done = heads[c]
@@ -69,16 +81,10 @@ def _induce(s, up, lms, sigma, heads):
 
     def push_s(src):
         """Place the S-type predecessors of ``src``, which comes in descending order."""
-        p = src[src > 0] - 1
-        p = p[up[p]]
-        if not len(p):
-            return
-        c = s[p]
-        o = np.argsort(c, kind="stable")
-        p, c = p[o], c[o]
-        first = np.searchsorted(c, c, "left")
-        sa[tail[c] - 1 - (np.arange(len(c)) - first)] = p
-        np.subtract.at(tail, c, 1)
+        p, c, count = taken(src, 1)
+        if len(p):
+            sa[(tail - 1 + np.cumsum(count) - count)[c] - np.arange(len(c))] = p
+            tail[:] -= count
 
     for c in np.flatnonzero(sizes)[::-1]:
         done = heads[c + 1]
@@ -94,23 +100,22 @@ def _lms_names(s, lms, order):
     """Rank of each LMS substring (equal ones share it), aligned with ``lms``."""
     n, m = len(s), len(lms)
     end = np.append(lms[1:], n - 1)  # last character of each, the next LMS included
-    size = np.empty(n, np.int64)
+    size = np.zeros(n, _index(n))
     size[lms] = end - lms + 1
     a, b = order[:-1], order[1:]
     equal = size[a] == size[b]
-    step = 0
     alive = np.flatnonzero(equal)
+    a, b, left = a[alive], b[alive], size[a[alive]]
+    step = 0
     while len(alive):
-        x, y = a[alive] + step, b[alive] + step
-        live = step < size[a[alive]]
-        alive, x, y = alive[live], x[live], y[live]
-        bad = s[x] != s[y]
-        equal[alive[bad]] = False
-        alive = alive[~bad]
+        same = s[a + step] == s[b + step]
+        equal[alive[~same]] = False
         step += 1
-    rank = np.empty(n, np.int64)
+        same &= left > step
+        alive, a, b, left = alive[same], a[same], b[same], left[same]
+    rank = np.empty(n, _index(n))
     rank[order] = np.concatenate(([0], np.cumsum(~equal)))
-    return rank[lms]
+    return rank[lms].astype(np.int64)
 
 
 def _rank_reduced(names, rounds):
@@ -121,10 +126,12 @@ def _rank_reduced(names, rounds):
     for _ in range(rounds):
         if rank.max(initial=0) == m - 1:
             break
-        nxt = np.zeros(m, np.int64)
-        nxt[:-length] = rank[length:] + 1 if length < m else 0
-        key = rank * (m + 2) + nxt
-        _, rank = np.unique(key, return_inverse=True)
+        key = rank * (m + 2)
+        key[:-length] += rank[length:] + 1 if length < m else 0
+        order = np.argsort(key)
+        key = key[order]
+        rank = np.empty(m, np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
         length *= 2
         if length >= m:
             break
@@ -133,14 +140,13 @@ def _rank_reduced(names, rounds):
 
 def suffix_array(s: np.ndarray, depth: int = 1 << 30) -> np.ndarray:
     """Start positions of the suffixes of ``s`` in order (of their first ``depth`` characters)."""
-    s = s.astype(np.int64)
     n = len(s)
     if n == 0:
         return np.zeros(0, np.int64)
     sigma = int(s.max()) + 1
     heads = np.concatenate(([0], np.cumsum(np.bincount(s, minlength=sigma))))
     up = classify(s)
-    lms = np.flatnonzero(up[1:] & ~up[:-1]) + 1
+    lms = (np.flatnonzero(up[1:] & ~up[:-1]) + 1).astype(_index(n))
     if len(lms) > 1:
         first = _induce(s, up, lms, sigma, heads)
         is_lms = np.zeros(n, bool)
@@ -156,23 +162,20 @@ def permuted_common_prefix(s: np.ndarray, sa: np.ndarray, least: int) -> np.ndar
     """In text order: whether a suffix shares ``least`` characters with the one before it
     in the suffix array (the permuted LCP array cut at ``least``)."""
     n = len(s)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, _index(n))
     before[sa[1:]] = sa[:-1]
     out = np.zeros(n, bool)
-    at = np.flatnonzero(before >= 0)
+    at = np.flatnonzero(before >= 0).astype(_index(n))
     at = at[(at + least <= n) & (before[at] + least <= n)]
     step = 8
-    wide = np.zeros(n, np.uint64)
-    if n >= 8:
-        b = np.ascontiguousarray(s.astype(np.uint8)) if s.max(initial=0) < 256 else None
-        if b is not None:
-            wide[:n - 7] = np.ndarray((n - 7,), "<u8", b, 0, (1,))
+    if n >= step and least >= step and s.max(initial=0) < 256:
+        wide = np.ndarray((n - 7,), "<u8", np.ascontiguousarray(s.astype(np.uint8)), 0, (1,))
+        for lo in range(0, len(at), 1 << 20):
+            x = at[lo:lo + (1 << 20)]
             for o in [*range(0, least - step + 1, step), least - step]:
-                if o >= 0:
-                    at = at[wide[at + o] == wide[before[at] + o]]
-            if least >= step:
-                out[at] = True
-                return out
+                x = x[wide[x + o] == wide[before[x] + o]]
+            out[x] = True
+        return out
     for o in range(least):
         at = at[s[at + o] == s[before[at] + o]]
     out[at] = True
